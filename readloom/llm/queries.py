@@ -17,6 +17,24 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(_table(spark, sf_dir, "documents"))
 
 
+def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from . import shared, token_store
+
+    path = shared.folder(spark, "tokens")
+    token_store.write(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_store.read(spark, path, ids=False)
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import shared, warc
+
+    path = shared.folder(spark, "warc")
+    warc.write(_table(spark, sf_dir, "pages"), path)
+    return warc.read(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import substring
 
@@ -30,5 +48,5 @@ def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_jaccard_join, op6_substring_dedup, op9_suffix_array_dedup)
+    f.__name__: f for f in (op1_ngram_jaccard_join, op2_token_store, op3_warc, op6_substring_dedup, op9_suffix_array_dedup)
 }
