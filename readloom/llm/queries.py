@@ -41,12 +41,24 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.dedup(_table(spark, sf_dir, "documents")).drop("text")
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import decontaminate
+
+    return decontaminate.mark(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("items", "spans")
+
+
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import suffix_dedup
 
     return suffix_dedup.dedup(_table(spark, sf_dir, "documents")).drop("text")
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import licenses
+
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_jaccard_join, op2_token_store, op3_warc, op6_substring_dedup, op9_suffix_array_dedup)
+    f.__name__: f for f in (op1_ngram_jaccard_join, op2_token_store, op3_warc, op6_substring_dedup, op7_benchmark_decontamination, op9_suffix_array_dedup, op10_license_scan)
 }
