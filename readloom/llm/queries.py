@@ -47,6 +47,12 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.mark(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("items", "spans")
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import html_extract
+
+    return html_extract.extract_pages(_table(spark, sf_dir, "pages"))
+
+
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import suffix_dedup
 
@@ -60,5 +66,5 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_jaccard_join, op2_token_store, op3_warc, op6_substring_dedup, op7_benchmark_decontamination, op9_suffix_array_dedup, op10_license_scan)
+    f.__name__: f for f in (op1_ngram_jaccard_join, op2_token_store, op3_warc, op6_substring_dedup, op7_benchmark_decontamination, op8_html_extraction, op9_suffix_array_dedup, op10_license_scan)
 }
