@@ -35,6 +35,12 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import quality
+
+    return quality.rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import substring
 
@@ -66,5 +72,5 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_jaccard_join, op2_token_store, op3_warc, op6_substring_dedup, op7_benchmark_decontamination, op8_html_extraction, op9_suffix_array_dedup, op10_license_scan)
+    f.__name__: f for f in (op1_ngram_jaccard_join, op2_token_store, op3_warc, op4_quality_rules, op6_substring_dedup, op7_benchmark_decontamination, op8_html_extraction, op9_suffix_array_dedup, op10_license_scan)
 }
