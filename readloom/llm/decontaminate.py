@@ -169,3 +169,17 @@ def _finish(batches: Iterator[pa.RecordBatch]):
         n_hit = [sum(h[1::2]) - sum(h[::2]) for h in hits]
         sha = [hashlib.sha256(",".join(i).encode()).hexdigest() for i in items]
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("n_words"), pa.array(n_hit, pa.int64()), pa.array([len(i) for i in items], pa.int64()), pa.array(sha), pa.array([n > 0 for n in n_hit]), b.column("items"), pa.array(spans, kind)], names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "items", "spans"])
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``docs`` without a benchmark window, with all of their columns."""
+    for block in _blocks(benchmark, block_bytes):
+        sent = docs.sparkSession.sparkContext.broadcast(pickle.dumps(patterns(block, window)))
+
+        def run(batches, sent=sent):
+            machine = _automaton(pickle.loads(sent.value))
+            for b in batches:
+                yield b.filter(pa.array([not scan(t or b"", machine)[1] for t in b.column("text").cast(pa.binary()).to_pylist()], pa.bool_()))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

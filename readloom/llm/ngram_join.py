@@ -234,7 +234,9 @@ def join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, limit: in
     A-Z in lower case; a text of fewer words than ``size`` is one shingle. Null and wordless texts have an
     empty set and are their own component. Each row is a document: equal texts are linked, rows that repeat
     a doc_id with different texts are not linked by the id. A row without doc_id has a null component_id
-    unless a linked document has an id. An empty table gives no rows.
+    unless a linked document has an id. An empty table gives no rows. ``node`` is the hash of the text and
+    ``first`` is true for the rows that stand for their component: those of its smallest (doc_id, node), and
+    all rows without words.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("node", F.xxhash64("text"))
@@ -289,6 +291,17 @@ def join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, limit: in
         left = wide.where("component <> main").select("leader", "band", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part"), side.alias("side"), "node", "component")
         more = shared.table(links(rest.unionByName(left)), "links")
         component = connected_components(edges.unionByName(more))
-    rooted = rows.join(component, "node", "left").select("doc_id", "n", F.when(F.col("n") > 0, F.coalesce("component", "node")).alias("root"))
-    least = rooted.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return rooted.join(least, "root", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    rooted = rows.join(component, "node", "left").select("doc_id", "node", "n", F.when(F.col("n") > 0, F.coalesce("component", "node")).alias("root"))
+    rank = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "node")
+    least = rooted.where("root is not null").groupBy("root").agg(F.min(rank).alias("least"))
+    joined = rooted.join(least, "root", "left")
+    none = F.col("root").isNull()
+    return joined.select("doc_id", F.col("n").alias("n_shingles"), F.when(none, F.col("doc_id")).otherwise(F.col("least.doc_id")).alias("component_id"), "node", (none | (F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("node") == F.col("least.node")))).alias("first"))
+
+
+def keep_first(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """One row of ``docs`` of each component, with all of its columns, and the rows without words."""
+    marked = join(docs, size, percent).where("first").select(F.col("doc_id").alias("kept_id"), F.col("node").alias("kept_node"), (F.col("n_shingles") == 0).alias("bare")).distinct()
+    rows = docs.join(marked.hint("merge"), docs["doc_id"].eqNullSafe(marked["kept_id"]) & (F.xxhash64(docs["text"].cast("string")) == marked["kept_node"]))
+    # Rows that repeat both id and text are told apart by nothing: one of them stays.
+    return rows.dropDuplicates(["kept_id", "kept_node"]).select(*[docs[c] for c in docs.columns])

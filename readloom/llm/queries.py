@@ -14,7 +14,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import ngram_join
 
-    return ngram_join.join(_table(spark, sf_dir, "documents"))
+    return ngram_join.join(_table(spark, sf_dir, "documents")).drop("node", "first")
 
 
 def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +41,15 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encodes every text, decodes the ids again; ``round_trip`` says whether the text came back."""
+    import public_tokenizers
+
+    from . import pieces
+
+    return pieces.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")).drop("ids", "text")
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import substring
 
@@ -72,5 +81,5 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_jaccard_join, op2_token_store, op3_warc, op4_quality_rules, op6_substring_dedup, op7_benchmark_decontamination, op8_html_extraction, op9_suffix_array_dedup, op10_license_scan)
+    f.__name__: f for f in (op1_ngram_jaccard_join, op2_token_store, op3_warc, op4_quality_rules, op5_sentencepiece, op6_substring_dedup, op7_benchmark_decontamination, op8_html_extraction, op9_suffix_array_dedup, op10_license_scan)
 }
