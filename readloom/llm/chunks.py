@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text in a chunk. Raise it for inputs of tens of terabytes: chunks times shards rows are sent.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 PACKED = "tag int, chunk int, shard int, data binary"
 PACKED_ARROW = pa.schema([("tag", pa.int32()), ("chunk", pa.int32()), ("shard", pa.int32()), ("data", pa.binary())])
 
