@@ -94,7 +94,9 @@ def _add_slots(table: pa.Table) -> pa.Table:
 
 
 def _prefixes(size: int, percent: int, sketch, hot: int):
-    schema = pa.schema([("token", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("hot", pa.bool_())])
+    """Rows (key, node, band, token): ``token`` is set for hot shingles only, whose key is spread over their documents."""
+    schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("band", pa.int32()), ("token", pa.int64())])
+    width = np.log(100 / percent)
 
     def run(batches):
         counts = sketch.value
@@ -113,9 +115,12 @@ def _prefixes(size: int, percent: int, sketch, hot: int):
                 place = np.arange(len(doc)) - (np.cumsum(n) - n)[doc]
                 keep = place < (n - (percent * n + 99) // 100 + 1)[doc]
                 doc, h, often = doc[keep], h[keep], often[keep]
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(nodes[x:y][doc]), pa.array(n[doc].astype(np.int32)), pa.array(often > hot)], schema=schema)
+                node, warm = nodes[x:y][doc], often > hot
+                key = np.where(warm, kernel.mix(h + node.view(np.uint64)), h)
+                band = np.floor(np.log(n[doc]) / width + 1e-9).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(node), pa.array(band), pa.array(h.view(np.int64), mask=~warm)], schema=schema)
 
-    return run, "token long, node long, n int, hot boolean"
+    return run, "key long, node long, band int, token long"
 
 
 class Trie:
@@ -251,12 +256,10 @@ def join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, limit: in
     rows = seen.where("slot is null").select("doc_id", "node", "n")
 
     run, schema = _prefixes(size, percent, sketch, hot)
-    tokens = docs.mapInArrow(run, schema).withColumn("key", F.when(F.col("hot"), F.xxhash64("token", "node")).otherwise(F.col("token")))
     alike = Window.partitionBy("key")
-    tokens = tokens.withColumn("a", F.min("node").over(alike)).withColumn("b", F.max("node").over(alike)).where("hot or a < b")
-    width = float(np.log(100 / percent))
-    band = F.floor(F.log("n") / F.lit(width) + F.lit(1e-9)).cast("int")
-    tokens = shared.table(tokens.select("token", "node", "hot", F.explode(F.array(band, band + 1)).alias("band")), "tokens")
+    tokens = docs.mapInArrow(run, schema).withColumn("a", F.min("node").over(alike)).withColumn("b", F.max("node").over(alike)).where("token is not null or a < b")
+    tokens = tokens.select(F.coalesce("token", "key").alias("token"), "node", F.col("token").isNotNull().alias("hot"), F.explode(F.array("band", F.col("band") + 1)).alias("band"))
+    tokens = shared.table(tokens, "tokens")
     group = Window.partitionBy("token", "band")
     cold = tokens.where("not hot").withColumn("leader", F.min("node").over(group)).select("leader", "band", "node")
     warm = tokens.where("hot")
@@ -273,7 +276,7 @@ def join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, limit: in
     def links(blocks: DataFrame) -> DataFrame:
         b = blocks.join(one, "node").alias("b")
         d = docs.alias("d")
-        full = b.join(d, (F.col("b.node") == F.col("d.node")) & F.col("b.doc_id").eqNullSafe(F.col("d.doc_id"))).select("leader", "band", "part", "side", "b.node", "component", "text")
+        full = b.hint("merge").join(d, (F.col("b.node") == F.col("d.node")) & F.col("b.doc_id").eqNullSafe(F.col("d.doc_id"))).select("leader", "band", "part", "side", "b.node", "component", "text")
         return full.groupBy("leader", "band", "part", "side").applyInArrow(_block(size, percent, sketch), "u long, v long")
 
     edges = shared.table(links(blocks), "links")
