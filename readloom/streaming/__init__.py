@@ -1,0 +1 @@
+"""Reserved: the domain has no streaming operators, so there is nothing here but the package."""
