@@ -75,10 +75,10 @@ def _merge_sketches(got: list[tuple[int, bytes]]) -> list[tuple[int, bytes]]:
 
 def _merge_windows(got: list[tuple[int, bytes]]) -> list[tuple[int, bytes]]:
     """Each chunk learns for which of its windows another chunk has a smaller document."""
-    parts = [(int.from_bytes(d[:4], "little"), d) for _, d in got]
-    a = np.concatenate([np.frombuffer(d, "<u8", n, 4) for n, d in parts])
-    b = np.concatenate([np.frombuffer(d, "<u4", n, 4 + 8 * n) for n, d in parts])
-    doc = np.concatenate([np.frombuffer(d, "<i8", n, 4 + 12 * n) if len(d) == 4 + 20 * n else np.frombuffer(d, "<u4", n, 12 + 12 * n).astype(np.int64) + int.from_bytes(d[4 + 12 * n : 12 + 12 * n], "little", signed=True) for n, d in parts])
+    parts = [(int.from_bytes(d[:4], "little"), d[5:], d[4]) for _, d in got]
+    a = np.concatenate([np.frombuffer(d, "<u8", n) for n, d, _ in parts])
+    b = np.concatenate([np.frombuffer(d, "<u4", n, 8 * n) for n, d, _ in parts])
+    doc = np.concatenate([np.frombuffer(d, "<i8", n, 12 * n) if wide else np.frombuffer(d, "<u4", n, 12 * n + 8).astype(np.int64) + int.from_bytes(d[12 * n : 12 * n + 8], "little", signed=True) for n, d, wide in parts])
     order = np.lexsort((doc, b, a))
     x, y = a[order], b[order]
     begin = np.concatenate(([True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])))
@@ -86,18 +86,17 @@ def _merge_windows(got: list[tuple[int, bytes]]) -> list[tuple[int, bytes]]:
     least[order] = doc[order][np.flatnonzero(begin)][np.cumsum(begin) - 1]
     smaller = least < doc
     out, at = [], 0
-    for (chunk, _), (n, _) in zip(got, parts):
+    for (chunk, _), (n, _, _) in zip(got, parts):
         out.append((chunk, kernel.bits(smaller[at : at + n])))
         at += n
     return out
 
 
 def _pack_windows(a: np.ndarray, b: np.ndarray, doc: np.ndarray) -> bytes:
-    base = int(doc.min()) if len(doc) else 0
-    head = len(a).to_bytes(4, "little") + a.astype("<u8").tobytes() + b.astype("<u4").tobytes()
-    if len(doc) and int(doc.max()) - base >= 1 << 32:
-        return head + doc.astype("<i8").tobytes()
-    return head + base.to_bytes(8, "little", signed=True) + (doc - base).astype("<u4").tobytes()
+    base = int(doc.min())
+    wide = int(doc.max()) - base >= 1 << 32
+    head = len(a).to_bytes(4, "little") + bytes([wide]) + a.astype("<u8").tobytes() + b.astype("<u4").tobytes()
+    return head + (doc.astype("<i8").tobytes() if wide else base.to_bytes(8, "little", signed=True) + (doc - base).astype("<u4").tobytes())
 
 
 def dedup(docs: DataFrame, window: int = WINDOW, chunk_bytes: int = chunks.CHUNK_BYTES) -> DataFrame:
