@@ -45,6 +45,8 @@ def patterns(items: list[tuple[str, bytes]], window: int) -> dict[str, tuple[int
 def _automaton(found: dict[str, tuple[int, list[str]]]):
     import ahocorasick
 
+    if not found:
+        return None
     machine = ahocorasick.Automaton()
     for pattern, value in found.items():
         machine.add_word(pattern, value)
@@ -71,7 +73,7 @@ def scan(text: bytes, machine) -> tuple[int, list[tuple[int, int]], set[str]]:
     runs: list[list[int]] = []
     items: set[str] = set()
     at = number = 0  # the number of spaces before byte ``at``
-    for end, (n, ids) in machine.iter(flat):
+    for end, (n, ids) in machine.iter(flat) if machine else ():
         number += flat.count(" ", at, end)
         at = end
         first, last = number - n, number  # the space at ``end`` follows the window's last word
