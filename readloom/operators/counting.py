@@ -69,9 +69,10 @@ def distinct_alignments(hits: DataFrame) -> DataFrame:
     """
     place = F.concat_ws("/", "chrom", F.col("start").cast("string"), F.col("end").cast("string"), "strand")
     side = F.when(F.col("paired"), F.lit("p")).otherwise(F.concat(F.lit("r"), F.col("read_index").cast("string")))
-    form = hits.groupBy(*ALIGNMENT).agg(F.array_join(F.array_sort(F.collect_set(F.concat(F.col("read_index").cast("string"), F.lit("@"), F.lpad("block_idx", 4, "0"), F.lit("@"), place))), ":").alias("_blocks"), F.min(side).alias("side"))
-    form = form.withColumn("canonical", F.concat("side", F.lit(":"), "_blocks")).withColumn("_first", F.min("aln_no").over(Window.partitionBy("fragment_id", "canonical")))
-    return hits.join(form.select(*ALIGNMENT, "canonical", "side", "_first"), ALIGNMENT).withColumn("aln_no", F.col("_first")).drop("_first")
+    of = Window.partitionBy(*ALIGNMENT)
+    block = F.concat(F.col("read_index").cast("string"), F.lit("@"), F.lpad("block_idx", 4, "0"), F.lit("@"), place)
+    form = hits.withColumn("side", F.min(side).over(of)).withColumn("canonical", F.concat("side", F.lit(":"), F.array_join(F.array_sort(F.collect_set(block).over(of)), ":")))
+    return form.withColumn("aln_no", F.min("aln_no").over(Window.partitionBy("fragment_id", "canonical")))
 
 
 def alignment_numbers(hits: DataFrame) -> DataFrame:
@@ -91,49 +92,64 @@ def longest_run(indices: Column) -> Column:
     return F.aggregate(F.array_sort(indices), state, step, lambda s: s["best"])
 
 
-def qualified(hits: DataFrame, objects: DataFrame, mode: Mode, unambiguous: bool = False, stranded: bool = False) -> DataFrame:
+def with_objects(exons: DataFrame, objects: DataFrame) -> DataFrame:
+    """Exons with the array of their objects; exons without one stand for themselves."""
+    named = objects.groupBy("exon_id").agg(F.collect_set("object_id").alias("objects"))
+    return exons.join(named, "exon_id", "left").withColumn("objects", F.coalesce("objects", F.array("exon_id")))
+
+
+def with_numbers(hits: DataFrame) -> DataFrame:
+    """Adds ``n``, what ``alignment_numbers`` gives for the row's fragment."""
+    forms = lambda second: F.size(F.collect_set(F.when((F.col("side") == "r2") == F.lit(second), F.col("canonical"))).over(Window.partitionBy("fragment_id")))
+    return hits.withColumn("n", F.greatest(forms(False), forms(True)))
+
+
+def qualified(hits: DataFrame, mode: Mode, unambiguous: bool = False, stranded: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
     """(fragment_id, aln_no, side, object_id): objects of each distinct alignment.
 
-    ``objects`` (exon_id, object_id) maps exons to objects; exons without one count for themselves.
+    ``hits`` carry the ``objects`` of their exons; columns to ``carry`` have one value per fragment.
     """
     ok = hits.where(conforms(mode, stranded))
     block = ["fragment_id", "aln_no", "side", "read_index", "block_idx"]
     if unambiguous and mode.ambiguity == "block":
-        single = ok.groupBy(*block).agg(F.count_distinct("exon_id").alias("_n")).where("_n = 1").drop("_n")
-        ok = ok.join(single, block, "left_semi")
-    named = ok.join(objects.select("exon_id", "object_id").distinct(), "exon_id", "left").withColumn("object_id", F.coalesce("object_id", "exon_id"))
-    read = ["fragment_id", "aln_no", "side", "read_index", "object_id"]
+        ok = ok.withColumn("_n", F.size(F.collect_set("exon_id").over(Window.partitionBy(*block)))).where("_n = 1").drop("_n")
+    named = ok.withColumn("object_id", F.explode("objects"))
+    read = ["fragment_id", "aln_no", "side", "read_index", "object_id", *carry]
     per = named.groupBy(*read).agg(F.collect_set("block_idx").alias("_blocks"), F.max("last_block").alias("_last"))
     reach = longest_run(F.col("_blocks")) if mode.consecutive else F.size("_blocks")
     need = F.col("_last") + 1 if mode.required == "all" else F.lit(mode.required)
     found = per.where(reach >= need)
-    per_alignment = found.groupBy("fragment_id", "aln_no", "side", "object_id").agg(F.count_distinct("read_index").alias("_reads"))
+    per_alignment = found.groupBy("fragment_id", "aln_no", "side", "object_id", *carry).agg(F.count_distinct("read_index").alias("_reads"))
     if mode.mates == "intersection":
         per_alignment = per_alignment.where("side <> 'p' or _reads = 2")
     out = per_alignment.drop("_reads")
     if unambiguous and mode.ambiguity == "fragment":
-        one = out.groupBy("fragment_id").agg(F.count_distinct("object_id").alias("_n")).where("_n = 1").drop("_n")
-        out = out.join(one, "fragment_id", "left_semi")
+        out = out.withColumn("_n", F.size(F.collect_set("object_id").over(Window.partitionBy("fragment_id")))).where("_n = 1").drop("_n")
     return out
 
 
-def fragment_weights(numbers: DataFrame, weights: DataFrame | None) -> DataFrame:
-    """(fragment_id, weight): 1, or with a table of alignment numbers (fragment_id, n) the smaller reciprocal of both."""
+def with_weights(found: DataFrame, weights: DataFrame | None) -> DataFrame:
+    """Adds ``weight``: 1, or with a table of alignment numbers (fragment_id, n) the smaller reciprocal of it and of ``n``."""
     if weights is None:
-        return numbers.select("fragment_id", F.lit(1.0).alias("weight"))
-    table = weights.select("fragment_id", F.col("n").alias("_table"))
-    joined = numbers.join(table, "fragment_id", "left")
+        return found.withColumn("weight", F.lit(1.0))
+    joined = found.join(weights.select("fragment_id", F.col("n").alias("_table")), "fragment_id", "left")
     missing = F.raise_error(F.concat(F.lit("fragment without weight: "), F.col("fragment_id").cast("string"))).cast("double")
-    return joined.select("fragment_id", F.when(F.col("_table").isNull(), missing).otherwise(F.least(1.0 / F.col("_table"), 1.0 / F.col("n"))).alias("weight"))
+    return joined.withColumn("weight", F.when(F.col("_table").isNull(), missing).otherwise(F.least(1.0 / F.col("_table"), 1.0 / F.col("n")))).drop("_table")
 
 
-def fragment_counts(found: DataFrame, weights: DataFrame, threshold: float = LEAST_WEIGHT, use_weights: bool = True) -> DataFrame:
+def fragment_counts(found: DataFrame, threshold: float = LEAST_WEIGHT, use_weights: bool = True) -> DataFrame:
     """(fragment_id, object_id, count): weights of a fragment's alignments with an object, the larger side, 1 at most."""
-    w = weights.where(F.col("weight") >= threshold)
+    w = found.where(F.col("weight") >= threshold)
     w = w if use_weights else w.withColumn("weight", F.lit(1.0))
     side = F.when(F.col("side") == "r2", 2).otherwise(1)
     total = lambda s: F.coalesce(F.sum(F.when(side == s, F.col("weight"))), F.lit(0.0))
-    return found.join(w, "fragment_id").groupBy("fragment_id", "object_id").agg(F.least(F.lit(1.0), F.greatest(total(1), total(2))).alias("count"))
+    return w.groupBy("fragment_id", "object_id").agg(F.least(F.lit(1.0), F.greatest(total(1), total(2))).alias("count"))
+
+
+def fragment_hits(blocks: DataFrame, exons: DataFrame, objects: DataFrame, stranded: bool = False) -> DataFrame:
+    """Joined blocks and exons with the exons' objects, dealt by fragment once for all that follows."""
+    joined = interval_join(blocks, with_objects(exons, objects), stranded=stranded, carry=("objects",))
+    return distinct_alignments(joined.repartition("fragment_id"))
 
 
 def quantify(blocks: DataFrame, exons: DataFrame, objects: DataFrame, mode: str | Mode = "gene", weights: DataFrame | None = None, unambiguous: bool = False, stranded: bool = False, threshold: float = LEAST_WEIGHT, use_weights: bool = True) -> DataFrame:
@@ -143,9 +159,9 @@ def quantify(blocks: DataFrame, exons: DataFrame, objects: DataFrame, mode: str
     aligned_len, ins and del. Everything after the interval join is keyed on the fragment.
     """
     mode = MODES[mode] if isinstance(mode, str) else mode
-    hits = distinct_alignments(interval_join(blocks, exons, stranded=stranded))
-    found = qualified(hits, objects, mode, unambiguous, stranded)
-    per = fragment_counts(found, fragment_weights(alignment_numbers(hits), weights), threshold, use_weights)
+    hits = fragment_hits(blocks, exons, objects, stranded)
+    found = qualified(with_numbers(hits), mode, unambiguous, stranded, carry=("n",))
+    per = fragment_counts(with_weights(found, weights), threshold, use_weights)
     return per.groupBy(F.col("object_id").alias("id")).agg(F.sum("count").alias("count"))
 
 

@@ -17,14 +17,14 @@ def binned(rows: DataFrame, start: str = "start", end: str = "end", width: int =
     return rows.withColumn("_bin", F.explode(F.sequence(first, last)))
 
 
-def interval_join(blocks: DataFrame, exons: DataFrame, least: int = 1, stranded: bool = False, width: int = BIN) -> DataFrame:
+def interval_join(blocks: DataFrame, exons: DataFrame, least: int = 1, stranded: bool = False, width: int = BIN, carry: tuple[str, ...] = ()) -> DataFrame:
     """Pairs of blocks and exons of one chromosome that share ``least`` bases or more, with ``overlap``.
 
     ``exons`` has exon_id, chrom, start, end, strand, which become exon_id, exon_start, exon_end and
-    exon_strand. An equi-join on (chrom, bin): a pair is kept in the later of the two first bins only,
+    exon_strand, and the columns to ``carry``. An equi-join on (chrom, bin): a pair is kept in the later of the two first bins only,
     so nothing is deduplicated. AQE splits bins that many blocks share.
     """
-    e = binned(exons.select("exon_id", "chrom", F.col("start").alias("exon_start"), F.col("end").alias("exon_end"), F.col("strand").alias("exon_strand")), "exon_start", "exon_end", width)
+    e = binned(exons.select("exon_id", "chrom", F.col("start").alias("exon_start"), F.col("end").alias("exon_end"), F.col("strand").alias("exon_strand"), *carry), "exon_start", "exon_end", width)
     keys = ["chrom", "_bin"]
     b = binned(blocks, width=width)
     if stranded:

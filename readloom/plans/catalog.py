@@ -544,9 +544,9 @@ def running_totals(spark, sf):
 
 @query(_count_sql("gene", tail="SELECT (SELECT count(DISTINCT fragment_id) FROM hit) AS seen, (SELECT count(DISTINCT fragment_id) FROM per) AS counted, (SELECT count(DISTINCT fragment_id) FROM hit) - (SELECT count(DISTINCT fragment_id) FROM per) AS excluded, (SELECT round(CAST(sum(c) AS DOUBLE), 6) FROM per) AS total"))
 def count_bookkeeping(spark, sf):
-    hits = counting.distinct_alignments(intervals.interval_join(_blocks(spark, sf), adapters.exons(spark, sf)))
-    found = counting.qualified(hits, adapters.objects(spark, sf), counting.MODES["gene"])
-    per = counting.fragment_counts(found, counting.fragment_weights(counting.alignment_numbers(hits), _weights(spark, sf)))
+    hits = counting.fragment_hits(_blocks(spark, sf), adapters.exons(spark, sf), adapters.objects(spark, sf))
+    found = counting.qualified(counting.with_numbers(hits), counting.MODES["gene"], carry=("n",))
+    per = counting.fragment_counts(counting.with_weights(found, _weights(spark, sf)))
     return _rounded(counting.bookkeeping(hits, per), "total")
 
 

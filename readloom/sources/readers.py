@@ -127,7 +127,7 @@ def lengths(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(id, length) from a table, or from the ``@SQ`` lines of a SAM header."""
     rows = lines(spark, path)
     parts = F.split("value", "\t")
-    table = rows.where("not startswith(value, '@')").select(F.get(parts, F.lit(0)).alias("id"), F.try_to_number(F.get(parts, F.lit(1)), F.lit("999999999999")).cast("long").alias("length")).where("length is not null")
+    table = rows.where("not startswith(value, '@')").where(F.size(parts) == 2).select(F.get(parts, F.lit(0)).alias("id"), F.try_to_number(F.get(parts, F.lit(1)), F.lit("999999999999")).cast("long").alias("length")).where("length is not null")
     return sam_header(rows).unionByName(table)
 
 
@@ -180,7 +180,7 @@ def fastq(spark: SparkSession, path: str | list[str]) -> DataFrame:
                     raise ValueError(f"{path}: last entry is cut off")
         yield pd.DataFrame(out, columns=["path", "record", "full_id", "seq", "qual"])
 
-    whole = spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("path"), F.col("value").alias("content"))
+    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), F.col("value").alias("content"))
     return with_fastq_ids(whole.mapInPandas(entries, kind))
 
 
