@@ -83,5 +83,11 @@ def counter(number: Column, digits: int = 9, prefix: str = "F") -> Column:
 
 def to_int(text: Column, what: str = "value") -> Column:
     """Integer of a text; raises with the text where it is none."""
-    value = F.try_to_number(text, F.lit("S999999999999999999")).cast("long")
+    value = text.try_cast("long")
     return F.when(text.isNotNull() & value.isNull(), F.raise_error(F.concat(F.lit(f"no integer for {what}: "), text)).cast("long")).otherwise(value)
+
+
+def to_double(text: Column, what: str = "value") -> Column:
+    """Number of a text; raises with the text where it is none."""
+    number = text.try_cast("double")
+    return F.when(text.isNotNull() & number.isNull(), F.raise_error(F.concat(F.lit(f"no number for {what}: "), text)).cast("double")).otherwise(number)

@@ -104,6 +104,30 @@ def expand_versions(rows: DataFrame, exons: DataFrame, ref: str = "chrom") -> Da
     return rows.join(versions, ref, "left").withColumn(ref, F.coalesce("_versioned", ref)).drop("_versioned")
 
 
+def sort_by_name(rows: DataFrame) -> DataFrame:
+    return rows.orderBy("fragment_name", "read_index", "ref", "pos")
+
+
+def sort_by_place(rows: DataFrame) -> DataFrame:
+    return rows.orderBy("ref", "pos", "fragment_name", "read_index")
+
+
+def merge_sets(*sets: DataFrame) -> DataFrame:
+    """All rows of several alignment sets; sort the result where an order is needed."""
+    out = sets[0]
+    for s in sets[1:]:
+        out = out.unionByName(s)
+    return out
+
+
+def attach_rows(blocks: DataFrame, rows: DataFrame, keep: list[str], key: str = "fragment_id") -> DataFrame:
+    """Blocks with columns of the SAM row they come from, found by (key, ref, pos, read_index); raises for blocks without one."""
+    side = rows.select(key, "ref", "pos", "read_index", *keep, F.lit(1).alias("_there")).dropDuplicates([key, "ref", "pos", "read_index"])
+    joined = blocks.join(side, [key, "ref", "pos", "read_index"], "left")
+    lost = F.raise_error(F.concat(F.lit("block without its alignment: "), F.col(key).cast("string"))).cast("int")
+    return joined.withColumn("_there", F.when(F.col("_there").isNull(), lost).otherwise(F.col("_there"))).where("_there = 1").drop("_there")
+
+
 def iterate_groups(rows: DataFrame, key: str, f, schema: str) -> DataFrame:
     """A processor of the rows of each fragment: ``f`` gets a pandas frame and gives one."""
     return rows.groupBy(key).applyInPandas(f, schema)

@@ -212,3 +212,29 @@ def test_renumbered_fragments_do_not_depend_on_partitions(spark):
     r = spark.createDataFrame([(f"n{i:03d}",) for i in range(100)], "fragment_name string")
     a, b = (dict(rows(readers.rename_fragments(r.repartition(k)), "fragment_name", "fragment_id")) for k in (1, 7))
     assert a == b and a["n000"] == "F000000001" and a["n099"] == "F000000100"
+
+
+def test_blocks_find_their_rows(spark):
+    b = spark.createDataFrame([("f", "c", 5, 1)], "fragment_id string, ref string, pos long, read_index int")
+    r = spark.createDataFrame([("f", "c", 5, 1, "AC"), ("f", "c", 9, 1, "GT")], "fragment_id string, ref string, pos long, read_index int, seq string")
+    assert rows(alignments.attach_rows(b, r, ["seq"]), "seq") == [("AC",)]
+    with pytest.raises(Exception, match="without its alignment"):
+        alignments.attach_rows(b.withColumn("pos", F.lit(7).cast("long")), r, ["seq"]).collect()
+
+
+def test_numbers_raise_with_their_text(spark):
+    from readloom.functions.names import to_double, to_int
+
+    df = spark.createDataFrame([("12", "1.5e3")], "a string, b string")
+    assert rows(df.select(to_int(F.col("a")), to_double(F.col("b")))) == [(12, 1500.0)]
+    with pytest.raises(Exception, match="x1"):
+        df.select(to_int(F.lit("x1"))).collect()
+
+
+def test_transcript_versions_and_chromosome_check(spark):
+    e = spark.createDataFrame([("tr-A.1",), ("tr-A.2",), ("c",)], "chrom string")
+    r = spark.createDataFrame([("tr-A", 1), ("c", 2), ("d", 3)], "chrom string, v int")
+    assert rows(alignments.expand_versions(r, e)) == [("c", 2), ("d", 3), ("tr-A.1", 1), ("tr-A.2", 1)]
+    assert rows(alignments.chromosome_check(r, e)) == [("c", True), ("d", False), ("tr-A", False)]
+    with pytest.raises(ValueError):
+        alignments.chromosome_check(r.where("chrom = 'd'"), e)
