@@ -31,6 +31,10 @@ LIMIT = 256
 #: A shingle is hot when its sketch cell holds this many times the mean, and this many documents at least.
 HOT_TIMES, HOT_LEAST = 8, 2000
 BATCH_BYTES = 2 << 20
+#: The prefix is longer than needed by one part in this many of the set.
+SPARE = 10
+#: Shingles of the corpus for each shard of prefixes.
+SHARD_SHINGLES = 3_000_000
 
 
 def _batches(ids: list, texts: list[bytes]):
@@ -93,10 +97,14 @@ def _add_slots(table: pa.Table) -> pa.Table:
     return pa.table({"slot": table.column("slot")[:1], "data": pa.array([zlib.compress(np.minimum(total, 2**32 - 1).astype("<u4").tobytes(), 1)])})
 
 
-def _prefixes(size: int, percent: int, sketch, hot: int):
-    """Rows (key, node, band, token): ``token`` is set for hot shingles only, whose key is spread over their documents."""
-    schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("band", pa.int32()), ("token", pa.int64())])
-    width = np.log(100 / percent)
+def _prefixes(size: int, percent: int, sketch, hot: int, shards: int):
+    """Packed prefixes: rows (shard, data), one for each shard that a slice of documents has keys of.
+
+    A prefix is longer than the join needs, by a tenth of the set: a document must then share that many
+    shingles more with the rest of the corpus, or it has no partner. Keys are the upper 48 bits of the
+    hash; those of hot shingles are spread over their documents. A false match only adds a candidate.
+    """
+    schema = pa.schema([("shard", pa.int32()), ("data", pa.binary())])
 
     def run(batches):
         counts = sketch.value
@@ -113,14 +121,57 @@ def _prefixes(size: int, percent: int, sketch, hot: int):
                 doc, h, often = doc[order], h[order], often[order]
                 n = np.bincount(doc, minlength=y - x)
                 place = np.arange(len(doc)) - (np.cumsum(n) - n)[doc]
-                keep = place < (n - (percent * n + 99) // 100 + 1)[doc]
-                doc, h, often = doc[keep], h[keep], often[keep]
-                node, warm = nodes[x:y][doc], often > hot
-                key = np.where(warm, kernel.mix(h + node.view(np.uint64)), h)
-                band = np.floor(np.log(n[doc]) / width + 1e-9).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(node), pa.array(band), pa.array(h.view(np.int64), mask=~warm)], schema=schema)
-
-    return run, "key long, node long, band int, token long"
+                need = n - (percent * n + 99) // 100 + 1
+                keep = place < (need + n // SPARE)[doc]
+                core = (place < need[doc])[keep]
+                doc, h, warm = doc[keep], h[keep], (often > hot)[keep]
+                key = np.where(warm, kernel.mix(h + nodes[x:y][doc].view(np.uint64)), h) >> np.uint64(16)
+                order = np.argsort(key, kind="stable")
+                key, doc, core, warm, h = key[order], doc[order], core[order], warm[order], h[order]
+                cut = np.searchsorted(key, np.array([-(-(k << 48) // shards) for k in range(shards)] + [1 << 48], np.uint64))
+                some = np.flatnonzero(np.diff(cut))
+                data = [_pack_keys(key[i:j], doc[i:j], core[i:j], warm[i:j], h[i:j], nodes[x:y], n) for i, j in zip(cut[some].tolist(), cut[some + 1].tolist())]
+                yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(data, pa.binary())], schema=schema)
+
+    return run, "shard int, data binary"
+
+
+def _pack_keys(key, doc, core, warm, h, nodes, n) -> bytes:
+    own, which = np.unique(doc, return_inverse=True)
+    gaps = np.diff(key, prepend=np.uint64(0))
+    wide, index = 8 if gaps.max() >> np.uint64(32) else 4, 2 if len(own) < 1 << 16 else 4
+    head = np.array([len(key), len(own), wide, index], "<u4").tobytes()
+    return head + nodes[own].astype("<i8").tobytes() + n[own].astype("<u4").tobytes() + gaps.astype(f"<u{wide}").tobytes() + which.astype(f"<u{index}").tobytes() + kernel.bits(core) + kernel.bits(warm) + h[warm].astype("<u8").tobytes()
+
+
+def _unpack_keys(data: bytes) -> tuple[np.ndarray, ...]:
+    k, docs, wide, index = np.frombuffer(data, "<u4", 4).tolist()
+    at = 16
+    nodes = np.frombuffer(data, "<i8", docs, at)
+    n = np.frombuffer(data, "<u4", docs, at := at + 8 * docs)
+    key = np.cumsum(np.frombuffer(data, f"<u{wide}", k, at := at + 4 * docs), dtype=np.uint64)
+    which = np.frombuffer(data, f"<u{index}", k, at := at + wide * k)
+    flags = (k + 7) // 8
+    core = kernel.unbits(data[(at := at + index * k) : at + flags], k)
+    warm = kernel.unbits(data[(at := at + flags) : at + flags], k)
+    h = np.zeros(k, np.uint64)
+    h[warm] = np.frombuffer(data, "<u8", int(warm.sum()), at + flags)
+    return key, nodes[which], n[which], core, warm, h
+
+
+def _shared_keys(table: pa.Table) -> pa.Table:
+    """Rows (token, node, n, core, hot) of the shingles of a shard that several documents have, and of all hot ones."""
+    key, node, n, core, warm, h = (np.concatenate(c) for c in zip(*map(_unpack_keys, table.column("data").to_pylist())))
+    order = np.lexsort((node, key))
+    key, node = key[order], node[order]
+    fresh = np.ones(len(key), bool)
+    fresh[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
+    order, key, node = order[fresh], key[fresh], node[fresh]
+    same = key[1:] == key[:-1]
+    keep = np.concatenate(([False], same)) | np.concatenate((same, [False])) | warm[order]
+    order, key, node = order[keep], key[keep], node[keep]
+    token = np.where(warm[order], h[order], key).view(np.int64)
+    return pa.table({"token": token, "node": node, "n": n[order].astype(np.int32), "core": core[order], "hot": warm[order]})
 
 
 class Trie:
@@ -255,11 +306,14 @@ def join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, limit: in
     sketch = spark.sparkContext.broadcast(counts.ravel())
     rows = seen.where("slot is null").select("doc_id", "node", "n")
 
-    run, schema = _prefixes(size, percent, sketch, hot)
-    alike = Window.partitionBy("key")
-    tokens = docs.mapInArrow(run, schema).withColumn("a", F.min("node").over(alike)).withColumn("b", F.max("node").over(alike)).where("token is not null or a < b")
-    tokens = tokens.select(F.coalesce("token", "key").alias("token"), "node", F.col("token").isNotNull().alias("hot"), F.explode(F.array("band", F.col("band") + 1)).alias("band"))
-    tokens = shared.table(tokens, "tokens")
+    total = int(rows.agg(F.sum("n")).first()[0] or 0)
+    run, schema = _prefixes(size, percent, sketch, hot, max(1, total // SHARD_SHINGLES))
+    found = docs.mapInArrow(run, schema).groupBy("shard").applyInArrow(_shared_keys, "token long, node long, n int, core boolean, hot boolean")
+    known = F.count("*").over(Window.partitionBy("node"))
+    width = float(np.log(100 / percent))
+    band = F.floor(F.log("n") / F.lit(width) + F.lit(1e-9)).cast("int")
+    tokens = found.withColumn("known", known).where(F.col("known") > F.floor(F.col("n") / SPARE)).where("core")
+    tokens = shared.table(tokens.select("token", "node", "hot", F.explode(F.array(band, band + 1)).alias("band")), "tokens")
     group = Window.partitionBy("token", "band")
     cold = tokens.where("not hot").withColumn("leader", F.min("node").over(group)).select("leader", "band", "node")
     warm = tokens.where("hot")
