@@ -30,7 +30,9 @@ SKETCH_BITS, SLOT_BITS = 21, 15
 LIMIT = 256
 #: A shingle is hot when its sketch cell holds this many times the mean, and this many documents at least.
 HOT_TIMES, HOT_LEAST = 8, 2000
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
+#: Bits of the bitmap of candidate texts (8 MB whatever the input) and rows it is sent in.
+MARK_BITS, MARK_SLOTS = 26, 64
 #: The prefix is longer than needed by one part in this many of the set.
 SPARE = 10
 #: Shingles of the corpus for each shard of prefixes.
@@ -174,6 +176,41 @@ def _shared_keys(table: pa.Table) -> pa.Table:
     return pa.table({"token": token, "node": node, "n": n[order].astype(np.int32), "core": core[order], "hot": warm[order]})
 
 
+def _mark_nodes(batches):
+    marks = np.zeros(1 << MARK_BITS, bool)
+    for b in batches:
+        marks[(b.column("node").to_numpy().view(np.uint64) >> np.uint64(64 - MARK_BITS)).astype(np.int64)] = True
+    for s, part in enumerate(marks.reshape(MARK_SLOTS, -1)):
+        if part.any():
+            yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([zlib.compress(kernel.bits(part), 1)])], names=["slot", "data"])
+
+
+def _join_marks(table: pa.Table) -> pa.Table:
+    parts = [np.frombuffer(zlib.decompress(d), np.uint8) for d in table.column("data").to_pylist()]
+    return pa.table({"slot": table.column("slot")[:1], "data": pa.array([zlib.compress(np.bitwise_or.reduce(parts).tobytes(), 1)])})
+
+
+def _marked(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``docs`` without most rows whose node is not among ``nodes``, by a bitmap of fixed size.
+
+    Only texts that pass go through a shuffle. Where the nodes are too many for the bitmap it lets more
+    through, and the join that follows drops them.
+    """
+    spark = docs.sparkSession
+    bitmap = np.zeros((MARK_SLOTS, (1 << MARK_BITS) // MARK_SLOTS // 8), np.uint8)
+    for r in nodes.select("node").mapInArrow(_mark_nodes, "slot int, data binary").groupBy("slot").applyInArrow(_join_marks, "slot int, data binary").collect():
+        bitmap[r.slot] = np.frombuffer(zlib.decompress(r.data), np.uint8)
+    sent = spark.sparkContext.broadcast(bitmap.ravel())
+
+    def run(batches):
+        bits = sent.value
+        for b in batches:
+            at = (b.column("node").to_numpy().view(np.uint64) >> np.uint64(64 - MARK_BITS)).astype(np.int64)
+            yield b.filter(pa.array((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 class Trie:
     """Compressed prefix tree over lexicographically sorted sequences of ranks.
 
@@ -329,10 +366,11 @@ def join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, limit: in
 
     def links(blocks: DataFrame) -> DataFrame:
         b = blocks.join(one, "node").alias("b")
-        d = docs.alias("d")
+        d = _marked(docs, blocks).alias("d")
         full = b.hint("merge").join(d, (F.col("b.node") == F.col("d.node")) & F.col("b.doc_id").eqNullSafe(F.col("d.doc_id"))).select("leader", "band", "part", "side", "b.node", "component", "text")
         return full.groupBy("leader", "band", "part", "side").applyInArrow(_block(size, percent, sketch), "u long, v long")
 
+    blocks = shared.table(blocks, "blocks")
     edges = shared.table(links(blocks), "links")
     component = connected_components(edges)
     if not big.isEmpty():
@@ -346,7 +384,7 @@ def join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, limit: in
         every = F.sequence(F.lit(0), F.col("sides") - 1)
         rest = wide.select("leader", "band", here.alias("part"), F.explode(every).alias("side"), "node", "component")
         left = wide.where("component <> main").select("leader", "band", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part"), side.alias("side"), "node", "component")
-        more = shared.table(links(rest.unionByName(left)), "links")
+        more = shared.table(links(shared.table(rest.unionByName(left), "blocks")), "links")
         component = connected_components(edges.unionByName(more))
     rooted = rows.join(component, "node", "left").select("doc_id", "node", "n", F.when(F.col("n") > 0, F.coalesce("component", "node")).alias("root"))
     rank = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "node")
