@@ -32,5 +32,15 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
+def merge_components(component: DataFrame, edges: DataFrame) -> DataFrame:
+    """Components (node, component) after further edges: only the components that the edges touch are settled again."""
+    names = component.select(F.col("node"), F.col("component"))
+    at = lambda c: names.select(F.col("node").alias(c), F.col("component").alias(f"{c}_c"))
+    lifted = edges.join(at("u"), "u", "left").join(at("v"), "v", "left").select(F.coalesce("u_c", "u").alias("u"), F.coalesce("v_c", "v").alias("v"))
+    moved = connected_components(lifted).select(F.col("node").alias("component"), F.col("component").alias("to"))
+    new = edges.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(names, "node", "left_anti").select("node", F.col("node").alias("component"))
+    return names.unionByName(new).join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+
+
 def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import kernel, shared
-from .components import connected_components
+from .components import connected_components, merge_components
 
 SHINGLE, PERCENT = 5, 80
 #: Counters of the frequency sketch (8 MB whatever the input) and rows it is sent in.
@@ -314,7 +314,22 @@ def _block(size: int, percent: int, sketch):
         head: dict = {}
         parent = [head.setdefault(comps[i], k) if comps[i] is not None else k for k, i in enumerate(by)]
         links = trie_join([sets[i] for i in by], percent, parent)
-        return pa.table({"u": pa.array([nodes[by[a]] for a, _ in links], pa.int64()), "v": pa.array([nodes[by[b]] for _, b in links], pa.int64())})
+        # Linked documents are given as stars around the smallest node of their part of the block.
+        around: dict[int, int] = {}
+        for x, y in links:
+            root = x
+            while parent[root] != root:
+                root = parent[root]
+            around[root] = min(around.get(root, nodes[by[x]]), nodes[by[x]], nodes[by[y]])
+        star = set()
+        for link in links:
+            for x in link:
+                root = x
+                while parent[root] != root:
+                    root = parent[root]
+                if nodes[by[x]] != around[root]:
+                    star.add((nodes[by[x]], around[root]))
+        return pa.table({"u": pa.array([u for u, _ in star], pa.int64()), "v": pa.array([v for _, v in star], pa.int64())})
 
     return run
 
@@ -385,7 +400,7 @@ def join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, limit: in
         rest = wide.select("leader", "band", here.alias("part"), F.explode(every).alias("side"), "node", "component")
         left = wide.where("component <> main").select("leader", "band", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part"), side.alias("side"), "node", "component")
         more = shared.table(links(shared.table(rest.unionByName(left), "blocks")), "links")
-        component = connected_components(edges.unionByName(more))
+        component = merge_components(component, more)
     rooted = rows.join(component, "node", "left").select("doc_id", "node", "n", F.when(F.col("n") > 0, F.coalesce("component", "node")).alias("root"))
     rank = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "node")
     least = rooted.where("root is not null").groupBy("root").agg(F.min(rank).alias("least"))
