@@ -14,6 +14,7 @@ the number of ids before the segment in its part. A document is read from its fr
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 import struct
 import zlib
@@ -31,7 +32,7 @@ NO_ID = 1
 SEGMENT_BYTES = 4 << 20
 #: Documents from which the dictionary is trained (smallest hashes of doc_id), ids taken of each, dictionary bytes.
 SAMPLE_DOCS, SAMPLE_IDS, DICT_BYTES = 1000, 4096, 64 << 10
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 500_000
 #: Pre-tokenisation of byte-level BPE: a fixed pattern of the public vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Characters outside these take the tokenizer's own path: Unicode tables of two libraries may differ there.
@@ -43,6 +44,8 @@ class Encoder:
 
     def __init__(self, path: str):
         import regex
+
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # an executor's cores have their own tasks
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -74,6 +77,16 @@ class Encoder:
         return out
 
 
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The encoder of this process, with what it has looked up in earlier tasks."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
+
 def _width(path: str) -> int:
     from tokenizers import Tokenizer
 
@@ -82,8 +95,10 @@ def _width(path: str) -> int:
 
 def train_dictionary(docs: DataFrame, path: str, width: int) -> bytes:
     """A Zstandard dictionary from the serialized ids of a bounded sample."""
-    rows = docs.select("text").orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(SAMPLE_DOCS).collect()
-    ids = Encoder(path).encode([r.text or "" for r in rows])
+    key = F.xxhash64("doc_id")
+    least = docs.select(key.alias("h")).orderBy("h").limit(SAMPLE_DOCS).agg(F.max("h")).first()[0]
+    rows = sorted((r.h, r.text or "") for r in docs.where(key <= (least or 0)).select(key.alias("h"), "text").limit(2 * SAMPLE_DOCS).collect())
+    ids = Encoder(path).encode([t for _, t in rows[:SAMPLE_DOCS]])
     samples = [_narrow(i[: 4 * SAMPLE_IDS], width) for i in ids if i]
     try:
         return zstandard.train_dictionary(DICT_BYTES, samples, k=256, d=8).as_bytes()
@@ -99,13 +114,13 @@ def _encode(path: str, dictionary: bytes, width: int):
     schema = pa.schema([("part", pa.int32()), ("doc_id", pa.int64()), ("tokens", pa.int64()), ("frame", pa.binary())])
 
     def run(batches):
-        encoder = Encoder(path)
+        look_up = encoder(path)
         pack = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None, write_checksum=False)
         end = np.array([END_ID], "<u4").tobytes()
         for b in batches:
             for x in range(0, b.num_rows, 256):
                 part = b.slice(x, 256)
-                ids = [i + end for i in encoder.encode([t or "" for t in part.column("text").to_pylist()])]
+                ids = [i + end for i in look_up.encode([t or "" for t in part.column("text").to_pylist()])]
                 yield pa.RecordBatch.from_arrays([part.column("part"), part.column("doc_id"), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array([pack.compress(_narrow(i, width)) for i in ids], pa.binary())], schema=schema)
 
     return run, "part int, doc_id long, tokens long, frame binary"
