@@ -18,6 +18,7 @@ import os
 import re
 import struct
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -32,48 +33,64 @@ NO_ID = 1
 SEGMENT_BYTES = 4 << 20
 #: Documents from which the dictionary is trained (smallest hashes of doc_id), ids taken of each, dictionary bytes.
 SAMPLE_DOCS, SAMPLE_IDS, DICT_BYTES = 1000, 4096, 64 << 10
-CACHE_ENTRIES = 500_000
-#: Pre-tokenisation of byte-level BPE: a fixed pattern of the public vocabulary.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+CACHE_ENTRIES, YOUNG_ENTRIES = 250_000, 150_000
+#: Letters and numbers among the characters of PLAIN.
+LETTERS, NUMBERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
+#: Pre-tokenisation of byte-level BPE for such texts: a fixed pattern of the public vocabulary, classes written out.
+PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^\t\n\r {LETTERS}{NUMBERS}]+|[\t\n\r ]+(?![^\t\n\r ])|[\t\n\r ]+"
 #: Characters outside these take the tokenizer's own path: Unicode tables of two libraries may differ there.
 PLAIN = re.compile(r"[^\t\n\r\x20-\x7e\xa1-ɏ]")
 
 
+class _Kept(dict):
+    """Pieces seen first, which are mostly the frequent ones, are kept; later ones pass through ``young``."""
+
+    def __init__(self):
+        self.young: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        return self.young[piece]
+
+
 class Encoder:
     """Ids of texts by the tokenizers library; pieces of the pre-tokenisation are looked up once."""
 
     def __init__(self, path: str):
-        import regex
-
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # an executor's cores have their own tasks
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.split = regex.compile(PATTERN).findall
-        self.cache: dict[str, bytes] = {}
+        self.split = re.compile(PATTERN).findall
+        self.kept = _Kept()
 
     def _direct(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        cache, out = self.cache, [b""] * len(texts)
+        kept, young, out = self.kept, self.kept.young, [b""] * len(texts)
+        split: dict[int, list[str]] = {}
+        new: set[str] = set()
         for i, t in enumerate(texts):
             if not t:
                 continue
             if PLAIN.search(t) or any(s in t for s in self.special):
                 out[i] = self._direct([t])[0]
                 continue
-            pieces = self.split(t)
-            try:
-                out[i] = b"".join([cache[p] for p in pieces])
-            except KeyError:
-                if len(cache) > CACHE_ENTRIES:
-                    cache.clear()
-                new = list({p for p in pieces if p not in cache})
-                cache.update(zip(new, self._direct(new)))
-                out[i] = b"".join([cache[p] for p in pieces])
+            split[i] = self.split(t)
+            new.update([p for p in set(split[i]) if p not in kept and p not in young])
+        if new:
+            if len(young) > YOUNG_ENTRIES:
+                young.clear()
+                new = {p for pieces in split.values() for p in pieces if p not in kept}
+            words = list(new)
+            room = max(0, CACHE_ENTRIES - len(kept))
+            ids = self._direct(words)
+            kept.update(zip(words[:room], ids))
+            young.update(zip(words[room:], ids[room:]))
+        for i, pieces in split.items():
+            out[i] = b"".join(map(kept.__getitem__, pieces))
         return out
 
 
