@@ -24,11 +24,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
-UNIT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 #: Units and piece pairs remembered by a task.
-CACHE_UNITS, CACHE_PAIRS = 800_000, 2_000_000
+CACHE_UNITS, YOUNG_UNITS, CACHE_PAIRS = 250_000, 150_000, 600_000
 #: Characters of text encoded at once.
-BATCH_CHARS = 2 << 20
+BATCH_CHARS = 4 << 20
 #: A character outside the vocabulary; it stands for its bytes and merges with nothing.
 NONE = -1
 
@@ -85,8 +84,18 @@ class Vocabulary:
 def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
     """Order of the suffixes of an array by their first ``depth`` entries, by doubling."""
     n = len(codes)
-    rank = np.unique(codes, return_inverse=True)[1].astype(np.int64) + 1
-    order, done = np.argsort(rank, kind="stable"), 1
+    letter = np.unique(codes, return_inverse=True)[1].astype(np.uint64) + np.uint64(1)
+    if n and int(letter.max()) < 1 << 16:  # four characters fit one key
+        key, done = np.zeros(n + 4, np.uint64), 4
+        for k in range(4):
+            key[: n - k] |= letter[k:] << np.uint64(48 - 16 * k)
+        key = key[:n]
+    else:
+        key, done = letter, 1
+    order = np.argsort(key, kind="stable")
+    k = key[order]
+    rank = np.empty(n, np.int64)
+    rank[order] = np.cumsum(np.concatenate(([1], (k[1:] != k[:-1]).astype(np.int64)))[:n])
     while done < depth:
         key = rank * (n + 1)
         key[:-done or None] += rank[done:] if done < n else 0
@@ -98,8 +107,18 @@ def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
     return order
 
 
+class _Kept(dict):
+    """Units seen first, which are mostly the frequent ones, are kept; later ones pass through ``young``."""
+
+    def __init__(self):
+        self.young: dict[str, bytes] = {}
+
+    def __missing__(self, unit: str) -> bytes:
+        return self.young[unit]
+
+
 class Encoder:
-    """Ids of texts. One per task; units and pairs once seen are looked up."""
+    """Ids of texts. One per process; units and pairs once seen are looked up."""
 
     def __init__(self, path: str):
         v = self.vocabulary = Vocabulary(path)
@@ -109,7 +128,10 @@ class Encoder:
         self.codes = np.zeros((len(items), v.deepest), np.uint32)
         for k, (t, _) in enumerate(items):
             self.codes[k, : len(t)] = [ord(c) for c in t]
-        self.units: dict[str, bytes] = {}
+        self.units = _Kept()
+        # A line feed outside the vocabulary merges with nothing, so units end there too.
+        stop = "" if any("\n" in t for t in v.id) else "\n"
+        self.cut = re.compile(f"{MARK}+[^{MARK}{stop}]*|[^{MARK}{stop}]+" + (f"|{stop}" if stop else "")).findall
         self.pairs: dict[int, bool] = {}
 
     def edges(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -128,8 +150,9 @@ class Encoder:
         at = order[np.repeat(low, count) + np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)]
         return at, at + self.lengths[which], self.pieces[which]
 
-    def _learn(self, units: list[str]) -> None:
-        """Segment new units together."""
+    def _segment(self, units: list[str]) -> dict[str, bytes]:
+        """Ids of new units, found together."""
+        found: dict[str, bytes] = {}
         v, text = self.vocabulary, "\0".join(units) + "\0"
         codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
         sizes = np.array([len(u) for u in units], np.int64)
@@ -165,9 +188,10 @@ class Encoder:
             raise AssertionError("a unit has no segmentation")
         data, ends = ids.astype("<u4").tobytes(), 4 * np.cumsum(np.bincount(of, minlength=len(units)))
         for u, x, y in zip(units, np.concatenate(([0], ends[:-1])).tolist(), ends.tolist()):
-            self.units[u] = data[x:y]
+            found[u] = data[x:y]
         for k in np.unique(of[ids == NONE]).tolist():
-            self.units[units[k]] = self._with_bytes(units[k], ids[of == k].tolist())
+            found[units[k]] = self._with_bytes(units[k], ids[(ends[k - 1] // 4 if k else 0) : ends[k] // 4].tolist())
+        return found
 
     def _with_bytes(self, unit: str, ids: list[int]) -> bytes:
         """Ids of a unit, characters outside the vocabulary replaced by their bytes."""
@@ -196,14 +220,28 @@ class Encoder:
         return out[inverse]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [UNIT.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        if len(self.units) > CACHE_UNITS:
-            self.units.clear()
-        new = list({u for units in split for u in units if u not in self.units})
+        split = [self.cut(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
+        kept, young = self.units, self.units.young
+        new = list({u for units in split for u in units if u not in kept and u not in young})
         if new:
-            self._learn(new)
-        known = self.units
-        return [np.frombuffer(b"".join([known[u] for u in units]), "<u4") for units in split]
+            if len(young) > YOUNG_UNITS:
+                young.clear()
+                new = list({u for units in split for u in units if u not in kept})
+            got = self._segment(new)
+            room = max(0, CACHE_UNITS - len(kept))
+            kept.update((u, got[u]) for u in new[:room])
+            young.update((u, got[u]) for u in new[room:])
+        return [np.frombuffer(b"".join(map(kept.__getitem__, units)), "<u4") for units in split]
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The encoder of this process, with what it has learnt in earlier tasks."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
 def _narrow(column: np.ndarray, low: np.ndarray, high: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -252,11 +290,11 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]):
-        encoder = Encoder(model)
+        learnt = encoder(model)
         for b in batches:
             texts = [t or "" for t in b.column("text").to_pylist()]
             for x, y in _slices(texts):
-                ids = encoder.encode(texts[x:y])
+                ids = learnt.encode(texts[x:y])
                 ends = np.concatenate(([0], np.cumsum([len(i) for i in ids])))
                 flat = pa.array(np.concatenate(ids).astype(np.int32) if ids else np.empty(0, np.int32))
                 yield pa.RecordBatch.from_arrays([b.column("doc_id")[x:y], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)], names=["doc_id", "ids"])
@@ -287,11 +325,11 @@ def round_trip(docs: DataFrame, model: str) -> DataFrame:
     schema = "doc_id long, n_pieces long, ids_crc32 long, n_chars long, text_sha256 string, round_trip boolean, ids array<int>, text string"
 
     def run(batches: Iterator[pa.RecordBatch]):
-        encoder, decoder = Encoder(model), Decoder(model)
+        learnt, decoder = encoder(model), Decoder(model)
         for b in batches:
             texts = [t or "" for t in b.column("text").to_pylist()]
             for x, y in _slices(texts):
-                ids = encoder.encode(texts[x:y])
+                ids = learnt.encode(texts[x:y])
                 back = [decoder.decode(i) for i in ids]
                 ends = np.concatenate(([0], np.cumsum([len(i) for i in ids])))
                 flat = pa.array(np.concatenate(ids).astype(np.int32))
