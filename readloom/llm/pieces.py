@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 #: Units and piece pairs remembered by a task.
-CACHE_UNITS, YOUNG_UNITS, CACHE_PAIRS = 250_000, 150_000, 600_000
+CACHE_UNITS, YOUNG_UNITS, CACHE_PAIRS = 250_000, 120_000, 500_000
 #: Characters of text encoded at once.
 BATCH_CHARS = 4 << 20
 #: A character outside the vocabulary; it stands for its bytes and merges with nothing.
@@ -47,38 +47,35 @@ class Vocabulary:
         self.silent = {i for i in range(n) if sp.is_control(i)}
         self.id = {self.text[i]: i for i in range(n) if not kind[i]}
         #: Merge order: higher scores first; equal scores are taken from left to right.
-        self.score = np.array([sp.get_score(i) for i in range(n)])
+        self.rank = {t: -sp.get_score(i) for t, i in self.id.items()}
         self.deepest = max(map(len, self.id))
         if any(MARK in p.strip(MARK) for p in self.id) or any(p.rstrip(MARK) != p and p.strip(MARK) for p in self.id):
             raise ValueError("pieces of this model cross spaces")
-        self._split: dict[int, tuple[int, int] | None] = {}
 
-    def merge(self, parts: list[str]) -> list[str]:
-        """Plain merging of a sequence of symbols, the definition that segmentation follows."""
-        parts = list(parts)
+    def merge(self, parts: list[str], border: int = 0) -> list[str] | None:
+        """Plain merging of a sequence of symbols, the definition that segmentation follows.
+
+        With a ``border`` between two of the symbols, None as soon as a merge crosses it.
+        """
+        rank, parts = self.rank, list(parts)
         while len(parts) > 1:
-            best = max(((self.score[i], -k) for k in range(len(parts) - 1) if (i := self.id.get(parts[k] + parts[k + 1])) is not None), default=None)
-            if best is None:
+            best, at = None, -1
+            for k in range(len(parts) - 1):
+                r = rank.get(parts[k] + parts[k + 1])
+                if r is not None and (best is None or r < best):
+                    best, at = r, k
+            if at < 0:
                 break
-            k = -best[1]
-            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+            if at == border - 1:
+                return None
+            border -= at < border
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def halves(self, piece: int) -> tuple[int, int] | None:
-        """The two pieces whose merge makes a piece; None for single characters."""
-        if piece not in self._split:
-            text, self._split[piece] = self.text[piece], None
-            if len(text) > 1:
-                parts = list(text)
-                while len(parts) > 2:
-                    k = -max((self.score[i], -k) for k in range(len(parts) - 1) if (i := self.id.get(parts[k] + parts[k + 1])) is not None)[1]
-                    parts[k : k + 2] = [parts[k] + parts[k + 1]]
-                self._split[piece] = (self.id[parts[0]], self.id[parts[1]])
-        return self._split[piece]
-
     def follows(self, a: int, b: int) -> bool:
         """Whether encoding the joined text of two pieces gives these two pieces."""
-        return self.merge(list(self.text[a] + self.text[b])) == [self.text[a], self.text[b]]
+        left, right = self.text[a], self.text[b]
+        return self.merge(list(left + right), len(left)) == [left, right]
 
 
 def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
@@ -222,11 +219,11 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [self.cut(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
         kept, young = self.units, self.units.young
-        new = list({u for units in split for u in units if u not in kept and u not in young})
+        every = set().union(*split)
+        if len(young) > YOUNG_UNITS:
+            young.clear()
+        new = [u for u in every if u not in kept and u not in young]
         if new:
-            if len(young) > YOUNG_UNITS:
-                young.clear()
-                new = list({u for units in split for u in units if u not in kept})
             got = self._segment(new)
             room = max(0, CACHE_UNITS - len(kept))
             kept.update((u, got[u]) for u in new[:room])
