@@ -33,7 +33,7 @@ NO_ID = 1
 SEGMENT_BYTES = 4 << 20
 #: Documents from which the dictionary is trained (smallest hashes of doc_id), ids taken of each, dictionary bytes.
 SAMPLE_DOCS, SAMPLE_IDS, DICT_BYTES = 1000, 4096, 64 << 10
-CACHE_ENTRIES, YOUNG_ENTRIES = 250_000, 150_000
+CACHE_ENTRIES, YOUNG_ENTRIES = 300_000, 80_000
 #: Letters and numbers among the characters of PLAIN.
 LETTERS, NUMBERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
 #: Pre-tokenisation of byte-level BPE for such texts: a fixed pattern of the public vocabulary, classes written out.
@@ -71,7 +71,6 @@ class Encoder:
         """Little-endian 32-bit ids of each text."""
         kept, young, out = self.kept, self.kept.young, [b""] * len(texts)
         split: dict[int, list[str]] = {}
-        new: set[str] = set()
         for i, t in enumerate(texts):
             if not t:
                 continue
@@ -79,12 +78,11 @@ class Encoder:
                 out[i] = self._direct([t])[0]
                 continue
             split[i] = self.split(t)
-            new.update([p for p in set(split[i]) if p not in kept and p not in young])
-        if new:
-            if len(young) > YOUNG_ENTRIES:
-                young.clear()
-                new = {p for pieces in split.values() for p in pieces if p not in kept}
-            words = list(new)
+        every = set().union(*split.values())
+        if len(young) > YOUNG_ENTRIES:
+            young.clear()
+        words = [p for p in every if p not in kept and p not in young]
+        if words:
             room = max(0, CACHE_ENTRIES - len(kept))
             ids = self._direct(words)
             kept.update(zip(words[:room], ids))
@@ -135,8 +133,8 @@ def _encode(path: str, dictionary: bytes, width: int):
         pack = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None, write_checksum=False)
         end = np.array([END_ID], "<u4").tobytes()
         for b in batches:
-            for x in range(0, b.num_rows, 256):
-                part = b.slice(x, 256)
+            for x in range(0, b.num_rows, 512):
+                part = b.slice(x, 512)
                 ids = [i + end for i in look_up.encode([t or "" for t in part.column("text").to_pylist()])]
                 yield pa.RecordBatch.from_arrays([part.column("part"), part.column("doc_id"), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array([pack.compress(_narrow(i, width)) for i in ids], pa.binary())], schema=schema)
 
