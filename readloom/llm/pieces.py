@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 #: Units and piece pairs remembered by a task.
-CACHE_UNITS, YOUNG_UNITS, CACHE_PAIRS = 250_000, 120_000, 500_000
+CACHE_UNITS, YOUNG_UNITS, CACHE_PAIRS = 320_000, 140_000, 500_000
 #: Characters of text encoded at once.
 BATCH_CHARS = 4 << 20
 #: A character outside the vocabulary; it stands for its bytes and merges with nothing.
@@ -150,6 +150,7 @@ class Encoder:
     def _segment(self, units: list[str]) -> dict[str, bytes]:
         """Ids of new units, found together."""
         found: dict[str, bytes] = {}
+        keys, units = units, [u[1:] if u[:1] == "\0" else MARK + u for u in units]
         v, text = self.vocabulary, "\0".join(units) + "\0"
         codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
         sizes = np.array([len(u) for u in units], np.int64)
@@ -184,10 +185,10 @@ class Encoder:
         if (ids < NONE).any():
             raise AssertionError("a unit has no segmentation")
         data, ends = ids.astype("<u4").tobytes(), 4 * np.cumsum(np.bincount(of, minlength=len(units)))
-        for u, x, y in zip(units, np.concatenate(([0], ends[:-1])).tolist(), ends.tolist()):
+        for u, x, y in zip(keys, np.concatenate(([0], ends[:-1])).tolist(), ends.tolist()):
             found[u] = data[x:y]
         for k in np.unique(of[ids == NONE]).tolist():
-            found[units[k]] = self._with_bytes(units[k], ids[(ends[k - 1] // 4 if k else 0) : ends[k] // 4].tolist())
+            found[keys[k]] = self._with_bytes(units[k], ids[(ends[k - 1] // 4 if k else 0) : ends[k] // 4].tolist())
         return found
 
     def _with_bytes(self, unit: str, ids: list[int]) -> bytes:
@@ -216,8 +217,17 @@ class Encoder:
             out[i] = got
         return out[inverse]
 
+    def _units(self, text: str) -> list[str]:
+        """Units of a text: a word stands for itself with one space mark before it, other units follow a zero."""
+        if not text:
+            return []
+        if text[0] != " " and "  " not in text and MARK not in text and "\0" not in text:
+            return text.split(" ")
+        units = self.cut(MARK + text.replace(" ", MARK))
+        return [u[1:] if u[0] == MARK and u[1:2] not in (MARK, "\0") else "\0" + u for u in units]
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [self.cut(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
+        split = [self._units(t) for t in texts]
         kept, young = self.units, self.units.young
         every = set().union(*split)
         if len(young) > YOUNG_UNITS:
