@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import resident
+
 #: Bytes of text in a chunk. Raise it for inputs of tens of terabytes: chunks times shards rows are sent.
 CHUNK_BYTES = 2 << 20
 PACKED = "tag int, chunk int, shard int, data binary"
@@ -35,6 +37,7 @@ def deal(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> tuple[DataFrame, in
 
 def rows(table: pa.Table) -> tuple[list, list[bytes]]:
     """Document ids and UTF-8 texts of a chunk, in an order that does not depend on the shuffle."""
+    resident.drop()
     ids = table.column("doc_id").to_pylist()
     texts = [t or b"" for t in table.column("text").cast(pa.binary()).to_pylist()]
     order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, texts[i]))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import kernel, shared
+from . import kernel, resident, shared
 from .components import connected_components, merge_components
 
 SHINGLE, PERCENT = 5, 80
@@ -78,6 +78,7 @@ def _measure(size: int):
     schema = pa.schema([("slot", pa.int32()), ("data", pa.binary()), ("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int64())])
 
     def run(batches):
+        resident.drop()
         sketch = np.zeros(1 << SKETCH_BITS, np.int64)
         for b in batches:
             texts, n = _texts(b), np.zeros(b.num_rows, np.int64)
@@ -109,6 +110,7 @@ def _prefixes(size: int, percent: int, sketch, hot: int, shards: int):
     schema = pa.schema([("shard", pa.int32()), ("data", pa.binary())])
 
     def run(batches):
+        resident.drop()
         counts = sketch.value
         for b in batches:
             texts, nodes, seen = _texts(b), b.column("node").to_numpy(), set()
@@ -177,6 +179,7 @@ def _shared_keys(table: pa.Table) -> pa.Table:
 
 
 def _mark_nodes(batches):
+    resident.drop()
     marks = np.zeros(1 << MARK_BITS, bool)
     for b in batches:
         marks[(b.column("node").to_numpy().view(np.uint64) >> np.uint64(64 - MARK_BITS)).astype(np.int64)] = True
@@ -203,6 +206,7 @@ def _marked(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     sent = spark.sparkContext.broadcast(bitmap.ravel())
 
     def run(batches):
+        resident.drop()
         bits = sent.value
         for b in batches:
             at = (b.column("node").to_numpy().view(np.uint64) >> np.uint64(64 - MARK_BITS)).astype(np.int64)
@@ -296,6 +300,7 @@ def trie_join(sets: list[np.ndarray], percent: int, parent: list[int]) -> list[t
 
 def _block(size: int, percent: int, sketch):
     def run(table: pa.Table) -> pa.Table:
+        resident.drop()
         nodes, comps = table.column("node").to_pylist(), table.column("component").to_pylist()
         texts = table.column("text").cast(pa.binary()).to_pylist()
         pick = {k: i for i, k in reversed(list(enumerate(nodes)))}

@@ -23,9 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import resident
+
 MARK = "▁"
 #: Units and piece pairs remembered by a task.
-CACHE_UNITS, YOUNG_UNITS, CACHE_PAIRS = 320_000, 140_000, 500_000
+CACHE_UNITS, YOUNG_UNITS, CACHE_PAIRS = 280_000, 120_000, 400_000
 #: Characters of text encoded at once.
 BATCH_CHARS = 4 << 20
 #: A character outside the vocabulary; it stands for its bytes and merges with nothing.
@@ -241,14 +243,9 @@ class Encoder:
         return [np.frombuffer(b"".join(map(kept.__getitem__, units)), "<u4") for units in split]
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
     """The encoder of this process, with what it has learnt in earlier tasks."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    return resident.hold(("pieces", path), lambda: Encoder(path))
 
 
 def _narrow(column: np.ndarray, low: np.ndarray, high: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import kernel
+from . import kernel, resident
 from .ngram_join import _batches
 
 #: Hashed features: one half for words and word pairs, one for byte 2- and 3-grams.
@@ -217,6 +217,7 @@ def rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, mode
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]):
+        resident.drop()
         judge = _judge(sent.value, threshold)
         for b in batches:
             texts = [t or b"" for t in b.column("text").cast(pa.binary()).to_pylist()]
@@ -233,6 +234,7 @@ def keep(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, model
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]):
+        resident.drop()
         judge = _judge(sent.value, threshold)
         for b in batches:
             texts = [t or b"" for t in b.column("text").cast(pa.binary()).to_pylist()]

@@ -26,6 +26,8 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import resident
+
 MAGIC, VERSION, END_ID = b"RLTK", 1, 0
 INDEX = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("tokens", "<u4"), ("flags", "<u4")])
 HEAD = "<4sBBHI32s"
@@ -92,14 +94,9 @@ class Encoder:
         return out
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
     """The encoder of this process, with what it has looked up in earlier tasks."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    return resident.hold(("tokens", path), lambda: Encoder(path))
 
 
 def _width(path: str) -> int:
