@@ -54,6 +54,12 @@ def _powers(base: int, n: int) -> np.ndarray:
 A, B = Powers(SEED_A), Powers(SEED_B)
 
 
+def release() -> None:
+    """Lets the tables of powers go; they grow again on demand."""
+    for family in (A, B):
+        family.up = family.down = np.ones(1, np.uint64)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(30))
     x *= MIX_1

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import gc
 
+from . import kernel
+
 _objects: dict = {}
 
 
@@ -11,6 +13,7 @@ def hold(key, make):
     """The object of a key, made where the worker does not hold it; all others go."""
     if key not in _objects:
         drop()
+        kernel.release()
         _objects[key] = make()
     return _objects[key]
 
