@@ -42,9 +42,9 @@ def objects(spark: SparkSession, sf_dir: str, column: str = "gene_id") -> DataFr
 
 
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """fragment_id, read_index, seq: letters A, C, G and T of each text's first 400 characters, as the reads of pairs."""
+    """fragment_id, read_index, seq: letters A, C, G and T of each text, as the reads of pairs."""
     d = table(spark, sf_dir, "documents")
-    seq = F.upper(F.regexp_replace(F.substring("text", 1, 400), "[^ACGTacgt]", ""))
+    seq = F.upper(F.regexp_replace("text", "[^ACGTacgt]", ""))
     return d.select(F.floor(F.col("doc_id") / 2).alias("fragment_id"), (1 + F.col("doc_id") % 2).cast("int").alias("read_index"), seq.alias("seq"))
 
 
