@@ -3,13 +3,14 @@
 A page is cut into text blocks, each with its root-to-leaf tag path. Text length and punctuation
 are summed per path and divided by the path's blocks; both ratios are smoothed over the order of
 the paths, fused, and held against their spread. Paths above it mark the content nodes; the
-element around them, an article where the page has one, is the content, and all of its blocks
-but menus, adverts and the like are kept, short ones too.
+smallest element around all of them, an article where the page has one, is the content, and all
+of its blocks but menus, adverts and the like are kept, short ones too.
 """
 
 from __future__ import annotations
 
 import html
+import os.path
 import re
 from collections.abc import Iterator
 
@@ -158,14 +159,12 @@ def extract(page: str | None) -> str:
         articles = {n for b in kept for n in b.nodes if tags[n] in ("article", "main")}
     if articles:
         inner = [b for b in kept if not articles.isdisjoint(b.nodes)]
-    else:  # the smallest element with nine tenths of the chosen text
-        total = sum(len(b.text) for b in chosen)
-        weight: dict[int, int] = {}
-        for b in chosen:
-            for n in b.nodes:
-                weight[n] = weight.get(n, 0) + len(b.text)
-        around = max((n for n, w in weight.items() if 10 * w >= 9 * total), default=None)
-        inner = [b for b in kept if around in b.nodes] if around is not None else chosen
+    else:  # the smallest element with all chosen blocks, and with more than a single block where the page has more
+        around = list(os.path.commonprefix([b.nodes for b in chosen]))
+        inner = chosen
+        while around and len(inner := [b for b in kept if around[-1] in b.nodes]) == 1:
+            around.pop()
+        inner = inner if around else kept
     return "\n".join(b.text for b in inner)
 
 
