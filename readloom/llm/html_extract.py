@@ -32,10 +32,13 @@ CLOSES = {
     "tbody": ({"thead", "tbody", "tfoot"}, {"table"}), "tfoot": ({"thead", "tbody", "tfoot"}, {"table"}), "option": ({"option"}, {"select"}), "body": ({"head"}, {"html"}),
 }
 SKIP = frozenset("nav footer aside form button select menu dialog label input fieldset head".split())
+#: Whole class names and ids; those of headers count outside articles only.
 UNWANTED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|sidebar\w*|side|aside|foot(?:er)?|copyright|head(?:er)?|masthead|cookies?\w*|consent|gdpr|notice\w*|alert|popup|modal|overlay|newsletter|subscri\w*|share|sharing|social\w*|comments?\w*|disqus|repl(?:y|ies)|respond|related|recommend\w*|widget\w*|login|signup|search\w*|pagination|pager|skip\w*|toolbar)(?=$|[\s_-])",
+    r"ads?|advert[^\W_]*|adsense|banner|sponsor[^\W_]*|promo[^\W_]*|nav[^\W_]*|menu[^\W_]*|breadcrumbs?|sidebar[^\W_]*|side|aside|foot(?:er)?|copyright|cookies?[^\W_]*|consent|gdpr|notice[^\W_]*|alert|popup|modal|overlay|newsletter|subscri[^\W_]*|share|sharing|social[^\W_]*|comments?[^\W_]*|disqus|repl(?:y|ies)|respond|related|recommend[^\W_]*|widget[^\W_]*|login|signup|search[^\W_]*|pagination|pager|skip[^\W_]*|toolbar"
+    r"|(?:ads?|breadcrumbs?|comments?|cookies?|newsletter|related|share|sharing|social)-(?:area|banner|bar|box|buttons?|form|icons?|links?|list|nav|posts?|slot|unit)|(?:site|main|top|bottom|global|primary|secondary)-(?:foot(?:er)?|nav[^\W_]*|menu)",
     re.I,
 )
+HEADER = re.compile(r"head(?:er)?|masthead|(?:site|main|top|global)-head(?:er)?", re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar toolbar".split())
 PUNCTUATION = re.compile(r"[,.;:!?،。，、；：！？]")
 SPACE = re.compile(r"\s+")
@@ -47,7 +50,7 @@ LAMBDA = 0.6
 class Block:
     __slots__ = ("path", "nodes", "text", "skipped")
 
-    def __init__(self, path: str, nodes: tuple[int, ...], text: str, skipped: bool):
+    def __init__(self, path: str, nodes: tuple[int, ...], text: str, skipped: bool | tuple[int, ...]):
         self.path, self.nodes, self.text, self.skipped = path, nodes, text, skipped
 
 
@@ -56,7 +59,7 @@ def _unwanted(tag: str, attrs: str, article: bool) -> bool:
         return True
     for name, a, b, c in ATTR.findall(attrs) if attrs.strip() else ():
         name, value = name.lower(), (a or b or c).strip()
-        if name in ("class", "id") and tag not in ("html", "body", "article", "main") and UNWANTED.search(value):
+        if name in ("class", "id") and tag not in ("html", "body", "article", "main") and any(UNWANTED.fullmatch(v) or not article and HEADER.fullmatch(v) for v in value.split()):
             return True
         if name == "role" and value.lower() in ROLES or name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             return True
@@ -66,9 +69,10 @@ def _unwanted(tag: str, attrs: str, article: bool) -> bool:
 
 
 def blocks(page: str) -> tuple[list[Block], dict[int, str]]:
-    """Text blocks in page order, and the tag of each element."""
+    """Text blocks in page order, and the tag of each element; what contains an article or main is not skipped."""
     out: list[Block] = []
     tags: dict[int, str] = {}
+    around: set[int] = set()  # elements that contain an article
     stack: list[tuple[str, int, bool]] = []
     held: list[str] = []
 
@@ -77,7 +81,7 @@ def blocks(page: str) -> tuple[list[Block], dict[int, str]]:
         held.clear()
         if text:
             inside = [s for s in stack if s[0] in BLOCK]
-            out.append(Block("/".join(s[0] for s in inside), tuple(s[1] for s in stack), text, any(s[2] for s in stack)))
+            out.append(Block("/".join(s[0] for s in inside), tuple(s[1] for s in stack), text, tuple(s[1] for s in stack if s[2])))
 
     def close(at: int):
         if any(s[0] in BLOCK for s in stack[at:]):
@@ -123,10 +127,14 @@ def blocks(page: str) -> tuple[list[Block], dict[int, str]]:
             continue
         number = len(tags)
         tags[number] = tag
+        if tag in ("article", "main"):
+            around.update(s[1] for s in stack)
         stack.append((tag, number, _unwanted(tag, m["attrs"], any(s[0] in ("article", "main") for s in stack))))
     if at < len(page):
         held.append(page[at:])
     flush()
+    for b in out:
+        b.skipped = not around.issuperset(b.skipped)
     return out, tags
 
 
