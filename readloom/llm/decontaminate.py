@@ -29,9 +29,9 @@ def words(text: bytes) -> list[bytes]:
     return text.translate(kernel.ALNUM_FOLD).split()
 
 
-def patterns(items: list[tuple[str, bytes]], window: int) -> dict[str, tuple[int, list[str]]]:
-    """Number of words and item ids of each window, as it stands in a normalised text."""
-    out: dict[str, tuple[int, list[str]]] = {}
+def patterns(items: list[tuple[str | None, bytes]], window: int) -> dict[str, tuple[int, list[str | None]]]:
+    """Number of words and item ids, None where a row has none, of each window, as it stands in a normalised text."""
+    out: dict[str, tuple[int, list[str | None]]] = {}
     for item, text in items:
         w = words(text)
         for i in range(max(1, len(w) - window + 1) if w else 0):
@@ -42,7 +42,7 @@ def patterns(items: list[tuple[str, bytes]], window: int) -> dict[str, tuple[int
     return out
 
 
-def _automaton(found: dict[str, tuple[int, list[str]]]):
+def _automaton(found: dict[str, tuple[int, list[str | None]]]):
     import ahocorasick
 
     if not found:
@@ -64,14 +64,14 @@ def word_spans(text: bytes, w: list[bytes]) -> list[tuple[int, int]]:
     return out
 
 
-def scan(text: bytes, machine) -> tuple[int, list[tuple[int, int]], set[str]]:
+def scan(text: bytes, machine) -> tuple[int, list[tuple[int, int]], set[str | None]]:
     """Number of words, hit runs of words (first, last + 1) and items of a document."""
     w = words(text)
     if not w:
         return 0, [], set()
     flat = f" {b' '.join(w).decode('latin-1')} "
     runs: list[list[int]] = []
-    items: set[str] = set()
+    items: set[str | None] = set()
     at = number = 0  # the number of spaces before byte ``at``
     for end, (n, ids) in machine.iter(flat) if machine else ():
         number += flat.count(" ", at, end)
@@ -93,9 +93,13 @@ def scan(text: bytes, machine) -> tuple[int, list[tuple[int, int]], set[str]]:
     return len(w), [tuple(r) for r in merged], items
 
 
-def _blocks(benchmark: DataFrame, limit: int) -> Iterator[list[tuple[str, bytes]]]:
+def _sorted(items: set[str | None]) -> list[str | None]:
+    return [*sorted(items - {None}), *items & {None}]
+
+
+def _blocks(benchmark: DataFrame, limit: int) -> Iterator[list[tuple[str | None, bytes]]]:
     held, size = [], 0
-    for r in benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null").orderBy("item_id", "text").toLocalIterator():
+    for r in benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")).orderBy("item_id", "text").toLocalIterator():
         text = (r.text or "").encode()
         if held and size + len(text) > limit:
             yield held
@@ -110,9 +114,10 @@ def mark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_byte
 
     Takes ``doc_id`` and ``text`` of ``docs``, ``item_id`` and ``text`` of ``benchmark``; other columns
     are ignored. An item of fewer words than ``window`` is one window; null and wordless texts of either
-    side have none, and rows of ``benchmark`` without item_id are ignored. One row per input row: doc_id,
-    n_words, n_hit, n_items, items_sha256 (item ids sorted as strings, joined by commas), contaminated,
-    items, and spans (byte ranges of the original UTF-8 text). Repeated rows are marked alike; empty
+    side have none. Rows of ``benchmark`` without item_id are one item together, which stands as a null
+    at the end of items and is left out of items_sha256. One row per input row: doc_id, n_words, n_hit,
+    n_items, items_sha256 (item ids sorted as strings, joined by commas), contaminated, items, and spans
+    (byte ranges of the original UTF-8 text). Repeated rows are marked alike; empty
     tables give no rows, or no hits.
     """
     spark = docs.sparkSession
@@ -131,7 +136,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_byte
                     for t in texts:
                         n, runs, found = scan(t, machine)
                         hits.append([x for r in runs for x in r])
-                        items.append(sorted(found))
+                        items.append(_sorted(found))
                         counts.append(n)
                 else:
                     hits, items, counts = _joined(texts, b, machine)
@@ -152,7 +157,7 @@ def _joined(texts: list[bytes], batch: pa.RecordBatch, machine) -> tuple[list, l
             else:
                 merged.append([a, b])
         hits.append([x for r in merged for x in r])
-        items.append(sorted(found.union(known)))
+        items.append(_sorted(found.union(known)))
         counts.append(n)
     return hits, items, counts
 
@@ -169,7 +174,7 @@ def _finish(batches: Iterator[pa.RecordBatch]):
             at = word_spans(text, words(text))
             spans.append([{"begin": at[x][0], "end": at[y - 1][1]} for x, y in zip(h[::2], h[1::2])])
         n_hit = [sum(h[1::2]) - sum(h[::2]) for h in hits]
-        sha = [hashlib.sha256(",".join(i).encode()).hexdigest() for i in items]
+        sha = [hashlib.sha256(",".join(x for x in i if x is not None).encode()).hexdigest() for i in items]
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("n_words"), pa.array(n_hit, pa.int64()), pa.array([len(i) for i in items], pa.int64()), pa.array(sha), pa.array([n > 0 for n in n_hit]), b.column("items"), pa.array(spans, kind)], names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "items", "spans"])
 
 
