@@ -55,7 +55,9 @@ def _features(w: kernel.Words) -> list[tuple[np.ndarray, np.ndarray]]:
     docs = np.concatenate((w.doc, w.doc[at]))
     b = w.bytes.astype(np.uint32)
     pair = b[:-1] | b[1:] << np.uint32(8)
-    three = pair[:-1] | b[2:] << np.uint32(16)
+    third = np.append(b[2:], np.uint32(32))
+    third[w.doc_end - 1] = 32  # a separator follows the document's own, not the next document
+    three = pair | third << np.uint32(16)
     spread = lambda x, salt: (x * np.uint32(2654435761) + np.uint32(salt) * np.uint32(40503)) >> np.uint32(32 - BITS + 1)
     out = [(docs, words.astype(np.int32))]
     for grams, salt in ((pair, 1), (three, 2)):
@@ -70,14 +72,19 @@ def _sums(w: kernel.Words, values: np.ndarray) -> np.ndarray:
     return total[np.minimum(w.doc_end, last)] - total[np.minimum(w.doc_start, last)]
 
 
+def _means(w: kernel.Words, values: np.ndarray) -> np.ndarray:
+    """Mean per document of values given per byte, added up within the document alone."""
+    inside = np.append(values.astype(np.float64), 0.0)
+    inside[w.doc_end] = 0
+    return np.add.reduceat(inside, w.doc_start) / np.maximum(1, w.doc_end - w.doc_start)
+
+
 def margins(w: kernel.Words, weights: np.ndarray) -> np.ndarray:
     """Linear score of each document without bias: mean weight over its words' and over its bytes' features."""
     (docs, words), (_, pair), (_, three) = _features(w)
     n = len(w.doc_start)
     per_word = np.bincount(docs, weights[words], n) / np.maximum(1, np.bincount(docs, minlength=n))
-    size = np.maximum(1, w.doc_end - w.doc_start)
-    per_byte = (_sums(w, weights[pair]) + _sums(w, weights[three])) / (2 * size)
-    return SCALE * (per_word + per_byte)
+    return SCALE * (per_word + _means(w, weights[pair] + weights[three]) / 2)
 
 
 def vectors(w: kernel.Words) -> list[tuple[np.ndarray, np.ndarray]]:
