@@ -14,7 +14,3 @@ def spark():
     s = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "4g").getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
     yield s
-
-
-def rows(df, *columns):
-    return sorted(tuple(r[c] for c in (columns or df.columns)) for r in df.collect())
