@@ -201,8 +201,8 @@ def brute_hits(rows, items, k=10):
     wins = {}
     for item, t in items:
         w = words(t)
-        for i in range(max(1, len(w) - k + 1) if w and item is not None else 0):
-            wins.setdefault(tuple(w[i : i + k]), set()).add(str(item))
+        for i in range(max(1, len(w) - k + 1) if w else 0):
+            wins.setdefault(tuple(w[i : i + k]), set()).add(item if item is None else str(item))
     out = []
     for d, t in rows:
         w, found = words(t), set()
@@ -212,7 +212,7 @@ def brute_hits(rows, items, k=10):
                 if (key := tuple(w[i : i + n])) in wins:
                     hit[i : i + n] = b"\1" * n
                     found |= wins[key]
-        out.append((d, len(w), sum(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), sum(hit) > 0))
+        out.append((d, len(w), sum(hit), len(found), hashlib.sha256(",".join(sorted(x for x in found if x is not None)).encode()).hexdigest(), sum(hit) > 0))
     return sorted(out, key=repr)
 
 
