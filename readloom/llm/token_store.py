@@ -14,6 +14,7 @@ the number of ids before the segment in its part. A document is read from its fr
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 import struct
@@ -33,7 +34,7 @@ INDEX = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("tokens", "<u4"), ("fla
 HEAD = "<4sBBHI32s"
 NO_ID = 1
 SEGMENT_BYTES = 4 << 20
-#: Documents from which the dictionary is trained (smallest hashes of doc_id), ids taken of each, dictionary bytes.
+#: Documents from which the dictionary is trained (smallest hashes of doc_id and text), ids taken of each, dictionary bytes.
 SAMPLE_DOCS, SAMPLE_IDS, DICT_BYTES = 1000, 4096, 64 << 10
 CACHE_ENTRIES, YOUNG_ENTRIES = 300_000, 80_000
 #: Letters and numbers among the characters of PLAIN.
@@ -54,21 +55,41 @@ class _Kept(dict):
         return self.young[piece]
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that byte-level BPE writes for each byte: printable ones stand for themselves, the others follow from 256 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + n) for n, b in enumerate(rest)}
+
+
 class Encoder:
-    """Ids of texts by the tokenizers library; pieces of the pre-tokenisation are looked up once."""
+    """Ids of texts by the tokenizers library; pieces of the pre-tokenisation go to its model once and are then looked up.
+
+    The pieces are cut here only where the tokenizer's file asks for plain byte-level BPE; texts go
+    through the library whole where it asks for anything else.
+    """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # an executor's cores have their own tasks
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, added))).search if added else None
         self.split = re.compile(PATTERN).findall
+        self.model, self.letters = self.tokenizer.model, byte_letters()
+        with open(path, encoding="utf-8") as f:
+            self.plain = _is_plain(json.load(f))
         self.kept = _Kept()
 
     def _direct(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces, none with a zero byte in it, by the library's model alone."""
+        model, written = self.model.tokenize, "\0".join(pieces).encode().decode("latin-1").translate(self.letters)
+        return [array("I", [t.id for t in model(p)]).tobytes() for p in written.split(self.letters[0])]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         kept, young, out = self.kept, self.kept.young, [b""] * len(texts)
@@ -76,7 +97,7 @@ class Encoder:
         for i, t in enumerate(texts):
             if not t:
                 continue
-            if PLAIN.search(t) or any(s in t for s in self.special):
+            if not self.plain or PLAIN.search(t) or self.special and self.special(t):
                 out[i] = self._direct([t])[0]
                 continue
             split[i] = self.split(t)
@@ -86,7 +107,7 @@ class Encoder:
         words = [p for p in every if p not in kept and p not in young]
         if words:
             room = max(0, CACHE_ENTRIES - len(kept))
-            ids = self._direct(words)
+            ids = self._pieces(words)
             kept.update(zip(words[:room], ids))
             young.update(zip(words[room:], ids[room:]))
         for i, pieces in split.items():
@@ -94,6 +115,14 @@ class Encoder:
         return out
 
 
+def _is_plain(file: dict) -> bool:
+    """Whether a tokenizer file asks for byte-level BPE with the usual cutting, and nothing before or after it."""
+    cut, model = file.get("pre_tokenizer") or {}, file["model"]
+    usual = cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space")
+    bare = not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback"))
+    return usual and bare and model.get("type") == "BPE" and not any(file.get(k) for k in ("normalizer", "post_processor", "truncation", "padding"))
+
+
 def encoder(path: str) -> Encoder:
     """The encoder of this process, with what it has looked up in earlier tasks."""
     return resident.hold(("tokens", path), lambda: Encoder(path))
@@ -106,15 +135,28 @@ def _width(path: str) -> int:
 
 
 def train_dictionary(docs: DataFrame, path: str, width: int) -> bytes:
-    """A Zstandard dictionary from the serialized ids of a bounded sample."""
-    key = F.xxhash64("doc_id")
-    least = docs.select(key.alias("h")).orderBy("h").limit(SAMPLE_DOCS).agg(F.max("h")).first()[0]
-    rows = sorted((r.h, r.text or "") for r in docs.where(key <= (least or 0)).select(key.alias("h"), "text").limit(2 * SAMPLE_DOCS).collect())
-    ids = Encoder(path).encode([t for _, t in rows[:SAMPLE_DOCS]])
-    samples = [_narrow(i[: 4 * SAMPLE_IDS], width) for i in ids if i]
+    """A Zstandard dictionary from the serialized ids of a bounded sample: the first SAMPLE_IDS ids of SAMPLE_DOCS documents.
+
+    The sample is encoded in tasks; what reaches the driver is bounded. Too few samples to train on serve
+    as the dictionary themselves; a dictionary only changes how small the frames are.
+    """
+    keyed = docs.select(F.xxhash64("doc_id", "text").alias("h"), "text")
+    least = keyed.select("h").orderBy("h").limit(SAMPLE_DOCS).agg(F.max("h")).first()[0]
+    if least is None:
+        return b""
+
+    def run(batches):
+        look_up = encoder(path)
+        for b in batches:
+            ids = look_up.encode([t or "" for t in b.column("text").to_pylist()])
+            yield pa.RecordBatch.from_arrays([b.column("h"), pa.array([_narrow(i[: 4 * SAMPLE_IDS], width) for i in ids], pa.binary())], names=["h", "ids"])
+
+    # Rows that repeat both id and text have one hash: they are one sample.
+    few = keyed.where(F.col("h") <= least).dropDuplicates(["h"]).mapInArrow(run, "h long, ids binary")
+    samples = [bytes(r.ids) for r in sorted(few.collect()) if r.ids]
     try:
         return zstandard.train_dictionary(DICT_BYTES, samples, k=256, d=8).as_bytes()
-    except zstandard.ZstdError:  # too few samples to train on: their bytes serve as the dictionary
+    except zstandard.ZstdError:
         return b"".join(samples)[:DICT_BYTES]
 
 
@@ -179,7 +221,7 @@ def write(docs: DataFrame, path: str, tokenizer: str) -> None:
 
     Takes ``doc_id`` and ``text``; other columns are ignored. A null text is the end id alone. Rows
     without doc_id come last, rows that repeat a doc_id stand side by side in the order of their texts'
-    frames. An empty table gives a store without segments. ``tokenizer`` is a file of the tokenizers
+    frames; rows that repeat both are stored each. An empty table gives a store without segments. ``tokenizer`` is a file of the tokenizers
     library at the same place on every executor.
     """
     spark = docs.sparkSession
@@ -188,12 +230,14 @@ def write(docs: DataFrame, path: str, tokenizer: str) -> None:
     dictionary = train_dictionary(docs, tokenizer, width)
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     cuts = sorted({int(x) for x in docs.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.2 / parts)}) if parts > 1 else []
-    place = F.lit(len(cuts) + 1)
-    if cuts:
-        place = F.when(F.col("doc_id").isNull(), place).otherwise(F.expr(f"aggregate(array({','.join(f'{c}L' for c in cuts)}), 0, (n, c) -> n + int(doc_id > c))"))
+    # Parts by ranges of ids, then as many again for rows without one, spread by their texts.
+    without = F.lit(len(cuts) + 1) + F.pmod(F.xxhash64("text"), F.lit(parts))
+    ranged = F.expr(f"aggregate(array({','.join(f'{c}L' for c in cuts)}), 0, (n, c) -> n + int(doc_id > c))") if cuts else F.lit(0)
+    place = F.when(F.col("doc_id").isNull(), without).otherwise(ranged)
     run, schema = _encode(tokenizer, dictionary, width)
     encoded = docs.withColumn("part", place.cast("int")).mapInArrow(run, schema)
-    ordered = encoded.repartition(parts, "part").sortWithinPartitions("part", F.asc_nulls_last("doc_id"), "frame")
+    # The part is the partition, so no partition is empty while another has several parts.
+    ordered = encoded.repartitionById(parts, F.col("part") % parts).sortWithinPartitions("part", F.asc_nulls_last("doc_id"), "frame")
     run, schema = _segments(dictionary, width)
     ordered.mapInArrow(run, schema).write.option("compression", "uncompressed").parquet(f"{path}/segments")
     spark.createDataFrame([(hashlib.sha256(dictionary).hexdigest(), dictionary)], "dictionary string, data binary").coalesce(1).write.parquet(f"{path}/dictionary")
@@ -216,6 +260,8 @@ def frame_ids(data: bytes, index: np.ndarray, origin: int, i: int, width: int, u
 def read(spark: SparkSession, path: str, ids: bool = True, doc_ids: list[int] | None = None) -> DataFrame:
     """Documents of a store: doc_id, start, n_tokens, ids_crc32 and, unless ``ids`` is false, the ids.
 
+    One row per row that was written: a null text has the end id alone, rows without doc_id come back
+    with a null and stand after all others, repeated rows come back each; an empty store gives no rows.
     ``doc_ids`` reads those documents only: other segments are not read, other frames not decompressed.
     """
     known = {r.dictionary: bytes(r.data) for r in spark.read.parquet(f"{path}/dictionary").collect()}

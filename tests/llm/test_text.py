@@ -59,6 +59,26 @@ def test_encoder_equals_the_library():
     assert [list(np.frombuffer(i, "<u4")) for i in enc.encode(texts)] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_pieces_by_the_model_equal_the_library():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tok, enc = Tokenizer.from_file(path), token_store.Encoder(path)
+    pieces = [" " + w for w in prose(300, 11).split()] + [" é", "ªº", " 12", "...", "\t\n", " Ünïcödé"]
+    assert enc.plain and enc._pieces(pieces) == enc._direct(pieces)
+    other = token_store.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    assert not other.plain and [list(np.frombuffer(i, "<u4")) for i in other.encode(["One Two"])] == [Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")).encode("One Two", add_special_tokens=False).ids]
+
+
+def test_rows_without_id_are_stored_last(spark, tmp_path):
+    rows = [(None, prose(20, i)) for i in range(30)] + [(7, "seven"), (7, "seven")]
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    token_store.write(spark.createDataFrame(rows, "doc_id long, text string"), f"file://{tmp_path}/s", path)
+    got = sorted(token_store.read(spark, f"file://{tmp_path}/s").collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == [7, 7] + [None] * 30
+    assert [r.start for r in got] == [sum(x.n_tokens for x in got[:i]) for i in range(len(got))]
+
+
 # --- WARC ----------------------------------------------------------------------------------------
 
 PAGES = [(1, "http://a", "x" * 1500), (2, "http://b", "x" * 1500), (3, None, "short"), (4, "u\r\nv", "short"), (5, "http://c", None), (6, "http://d", "é" * 90_000), (None, "http://e", "x" * 1500), (7, "http://f", "y" * 2000), (7, "http://f", "y" * 2000), (8, "g", "é" * 90_000)]
