@@ -3,7 +3,9 @@
 Hashes of all word k-grams of all documents are joined to the positions of the same hashes in
 license templates. Each match votes for the diagonal "document word minus template word"; votes
 are summed by document, template and diagonal, neighbouring diagonals are merged, and the spans
-they mark are verified by comparing k-gram coverage with the template.
+they mark are verified word by word: a match counts only where the words themselves are equal, a span
+only where enough of the template's words and of its own are matched, and of overlapping spans only
+the one that fits its template best is kept.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 GRAM = 5
 #: Diagonals this far apart belong to one span: words were inserted or left out in between.
 NEAR = 8
-#: A span counts when it covers this share of the template's words.
+#: A span counts when its matched words are this share of the template's words and of its own.
 COVER = 0.5
 
 # Phrases that name a license, with their labels.
@@ -26,10 +28,10 @@ TEMPLATES = {
     "apache-2": "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
     "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
     "gpl": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
-    "cc-by-nc": "This work is licensed under the Creative Commons Attribution NonCommercial 4.0 International License. To view a copy of this license, visit http://creativecommons.org/licenses/by-nc/4.0/",
-    "cc-by": "This work is licensed under the Creative Commons Attribution 4.0 International License. To view a copy of this license, visit http://creativecommons.org/licenses/by/4.0/",
-    "cc-by-sa": "This work is licensed under the Creative Commons Attribution ShareAlike 4.0 International License. To view a copy of this license, visit http://creativecommons.org/licenses/by-sa/4.0/",
-}
+}
+# The six licenses of one family, whose notices differ in a name and a code only.
+CC = {"cc-by": "Attribution", "cc-by-sa": "Attribution ShareAlike", "cc-by-nd": "Attribution NoDerivatives", "cc-by-nc": "Attribution NonCommercial", "cc-by-nc-sa": "Attribution NonCommercial ShareAlike", "cc-by-nc-nd": "Attribution NonCommercial NoDerivatives"}
+TEMPLATES |= {label: f"This work is licensed under the Creative Commons {name} 4.0 International License. To view a copy of this license, visit http://creativecommons.org/licenses/{label[3:]}/4.0/" for label, name in CC.items()}
 
 
 def word_array(text: Column) -> Column:
@@ -40,10 +42,11 @@ def word_array(text: Column) -> Column:
 
 
 def _grams(words: str, k: int) -> Column:
-    """(position, hash) of each k-gram; none in shorter texts."""
+    """(position, hash, words) of each k-gram; none in shorter texts."""
     w = F.col(words)
     at = F.when(F.size(w) >= k, F.sequence(F.lit(0), F.size(w) - k)).otherwise(F.expr("cast(array() as array<int>)"))
-    return F.transform(at, lambda i: F.struct(i.alias("at"), F.xxhash64(*[F.get(w, i + j) for j in range(k)]).alias("hash")))
+    own = lambda i: [F.get(w, i + j) for j in range(k)]
+    return F.transform(at, lambda i: F.struct(i.alias("at"), F.xxhash64(*own(i)).alias("hash"), F.array(*own(i)).alias("own")))
 
 
 def _places(words: str, phrase: str) -> Column:
@@ -62,35 +65,46 @@ def _places(words: str, phrase: str) -> Column:
 
 
 def template_grams(spark: SparkSession, templates: dict[str, str], k: int) -> DataFrame:
-    """(label, t_at, hash, t_words) of all template k-grams: as large as the templates, not as the input."""
+    """(label, t_words, t_at, hash, t_own) of all template k-grams: as large as the templates, not as the input."""
     rows = F.array(*[F.struct(F.lit(label).alias("label"), F.lit(text).alias("text")) for label, text in templates.items()])
     t = spark.range(1).select(F.explode(rows).alias("t")).select("t.label", word_array(F.col("t.text")).alias("w"))
-    return t.select("label", F.size("w").alias("t_words"), F.explode(_grams("w", k)).alias("g")).select("label", "t_words", F.col("g.at").alias("t_at"), F.col("g.hash").alias("hash"))
+    return t.select("label", F.size("w").alias("t_words"), F.explode(_grams("w", k)).alias("g")).select("label", "t_words", F.col("g.at").alias("t_at"), F.col("g.hash").alias("hash"), F.col("g.own").alias("t_own"))
 
 
 def spans(docs: DataFrame, templates: dict[str, str] | None = None, k: int = GRAM, near: int = NEAR, cover: float = COVER) -> DataFrame:
-    """Verified template spans: row_id, label, first_word, last_word, share of the template covered.
+    """Verified template spans: row_id, label, first_word, last_word, share of the template's words matched.
 
-    ``docs`` has ``row_id`` (unique) and ``w`` (words).
+    ``docs`` has ``row_id`` (unique) and ``w`` (words). Spans of a document that overlap are rivals: the one
+    with most matched words stays, words that are missing from it or inserted counted off, then the smallest
+    label, then the first. Documents without a span have no row; an empty table gives no rows.
     """
     templates = TEMPLATES if templates is None else templates
-    grams = docs.select("row_id", F.explode(_grams("w", k)).alias("g")).select("row_id", F.col("g.at").alias("at"), F.col("g.hash").alias("hash"))
-    hits = grams.join(F.broadcast(template_grams(docs.sparkSession, templates, k)), "hash").withColumn("diagonal", F.col("at") - F.col("t_at"))
-    votes = hits.groupBy("row_id", "label", "t_words", "diagonal").agg(F.count("*").alias("votes"), F.min("at").alias("first"), F.max("at").alias("last"), F.collect_set("t_at").alias("covered"))
+    grams = docs.select("row_id", F.explode(_grams("w", k)).alias("g")).select("row_id", F.col("g.at").alias("at"), F.col("g.hash").alias("hash"), F.col("g.own").alias("own"))
+    hits = grams.join(F.broadcast(template_grams(docs.sparkSession, templates, k)), "hash").where(F.col("own") == F.col("t_own")).withColumn("diagonal", F.col("at") - F.col("t_at"))
+    votes = hits.groupBy("row_id", "label", "t_words", "diagonal").agg(F.min("at").alias("first"), F.max("at").alias("last"), F.collect_set("t_at").alias("covered"))
     along = Window.partitionBy("row_id", "label").orderBy("diagonal")
     apart = (F.col("diagonal") - F.lag("diagonal").over(along) > near) | (F.col("first") - F.lag("first").over(along) > 2 * F.col("t_words"))
     runs = votes.withColumn("run", F.sum(F.when(F.coalesce(apart, F.lit(False)), 1).otherwise(0)).over(along))
     merged = runs.groupBy("row_id", "label", "t_words", "run").agg(F.min("first").alias("first_word"), (F.max("last") + k - 1).alias("last_word"), F.array_distinct(F.flatten(F.collect_list("covered"))).alias("covered"))
-    share = F.size("covered") / (F.col("t_words") - k + 1)
-    return merged.withColumn("share", share).where(F.col("share") >= cover).select("row_id", "label", "first_word", "last_word", "share")
+    # Template words that some matched k-gram holds.
+    every = F.array_distinct(F.flatten(F.transform("covered", lambda t: F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda j: t + j))))
+    long = F.col("last_word") - F.col("first_word") + 1
+    fits = merged.withColumn("matched", F.size(every)).where((F.col("matched") >= cover * F.col("t_words")) & (F.col("matched") >= cover * long))
+    off = (F.col("t_words") - F.col("matched")) + (long - F.col("matched"))
+    rival = F.struct((off - F.col("matched")).alias("rank"), "label", "first_word", "last_word", (F.col("matched") / F.col("t_words")).alias("share"))
+    rivals = fits.groupBy("row_id").agg(F.array_sort(F.collect_list(rival)).alias("rivals"))
+    none = F.filter("rivals", lambda _: F.lit(False))
+    free = lambda kept, x: ~F.exists(kept, lambda y: (y["first_word"] <= x["last_word"]) & (x["first_word"] <= y["last_word"]))
+    best = F.aggregate("rivals", none, lambda kept, x: F.when(free(kept, x), F.concat(kept, F.array(x))).otherwise(kept))
+    return rivals.select("row_id", F.explode(best).alias("s")).select("row_id", "s.label", "s.first_word", "s.last_word", "s.share")
 
 
 def scan(docs: DataFrame, phrases: dict[str, str] | None = None, templates: dict[str, str] | None = None) -> DataFrame:
     """License phrases and template spans of each document.
 
     Takes ``doc_id`` and ``text`` of ``docs``; other columns are ignored. One row per input row: doc_id,
-    n_words, n_base, first_word, last_word, base_labels, labels and score (the best share of a template
-    covered, 1 with a phrase, 0 with nothing). Null and empty texts have no words. Rows that repeat a
+    n_words, n_base, first_word, last_word, base_labels, labels and score (the best share of a template's
+    words in a verified span, 1 with a phrase, 0 with nothing). Null and empty texts have no words. Rows that repeat a
     doc_id and a text get one result each, the same; an empty table gives no rows.
     """
     phrases = PHRASES if phrases is None else phrases

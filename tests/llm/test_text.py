@@ -298,27 +298,66 @@ def test_base_places_equal_brute_force(docs):
     assert pairs(got, "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels") == sorted(((d, *brute_base(t)) for d, t in DOCS), key=repr)
 
 
-def brute_share(t, template, k=5, near=8):
-    """Best share of a template's k-grams on neighbouring diagonals, all pairs of positions compared."""
-    w, m = words(t), words(template)
-    hits = sorted((i - j, i, j) for i in range(len(w) - k + 1) for j in range(len(m) - k + 1) if w[i : i + k] == m[j : j + k])
-    best, run, before = 0, set(), None
-    for d, _, j in hits:
-        run = run | {j} if before is not None and d - before <= near else {j}
-        before, best = d, max(best, len(run))
-    return best / (len(m) - k + 1)
-
-
-def test_diagonals_equal_brute_force(spark, none):
-    mit = licenses.TEMPLATES["mit"]
-    cut = mit.split()
-    texts = [mit, "x y z " + mit.upper() + " tail", " ".join(cut[:40] + ["new", "words"] + cut[40:]), " ".join(cut[:20]), prose(80, 3), licenses.TEMPLATES["gpl"]]
-    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+def brute_labels(t, k=5, near=8):
+    """Labels and best share by comparing all pairs of positions, as the operator's text states the rule."""
+    w, spans = words(t), []
+    for label, template in licenses.TEMPLATES.items():
+        m = words(template)
+        by = {}
+        for i in range(len(w) - k + 1):
+            for j in range(len(m) - k + 1):
+                if w[i : i + k] == m[j : j + k]:
+                    by.setdefault(i - j, []).append((i, j))
+        runs, before = [], None
+        for d in sorted(by):
+            first = min(i for i, _ in by[d])
+            if before is None or d - before[0] > near or first - before[1] > 2 * len(m):
+                runs.append([])
+            runs[-1] += by[d]
+            before = d, first
+        for run in runs:
+            a, b = min(i for i, _ in run), max(i for i, _ in run) + k - 1
+            n = len({j + x for _, j in run for x in range(k)})
+            if 2 * n >= len(m) and 2 * n >= b - a + 1:
+                spans.append((len(m) - n + (b - a + 1 - n) - n, label, a, b, n / len(m)))
+    kept = []
+    for s in sorted(spans):
+        if all(s[3] < o[2] or o[3] < s[2] for o in kept):
+            kept.append(s)
+    return {s[1] for s in kept}, max((s[4] for s in kept), default=0.0)
+
+
+MIT, NOTICE = licenses.TEMPLATES["mit"], "This work is licensed under the Creative Commons {} 4.0 International License. To view a copy of this license, visit http://creativecommons.org/licenses/{}/4.0/"
+#: Texts and the labels that a reader would give them.
+NAMED = [
+    (MIT, "mit"), ("x y z " + MIT.upper() + " tail", "mit"), (" ".join(MIT.split()[:40] + ["new", "words"] + MIT.split()[40:]), "mit"), (" ".join(MIT.split()[:20]), ""), (prose(80, 3), ""), (licenses.TEMPLATES["gpl"], "gpl"), (licenses.TEMPLATES["bsd"], "bsd"), (licenses.TEMPLATES["apache-2"], "apache-2"),
+    (NOTICE.format("Attribution", "by"), "cc-by"), (NOTICE.format("Attribution-NonCommercial", "by-nc"), "cc-by-nc"), (NOTICE.format("Attribution-ShareAlike", "by-sa"), "cc-by-sa"), (NOTICE.format("Attribution-NoDerivatives", "by-nd"), "cc-by-nd"), (NOTICE.format("Attribution-NonCommercial-ShareAlike", "by-nc-sa"), "cc-by-nc-sa"),
+    (NOTICE.format("Attribution-NonCommercial-NoDerivatives", "by-nc-nd"), "cc-by-nc-nd"), (f"{prose(30, 4)} {NOTICE.format('Attribution', 'by')} {prose(90, 5)} {NOTICE.format('Attribution-NonCommercial', 'by-nc')}", "cc-by,cc-by-nc"), (f"{NOTICE.format('Attribution', 'by')} {MIT}", "cc-by,mit"), ("Under the MIT license. " + NOTICE.format("Attribution-ShareAlike", "by-sa"), "cc-by-sa,mit"),
+    ("licensed under the creative commons attribution", ""), (None, ""), ("", ""),
+]
+
+
+def test_labels_are_those_a_reader_gives(spark, none):
+    d = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(NAMED)], "doc_id long, text string")
     got = {r.doc_id: r for r in licenses.scan(d).collect()}
-    for i, t in enumerate(texts):
-        shares = {label: brute_share(t, template) for label, template in licenses.TEMPLATES.items()}
-        labels = {x for x, s in shares.items() if s >= licenses.COVER} | set(filter(None, got[i].base_labels.split(",")))
-        assert got[i].labels == ",".join(sorted(labels))
-        best = max((s for s in shares.values() if s >= licenses.COVER), default=0.0)
-        assert got[i].score == pytest.approx(1.0 if got[i].n_base else best)
+    assert [got[i].labels for i in range(len(NAMED))] == [want for _, want in NAMED]
+    for i, (t, _) in enumerate(NAMED):
+        labels, share = brute_labels(t)
+        assert got[i].labels == ",".join(sorted(labels | set(filter(None, got[i].base_labels.split(",")))))
+        assert got[i].score == pytest.approx(1.0 if got[i].n_base else share)
     assert licenses.scan(none).count() == 0
+
+
+def test_rivals_equal_brute_force(spark):
+    import random
+
+    r = random.Random(8)
+    texts = []
+    for _ in range(40):
+        w = [x for _ in range(r.randint(1, 3)) for x in licenses.TEMPLATES[r.choice(list(licenses.TEMPLATES))].split() + prose(r.randint(0, 30), r.randint(0, 99)).split()]
+        texts.append(" ".join(x for x in w for x in ([x] if r.random() < 0.97 else r.choice([[], [x, "new"], ["other"]]))))
+    got = {x.doc_id: x for x in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, t in enumerate(texts):
+        labels, share = brute_labels(t)
+        assert got[i].labels == ",".join(sorted(labels | set(filter(None, got[i].base_labels.split(",")))))
+        assert got[i].score == pytest.approx(1.0 if got[i].n_base else share)
