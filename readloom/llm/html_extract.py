@@ -1,17 +1,25 @@
 """HTML extraction by tag-path ratios.
 
-A page is cut into text blocks, each with its root-to-leaf tag path. Text length and punctuation
-are summed per path and divided by the path's blocks; both ratios are smoothed over the order of
-the paths, fused, and held against their spread. Paths above it mark the content nodes; the
-smallest element around all of them, an article where the page has one, is the content, and all
-of its blocks but menus, adverts and the like are kept, short ones too.
+A page is cut into text blocks, each on the tag path from the root to its innermost block element. Text
+length and punctuation are summed per path and divided by the path's blocks; both ratios are smoothed
+over the order of the paths and fused; the share of a path's text in links lowers the fused ratio. What is
+in elements whose names say advert, notice and the like counts as paths of its own, with a part of their
+ratio. Paths above a threshold select the content nodes, of which those without such names say where the
+article is.
+
+The article is the innermost article or main element with more than half of the content nodes' text;
+without such an element, the smallest element around all content nodes. Its other blocks, headings and
+short lines, are kept as well, but for named ones whose path was not selected and for reader comments.
+
+A page is read once from left to right; elements are numbers with their parents' numbers, and paths are
+numbers too, so that time and memory grow with the length of the page and not with its depth.
 """
 
 from __future__ import annotations
 
 import html
-import os.path
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,11 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|noscript|template|textarea|title|iframe|svg|math|canvas|object)\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*?(?:/>|>.*?(?:</(?P=raw)\s*>|\Z))|<[!?][^>]*>|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>",
-    re.S | re.I,
-)
+OPEN = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+#: Attributes up to the end of a tag; quotes hide angle brackets.
+REST = re.compile(r"""(?>[^'">]+|"[^"]*"|'[^']*')*+>""")
+#: Characters in which the end of a tag is looked for with regard to quotes; beyond, the next ``>`` ends it.
+TAG_CHARS = 1 << 14
 ATTR = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+#: Elements whose content is no text of the page.
+RAW = frozenset("script style noscript template textarea title iframe svg math canvas object".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section select summary table tbody td tfoot th thead tr ul".split())
 #: Elements that a start tag closes, if they are open inside the nearest element given.
@@ -31,149 +42,263 @@ CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
     "tbody": ({"thead", "tbody", "tfoot"}, {"table"}), "tfoot": ({"thead", "tbody", "tfoot"}, {"table"}), "option": ({"option"}, {"select"}), "body": ({"head"}, {"html"}),
 }
+#: Menus, footers, sidebars and forms by their element.
 SKIP = frozenset("nav footer aside form button select menu dialog label input fieldset head".split())
-#: Whole class names and ids; those of headers count outside articles only.
-UNWANTED = re.compile(
-    r"ads?|advert[^\W_]*|adsense|banner|sponsor[^\W_]*|promo[^\W_]*|nav[^\W_]*|menu[^\W_]*|breadcrumbs?|sidebar[^\W_]*|side|aside|foot(?:er)?|copyright|cookies?[^\W_]*|consent|gdpr|notice[^\W_]*|alert|popup|modal|overlay|newsletter|subscri[^\W_]*|share|sharing|social[^\W_]*|comments?[^\W_]*|disqus|repl(?:y|ies)|respond|related|recommend[^\W_]*|widget[^\W_]*|login|signup|search[^\W_]*|pagination|pager|skip[^\W_]*|toolbar"
-    r"|(?:ads?|breadcrumbs?|comments?|cookies?|newsletter|related|share|sharing|social)-(?:area|banner|bar|box|buttons?|form|icons?|links?|list|nav|posts?|slot|unit)|(?:site|main|top|bottom|global|primary|secondary)-(?:foot(?:er)?|nav[^\W_]*|menu)",
+ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar toolbar".split())
+#: Whole class names and ids that lower a path's ratio; those of headers count outside articles only.
+NAMED = re.compile(
+    r"ads?|advert[^\W_]*|adsense|banner|sponsor[^\W_]*|promo[^\W_]*|nav[^\W_]*|menu[^\W_]*|breadcrumbs?|sidebar[^\W_]*|side|aside|foot(?:er)?|copyright|cookies?[^\W_]*|consent|gdpr|notice[^\W_]*|alert|popup|modal|overlay|newsletter|subscri[^\W_]*|share|sharing|social[^\W_]*|related|recommend[^\W_]*|widget[^\W_]*|login|signup|search[^\W_]*|pagination|pager|skip[^\W_]*|toolbar"
+    r"|(?:ads?|breadcrumbs?|cookies?|newsletter|related|share|sharing|social)-(?:area|banner|bar|box|buttons?|form|icons?|links?|list|nav|posts?|slot|unit)|(?:site|main|top|bottom|global|primary|secondary)-(?:foot(?:er)?|nav[^\W_]*|menu)",
     re.I,
 )
 HEADER = re.compile(r"head(?:er)?|masthead|(?:site|main|top|global)-head(?:er)?", re.I)
-ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar toolbar".split())
+#: Whole class names and ids of what readers wrote.
+READERS = re.compile(r"comments?(?:-?(?:area|body|content|form|list|section|text|thread|wrapper|\d+))?|commentlist|disqus(?:_thread)?|repl(?:y|ies)|respond", re.I)
 PUNCTUATION = re.compile(r"[,.;:!?،。，、；：！？]")
 SPACE = re.compile(r"\s+")
 KERNEL = np.array([1, 2, 1]) / 4
-#: Share of the fused ratios' standard deviation from which a path is content.
-LAMBDA = 0.6
-
-
-class Block:
-    __slots__ = ("path", "nodes", "text", "skipped")
-
-    def __init__(self, path: str, nodes: tuple[int, ...], text: str, skipped: bool | tuple[int, ...]):
-        self.path, self.nodes, self.text, self.skipped = path, nodes, text, skipped
-
-
-def _unwanted(tag: str, attrs: str, article: bool) -> bool:
-    if tag in SKIP or tag == "header" and not article:
-        return True
-    for name, a, b, c in ATTR.findall(attrs) if attrs.strip() else ():
-        name, value = name.lower(), (a or b or c).strip()
-        if name in ("class", "id") and tag not in ("html", "body", "article", "main") and any(UNWANTED.fullmatch(v) or not article and HEADER.fullmatch(v) for v in value.split()):
-            return True
-        if name == "role" and value.lower() in ROLES or name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
-        if name == "style" and "display:none" in value.replace(" ", "").lower():
-            return True
-    return False
-
-
-def blocks(page: str) -> tuple[list[Block], dict[int, str]]:
-    """Text blocks in page order, and the tag of each element; what contains an article or main is not skipped."""
-    out: list[Block] = []
-    tags: dict[int, str] = {}
-    around: set[int] = set()  # elements that contain an article
-    stack: list[tuple[str, int, bool]] = []
-    held: list[str] = []
-
-    def flush():
-        text = SPACE.sub(" ", html.unescape("".join(held))).strip()
-        held.clear()
-        if text:
-            inside = [s for s in stack if s[0] in BLOCK]
-            out.append(Block("/".join(s[0] for s in inside), tuple(s[1] for s in stack), text, tuple(s[1] for s in stack if s[2])))
-
-    def close(at: int):
-        if any(s[0] in BLOCK for s in stack[at:]):
-            flush()
-        del stack[at:]
-
-    at = 0
-    for m in TOKEN.finditer(page):
-        if m.start() > at:
-            held.append(page[at : m.start()])
-        at = m.end()
-        tag = m["tag"]
-        if tag is None:
-            continue
-        tag = tag.lower()
-        if m["close"]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    close(i)
-                    break
-                if tag not in BLOCK and stack[i][0] in BLOCK:
-                    break
-            continue
+#: Share of the fused ratios' standard deviation from which a path is content, and what a name leaves of a ratio.
+LAMBDA, NAME_LEAVES = 0.6, 0.25
+#: Inline elements that an end tag looks through for its start.
+REACH = 64
+
+
+class Page:
+    """Elements and text blocks of a page, in page order.
+
+    Of elements: parent, tag, whether the element is no content by its kind (``out``), is named as such
+    (``named``) or was written by readers (``readers``). Of blocks: element, path, text, characters in links.
+    """
+
+    def __init__(self, page: str):
+        self.parent, self.tag = [-1], [""]
+        self.out, self.named, self.readers = [False], [False], [False]
+        self.blocks: list[tuple[int, int, str, int]] = []
+        self.paths: dict[tuple[int, str], int] = {}
+        self.path = [0]
+        self._stack, self._open = [0], Counter()
+        self._held: list[str] = []
+        self._linked, self._in_link, self._articles, self._mute = 0, False, 0, 0
+        self._read(page)
+        self._settle()
+
+    def _read(self, page: str) -> None:
+        at, last = 0, page.rfind(">")
+        lower = None
+        while (lt := page.find("<", at)) >= 0 and lt < last:
+            self._text(page[at:lt])
+            if page.startswith("<!--", lt):
+                end = page.find("-->", lt + 4)
+                at = len(page) if end < 0 else end + 3
+                continue
+            m = OPEN.match(page, lt)
+            if not m:
+                if page.startswith(("<!", "<?"), lt):
+                    at = page.find(">", lt) + 1
+                else:
+                    self._text("<")
+                    at = lt + 1
+                continue
+            rest = REST.match(page, m.end(), m.end() + TAG_CHARS)
+            at = rest.end() if rest else page.find(">", m.end()) + 1
+            tag, attrs = m[2].lower(), page[m.end() : at - 1]
+            if m[1]:
+                self._end(tag)
+            elif tag in RAW:
+                if not attrs.endswith("/"):
+                    lower = page.lower() if lower is None else lower
+                    close = lower.find(f"</{tag}", at)
+                    at = len(page) if close < 0 else (page.find(">", close) + 1 or len(page))
+            else:
+                self._start(tag, attrs)
+        self._text(page[at:])
+        self._flush()
+
+    def _text(self, text: str) -> None:
+        if text and not self._mute:
+            self._held.append(text)
+            self._linked += len(text) * self._in_link
+
+    def _flush(self) -> None:
+        self._in_link = False
+        if self._held:
+            text = SPACE.sub(" ", html.unescape("".join(self._held))).strip()
+            if text:
+                self.blocks.append((self._stack[-1], self.path[self._stack[-1]], text, min(self._linked, len(text))))
+            self._held.clear()
+        self._linked = 0
+
+    def _pop(self, at: int) -> None:
+        """Closes all elements from a place of the stack on."""
+        for n in reversed(self._stack[at:]):
+            tag = self.tag[n]
+            self._open[tag] -= 1
+            self._articles -= tag in ("article", "main")
+            self._mute -= tag not in BLOCK
+        del self._stack[at:]
+
+    def _end(self, tag: str) -> None:
+        stack = self._stack
+        if tag == "a":
+            self._in_link = False
         if tag in BLOCK:
-            flush()
-            for i in range(len(stack) - 1, -1, -1):  # a block ends an open paragraph
-                if stack[i][0] == "p":
-                    close(i)
-                    break
-                if stack[i][0] in BLOCK:
-                    break
-        elif tag == "br":
-            held.append(" ")
+            if self._open[tag]:
+                self._flush()
+                at = len(stack) - 1
+                while self.tag[stack[at]] != tag:
+                    at -= 1
+                self._pop(at)
+            return
+        for at in range(len(stack) - 1, max(0, len(stack) - 1 - REACH), -1):
+            if self.tag[stack[at]] in BLOCK:
+                return
+            if self.tag[stack[at]] == tag:
+                self._pop(at)
+                return
+
+    def _start(self, tag: str, attrs: str) -> None:
+        stack = self._stack
+        if tag not in BLOCK:
+            if tag == "br":
+                self._held.append(" ")
+            elif tag == "a":
+                self._in_link = True
+            if tag in VOID or attrs.endswith("/"):
+                return
+            # Inline elements are of interest where their text is none of the page's; those inside are kept track of.
+            if self._mute or (self._kind(tag, attrs)[0] if attrs else tag in SKIP):
+                self._push(tag, True, False, False)
+            return
+        self._flush()
+        at = len(stack) - 1
+        while at > 0 and self.tag[stack[at]] not in BLOCK:
+            at -= 1
+        if self.tag[stack[at]] == "p":  # a block ends an open paragraph
+            self._pop(at)
         if tag in CLOSES:
             own, within = CLOSES[tag]
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in own:
-                    close(i)
-                    break
-                if stack[i][0] in within:
-                    break
-        if tag in VOID or m["attrs"].endswith("/") and tag not in BLOCK:
-            continue
-        number = len(tags)
-        tags[number] = tag
-        if tag in ("article", "main"):
-            around.update(s[1] for s in stack)
-        stack.append((tag, number, _unwanted(tag, m["attrs"], any(s[0] in ("article", "main") for s in stack))))
-    if at < len(page):
-        held.append(page[at:])
-    flush()
-    for b in out:
-        b.skipped = not around.issuperset(b.skipped)
-    return out, tags
-
-
-def content_paths(kept: list[Block]) -> set[str]:
-    """Tag paths whose fused ratio of text and punctuation stands out."""
-    facts: dict[str, list[int]] = {}
-    for b in kept:
-        f = facts.setdefault(b.path, [0, 0, 0])
-        f[0] += len(b.text)
-        f[1] += len(PUNCTUATION.findall(b.text))
+            if any(self._open[t] for t in own):
+                for at in range(len(stack) - 1, 0, -1):
+                    if self.tag[stack[at]] in own:
+                        self._pop(at)
+                        break
+                    if self.tag[stack[at]] in within:
+                        break
+        if tag not in VOID:
+            self._push(tag, *self._kind(tag, attrs))
+
+    def _push(self, tag: str, out: bool, named: bool, readers: bool) -> None:
+        above = self._stack[-1]
+        self._stack.append(len(self.parent))
+        self._open[tag] += 1
+        self._articles += tag in ("article", "main")
+        self._mute += tag not in BLOCK
+        self.parent.append(above)
+        self.tag.append(tag)
+        self.out.append(out)
+        self.named.append(named)
+        self.readers.append(readers)
+        key = (self.path[above], tag)
+        self.path.append(self.paths.setdefault(key, len(self.paths) + 1) if tag in BLOCK else self.path[above])
+
+    def _kind(self, tag: str, attrs: str) -> tuple[bool, bool, bool]:
+        out, named, readers = tag in SKIP or tag == "header" and not self._articles, False, False
+        for name, a, b, c in ATTR.findall(attrs) if attrs.strip() else ():
+            name, value = name.lower(), (a or b or c).strip()
+            if name in ("class", "id") and tag not in ("html", "body"):
+                for v in value.split():
+                    readers = readers or bool(READERS.fullmatch(v))
+                    named = named or tag not in ("article", "main") and bool(NAMED.fullmatch(v) or not self._articles and HEADER.fullmatch(v))
+            elif name == "role" and value.lower() in ROLES or name == "hidden" or name == "aria-hidden" and value.lower() == "true":
+                out = True
+            elif name == "style" and "display:none" in value.replace(" ", "").lower():
+                out = True
+        return out, named, readers
+
+    def _settle(self) -> None:
+        """Kinds pass down to what is inside; an element around an article is none of them."""
+        around = [False] * len(self.parent)
+        for n in range(len(self.parent) - 1, 0, -1):
+            around[self.parent[n]] = around[self.parent[n]] or around[n] or self.tag[n] in ("article", "main") and not self.readers[n]
+        for n in range(1, len(self.parent)):
+            up = self.parent[n]
+            self.out[n] = self.out[up] or self.out[n] and not around[n]
+            self.named[n] = self.named[up] or self.named[n] and not around[n]
+            self.readers[n] = self.readers[up] or self.readers[n] and not around[n]
+
+
+def content_paths(blocks: list[tuple[tuple[int, bool], str, int]]) -> set[tuple[int, bool]]:
+    """Paths, named ones apart, whose fused ratio of text and punctuation stands out; of blocks (path, text, characters in links)."""
+    facts: dict[tuple[int, bool], list[int]] = {}
+    for path, text, linked in blocks:
+        f = facts.setdefault(path, [0, 0, 0, 0])
+        f[0] += len(text)
+        f[1] += len(PUNCTUATION.findall(text))
         f[2] += 1
-    length, marks, nodes = (np.array(c, float) for c in zip(*facts.values()))
+        f[3] += linked
+    length, marks, nodes, linked = (np.array(c, float) for c in zip(*facts.values()))
     smooth = [np.convolve(np.pad(r, 1, "edge"), KERNEL, "valid") for r in (length / nodes, marks / nodes)]
-    fused = smooth[0] * (1 + smooth[1])
-    return {p for p, f in zip(facts, fused) if f >= min(LAMBDA * fused.std(), fused.max())}
+    fused = smooth[0] * (1 + smooth[1]) * (1 - linked / length) * np.where([named for _, named in facts], NAME_LEAVES, 1)
+    plain = [f for (_, named), f in zip(facts, fused) if not named] or list(fused)
+    least = min(LAMBDA * fused.std(), max(plain))
+    return {p for p, f in zip(facts, fused) if f >= least}
+
+
+def _around(page: Page, nodes: list[int]) -> int:
+    """The smallest element that holds all of some elements."""
+    held = [0] * len(page.parent)
+    for n in nodes:
+        held[n] += 1
+    for n in range(len(page.parent) - 1, 0, -1):  # children have larger numbers than their parents
+        if held[n] == len(nodes):
+            return n
+        held[page.parent[n]] += held[n]
+    return 0
+
+
+def _article(page: Page, chosen: list[tuple[int, int]]) -> int | None:
+    """The innermost article or main element with more than half of the chosen blocks' text; of (element, characters)."""
+    total = sum(size for _, size in chosen)
+    text = [0] * len(page.parent)
+    for n, size in chosen:
+        text[n] += size
+    for n in range(len(page.parent) - 1, 0, -1):
+        if 2 * text[n] > total and page.tag[n] in ("article", "main") and not page.readers[n]:
+            return n
+        text[page.parent[n]] += text[n]
+    return None
+
+
+def _inside(page: Page, root: int) -> list[bool]:
+    inside = [n == root for n in range(len(page.parent))]
+    for n in range(root + 1, len(page.parent)):
+        inside[n] = inside[n] or inside[page.parent[n]]
+    return inside
 
 
 def extract(page: str | None) -> str:
     """Main text of a page; empty for null, empty and textless pages."""
     if not page:
         return ""
-    every, tags = blocks(page)
-    kept = [b for b in every if not b.skipped]
+    p = Page(page)
+    kept = [(n, (path, p.named[n]), text, linked) for n, path, text, linked in p.blocks if not p.out[n] and not p.readers[n]]
     if not kept:
         return ""
-    paths = content_paths(kept)
-    chosen = [b for b in kept if b.path in paths]
-    articles = {n for b in chosen for n in b.nodes if tags[n] in ("article", "main")}
-    if not articles:
-        articles = {n for b in kept for n in b.nodes if tags[n] in ("article", "main")}
-    if articles:
-        inner = [b for b in kept if not articles.isdisjoint(b.nodes)]
-    else:  # the smallest element with all chosen blocks, and with more than a single block where the page has more
-        around = list(os.path.commonprefix([b.nodes for b in chosen]))
-        inner = chosen
-        while around and len(inner := [b for b in kept if around[-1] in b.nodes]) == 1:
-            around.pop()
-        inner = inner if around else kept
-    return "\n".join(b.text for b in inner)
+    paths = content_paths([b[1:] for b in kept])
+    chosen = [b for b in kept if b[1] in paths and not p.named[b[0]]] or [b for b in kept if b[1] in paths]
+    stay = [b for b in kept if b[1] in paths or not p.named[b[0]]]
+    root = _article(p, [(b[0], len(b[2])) for b in chosen])
+    if root is None:
+        root = _around(p, [b[0] for b in chosen])
+        below = [0] * len(p.parent)  # blocks that stay, by element
+        for n, *_ in stay:
+            below[n] += 1
+        for n in range(len(p.parent) - 1, 0, -1):
+            below[p.parent[n]] += below[n]
+        while root and below[root] == 1 < len(stay):  # a single block is no article where the page has more
+            root = p.parent[root]
+    inside = _inside(p, root)
+    return "\n".join(b[2] for b in stay if inside[b[0]])
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
@@ -181,7 +306,8 @@ def extract_pages(pages: DataFrame) -> DataFrame:
 
     Takes ``page_id``, ``url`` and ``html`` of ``pages``; other columns are ignored. A null html, or one
     without text, gives an empty text. Each row is judged by itself, so repeated rows give equal
-    results; null ids and urls are passed on; an empty table gives no rows.
+    results; null ids and urls are passed on; an empty table gives no rows. Unclosed quotes, tags and
+    elements are taken as they stand; what follows the last ``>`` is text.
     """
 
     def run(batches: Iterator[pa.RecordBatch]):
