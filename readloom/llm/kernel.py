@@ -1,11 +1,10 @@
-"""Vectorised text kernels shared by the operators that work on word or byte windows.
-
-A batch of documents is laid out as one byte array with a separator byte after every
-document. Words, rolling hashes and windows are computed over the whole array at once.
-"""
+"""Vectorised text kernels shared by the operators that work on word or byte windows."""
 
 from __future__ import annotations
 
+from hashlib import blake2b
+from itertools import chain
+
 import numpy as np
 
 #: Seeds and multipliers of the hash family: fixed values, the same on every executor.
@@ -21,8 +20,8 @@ ALNUM_FOLD = bytes(
     b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20
     for b in range(256)
 )
-_SPACE = np.zeros(256, bool)
-_SPACE[list(WHITE)] = True
+SPACE = np.zeros(256, bool)
+SPACE[list(WHITE)] = True
 
 
 class Powers:
@@ -70,46 +69,49 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """Words of a batch: start and end bytes, document of each, first word of each document."""
+    """Words of a batch: 128 bits of hash each, the document of each, the first word of each document.
+
+    A word's hash is a cryptographic digest, so that no two words of a corpus have the same one, whatever
+    they were made for. It is taken once for all places of a word in the batch.
+    """
 
     def __init__(self, texts: list[bytes]):
-        lengths = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
-        self.raw = b" ".join(texts) + b" "
-        self.bytes = np.frombuffer(self.raw, np.uint8)
-        ends = np.cumsum(lengths)
-        self.doc_start = ends - lengths
-        self.doc_end = ends - 1
-        space = _SPACE[self.bytes]
-        edge = np.flatnonzero(space[1:] != space[:-1]) + 1
-        if len(space) and not space[0]:
-            edge = np.concatenate(([0], edge))
-        self.start, self.end = edge[0::2], edge[1::2]
-        self.first = np.searchsorted(self.start, self.doc_start)
-        self.count = np.diff(np.append(self.first, len(self.start)))
+        self.texts = texts
+        split = [t.split() for t in texts]
+        self.count = np.fromiter(map(len, split), np.int64, len(texts))
+        every = list(chain.from_iterable(split))
+        number = {w: i for i, w in enumerate(set(every))}
+        which = np.fromiter(map(number.__getitem__, every), np.int64, len(every))
+        digests = b"".join([blake2b(w, digest_size=16).digest() for w in number])
+        self.lanes = np.frombuffer(digests, "<u8").reshape(-1, 2)[which].T
+        self.first = np.cumsum(self.count) - self.count
         self.doc = np.repeat(np.arange(len(texts)), self.count)
 
-    def hashes(self, family: Powers = A) -> np.ndarray:
-        return mix(spans_hash(self.bytes, self.start, self.end, family))
+    def hashes(self, lane: int = 0) -> np.ndarray:
+        return self.lanes[lane]
 
-    def windows(self, size: int, family: Powers = A, words: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """First word of each window of ``size`` words inside one document, and its hash."""
-        words = self.hashes(family) if words is None else words
-        n = len(words)
-        if n < size:
-            return np.empty(0, np.int64), np.empty(0, np.uint64)
-        at = np.flatnonzero(self.doc[size - 1 :] == self.doc[: n - size + 1])
+    def windows(self, size: int) -> np.ndarray:
+        """First word of each window of ``size`` words inside one document."""
+        n = len(self.doc)
+        return np.flatnonzero(self.doc[size - 1 :] == self.doc[: n - size + 1]) if n >= size else np.empty(0, np.int64)
+
+    def window_hashes(self, at: np.ndarray, size: int, lane: int = 0) -> np.ndarray:
+        """Hash of the windows that begin at some words, from one half of their words' hashes."""
+        family, n = (A, B)[lane], len(self.doc)
         family.need(n + 1)
         total = np.zeros(n + 1, np.uint64)
-        np.cumsum(words * family.up[:n], out=total[1:])
-        return at, mix((total[at + size] - total[at]) * family.down[at])
+        np.cumsum(self.lanes[lane] * family.up[:n], out=total[1:])
+        return mix((total[at + size] - total[at]) * family.down[at])
+
 
+class Bytes:
+    """The bytes of a batch, a separator after each document, and where documents begin and end."""
 
-def spans_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray, family: Powers) -> np.ndarray:
-    """Polynomial hash of each span of a byte array, not yet mixed."""
-    family.need(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(family.table[data] * family.up[: len(data)], out=total[1:])
-    return (total[end] - total[start]) * family.down[start]
+    def __init__(self, texts: list[bytes]):
+        self.bytes = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+        self.doc_end = np.cumsum(lengths + 1) - 1
+        self.doc_start = self.doc_end - lengths
 
 
 def bits(flags: np.ndarray) -> bytes:

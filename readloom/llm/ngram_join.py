@@ -14,10 +14,11 @@ documents outside its largest component are still open, and they meet all blocks
 from __future__ import annotations
 
 import zlib
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import kernel, resident, shared
@@ -37,6 +38,8 @@ MARK_BITS, MARK_SLOTS = 26, 64
 SPARE = 10
 #: Shingles of the corpus for each shard of prefixes.
 SHARD_SHINGLES = 3_000_000
+#: Copies of what is known of a component, over which its texts are spread.
+SPREAD = 8
 
 
 def _batches(ids: list, texts: list[bytes]):
@@ -51,23 +54,25 @@ def _batches(ids: list, texts: list[bytes]):
         yield at, len(texts)
 
 
-def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """Document number and hash of each distinct shingle, by document; short texts are one shingle."""
+def shingle_sets(texts: list[bytes], size: int = SHINGLE, lanes: int = 1) -> tuple[np.ndarray, ...]:
+    """Document number and hash of each distinct shingle, by document; short texts are one shingle.
+
+    A hash has 64 bits for each of the ``lanes``, made of the words' cryptographic hashes.
+    """
     w = kernel.Words([t.translate(kernel.FOLD) for t in texts])
-    words = w.hashes()
-    at, h = w.windows(size, words=words)
-    doc = w.doc[at]
+    at = w.windows(size)
+    doc, hashes = w.doc[at], [w.window_hashes(at, size, k) for k in range(lanes)]
     few = np.flatnonzero((w.count > 0) & (w.count < size))
     if len(few):
-        whole = [np.uint64(zlib.crc32(words[w.first[d] : w.first[d] + w.count[d]].tobytes())) for d in few.tolist()]
-        first = words[w.first[few]] * np.uint64(2 * size + 1)
         doc = np.concatenate((doc, few))
-        h = np.concatenate((h, kernel.mix(first + np.array(whole, np.uint64) + w.count[few].astype(np.uint64) * kernel.MIX_1)))
-    order = np.lexsort((h, doc))
-    doc, h = doc[order], h[order]
-    keep = np.ones(len(h), bool)
-    keep[1:] = (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])
-    return doc[keep], h[keep]
+        whole = [blake2b(w.lanes[:, w.first[d] : w.first[d] + w.count[d]].tobytes(), digest_size=16).digest() for d in few.tolist()]
+        short = np.frombuffer(b"".join(whole), "<u8").reshape(-1, 2).T
+        hashes = [np.concatenate((h, k)) for h, k in zip(hashes, short)]
+    order = np.lexsort((*hashes[::-1], doc))
+    doc, hashes = doc[order], [h[order] for h in hashes]
+    keep = np.ones(len(doc), bool)
+    keep[1:] = np.any([x[1:] != x[:-1] for x in (doc, *hashes)], axis=0)
+    return doc[keep], *(h[keep] for h in hashes)
 
 
 def _texts(batch: pa.RecordBatch) -> list[bytes]:
@@ -75,7 +80,7 @@ def _texts(batch: pa.RecordBatch) -> list[bytes]:
 
 
 def _measure(size: int):
-    schema = pa.schema([("slot", pa.int32()), ("data", pa.binary()), ("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int64())])
+    schema = pa.schema([("slot", pa.int32()), ("data", pa.binary()), ("doc_id", pa.int64()), ("node", pa.int64()), ("other", pa.int64()), ("n", pa.int64())])
 
     def run(batches):
         resident.drop()
@@ -87,12 +92,12 @@ def _measure(size: int):
                 n[x:y] = np.bincount(doc, minlength=y - x)
                 np.add.at(sketch, (h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
             k = b.num_rows
-            yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary()), b.column("doc_id"), b.column("node"), pa.array(n)], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary()), b.column("doc_id"), b.column("node"), b.column("other"), pa.array(n)], schema=schema)
         for s, part in enumerate(sketch.reshape(-1, 1 << SLOT_BITS)):
             if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([zlib.compress(np.minimum(part, 2**32 - 1).astype("<u4").tobytes(), 1)]), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64())], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([zlib.compress(np.minimum(part, 2**32 - 1).astype("<u4").tobytes(), 1)]), *[pa.nulls(1, pa.int64())] * 4], schema=schema)
 
-    return run, "slot int, data binary, doc_id long, node long, n long"
+    return run, "slot int, data binary, doc_id long, node long, other long, n long"
 
 
 def _add_slots(table: pa.Table) -> pa.Table:
@@ -305,16 +310,17 @@ def _block(size: int, percent: int, sketch):
         texts = table.column("text").cast(pa.binary()).to_pylist()
         pick = {k: i for i, k in reversed(list(enumerate(nodes)))}
         nodes, comps, texts = list(pick), [comps[i] for i in pick.values()], [texts[i] or b"" for i in pick.values()]
-        doc, h = shingle_sets(texts, size)
+        doc, h, more = shingle_sets(texts, size, 2)
         often = sketch.value[(h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
-        values, inverse = np.unique(h, return_inverse=True)
-        weight = np.empty(len(values), np.int64)
-        weight[inverse] = often
-        rank = np.empty(len(values), np.int64)
-        rank[np.lexsort((values, weight))] = np.arange(len(values))
-        order = np.lexsort((rank[inverse], doc))
+        # Shingles are told apart by 128 bits; ranks are their global order within the block.
+        order = np.lexsort((more, h, often))
+        new = np.ones(len(h), bool)
+        new[1:] = (h[order[1:]] != h[order[:-1]]) | (more[order[1:]] != more[order[:-1]])
+        inverse = np.empty(len(h), np.int64)
+        inverse[order] = np.cumsum(new) - 1
+        order = np.lexsort((inverse, doc))
         ends = np.cumsum(np.bincount(doc, minlength=len(texts)))
-        sets = [s for s in np.split(rank[inverse][order].astype(np.int32), ends[:-1])] if len(texts) else []
+        sets = [s for s in np.split(inverse[order].astype(np.int32), ends[:-1])] if len(texts) else []
         by = sorted((i for i in range(len(sets)) if len(sets[i])), key=lambda i: sets[i].astype(">i4").tobytes())
         head: dict = {}
         parent = [head.setdefault(comps[i], k) if comps[i] is not None else k for k, i in enumerate(by)]
@@ -339,6 +345,21 @@ def _block(size: int, percent: int, sketch):
     return run
 
 
+def _names(text: Column) -> tuple[Column, Column]:
+    """Two hashes of a text."""
+    return F.xxhash64(text), F.xxhash64(text, F.lit("other"))
+
+
+def _apart(seen: DataFrame) -> Column:
+    """The number of a text: its first hash, or its second one where different texts share the first.
+
+    Among n texts n² / 2**65 first hashes are shared, none or a few thousand whatever the corpus.
+    """
+    both = seen.where("slot is null").groupBy("node").agg(F.min("other").alias("a"), F.max("other").alias("b")).where("a <> b").select("node")
+    shared_ones = [r.node for r in both.collect()]
+    return F.when(F.col("node").isin(shared_ones), F.col("other")).otherwise(F.col("node")) if shared_ones else F.col("node")
+
+
 def join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, limit: int = LIMIT, hot_least: int = HOT_LEAST) -> DataFrame:
     """Components of documents whose sets of word shingles have a Jaccard similarity of ``percent`` or more.
 
@@ -347,21 +368,23 @@ def join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, limit: in
     A-Z in lower case; a text of fewer words than ``size`` is one shingle. Null and wordless texts have an
     empty set and are their own component. Each row is a document: equal texts are linked, rows that repeat
     a doc_id with different texts are not linked by the id. A row without doc_id has a null component_id
-    unless a linked document has an id. An empty table gives no rows. ``node`` is the hash of the text and
+    unless a linked document has an id. An empty table gives no rows. ``hash`` and ``other`` are two hashes of the text and
     ``first`` is true for the rows that stand for their component: those of its smallest (doc_id, node), and
     all rows without words.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("node", F.xxhash64("text"))
+    docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).select("doc_id", "text", *[h.alias(c) for h, c in zip(_names(F.col("text")), ("node", "other"))])
     run, schema = _measure(size)
     seen = shared.table(docs.mapInArrow(run, schema), "shingles")
+    apart = _apart(seen)
+    docs = docs.select("doc_id", "text", apart.alias("node"))
     slots = seen.where("slot is not null").select("slot", "data").groupBy("slot").applyInArrow(_add_slots, "slot int, data binary").collect()
     counts = np.zeros((1 << (SKETCH_BITS - SLOT_BITS), 1 << SLOT_BITS), np.uint32)
     for r in slots:
         counts[r.slot] = np.frombuffer(zlib.decompress(r.data), "<u4")
     hot = max(hot_least, int(HOT_TIMES * counts.mean()))
     sketch = spark.sparkContext.broadcast(counts.ravel())
-    rows = seen.where("slot is null").select("doc_id", "node", "n")
+    rows = seen.where("slot is null").select("doc_id", F.col("node").alias("hash"), "other", apart.alias("node"), "n")
 
     total = int(rows.agg(F.sum("n")).first()[0] or 0)
     run, schema = _prefixes(size, percent, sketch, hot, max(1, total // SHARD_SHINGLES))
@@ -406,17 +429,26 @@ def join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, limit: in
         left = wide.where("component <> main").select("leader", "band", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part"), side.alias("side"), "node", "component")
         more = shared.table(links(shared.table(rest.unionByName(left), "blocks")), "links")
         component = merge_components(component, more)
-    rooted = rows.join(component, "node", "left").select("doc_id", "node", "n", F.when(F.col("n") > 0, F.coalesce("component", "node")).alias("root"))
-    rank = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "node")
-    least = rooted.where("root is not null").groupBy("root").agg(F.min(rank).alias("least"))
-    joined = rooted.join(least, "root", "left")
-    none = F.col("root").isNull()
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), F.when(none, F.col("doc_id")).otherwise(F.col("least.doc_id")).alias("component_id"), "node", (none | (F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("node") == F.col("least.node")))).alias("first"))
+    # By text first: copies of one text are many rows, and meet their component once.
+    without = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "node")
+    texts = rows.where("n > 0").groupBy("node").agg(F.min(without).alias("least")).join(component, "node", "left").select("node", "least", F.coalesce("component", "node").alias("root"))
+    # Texts of one component are many as well: they are spread over SPREAD copies of what its smallest one is.
+    every = texts.groupBy("root").agg(F.min("least").alias("least")).select("root", "least", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("salt"))
+    found = texts.select("node", "root", F.pmod(F.xxhash64("node", F.lit(2)), F.lit(SPREAD)).cast("int").alias("salt")).join(every, ["root", "salt"]).select("node", "least")
+    joined = rows.join(found, "node", "left")
+    none = F.col("least").isNull()
+    return joined.select("doc_id", F.col("n").alias("n_shingles"), F.when(none, F.col("doc_id")).otherwise(F.col("least.doc_id")).alias("component_id"), "hash", "other", (none | (F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("node") == F.col("least.node")))).alias("first"))
 
 
 def keep_first(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """One row of ``docs`` of each component, with all of its columns, and the rows without words."""
-    marked = join(docs, size, percent).where("first").select(F.col("doc_id").alias("kept_id"), F.col("node").alias("kept_node"), (F.col("n_shingles") == 0).alias("bare")).distinct()
-    rows = docs.join(marked.hint("merge"), docs["doc_id"].eqNullSafe(marked["kept_id"]) & (F.xxhash64(docs["text"].cast("string")) == marked["kept_node"]))
-    # Rows that repeat both id and text are told apart by nothing: one of them stays.
-    return rows.dropDuplicates(["kept_id", "kept_node"]).select(*[docs[c] for c in docs.columns])
+    """One row of ``docs`` of each component, with all of its columns, and the rows without words.
+
+    The row with the smallest doc_id stays, then that with the smallest hash of its text; rows without
+    doc_id stay only where no linked row has one. Of rows that repeat both id and text one stays. Columns of
+    any name are carried; an empty table gives no rows.
+    """
+    marked = join(docs, size, percent).where("first").select("doc_id", "hash", "other").distinct().alias("m")
+    whole = docs.select(docs["doc_id"].cast("long").alias("doc_id"), *[h.alias(c) for h, c in zip(_names(docs["text"].cast("string")), ("hash", "other"))], F.struct(*[docs[c].alias(f"_{i}") for i, c in enumerate(docs.columns)]).alias("row")).alias("w")
+    same = F.col("w.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("w.hash") == F.col("m.hash")) & (F.col("w.other") == F.col("m.other"))
+    rows = whole.join(marked.hint("merge"), same).select("w.doc_id", "w.hash", "w.other", "row")
+    return rows.dropDuplicates(["doc_id", "hash", "other"]).select(*[F.col("row")[f"_{i}"].alias(c) for i, c in enumerate(docs.columns)])

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from . import kernel, resident
 from .ngram_join import _batches
 
-#: Hashed features: one half for words and word pairs, one for byte 2- and 3-grams.
+#: Hashed features: one half for words and word pairs, one for character 2- and 3-grams.
 BITS = 16
 #: Labelled rows that the classifier is fitted on at most (smallest hashes of doc_id); a quarter calibrates.
 SAMPLE_ROWS, HELD_OUT = 3000, 4
@@ -46,54 +46,57 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -35, 35)))
 
 
-def _features(w: kernel.Words) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(document, feature) of word n-grams and of byte n-grams, both in document order."""
-    half = 1 << (BITS - 1)
-    one = w.hashes()
-    at, two = w.windows(2, words=one)
-    words = np.concatenate((one, two)) >> np.uint64(64 - BITS + 1)
-    docs = np.concatenate((w.doc, w.doc[at]))
-    b = w.bytes.astype(np.uint32)
-    pair = b[:-1] | b[1:] << np.uint32(8)
-    third = np.append(b[2:], np.uint32(32))
-    third[w.doc_end - 1] = 32  # a separator follows the document's own, not the next document
-    three = pair | third << np.uint32(16)
-    spread = lambda x, salt: (x * np.uint32(2654435761) + np.uint32(salt) * np.uint32(40503)) >> np.uint32(32 - BITS + 1)
-    out = [(docs, words.astype(np.int32))]
-    for grams, salt in ((pair, 1), (three, 2)):
-        out.append((None, spread(grams, salt).astype(np.int32) + half))
-    return out
+class Batch:
+    """Words and characters of some documents."""
+
+    def __init__(self, texts: list[bytes]):
+        self.texts, self.words = texts, kernel.Words(texts)
+        decoded = [t.decode("utf-8", "replace") for t in texts]
+        lengths = np.fromiter(map(len, decoded), np.int64, len(texts))
+        #: Characters of all documents, a separator after each.
+        self.chars = np.frombuffer((" ".join(decoded) + " ").encode("utf-32-le"), np.uint32)
+        self.end = np.cumsum(lengths + 1) - 1
+        self.start = self.end - lengths
 
 
-def _sums(w: kernel.Words, values: np.ndarray) -> np.ndarray:
-    """Sum per document of values given per byte."""
-    total = np.concatenate(([0], np.cumsum(values)))
-    last = len(total) - 1
-    return total[np.minimum(w.doc_end, last)] - total[np.minimum(w.doc_start, last)]
+def _features(b: Batch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Document and feature of word n-grams; feature of the character 2-gram and 3-gram at each character."""
+    half = 1 << (BITS - 1)
+    w = b.words
+    one, at = w.hashes(), w.windows(2)
+    words = np.concatenate((one, w.window_hashes(at, 2))) >> np.uint64(64 - BITS + 1)
+    docs = np.concatenate((w.doc, w.doc[at]))
+    c = b.chars.astype(np.uint64)
+    pair = c[:-1] | c[1:] << np.uint64(21)
+    third = np.append(c[2:], np.uint64(32))
+    third[b.end - 1] = 32  # a separator follows the document's own, not the next document
+    three = pair | third << np.uint64(42)
+    spread = lambda x, salt: ((x * kernel.MIX_1 + np.uint64(salt)) * kernel.MIX_2 >> np.uint64(64 - BITS + 1)).astype(np.int32) + half
+    return docs, words.astype(np.int32), spread(pair, 1), spread(three, 2)
 
 
-def _means(w: kernel.Words, values: np.ndarray) -> np.ndarray:
-    """Mean per document of values given per byte, added up within the document alone."""
+def _means(b: Batch, values: np.ndarray) -> np.ndarray:
+    """Mean per document of values given per character, added up within the document alone."""
     inside = np.append(values.astype(np.float64), 0.0)
-    inside[w.doc_end] = 0
-    return np.add.reduceat(inside, w.doc_start) / np.maximum(1, w.doc_end - w.doc_start)
+    inside[b.end] = 0
+    return np.add.reduceat(inside, b.start) / np.maximum(1, b.end - b.start)
 
 
-def margins(w: kernel.Words, weights: np.ndarray) -> np.ndarray:
-    """Linear score of each document without bias: mean weight over its words' and over its bytes' features."""
-    (docs, words), (_, pair), (_, three) = _features(w)
-    n = len(w.doc_start)
+def margins(b: Batch, weights: np.ndarray) -> np.ndarray:
+    """Linear score of each document without bias: mean weight over its words' and over its characters' features."""
+    docs, words, pair, three = _features(b)
+    n = len(b.texts)
     per_word = np.bincount(docs, weights[words], n) / np.maximum(1, np.bincount(docs, minlength=n))
-    return SCALE * (per_word + _means(w, weights[pair] + weights[three]) / 2)
+    return SCALE * (per_word + _means(b, weights[pair] + weights[three]) / 2)
 
 
-def vectors(w: kernel.Words) -> list[tuple[np.ndarray, np.ndarray]]:
+def vectors(b: Batch) -> list[tuple[np.ndarray, np.ndarray]]:
     """Features and their values of each document, as ``margins`` weighs them."""
-    (docs, words), (_, pair), (_, three) = _features(w)
+    docs, words, pair, three = _features(b)
     out = []
     order = np.argsort(docs, kind="stable")
-    ends = np.searchsorted(docs[order], np.arange(len(w.doc_start) + 1))
-    for d, (x, y) in enumerate(zip(w.doc_start.tolist(), w.doc_end.tolist())):
+    ends = np.searchsorted(docs[order], np.arange(len(b.texts) + 1))
+    for d, (x, y) in enumerate(zip(b.start.tolist(), b.end.tolist())):
         own = words[order[ends[d] : ends[d + 1]]]
         idx = np.concatenate((own, pair[x:y], three[x:y]))
         val = np.concatenate((np.full(len(own), SCALE / max(1, len(own))), np.full(len(idx) - len(own), SCALE / (2 * max(1, y - x)))))
@@ -103,8 +106,10 @@ def vectors(w: kernel.Words) -> list[tuple[np.ndarray, np.ndarray]]:
 
 
 def counts(texts: list[bytes], w: kernel.Words) -> dict[str, np.ndarray]:
-    data = w.bytes
-    inside = ~kernel._SPACE[data] & ((data & 0xC0) != 0x80)
+    """The base rule's counts; words are told apart by 128 bits of a cryptographic hash."""
+    b = kernel.Bytes(texts)
+    total = lambda flags: np.diff(np.concatenate(([0], np.cumsum(flags)))[np.stack((b.doc_start, b.doc_end))], axis=0)[0]
+    inside = ~kernel.SPACE[b.bytes] & ((b.bytes & 0xC0) != 0x80)
     dup = []
     for t in texts:
         seen, n = set(), 0
@@ -114,19 +119,20 @@ def counts(texts: list[bytes], w: kernel.Words) -> dict[str, np.ndarray]:
             elif line.strip():
                 seen.add(line)
         dup.append(n)
-    at, h = w.windows(3)
-    repeat = np.zeros(len(w.doc_start), np.int64)
+    at = w.windows(3)
+    repeat = np.zeros(len(texts), np.int64)
     if len(at):
-        order = np.lexsort((h, w.doc[at]))
-        d, x = w.doc[at][order], h[order]
-        same = (d[1:] == d[:-1]) & (x[1:] == x[:-1])
+        x, y, doc = w.window_hashes(at, 3), w.window_hashes(at, 3, 1), w.doc[at]
+        order = np.lexsort((y, x, doc))
+        d, x, y = doc[order], x[order], y[order]
+        same = (d[1:] == d[:-1]) & (x[1:] == x[:-1]) & (y[1:] == y[:-1])
         many = np.concatenate(([False], same)) | np.concatenate((same, [False]))
         hit = at[order[many]]
-        cover = np.zeros(len(w.start) + 1, np.int32)
+        cover = np.zeros(len(w.doc) + 1, np.int32)
         np.add.at(cover, hit, 1)
         np.add.at(cover, hit + 3, -1)
         repeat = np.bincount(w.doc[np.cumsum(cover[:-1]) > 0], minlength=len(repeat))
-    return dict(zip(COUNTS, (w.count.astype(np.int64), _sums(w, inside), _sums(w, _SYMBOL[data]), np.array(dup, np.int64), repeat)))
+    return dict(zip(COUNTS, (w.count, total(inside), total(_SYMBOL[b.bytes]), np.array(dup, np.int64), repeat)))
 
 
 def fit(x: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, held: np.ndarray) -> Model | None:
@@ -177,19 +183,21 @@ def platt(m: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> tuple[list, np.ndarray, np.ndarray]:
     """Feature vectors, labels and held-out marks of a bounded sample of labelled documents.
 
-    Rows of one doc_id vote; ties and null labels are left out. The sample has ``rows`` doc_ids at most.
+    Labels of one doc_id vote; ties and null labels are left out. The sample has ``rows`` doc_ids at most, and
+    of documents that repeat one of them the one with the smallest hash of its text.
     """
-    few = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.avg(F.col("quality").cast("double")).alias("q")).where("q <> 0.5").select("doc_id", (F.col("q") > 0.5).cast("int").alias("y"), F.xxhash64("doc_id").alias("h")).orderBy("h", "doc_id").limit(rows)
+    few = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.avg(F.col("quality").cast("double")).alias("q")).where("q <> 0.5").select("doc_id", (F.col("q") > 0.5).cast("int").alias("y"), F.xxhash64("doc_id").alias("h")).orderBy("h", "doc_id").limit(rows)
 
     def run(batches: Iterator[pa.RecordBatch]):
         for b in batches:
             texts = [t or b"" for t in b.column("text").cast(pa.binary()).to_pylist()]
             for x, y in _batches([], texts):
-                got = vectors(kernel.Words(texts[x:y]))
+                got = vectors(Batch(texts[x:y]))
                 yield pa.RecordBatch.from_arrays([b.column("h")[x:y], b.column("doc_id")[x:y], b.column("y")[x:y], pa.array([i.astype("<u4").tobytes() for i, _ in got]), pa.array([v.tobytes() for _, v in got])], names=["h", "doc_id", "y", "idx", "val"])
 
-    joined = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(few), "doc_id").select("h", "doc_id", "y", "text")
-    got = joined.mapInArrow(run, "h long, doc_id long, y int, idx binary, val binary").toArrow().sort_by([("h", "ascending"), ("doc_id", "ascending"), ("idx", "ascending")]).slice(0, 2 * rows)
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(few), "doc_id")
+    joined = found.groupBy("h", "doc_id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    got = joined.mapInArrow(run, "h long, doc_id long, y int, idx binary, val binary").toArrow().sort_by([("h", "ascending"), ("doc_id", "ascending")])
     x = [(np.frombuffer(i, "<u4"), np.frombuffer(v, np.float32)) for i, v in zip(got.column("idx").to_pylist(), got.column("val").to_pylist())]
     held = np.array([h % HELD_OUT == 0 for h in got.column("h").to_pylist()], bool)
     return x, np.array(got.column("y").to_pylist(), np.int64), held
@@ -202,10 +210,10 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model
 
 def _judge(model: Model | None, threshold: float):
     def judge(texts: list[bytes]) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
-        w = kernel.Words(texts)
-        c = counts(texts, w)
+        b = Batch(texts)
+        c = counts(texts, b.words)
         failed = (c["n_words"] < FEWEST) | (100 * c["n_repeat_words"] > REPEATED * c["n_words"])
-        p = np.ones(len(texts)) if model is None else model.probability(margins(w, model.weights) + model.bias)
+        p = np.ones(len(texts)) if model is None else model.probability(margins(b, model.weights) + model.bias)
         return c, failed, p, ~failed & (p >= threshold)
 
     return judge
@@ -236,7 +244,11 @@ def rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, mode
 
 
 def keep(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, model: Model | None = None) -> DataFrame:
-    """The rows of ``docs`` that pass, with all of their columns."""
+    """The rows of ``docs`` that pass, with all of their columns.
+
+    Takes ``doc_id`` and ``text`` by name whatever other columns there are. Null and empty texts fail; rows
+    without doc_id are judged by their text; repeated rows stay or go together; an empty table gives no rows.
+    """
     model = model or train(docs, labels)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -16,7 +16,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import ngram_join
 
-    return ngram_join.join(_table(spark, sf_dir, "documents")).drop("node", "first")
+    return ngram_join.join(_table(spark, sf_dir, "documents")).drop("hash", "other", "first")
 
 
 def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:

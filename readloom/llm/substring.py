@@ -1,9 +1,10 @@
 """Substring dedup by windows of words, with a count-min prefilter.
 
-Each chunk makes a sketch (one row of saturating counters, sparse) of its windows; merged,
-the sketches overestimate in how many documents a window starts. Windows whose cell says
-one document cannot repeat. Only the others are grouped exactly, by 96 bits of hash, so
-no repeated window is lost.
+Each chunk of documents counts its windows in a sketch: two rows of counters, a window adding to one
+counter of each row, once for each document of the chunk up to two. The sketches of all chunks are added up,
+shard by shard of the counters' range, and the smaller of a window's two counters overestimates in how many
+documents it starts. Windows of which it is one cannot repeat; all others are grouped exactly, by 128 bits
+made of their words' cryptographic hashes, so no repeated window is lost.
 """
 
 from __future__ import annotations
@@ -17,89 +18,102 @@ from pyspark.sql import DataFrame
 from . import chunks, kernel
 
 WINDOW = 13
-#: Cells for each expected window: the share of single windows that pass the sketch is near 1 / CELLS.
-CELLS = 8
+#: Rows of the sketch, and counters of a row for each expected window.
+ROWS, CELLS = 2, 4
+#: Bytes of text for each shard of the sketch and of the windows, and what a counter holds at most.
+SHARD_BYTES, FULL = 32 << 20, 250
 LAST = np.iinfo(np.int64).max
 OUT = "doc_id long, n_words long, n_removed long, kept_sha256 string, text string"
 
 
-def _cuts(keys: np.ndarray, n: int) -> np.ndarray:
-    """Where the shards 0..n begin in sorted 64-bit keys."""
-    return np.searchsorted(keys, np.array([-(-(s << 64) // n) for s in range(n)], np.uint64)) if n > 1 else np.zeros(1, np.int64)
-
-
-class _Chunk:
-    """Windows of one chunk: their hash, first word and document rank."""
+class _Windows:
+    """All windows of a chunk: 128 bits of hash, and the document's rank; of its words only the last pack's are held."""
 
     def __init__(self, table: pa.Table, size: int):
-        self.ids, self.texts = chunks.rows(table)
-        self.words = kernel.Words(self.texts)
-        self.at, self.h = self.words.windows(size, kernel.A)
-        rank = np.array([LAST if i is None else i for i in self.ids], np.int64)
-        self.doc = rank[self.words.doc[self.at]] if len(self.at) else np.empty(0, np.int64)
-
-    def groups(self, pick: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Order of the picked windows by key, begin of each group, smallest and largest document of it."""
-        order = pick[np.argsort(key[pick], kind="stable")]
-        k = key[order]
-        begin = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1]))) if len(k) else np.empty(0, np.int64)
-        if not len(k):
-            return order, begin, begin, begin
-        return order, begin, np.minimum.reduceat(self.doc[order], begin), np.maximum.reduceat(self.doc[order], begin)
-
-
-def _pack_cells(cells: np.ndarray, several: np.ndarray) -> bytes:
-    gaps = np.diff(cells, prepend=np.uint64(0))
-    wide = 8 if len(gaps) and gaps.max() >= 1 << 32 else 4 if len(gaps) and gaps[1:].max(initial=0) >= 1 << 16 or len(gaps) and gaps[0] >= 1 << 16 else 2
-    return bytes([wide]) + len(cells).to_bytes(4, "little") + gaps.astype(f"<u{wide}").tobytes() + kernel.bits(several)
-
-
-def _unpack_cells(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    wide, n = data[0], int.from_bytes(data[1:5], "little")
-    gaps = np.frombuffer(data, f"<u{wide}", n, 5)
-    return np.cumsum(gaps, dtype=np.uint64), kernel.unbits(data[5 + wide * n :], n)
-
-
-def _merge_sketches(got: list[tuple[int, bytes]]) -> list[tuple[int, bytes]]:
-    parts = [_unpack_cells(d) for _, d in got]
-    cells = np.concatenate([c for c, _ in parts])
-    several = np.concatenate([s for _, s in parts])
-    _, inverse, count = np.unique(cells, return_inverse=True, return_counts=True)
-    many = (count > 1) | (np.bincount(inverse, several, len(count)) > 0)
-    out, at = [], 0
-    for (chunk, _), (c, _) in zip(got, parts):
-        out.append((chunk, kernel.bits(many[inverse[at : at + len(c)]])))
-        at += len(c)
-    return out
-
-
-def _merge_windows(got: list[tuple[int, bytes]]) -> list[tuple[int, bytes]]:
+        a, b, doc = [], [], []
+        for ids, texts in chunks.slices(table):
+            words = kernel.Words(texts)
+            at = words.windows(size)
+            rank = np.array([LAST if i is None else i for i in ids], np.int64)
+            a.append(words.window_hashes(at, size))
+            b.append(words.window_hashes(at, size, 1))
+            doc.append(rank[words.doc[at]])
+        empty = np.empty(0, np.uint64)
+        self.a, self.b, self.doc = np.concatenate([empty, *a]), np.concatenate([empty, *b]), np.concatenate([empty.astype(np.int64), *doc])
+
+    def row(self, r: int, step: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Order of the windows by their counter in a row of the sketch, begin of each counter in it, and the counters."""
+        cell = (self.b if r else self.a) // np.uint64(step)
+        order = np.argsort(cell, kind="stable")
+        cell = cell[order]
+        begin = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1]))) if len(cell) else np.empty(0, np.int64)
+        return order, begin, cell[begin]
+
+    def candidates(self, answer: pa.Table, step: int, n: int) -> np.ndarray:
+        """Windows of which both counters reached two."""
+        many = np.ones(len(self.a), bool)
+        for r in range(ROWS):
+            order, begin, cell = self.row(r, step)
+            got = chunks.flags(answer, r, cell * np.uint64(step), n)
+            many[order] &= np.repeat(got, np.diff(np.append(begin, len(order))))
+        return np.flatnonzero(many)
+
+    def groups(self, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Order of the picked windows by hash, begin of each group of equal ones, smallest document of it."""
+        order = pick[np.lexsort((self.b[pick], self.a[pick]))]
+        if not len(order):
+            return order, order, order
+        a, b = self.a[order], self.b[order]
+        begin = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]))))
+        return order, begin, np.minimum.reduceat(self.doc[order], begin)
+
+
+def _add(step: int, n: int):
+    """Adds up what the chunks counted in a shard of each row, and tells each chunk which of its counters reached two."""
+    width = (1 << 64) // n // step + 2
+
+    def read(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+        at = 4 + int.from_bytes(data[:4], "little")
+        cell = chunks.unpack_keys(data[at:]).astype(np.int64)
+        return cell, kernel.unbits(data[4:at], len(cell))
+
+    def merge(shard: int, got: list[tuple[int, int, bytes]]) -> list[tuple[int, int, bytes]]:
+        out = []
+        for r in range(ROWS):
+            counters, mine = np.zeros(width, np.uint8), [(c, d) for t, c, d in got if t == r]
+            for _, d in mine:
+                cell, several = read(d)
+                counters[cell] = np.minimum(counters[cell] + several + np.uint8(1), FULL)
+            out += [(r, c, kernel.bits(counters[read(d)[0]] > 1)) for c, d in mine]
+        return out
+
+    return merge
+
+
+def _merge_windows(shard: int, got: list[tuple[int, int, bytes]]) -> list[tuple[int, int, bytes]]:
     """Each chunk learns for which of its windows another chunk has a smaller document."""
-    parts = [(int.from_bytes(d[:4], "little"), d[5:], d[4]) for _, d in got]
+    parts = [(int.from_bytes(d[:4], "little"), d[5:], d[4]) for _, _, d in got]
     a = np.concatenate([np.frombuffer(d, "<u8", n) for n, d, _ in parts])
-    b = np.concatenate([np.frombuffer(d, "<u4", n, 8 * n) for n, d, _ in parts])
-    doc = np.concatenate([np.frombuffer(d, "<i8", n, 12 * n) if wide else np.frombuffer(d, "<u4", n, 12 * n + 8).astype(np.int64) + int.from_bytes(d[12 * n : 12 * n + 8], "little", signed=True) for n, d, wide in parts])
+    b = np.concatenate([np.frombuffer(d, "<u8", n, 8 * n) for n, d, _ in parts])
+    doc = np.concatenate([np.frombuffer(d, "<i8", n, 16 * n) if wide else np.frombuffer(d, "<u4", n, 16 * n + 8).astype(np.int64) + int.from_bytes(d[16 * n : 16 * n + 8], "little", signed=True) for n, d, wide in parts])
     order = np.lexsort((doc, b, a))
     x, y = a[order], b[order]
     begin = np.concatenate(([True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])))
     least = np.empty(len(a), np.int64)
     least[order] = doc[order][np.flatnonzero(begin)][np.cumsum(begin) - 1]
     smaller = least < doc
-    out, at = [], 0
-    for (chunk, _), (n, _, _) in zip(got, parts):
-        out.append((chunk, kernel.bits(smaller[at : at + n])))
-        at += n
-    return out
+    ends = np.cumsum([n for n, _, _ in parts])
+    return [(t, c, kernel.bits(smaller[e - n : e])) for (t, c, _), (n, _, _), e in zip(got, parts, ends)]
 
 
 def _pack_windows(a: np.ndarray, b: np.ndarray, doc: np.ndarray) -> bytes:
     base = int(doc.min())
     wide = int(doc.max()) - base >= 1 << 32
-    head = len(a).to_bytes(4, "little") + bytes([wide]) + a.astype("<u8").tobytes() + b.astype("<u4").tobytes()
+    head = len(a).to_bytes(4, "little") + bytes([wide]) + a.astype("<u8").tobytes() + b.astype("<u8").tobytes()
     return head + (doc.astype("<i8").tobytes() if wide else base.to_bytes(8, "little", signed=True) + (doc - base).astype("<u4").tobytes())
 
 
-def dedup(docs: DataFrame, window: int = WINDOW, chunk_bytes: int = chunks.CHUNK_BYTES) -> DataFrame:
+def dedup(docs: DataFrame, window: int = WINDOW, chunk_bytes: int = chunks.CHUNK_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Remove each word covered by a window of words that also starts in a document of smaller doc_id.
 
     Takes ``doc_id`` and ``text`` of ``docs``; other columns are ignored. One row per input row:
@@ -107,65 +121,61 @@ def dedup(docs: DataFrame, window: int = WINDOW, chunk_bytes: int = chunks.CHUNK
     has no words. A row without doc_id comes after all others; rows that repeat a doc_id count as
     the same document, so a window shared by them only is kept. An empty table gives no rows.
     """
-    dealt, n, total = chunks.deal(docs.select("doc_id", "text"), chunk_bytes)
-    width = max(1 << 16, CELLS * total // 6)
-    step = np.uint64((1 << 64) // width)
-
-    def cells(c: _Chunk) -> tuple[np.ndarray, ...]:
-        return c.groups(np.arange(len(c.h)), c.h // step)
+    dealt, total = chunks.deal(docs, chunk_bytes)
+    n = chunks.shards(dealt, total, shard_bytes)
+    step = (1 << 64) // max(1 << 16, CELLS * total // 6)
 
     def sketch(table: pa.Table) -> pa.Table:
-        c = _Chunk(table, window)
-        order, begin, low, high = cells(c)
-        cell, several, chunk = (c.h[order[begin]] // step), low != high, table.column("chunk")[0].as_py()
-        cut = np.append(_cuts(cell * step, n), len(cell))
-        return chunks.packed([(1, chunk, s, _pack_cells(cell[x:y], several[x:y])) for s, (x, y) in enumerate(zip(cut, cut[1:])) if y > x])
-
-    def flags(answer: pa.Table, tag: int, key: np.ndarray) -> np.ndarray:
-        """Answered bits in the order of the sorted keys that were sent."""
-        cut, got = np.append(_cuts(key, n), len(key)), chunks.answers(answer, tag)
-        parts = [kernel.unbits(got[s], y - x) for s, (x, y) in enumerate(zip(cut, cut[1:])) if y > x]
-        return np.concatenate(parts) if parts else np.empty(0, bool)
-
-    def candidates(c: _Chunk, answer: pa.Table) -> tuple[np.ndarray, ...]:
-        order, begin, _, _ = cells(c)
-        cell = c.h[order[begin]] // step
-        many = flags(answer, 1, cell * step)
-        pick = order[np.repeat(many, np.diff(np.append(begin, len(order))))]
-        return c.groups(pick, c.h)
-
-    def exact(docs: pa.Table, answer: pa.Table) -> pa.Table:
-        c = _Chunk(docs, window)
-        order, begin, low, _ = candidates(c, answer)
-        if not len(begin):
-            return chunks.packed([])
-        key, at = c.h[order[begin]], c.at[order[begin]]
-        second = c.words.windows(window, kernel.B)[1][order[begin]] >> np.uint64(32)
-        cut, chunk = np.append(_cuts(key, n), len(key)), docs.column("chunk")[0].as_py()
-        return chunks.packed([(2, chunk, s, _pack_windows(key[x:y], second[x:y], low[x:y])) for s, (x, y) in enumerate(zip(cut, cut[1:])) if y > x])
-
-    def finish(docs: pa.Table, answer: pa.Table) -> pa.Table:
-        c = _Chunk(docs, window)
-        order, begin, low, _ = candidates(c, answer)
-        smaller = flags(answer, 2, c.h[order[begin]])
-        size = np.diff(np.append(begin, len(order)))
-        gone = order[np.repeat(smaller, size) | (c.doc[order] > np.repeat(low, size))]
-        cover = np.zeros(len(c.words.start) + 1, np.int32)
-        np.add.at(cover, c.at[gone], 1)
-        np.add.at(cover, c.at[gone] + window, -1)
-        dead = np.cumsum(cover[:-1]) > 0
-        removed = np.bincount(c.words.doc[dead], minlength=len(c.ids)) if len(dead) else np.zeros(len(c.ids), np.int64)
-        texts, shas = [], []
-        for i, t in enumerate(c.texts):
-            words = t.split()
-            if removed[i]:
-                f = c.words.first[i]
-                words = [w for w, d in zip(words, dead[f : f + len(words)].tolist()) if not d]
-            kept = b" ".join(words)
-            texts.append(kept)
-            shas.append(hashlib.sha256(kept).hexdigest())
-        return pa.table({"doc_id": pa.array(c.ids, pa.int64()), "n_words": c.words.count.astype(np.int64), "n_removed": removed.astype(np.int64), "kept_sha256": pa.array(shas, pa.string()), "text": pa.array(texts, pa.binary()).cast(pa.string())})
-
-    first = chunks.merge(chunks.send(dealt, sketch), _merge_sketches)
+        w, chunk, out = _Windows(table, window), table.column("chunk")[0].as_py(), []
+        for r in range(ROWS):
+            order, begin, cell = w.row(r, step)
+            if not len(begin):
+                continue
+            several = np.minimum.reduceat(w.doc[order], begin) != np.maximum.reduceat(w.doc[order], begin)
+            for s, x, y in chunks.parts(cell * np.uint64(step), n):
+                bits = kernel.bits(several[x:y])
+                out.append((r, chunk, s, len(bits).to_bytes(4, "little") + bits + chunks.pack_keys(cell[x:y] - np.uint64(-(-(s << 64) // n) // step))))
+        return chunks.packed(out)
+
+    def exact(table: pa.Table, answer: pa.Table) -> pa.Table:
+        w, chunk = _Windows(table, window), table.column("chunk")[0].as_py()
+        order, begin, low = w.groups(w.candidates(answer, step, n))
+        a, b = w.a[order[begin]], w.b[order[begin]]
+        return chunks.packed([(ROWS, chunk, s, _pack_windows(a[x:y], b[x:y], low[x:y])) for s, x, y in chunks.parts(a, n)])
+
+    def finish(table: pa.Table, answer: pa.Table) -> pa.Table:
+        w = _Windows(table, window)
+        order, begin, low = w.groups(w.candidates(answer, step, n))
+        smaller, size = chunks.flags(answer, ROWS, w.a[order[begin]], n), np.diff(np.append(begin, len(order)))
+        gone = np.zeros(len(w.a), bool)
+        gone[order] = np.repeat(smaller, size) | (w.doc[order] > np.repeat(low, size))
+        out, done = [], 0
+        for ids, texts in chunks.slices(table):
+            out.append(_cut(ids, texts, gone, done, window))
+            done += len(out[-1][1])
+        return pa.concat_tables([t for t, _ in out])
+
+    first = chunks.merge(chunks.send(dealt, sketch), _add(step, n))
     second = chunks.merge(chunks.reply(dealt, first, exact, chunks.PACKED), _merge_windows)
     return chunks.reply(dealt, first.unionByName(second), finish, OUT)
+
+
+def _cut(ids: list, texts: list[bytes], gone: np.ndarray, done: int, window: int) -> tuple[pa.Table, np.ndarray]:
+    """The rows of a pack, of whose windows the first is number ``done`` of the chunk; and the windows' first words."""
+    split = [t.split() for t in texts]
+    count = np.fromiter(map(len, split), np.int64, len(split))
+    first, doc = np.cumsum(count) - count, np.repeat(np.arange(len(split)), count)
+    at = np.flatnonzero(doc[window - 1 :] == doc[: len(doc) - window + 1]) if len(doc) >= window else np.empty(0, np.int64)
+    hit = at[gone[done : done + len(at)]]
+    cover = np.zeros(len(doc) + 1, np.int32)
+    np.add.at(cover, hit, 1)
+    np.add.at(cover, hit + window, -1)
+    dead = np.cumsum(cover[:-1]) > 0
+    removed = np.bincount(doc[dead], minlength=len(ids)) if len(dead) else np.zeros(len(ids), np.int64)
+    kept = []
+    for i, words in enumerate(split):
+        if removed[i]:
+            words = [w for w, d in zip(words, dead[first[i] : first[i] + len(words)].tolist()) if not d]
+        kept.append(b" ".join(words))
+    shas = [hashlib.sha256(k).hexdigest() for k in kept]
+    return pa.table({"doc_id": pa.array(ids, pa.int64()), "n_words": count, "n_removed": removed.astype(np.int64), "kept_sha256": pa.array(shas, pa.string()), "text": pa.array(kept, pa.binary()).cast(pa.string())}), at
