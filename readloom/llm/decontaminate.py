@@ -1,27 +1,32 @@
 """Benchmark decontamination with one Aho-Corasick automaton.
 
-The normalised windows of all benchmark items form one automaton. A document is normalised the
-same way, scanned once, and every match is mapped back to its words, and through the words to
-byte offsets of the original text. Benchmarks beyond a size bound are scanned in blocks of items,
-an automaton each, over the same documents; no item is left out.
+The normalised windows of all benchmark items form one automaton. Its letters are the digits of word
+numbers, so a word costs as many states as it has digits and a state has few ways on. A document is
+normalised the same way, scanned once, and every match is mapped back to its words, and through the words to
+byte offsets of the original text. Benchmarks beyond a bound on states are scanned in blocks of items, one
+block after another over a written table, so that one automaton is held at a time; no item is left out.
 """
 
 from __future__ import annotations
 
 import hashlib
 import pickle
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import kernel
+from . import kernel, resident, shared
 
 WINDOW = 10
-#: Bytes of item text in one automaton, which every executor holds.
-BLOCK_BYTES = 16 << 20
+#: States of one automaton at most, 40 bytes each, unless one item has more.
+BLOCK_STATES = 6_000_000
+#: Digits of a word's number.
+BASE = 48
 OUT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<string>, spans array<struct<begin: long, end: long>>"
+HELD = "doc_id long, text string, hits array<long>, items array<string>"
 
 
 def words(text: bytes) -> list[bytes]:
@@ -29,29 +34,51 @@ def words(text: bytes) -> list[bytes]:
     return text.translate(kernel.ALNUM_FOLD).split()
 
 
-def patterns(items: list[tuple[str | None, bytes]], window: int) -> dict[str, tuple[int, list[str | None]]]:
-    """Number of words and item ids, None where a row has none, of each window, as it stands in a normalised text."""
-    out: dict[str, tuple[int, list[str | None]]] = {}
-    for item, text in items:
-        w = words(text)
-        for i in range(max(1, len(w) - window + 1) if w else 0):
-            part = w[i : i + window]
-            n, ids = out.setdefault(f" {b' '.join(part).decode('latin-1')} ", (len(part), []))
-            if not ids or ids[-1] != item:
-                ids.append(item)
-    return out
-
-
-def _automaton(found: dict[str, tuple[int, list[str | None]]]):
-    import ahocorasick
-
-    if not found:
-        return None
-    machine = ahocorasick.Automaton()
-    for pattern, value in found.items():
-        machine.add_word(pattern, value)
-    machine.make_automaton()
-    return machine
+class Automaton:
+    """All windows of some items (item_id or None, normalised words)."""
+
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], window: int):
+        import ahocorasick
+
+        number: dict[bytes, int] = {}
+        for _, w in items:
+            for x in w:
+                number.setdefault(x, len(number))
+        self.digits = _digits(len(number))
+        letter = [[chr(0x100 + BASE * k + d) for d in range(BASE)] for k in range(self.digits)]
+        self.written = {x: "".join(letter[k][i // BASE**k % BASE] for k in range(self.digits)) for x, i in number.items()}
+        self.unknown = "\0" * self.digits
+        self.length: list[int] = []  # words of each window
+        self.of: list[list[str | None]] = []  # and its items
+        seen: dict[str, int] = {}
+        for item, w in items:
+            for i in range(max(1, len(w) - window + 1) if w else 0):
+                part = w[i : i + window]
+                k = seen.setdefault("".join([self.written[x] for x in part]), len(self.of))
+                if k == len(self.of):
+                    self.length.append(len(part))
+                    self.of.append([])
+                if not self.of[k] or self.of[k][-1] != item:
+                    self.of[k].append(item)
+        self.machine = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for pattern, k in seen.items():
+            self.machine.add_word(pattern, k)
+        if seen:
+            self.machine.make_automaton()
+
+    def matches(self, w: list[bytes]) -> Iterator[tuple[int, int]]:
+        """(first word behind the match, window) of each match, from left to right."""
+        if self.of and w:
+            written, unknown = self.written, self.unknown
+            for end, k in self.machine.iter("".join([written.get(x, unknown) for x in w])):
+                yield end // self.digits + 1, k
+
+
+def _digits(words: int) -> int:
+    n = 1
+    while BASE**n < words:
+        n += 1
+    return n
 
 
 def word_spans(text: bytes, w: list[bytes]) -> list[tuple[int, int]]:
@@ -64,52 +91,53 @@ def word_spans(text: bytes, w: list[bytes]) -> list[tuple[int, int]]:
     return out
 
 
-def scan(text: bytes, machine) -> tuple[int, list[tuple[int, int]], set[str | None]]:
+def scan(text: bytes, machine: Automaton) -> tuple[int, list[tuple[int, int]], set[str | None]]:
     """Number of words, hit runs of words (first, last + 1) and items of a document."""
     w = words(text)
-    if not w:
-        return 0, [], set()
-    flat = f" {b' '.join(w).decode('latin-1')} "
-    runs: list[list[int]] = []
+    runs: list[tuple[int, int]] = []
     items: set[str | None] = set()
-    at = number = 0  # the number of spaces before byte ``at``
-    for end, (n, ids) in machine.iter(flat) if machine else ():
-        number += flat.count(" ", at, end)
-        at = end
-        first, last = number - n, number  # the space at ``end`` follows the window's last word
-        if runs and first <= runs[-1][1]:
-            while len(runs) > 1 and first <= runs[-2][1]:
-                runs[-2][1] = runs.pop()[1]
-            runs[-1] = [min(first, runs[-1][0]), max(last, runs[-1][1])]
-        else:
-            runs.append([first, last])
-        items.update(ids)
-    merged: list[list[int]] = []
+    for end, k in machine.matches(w):
+        runs.append((end - machine.length[k], end))
+        items.update(machine.of[k])
+    return len(w), merged(runs), items
+
+
+def merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[list[int]] = []
     for a, b in sorted(runs):
-        if merged and a <= merged[-1][1]:
-            merged[-1][1] = max(b, merged[-1][1])
+        if out and a <= out[-1][1]:
+            out[-1][1] = max(b, out[-1][1])
         else:
-            merged.append([a, b])
-    return len(w), [tuple(r) for r in merged], items
+            out.append([a, b])
+    return [(a, b) for a, b in out]
 
 
 def _sorted(items: set[str | None]) -> list[str | None]:
     return [*sorted(items - {None}), *items & {None}]
 
 
-def _blocks(benchmark: DataFrame, limit: int) -> Iterator[list[tuple[str | None, bytes]]]:
-    held, size = [], 0
-    for r in benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")).orderBy("item_id", "text").toLocalIterator():
-        text = (r.text or "").encode()
-        if held and size + len(text) > limit:
-            yield held
-            held, size = [], 0
-        held.append((r.item_id, text))
-        size += len(text)
-    yield held
+def _blocks(benchmark: DataFrame, window: int, limit: int) -> Iterator[tuple[list[tuple[str | None, list[bytes]]], bool]]:
+    """Blocks of items, and whether one is the last; an item is read at a time."""
+    held, states, distinct = [], 0, set()
+    for r in benchmark.select(benchmark["item_id"].cast("string").alias("item_id"), benchmark["text"].cast("string").alias("text")).orderBy("item_id", "text").toLocalIterator():
+        w = words((r.text or "").encode())
+        more = window * max(1, len(w) - window + 1)
+        if held and (states + more) * _digits(len(distinct | set(w))) > limit:
+            yield held, False
+            held, states, distinct = [], 0, set()
+        held.append((r.item_id, w))
+        distinct.update(w)
+        states += more
+    yield held, True
+
+
+def _sent(docs: DataFrame, block: list, window: int):
+    """A function that gives the block's automaton, made once in each worker."""
+    sent, name = docs.sparkSession.sparkContext.broadcast(pickle.dumps(block)), uuid.uuid4().hex
+    return lambda: resident.hold(("items", name), lambda: Automaton(pickle.loads(sent.value), window))
 
 
-def mark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def mark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_states: int = BLOCK_STATES) -> DataFrame:
     """Mark the words of documents that stand in a window of a benchmark item.
 
     Takes ``doc_id`` and ``text`` of ``docs``, ``item_id`` and ``text`` of ``benchmark``; other columns
@@ -120,73 +148,52 @@ def mark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_byte
     (byte ranges of the original UTF-8 text). Repeated rows are marked alike; empty
     tables give no rows, or no hits.
     """
-    spark = docs.sparkSession
-    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("hits", pa.list_(pa.int64())), ("items", pa.list_(pa.string())), ("n_words", pa.int64())])
-    now = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.expr("cast(array() as array<long>)").alias("hits"), F.expr("cast(array() as array<string>)").alias("items"), F.lit(0).cast("long").alias("n_words"))
-    blocks = list(_blocks(benchmark, block_bytes))
-    for block in blocks:
-        sent = spark.sparkContext.broadcast(pickle.dumps(patterns(block, window)))
-
-        def run(batches, sent=sent):
-            machine = _automaton(pickle.loads(sent.value))
+    held = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("hits", pa.list_(pa.int64())), ("items", pa.list_(pa.string()))])
+    now = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"), F.expr("cast(array() as array<long>)").alias("hits"), F.expr("cast(array() as array<string>)").alias("items"))
+    for block, last in _blocks(benchmark, window, block_states):
+
+        def run(batches, get=_sent(docs, block, window), last=last):
+            machine = get()
             for b in batches:
-                texts = [t or b"" for t in b.column("text").cast(pa.binary()).to_pylist()]
-                if len(blocks) == 1:
-                    hits, items, counts = [], [], []
-                    for t in texts:
-                        n, runs, found = scan(t, machine)
-                        hits.append([x for r in runs for x in r])
-                        items.append(_sorted(found))
-                        counts.append(n)
+                rows = []
+                for t, old, known in zip(b.column("text").cast(pa.binary()).to_pylist(), b.column("hits").to_pylist(), b.column("items").to_pylist()):
+                    n, runs, found = scan(t or b"", machine)
+                    rows.append((t or b"", n, merged([*runs, *zip(old[::2], old[1::2])]) if old else runs, _sorted(found.union(known))))
+                if last:
+                    yield _result(b.column("doc_id"), rows)
                 else:
-                    hits, items, counts = _joined(texts, b, machine)
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text"), pa.array(hits, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string())), pa.array(counts, pa.int64())], schema=schema)
-
-        now = now.mapInArrow(run, "doc_id long, text string, hits array<long>, items array<string>, n_words long")
-    return now.mapInArrow(_finish, OUT)
-
-
-def _joined(texts: list[bytes], batch: pa.RecordBatch, machine) -> tuple[list, list, list]:
-    hits, items, counts = [], [], []
-    for t, old, known in zip(texts, batch.column("hits").to_pylist(), batch.column("items").to_pylist()):
-        n, runs, found = scan(t, machine)
-        merged: list[list[int]] = []
-        for a, b in sorted([*runs, *zip(old[::2], old[1::2])]):
-            if merged and a <= merged[-1][1]:
-                merged[-1][1] = max(b, merged[-1][1])
-            else:
-                merged.append([a, b])
-        hits.append([x for r in merged for x in r])
-        items.append(_sorted(found.union(known)))
-        counts.append(n)
-    return hits, items, counts
-
-
-def _finish(batches: Iterator[pa.RecordBatch]):
+                    yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text"), pa.array([[x for r in runs for x in r] for _, _, runs, _ in rows], pa.list_(pa.int64())), pa.array([i for *_, i in rows], pa.list_(pa.string()))], schema=held)
+
+        now = now.mapInArrow(run, OUT if last else HELD)
+        now = now if last else shared.table(now, "hits")
+    return now
+
+
+def _result(ids: pa.Array, rows: list[tuple[bytes, int, list[tuple[int, int]], list[str | None]]]) -> pa.RecordBatch:
     kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
-    for b in batches:
-        hits, items, spans = b.column("hits").to_pylist(), b.column("items").to_pylist(), []
-        for h, t in zip(hits, b.column("text")):
-            if not h:
-                spans.append([])
-                continue
-            text = t.as_py().encode()
-            at = word_spans(text, words(text))
-            spans.append([{"begin": at[x][0], "end": at[y - 1][1]} for x, y in zip(h[::2], h[1::2])])
-        n_hit = [sum(h[1::2]) - sum(h[::2]) for h in hits]
-        sha = [hashlib.sha256(",".join(x for x in i if x is not None).encode()).hexdigest() for i in items]
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("n_words"), pa.array(n_hit, pa.int64()), pa.array([len(i) for i in items], pa.int64()), pa.array(sha), pa.array([n > 0 for n in n_hit]), b.column("items"), pa.array(spans, kind)], names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "items", "spans"])
-
-
-def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows of ``docs`` without a benchmark window, with all of their columns."""
-    for block in _blocks(benchmark, block_bytes):
-        sent = docs.sparkSession.sparkContext.broadcast(pickle.dumps(patterns(block, window)))
-
-        def run(batches, sent=sent):
-            machine = _automaton(pickle.loads(sent.value))
+    spans, sha, n_hit = [], [], [sum(y - x for x, y in runs) for _, _, runs, _ in rows]
+    for text, _, runs, items in rows:
+        at = word_spans(text, words(text)) if runs else []
+        spans.append([{"begin": at[x][0], "end": at[y - 1][1]} for x, y in runs])
+        sha.append(hashlib.sha256(",".join(x for x in items if x is not None).encode()).hexdigest())
+    columns = [ids, pa.array([n for _, n, _, _ in rows], pa.int64()), pa.array(n_hit, pa.int64()), pa.array([len(i) for *_, i in rows], pa.int64()), pa.array(sha, pa.string()), pa.array([n > 0 for n in n_hit], pa.bool_()), pa.array([i for *_, i in rows], pa.list_(pa.string())), pa.array(spans, kind)]
+    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "items", "spans"])
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_states: int = BLOCK_STATES) -> DataFrame:
+    """The rows of ``docs`` without a benchmark window, with all of their columns.
+
+    Null and wordless texts have no window and stay; repeated rows stay or go together; the id plays no
+    part; other columns may have any name. An empty benchmark keeps all rows, an empty table gives none.
+    """
+    place = docs.columns.index("text")
+    for block, last in _blocks(benchmark, window, block_states):
+
+        def run(batches, get=_sent(docs, block, window)):
+            machine = get()
             for b in batches:
-                yield b.filter(pa.array([not scan(t or b"", machine)[1] for t in b.column("text").cast(pa.binary()).to_pylist()], pa.bool_()))
+                yield b.filter(pa.array([next(machine.matches(words(t or b"")), None) is None for t in b.column(place).cast(pa.string()).cast(pa.binary()).to_pylist()], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
+        docs = docs if last else shared.table(docs, "clean")
     return docs

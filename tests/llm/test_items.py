@@ -11,10 +11,10 @@ def test_benchmark_rows_without_an_id_count(spark):
     docs = spark.createDataFrame([(1, "x one two"), (2, "one seven"), (3, "none")], "doc_id long, text string")
     bench = spark.createDataFrame([(None, "one"), (None, "two"), (5, "seven")], "item_id long, text string")
     for block in (1 << 20, 1):
-        got = {r.doc_id: r for r in decontaminate.mark(docs, bench, block_bytes=block).collect()}
+        got = {r.doc_id: r for r in decontaminate.mark(docs, bench, block_states=block).collect()}
         assert [(got[i].n_hit, got[i].n_items, got[i].contaminated) for i in (1, 2, 3)] == [(2, 1, True), (2, 2, True), (0, 0, False)]
         assert [got[i].items_sha256 for i in (1, 2, 3)] == [hashlib.sha256(x).hexdigest() for x in (b"", b"5", b"")] and got[2]["items"] == ["5", None]
-        assert [r.doc_id for r in decontaminate.keep_clean(docs, bench, block_bytes=block).collect()] == [3]
+        assert [r.doc_id for r in decontaminate.keep_clean(docs, bench, block_states=block).collect()] == [3]
 
 
 def test_benchmark_rows_without_an_id_count_as_in_sql(spark):

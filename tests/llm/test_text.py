@@ -239,17 +239,17 @@ def brute_hits(rows, items, k=10):
 ITEMS = [(1, SHARED), (2, "Two, three"), (3, None), (4, ""), (5, "漢 é"), (20, " ".join(SHARED.split()[5:20])), (1, "license"), (None, "one"), (6, "word word")]
 
 
-@pytest.mark.parametrize("block", [1 << 20, 30])
+@pytest.mark.parametrize("block", [1 << 20, 200])
 def test_hits_equal_brute_force(spark, docs, block):
     bench = spark.createDataFrame([(i, t, 0) for i, t in ITEMS], "item_id long, text string, hits int")
-    got = decontaminate.mark(docs, bench, block_bytes=block)
+    got = decontaminate.mark(docs, bench, block_states=block)
     want = brute_hits(DOCS, ITEMS)
     assert pairs(got, "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated") == want
     texts = {d: t for d, t in DOCS}
     for r in got.where("n_hit > 0 and doc_id <> 14").collect():
         raw = texts[r.doc_id].encode()
         assert sum(len(words(raw[s.begin : s.end].decode())) for s in r.spans) == r.n_hit
-    clean = decontaminate.keep_clean(docs, bench, block_bytes=block)
+    clean = decontaminate.keep_clean(docs, bench, block_states=block)
     assert sorted((r.doc_id for r in clean.collect()), key=repr) == sorted((w[0] for w in want if not w[5]), key=repr) and clean.columns == docs.columns
 
 
