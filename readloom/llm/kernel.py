@@ -53,8 +53,41 @@ def _powers(base: int, n: int) -> np.ndarray:
 A, B = Powers(SEED_A), Powers(SEED_B)
 
 
+class _Numbers(dict):
+    """Numbers of words in the order in which they are met, and their digests."""
+
+    def __init__(self):
+        self.fresh: list[bytes] = []
+        self.lanes = np.empty((1 << 16, 2), "<u8")
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        self.fresh.append(word)
+        return n
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        """Two halves of the digest of each word."""
+        if len(self) > KNOWN_WORDS:
+            self.clear()
+        which = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        if self.fresh:
+            if len(self) > len(self.lanes):
+                self.lanes = np.concatenate((self.lanes, np.empty((max(len(self), 2 * len(self.lanes)) - len(self.lanes), 2), "<u8")))
+            digests = b"".join([blake2b(w, digest_size=16).digest() for w in self.fresh])
+            self.lanes[len(self) - len(self.fresh) : len(self)] = np.frombuffer(digests, "<u8").reshape(-1, 2)
+            self.fresh = []
+        return np.ascontiguousarray(self.lanes[which].T)
+
+
+#: Words whose digests a worker keeps; beyond, it starts anew.
+KNOWN_WORDS = 250_000
+_numbers = _Numbers()
+
+
 def release() -> None:
-    """Lets the tables of powers go; they grow again on demand."""
+    """Lets the tables of powers and the words' digests go; they grow again on demand."""
+    global _numbers
+    _numbers = _Numbers()
     for family in (A, B):
         family.up = family.down = np.ones(1, np.uint64)
 
@@ -72,18 +105,14 @@ class Words:
     """Words of a batch: 128 bits of hash each, the document of each, the first word of each document.
 
     A word's hash is a cryptographic digest, so that no two words of a corpus have the same one, whatever
-    they were made for. It is taken once for all places of a word in the batch.
+    they were made for. A worker keeps the digests of words that it met before.
     """
 
     def __init__(self, texts: list[bytes]):
         self.texts = texts
         split = [t.split() for t in texts]
         self.count = np.fromiter(map(len, split), np.int64, len(texts))
-        every = list(chain.from_iterable(split))
-        number = {w: i for i, w in enumerate(set(every))}
-        which = np.fromiter(map(number.__getitem__, every), np.int64, len(every))
-        digests = b"".join([blake2b(w, digest_size=16).digest() for w in number])
-        self.lanes = np.frombuffer(digests, "<u8").reshape(-1, 2)[which].T
+        self.lanes = _numbers.of(list(chain.from_iterable(split)))
         self.first = np.cumsum(self.count) - self.count
         self.doc = np.repeat(np.arange(len(texts)), self.count)
 

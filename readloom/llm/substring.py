@@ -44,7 +44,7 @@ class _Windows:
     def row(self, r: int, step: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Order of the windows by their counter in a row of the sketch, begin of each counter in it, and the counters."""
         cell = (self.b if r else self.a) // np.uint64(step)
-        order = np.argsort(cell, kind="stable")
+        order = np.argsort(cell)
         cell = cell[order]
         begin = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1]))) if len(cell) else np.empty(0, np.int64)
         return order, begin, cell[begin]
@@ -60,10 +60,13 @@ class _Windows:
 
     def groups(self, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Order of the picked windows by hash, begin of each group of equal ones, smallest document of it."""
-        order = pick[np.lexsort((self.b[pick], self.a[pick]))]
+        order = pick[np.argsort(self.a[pick])]
         if not len(order):
             return order, order, order
         a, b = self.a[order], self.b[order]
+        if ((a[1:] == a[:-1]) & (b[1:] != b[:-1])).any():  # the first half alone does not tell them apart
+            order = pick[np.lexsort((self.b[pick], self.a[pick]))]
+            a, b = self.a[order], self.b[order]
         begin = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]))))
         return order, begin, np.minimum.reduceat(self.doc[order], begin)
 
@@ -96,11 +99,14 @@ def _merge_windows(shard: int, got: list[tuple[int, int, bytes]]) -> list[tuple[
     a = np.concatenate([np.frombuffer(d, "<u8", n) for n, d, _ in parts])
     b = np.concatenate([np.frombuffer(d, "<u8", n, 8 * n) for n, d, _ in parts])
     doc = np.concatenate([np.frombuffer(d, "<i8", n, 16 * n) if wide else np.frombuffer(d, "<u4", n, 16 * n + 8).astype(np.int64) + int.from_bytes(d[16 * n : 16 * n + 8], "little", signed=True) for n, d, wide in parts])
-    order = np.lexsort((doc, b, a))
+    order = np.argsort(a)
     x, y = a[order], b[order]
+    if ((x[1:] == x[:-1]) & (y[1:] != y[:-1])).any():
+        order = np.lexsort((b, a))
+        x, y = a[order], b[order]
     begin = np.concatenate(([True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])))
     least = np.empty(len(a), np.int64)
-    least[order] = doc[order][np.flatnonzero(begin)][np.cumsum(begin) - 1]
+    least[order] = np.minimum.reduceat(doc[order], np.flatnonzero(begin))[np.cumsum(begin) - 1]
     smaller = least < doc
     ends = np.cumsum([n for n, _, _ in parts])
     return [(t, c, kernel.bits(smaller[e - n : e])) for (t, c, _), (n, _, _), e in zip(got, parts, ends)]
