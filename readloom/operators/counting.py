@@ -40,10 +40,11 @@ MODES = {
 ALIGNMENT = ["fragment_id", "aln_no"]
 
 
-def conforms(mode: Mode, stranded: bool = False, slack: int = 0) -> Column:
+def conforms(mode: Mode, stranded: bool = False, slack: int = 0, mixed: bool = False) -> Column:
     """Whether a joined block and exon conform.
 
-    Blocks on transcripts and junctions (``genomic`` false) always do. On the genome, without splice rules
+    With ``mixed`` there is a ``kind`` (genome, transcript or junction): reads on transcripts and junctions
+    are spliced as they are and always do. On the genome, without splice rules
     any block does, or one inside its exon where containment is asked for. With them the block lies wholly
     in the exon; a first block may start later than the exon, a last block end earlier, and other ends
     coincide up to ``slack``. The overlap reaches the threshold or the whole exon.
@@ -58,7 +59,7 @@ def conforms(mode: Mode, stranded: bool = False, slack: int = 0) -> Column:
     else:
         genome = (c("exon_start") <= c("start")) & (c("exon_end") >= c("end")) if mode.contain else F.lit(True)
     enough = c("overlap") >= F.least(F.lit(mode.overlap), c("exon_end") - c("exon_start") + 1)
-    ok = genome & enough
+    ok = ((c("kind") != "genome") | genome if mixed else genome) & enough
     return ok & (c("exon_strand") == c("strand")) if stranded else ok
 
 
@@ -109,13 +110,17 @@ def qualified(hits: DataFrame, mode: Mode, unambiguous: bool = False, stranded:
 
     ``hits`` carry the ``objects`` of their exons; columns to ``carry`` have one value per fragment.
     """
-    ok = hits.where(conforms(mode, stranded))
+    mixed = "kind" in hits.columns
+    ok = hits.where(conforms(mode, stranded, mixed=mixed))
     block = ["fragment_id", "aln_no", "side", "read_index", "block_idx"]
+    if mixed:  # of the exons of a place on transcripts and junctions those with the largest overlap
+        most = F.max(F.when(F.col("kind") != "genome", F.col("overlap"))).over(Window.partitionBy(*block))
+        ok = ok.withColumn("_most", most).where((F.col("kind") == "genome") | (F.col("overlap") == F.col("_most"))).drop("_most")
     if unambiguous and mode.ambiguity == "block":
         ok = ok.withColumn("_n", F.size(F.collect_set("exon_id").over(Window.partitionBy(*block)))).where("_n = 1").drop("_n")
     named = ok.withColumn("object_id", F.explode("objects"))
     read = ["fragment_id", "aln_no", "side", "read_index", "object_id", *carry]
-    per = named.groupBy(*read).agg(F.collect_set("block_idx").alias("_blocks"), F.max("last_block").alias("_last"))
+    per = named.groupBy(*read).agg(F.collect_set(F.when(F.col("block_idx") >= 0, F.col("block_idx"))).alias("_blocks"), F.max("last_block").alias("_last"))
     reach = longest_run(F.col("_blocks")) if mode.consecutive else F.size("_blocks")
     need = F.col("_last") + 1 if mode.required == "all" else F.lit(mode.required)
     found = per.where(reach >= need)
@@ -158,8 +163,12 @@ def quantify(blocks: DataFrame, exons: DataFrame, objects: DataFrame, mode: str
     ``blocks`` has fragment_id, aln_no, read_index, paired, chrom, start, end, strand, block_idx, last_block,
     aligned_len, ins and del. Everything after the interval join is keyed on the fragment.
     """
+    return quantify_hits(fragment_hits(blocks, exons, objects, stranded), mode, weights, unambiguous, stranded, threshold, use_weights)
+
+
+def quantify_hits(hits: DataFrame, mode: str | Mode = "gene", weights: DataFrame | None = None, unambiguous: bool = False, stranded: bool = False, threshold: float = LEAST_WEIGHT, use_weights: bool = True) -> DataFrame:
+    """(id, count) from hits of distinct alignments that carry the objects of their exons."""
     mode = MODES[mode] if isinstance(mode, str) else mode
-    hits = fragment_hits(blocks, exons, objects, stranded)
     found = qualified(with_numbers(hits), mode, unambiguous, stranded, carry=("n",))
     per = fragment_counts(with_weights(found, weights), threshold, use_weights)
     return per.groupBy(F.col("object_id").alias("id")).agg(F.sum("count").alias("count"))
@@ -178,6 +187,7 @@ def overlap_counts(blocks: DataFrame, exons: DataFrame, objects: DataFrame, leas
 
 def bookkeeping(hits: DataFrame, per: DataFrame) -> DataFrame:
     """Fragments seen, counted and left out, and the sum of what was contributed: one row."""
-    seen = hits.select("fragment_id").distinct().agg(F.count("*").alias("seen"))
-    done = per.agg(F.count_distinct("fragment_id").alias("counted"), F.coalesce(F.sum("count"), F.lit(0.0)).alias("total"))
-    return seen.join(F.broadcast(done)).select("seen", "counted", (F.col("seen") - F.col("counted")).alias("excluded"), "total")
+    seen = hits.select("fragment_id").distinct().select(F.lit(1).alias("seen"), F.lit(0).alias("counted"), F.lit(0.0).alias("count"))
+    done = per.groupBy("fragment_id").agg(F.sum("count").alias("count")).select(F.lit(0).alias("seen"), F.lit(1).alias("counted"), "count")
+    every = seen.unionByName(done).agg(F.coalesce(F.sum("seen"), F.lit(0)).cast("long").alias("seen"), F.coalesce(F.sum("counted"), F.lit(0)).cast("long").alias("counted"), F.coalesce(F.sum("count"), F.lit(0.0)).alias("total"))
+    return every.select("seen", "counted", (F.col("seen") - F.col("counted")).alias("excluded"), "total")

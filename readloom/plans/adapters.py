@@ -29,6 +29,17 @@ def alignments(spark: SparkSession, sf_dir: str, status: str | None = None) -> D
     )
 
 
+def paired_alignments(spark: SparkSession, sf_dir: str, status: str | None = None) -> DataFrame:
+    """As ``alignments``, neighbouring lines of an order being the mates of one alignment; a last odd line is a single read."""
+    a = alignments(spark, sf_dir, status)
+    unit = F.floor((F.row_number().over(Window.partitionBy("fragment_id").orderBy("aln_no")) - 1) / 2).cast("int") + 1
+    a = a.withColumn("row_no", F.col("aln_no")).withColumn("aln_no", unit)
+    of = Window.partitionBy("fragment_id", "aln_no")
+    paired = F.count("*").over(of) == 2
+    index = F.when(paired, F.row_number().over(of.orderBy("row_no"))).otherwise(1 + F.col("row_no") % 2).cast("int")
+    return a.withColumns({"paired": paired, "read_index": index})
+
+
 def exons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """exon_id, chrom, start, end, strand, gene_id, name."""
     p, c = table(spark, sf_dir, "part"), F.col
@@ -63,6 +74,10 @@ SQL = {
     "aln": "aln AS (SELECT * FROM aln0)",
     "blk": """blk AS (SELECT fragment_id, aln_no, read_index, chrom, strand, nm, 0 AS block_idx, CASE WHEN spliced THEN 1 ELSE 0 END AS last_block, pos AS bs, pos + len - 1 AS be, len AS al FROM aln
  UNION ALL SELECT fragment_id, aln_no, read_index, chrom, strand, nm, 1, 1, pos + len + gap, pos + len + gap + len2 - 1, len2 FROM aln WHERE spliced)""",
+    "alnp": """alnp0 AS (SELECT *, CAST(floor((row_number() OVER (PARTITION BY fragment_id ORDER BY aln_no) - 1) / 2) AS INTEGER) + 1 AS unit FROM aln0),
+ alnp AS (SELECT * EXCLUDE (aln_no, read_index, unit), aln_no AS row_no, unit AS aln_no, count(*) OVER w = 2 AS paired, CASE WHEN count(*) OVER w = 2 THEN row_number() OVER (PARTITION BY fragment_id, unit ORDER BY aln_no) ELSE 1 + aln_no % 2 END AS read_index FROM alnp0 WINDOW w AS (PARTITION BY fragment_id, unit))""",
+    "blkp": """blk AS (SELECT fragment_id, aln_no, read_index, paired, CASE WHEN paired THEN 'p' ELSE 'r' || CAST(read_index AS VARCHAR) END AS side, chrom, strand, nm, 0 AS block_idx, CASE WHEN spliced THEN 1 ELSE 0 END AS last_block, pos AS bs, pos + len - 1 AS be, len AS al FROM alnp
+ UNION ALL SELECT fragment_id, aln_no, read_index, paired, CASE WHEN paired THEN 'p' ELSE 'r' || CAST(read_index AS VARCHAR) END, chrom, strand, nm, 1, 1, pos + len + gap, pos + len + gap + len2 - 1, len2 FROM alnp WHERE spliced)""",
     "intron": "intron AS (SELECT fragment_id, aln_no, chrom, pos + len AS s, pos + len + gap - 1 AS e FROM aln WHERE spliced)",
     "exon": """exon AS (SELECT 'chr' || CAST(p_partkey % 5 AS VARCHAR) || '/' || CAST(p_partkey * 20 + 1 AS VARCHAR) || '/' || CAST(p_partkey * 20 + 1 + p_size * 4 AS VARCHAR) || '/' || CASE WHEN p_partkey % 2 = 0 THEN '+' ELSE '-' END AS exon_id,
  'chr' || CAST(p_partkey % 5 AS VARCHAR) AS chrom, p_partkey * 20 + 1 AS es, p_partkey * 20 + 1 + p_size * 4 AS ee, CASE WHEN p_partkey % 2 = 0 THEN '+' ELSE '-' END AS estrand, p_brand AS gene_id, p_name AS name FROM part)""",
@@ -71,6 +86,9 @@ SQL = {
     "reads": "reads AS (SELECT CAST(floor(doc_id / 2) AS BIGINT) AS fragment_id, CAST(1 + doc_id % 2 AS INTEGER) AS read_index, upper(regexp_replace(text, '[^ACGTacgt]', '', 'g')) AS seq FROM documents)",
 }
 
+#: As alnp, mates being neighbours within one line status.
+SQL["alnps"] = SQL["alnp"].replace("PARTITION BY fragment_id, unit", "PARTITION BY fragment_id, unit, l_linestatus").replace("PARTITION BY fragment_id ORDER", "PARTITION BY fragment_id, l_linestatus ORDER")
+
 
 def sql(views: str, query: str) -> str:
     return "WITH " + ",\n".join(SQL[v] for v in views.split()) + "\n" + query
