@@ -23,6 +23,8 @@ from . import kernel, resident, shared
 
 #: Bytes of text in a chunk, and in one of the packs that it is stored in, which are looked at one at a time.
 CHUNK_BYTES, PACK_BYTES = 16 << 20, 2 << 20
+#: Bytes of text for each partition of an exchange, of which a task looks at a chunk or shard at a time.
+TASK_BYTES = 128 << 20
 PACKS = "chunk long, pack int, size long, data binary, rest binary"
 PACKED = "tag int, chunk long, shard int, data binary"
 PACKED_ARROW = pa.schema([("tag", pa.int32()), ("chunk", pa.int64()), ("shard", pa.int32()), ("data", pa.binary())])
@@ -118,6 +120,12 @@ def order(table: pa.Table) -> list[int]:
     return sorted(range(len(number)), key=number.__getitem__)
 
 
+def _wide(frame: DataFrame, total: int, key: str) -> DataFrame:
+    """Rows dealt by a key over more partitions than the session's where the texts are many, so that a task's share stays the same."""
+    parts = total // TASK_BYTES
+    return frame.repartition(parts, key) if parts > int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")) else frame
+
+
 def packed(out: list[tuple[int, int, int, bytes]]) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else ([],) * 4, PACKED_ARROW.types)], schema=PACKED_ARROW)
 
@@ -163,11 +171,11 @@ def flags(answer: pa.Table, tag: int, keys: np.ndarray, n: int, size: np.ndarray
     return np.concatenate(found) if found else np.empty(0, bool)
 
 
-def send(dealt: DataFrame, f) -> DataFrame:
-    return dealt.groupBy("chunk").applyInArrow(f, PACKED)
+def send(dealt: DataFrame, total: int, f) -> DataFrame:
+    return _wide(dealt, total, "chunk").groupBy("chunk").applyInArrow(f, PACKED)
 
 
-def merge(sent: DataFrame, f) -> DataFrame:
+def merge(sent: DataFrame, total: int, f) -> DataFrame:
     """``f`` gets a shard's number and [(tag, chunk, data)] in order, and gives [(tag, chunk, answer)]."""
 
     def shard(table: pa.Table) -> pa.Table:
@@ -176,9 +184,9 @@ def merge(sent: DataFrame, f) -> DataFrame:
         s = table.column("shard")[0].as_py()
         return packed([(t, c, s, d) for t, c, d in f(s, got)])
 
-    return sent.groupBy("shard").applyInArrow(shard, PACKED)
+    return _wide(sent, total, "shard").groupBy("shard").applyInArrow(shard, PACKED)
 
 
-def reply(dealt: DataFrame, answered: DataFrame, f, schema: str) -> DataFrame:
+def reply(dealt: DataFrame, answered: DataFrame, total: int, f, schema: str) -> DataFrame:
     """``f`` gets the packs of a chunk and the shards' answers to it."""
-    return dealt.groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInArrow(f, schema)
+    return _wide(dealt, total, "chunk").groupBy("chunk").cogroup(_wide(answered, total, "chunk").groupBy("chunk")).applyInArrow(f, schema)

@@ -11,9 +11,11 @@ _fallback: list[str] = []
 
 
 def folder(spark: SparkSession, label: str) -> str:
-    """A new path under ``spark.checkpoint.dir``; a temporary folder only where that is unset."""
+    """A new path under ``spark.checkpoint.dir``; where that is unset, a temporary folder on a single machine, an error on a cluster."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         if not _fallback:
             _fallback.append("file://" + tempfile.mkdtemp(prefix="readloom-"))
         base = _fallback[0]

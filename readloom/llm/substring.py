@@ -161,9 +161,9 @@ def dedup(docs: DataFrame, window: int = WINDOW, chunk_bytes: int = chunks.CHUNK
             done += len(out[-1][1])
         return pa.concat_tables([t for t, _ in out])
 
-    first = chunks.merge(chunks.send(dealt, sketch), _add(step, n))
-    second = chunks.merge(chunks.reply(dealt, first, exact, chunks.PACKED), _merge_windows)
-    return chunks.reply(dealt, first.unionByName(second), finish, OUT)
+    first = chunks.merge(chunks.send(dealt, total, sketch), total, _add(step, n))
+    second = chunks.merge(chunks.reply(dealt, first, total, exact, chunks.PACKED), total, _merge_windows)
+    return chunks.reply(dealt, first.unionByName(second), total, finish, OUT)
 
 
 def _cut(ids: list, texts: list[bytes], gone: np.ndarray, done: int, window: int) -> tuple[pa.Table, np.ndarray]:
