@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from readloom.functions import cigar, flags, names
 from readloom.functions.intervals import blocks_overlap, distance
-from readloom.operators import alignments, combine, counting, junctions, projection, sam_counts, tables, weights
+from readloom.operators import alignments, combine, counting, intervals, junctions, projection, sam_counts, tables, weights
 from readloom.plans import adapters, references
 from readloom.plans.adapters import sql
-from readloom.plans.catalog import _SPLICE, _STARTS, _TG, _count_sql, _long, _rounded, _transcripts, query
+from readloom.plans.catalog import _SPLICE, _TG, _count_sql, _long, _rounded, _transcripts, query
+from readloom.sources import readers, writers
 
 # --- mates --------------------------------------------------------------------------------------
 
@@ -240,3 +241,279 @@ def _sets_count(mode: str):
 
 query(_sets_sql("gene"), "three_set_gene_counts")(_sets_count("gene"))
 query(_sets_sql("junction"), "three_set_junction_counts")(_sets_count("junction"))
+
+
+@query(sql("aln0", f""", {_KALN}, {_KINDS}, far AS (SELECT fragment_id, aln_no, read_index, g_chrom AS chrom, min(p_strand) AS strand, CAST(list_sort(list(DISTINCT lpad(CAST(p_start AS VARCHAR), 12, '0') || '-' || lpad(CAST(p_end AS VARCHAR), 12, '0'))) AS VARCHAR) AS places FROM kproj WHERE kind <> 'genome' GROUP BY 1, 2, 3, 4)
+SELECT fragment_id, CAST(aln_no AS BIGINT) AS aln_no, chrom, strand, places FROM far"""))
+def assembled_alignments(spark, sf):
+    """Blocks of reads on transcripts and junctions put together on the genome, contradictions raise."""
+    hits = references.joined(_kinds(spark, sf), _references(spark, sf)).where("kind <> 'genome'")
+    b = hits.select("fragment_id", "aln_no", "read_index", F.col("g_chrom").alias("chrom"), F.col("p_start").alias("start"), F.col("p_end").alias("end"), F.col("p_strand").alias("strand"), "block_idx", "last_block")
+    whole = projection.assemble(b)
+    pad = lambda x: F.lpad(x.cast("string"), 12, "0")
+    places = F.array_sort(F.array_distinct(F.transform("blocks", lambda x: F.concat(pad(x["start"]), F.lit("-"), pad(x["end"])))))
+    return _long(whole.select("fragment_id", "aln_no", F.get("blocks", F.lit(0))["chrom"].alias("chrom"), "strand", F.concat(F.lit("["), F.array_join(places, ", "), F.lit("]")).alias("places")), "aln_no")
+
+
+@query(sql("aln0 aln blk", "SELECT fragment_id, CAST(aln_no AS BIGINT) AS aln_no, CAST(fragment_id AS VARCHAR) || ':' || CASE WHEN min(read_index) = 2 THEN 'r-' ELSE 'l-' END || string_agg(chrom || '/' || CAST(bs AS VARCHAR) || '/' || CAST(be AS VARCHAR) || '/' || strand, ':' ORDER BY block_idx) AS canonical FROM blk GROUP BY 1, 2"))
+def canonical_strings(spark, sf):
+    b = alignments.blocks(adapters.alignments(spark, sf))
+    whole = projection.assemble(b).withColumn("paired", F.lit(False))
+    return _long(projection.canonical(whole).select("fragment_id", "aln_no", "canonical"), "aln_no")
+
+
+@query(sql("aln0", f""", {_KALN}, {_KINDS}, {_SNAP}, place AS (SELECT DISTINCT fragment_id, aln_no, read_index, 'computed' AS source, chrom, st, bs, bend FROM ksnap WHERE kind <> 'genome' UNION SELECT fragment_id, aln_no, read_index, 'direct', chrom, strand, pos, pos + len - 1 FROM kalns WHERE kind = 'genome'),
+gap AS (SELECT *, bs - lag(bend) OVER (PARTITION BY fragment_id, aln_no, read_index, source ORDER BY bs, bend) - 1 AS n FROM place),
+whole AS (SELECT fragment_id, aln_no, read_index, source, min(chrom) AS chrom, min(st) AS st, min(bs) AS pos, string_agg(CASE WHEN n > 0 THEN CAST(n AS VARCHAR) || 'N' ELSE '' END || CAST(bend - bs + 1 AS VARCHAR) || 'M', '' ORDER BY bs, bend) AS cigar FROM gap GROUP BY 1, 2, 3, 4)
+SELECT fragment_id, CAST(read_index AS BIGINT) AS read_index, chrom AS ref, CAST(pos AS BIGINT) AS pos, cigar, st = '-' AS turned, CAST(count(*) OVER (PARTITION BY fragment_id, read_index) AS BIGINT) AS nh FROM (SELECT DISTINCT fragment_id, read_index, chrom, st, pos, cigar FROM whole) d"""))
+def genome_alignments(spark, sf):
+    """Rows on the genome put together from transcripts and junctions, and direct hits that do not repeat them."""
+    rows = _kinds(spark, sf)
+    reads = rows.select("fragment_id").distinct().withColumn("reads", F.lit(1))
+    got = references.genome_rows(rows, _references(spark, sf), reads).where("ref <> '*'")
+    return got.select(F.col("fragment_id").cast("long").alias("fragment_id"), F.col("read_index").cast("long").alias("read_index"), "ref", "pos", "cigar", flags.has(F.col("flag"), "reverse").alias("turned"), F.col("nh").cast("long").alias("nh"))
+
+
+# --- weights, maps and lookups ------------------------------------------------------------------
+
+
+@query(_count_sql("gene").replace("w >= 0.01", "w >= 0.3"))
+def gene_counts_weight_threshold(spark, sf):
+    a = adapters.alignments(spark, sf)
+    w = weights.summarize(a).select("fragment_id", F.col("num_alignments").alias("n"))
+    return _rounded(counting.quantify(alignments.blocks(a), adapters.exons(spark, sf), adapters.objects(spark, sf), "gene", w, threshold=0.3), "count")
+
+
+@query(sql("aln0", ", l AS (SELECT 'chr' || CAST(n_nationkey AS VARCHAR) AS chrom FROM nation WHERE n_nationkey < 2) SELECT fragment_id, CAST(greatest(sum(CASE WHEN read_index = 1 THEN 1 ELSE 0 END), sum(CASE WHEN read_index = 2 THEN 1 ELSE 0 END)) AS BIGINT) AS num_alignments, CAST(sum(nm) AS BIGINT) AS sum_edit_distance FROM aln0 WHERE chrom IN (SELECT chrom FROM l) GROUP BY 1"))
+def read_weights_listed_chromosomes(spark, sf):
+    listed = adapters.table(spark, sf, "nation").where("n_nationkey < 2").select(F.concat(F.lit("chr"), F.col("n_nationkey").cast("string")).alias("chrom"))
+    return _long(weights.summarize(adapters.alignments(spark, sf), chroms=listed).select("fragment_id", "num_alignments", "sum_edit_distance"), "num_alignments", "sum_edit_distance")
+
+
+@query(sql("aln0 exon", "SELECT DISTINCT chrom, chrom IN (SELECT chrom FROM exon WHERE chrom <> 'chr3') AS known FROM aln0"))
+def chromosome_check(spark, sf):
+    return alignments.chromosome_check(adapters.alignments(spark, sf), adapters.exons(spark, sf).where("chrom <> 'chr3'"))
+
+
+@query(f"WITH {_TG}, w AS (SELECT l_orderkey AS fragment_id, count(*) AS n FROM lineitem WHERE l_linestatus = 'F' GROUP BY 1) SELECT gene_id AS id, round(CAST(sum(1.0 / coalesce(n, 1)) AS DOUBLE), 6) AS count FROM tg LEFT JOIN w USING (fragment_id) GROUP BY 1")
+def sam_gene_counts_weighted(spark, sf):
+    """A fragment that the weight table lacks weighs 1."""
+    rows, p = _transcripts(spark, sf)
+    w = adapters.table(spark, sf, "lineitem").where("l_linestatus = 'F'").groupBy(F.col("l_orderkey").alias("fragment_id")).agg(F.count("*").alias("n"))
+    return _rounded(sam_counts.gene_counts(sam_counts.fragment_genes(rows, p), w), "count")
+
+
+@query("WITH a AS (SELECT l_orderkey AS fragment_id, l_linenumber AS line, 'tr-' || CAST(l_partkey % 50 AS VARCHAR) AS chrom FROM lineitem), e AS (SELECT DISTINCT 'tr-' || CAST(p_partkey % 40 AS VARCHAR) AS base, 'tr-' || CAST(p_partkey % 40 AS VARCHAR) || '.' || CAST(p_size % 3 AS VARCHAR) AS versioned FROM part) SELECT fragment_id, CAST(line AS BIGINT) AS line, coalesce(versioned, chrom) AS chrom FROM a LEFT JOIN e ON base = chrom")
+def transcript_versions(spark, sf):
+    c = F.col
+    rows = adapters.table(spark, sf, "lineitem").select(c("l_orderkey").alias("fragment_id"), c("l_linenumber").cast("long").alias("line"), F.concat(F.lit("tr-"), (c("l_partkey") % 50).cast("string")).alias("chrom"))
+    e = adapters.table(spark, sf, "part").select(F.concat(F.lit("tr-"), (c("p_partkey") % 40).cast("string"), F.lit("."), (c("p_size") % 3).cast("string")).alias("chrom"))
+    return alignments.expand_versions(rows, e).select("fragment_id", "line", "chrom")
+
+
+@query(sql("aln0 aln blk", "SELECT b.fragment_id, CAST(b.aln_no AS BIGINT) AS aln_no, CAST(b.block_idx AS BIGINT) AS block_idx, CAST(a.pos % 7 AS BIGINT) AS kept FROM blk b JOIN aln a ON a.fragment_id = b.fragment_id AND a.aln_no = b.aln_no"))
+def attached_rows(spark, sf):
+    """Blocks with a column of the row they come from, found by reference, position and read."""
+    a = adapters.alignments(spark, sf).withColumn("ref", F.col("chrom"))
+    b = alignments.blocks(a).join(a.select("fragment_id", "aln_no", "ref", "pos"), ["fragment_id", "aln_no"])
+    rows = a.withColumn("kept", F.col("pos") % 7)
+    return _long(alignments.attach_rows(b, rows, ["kept"]).select("fragment_id", "aln_no", "block_idx", "kept"), "aln_no", "block_idx", "kept")
+
+
+@query("SELECT p_partkey, CAST(row_number() OVER (PARTITION BY p_brand, p_size ORDER BY p_partkey) AS BIGINT) AS ordinal FROM part")
+def ordinals(spark, sf):
+    return _long(tables.ordinals(adapters.table(spark, sf, "part"), ["p_brand", "p_size"], ["p_partkey"]).select("p_partkey", "ordinal"), "ordinal")
+
+
+@query("""WITH x AS (SELECT DISTINCT 'g' || CAST(p_partkey AS VARCHAR) || '-junction-' || CAST(a AS VARCHAR) || '-' || CAST(a + 1 AS VARCHAR) AS j FROM part, (SELECT unnest([2, 3]) AS a) WHERE p_size % 2 = 0 OR a = 3),
+e AS (SELECT 'x' || CAST(p_partkey AS VARCHAR) AS ext FROM part WHERE 'g' || CAST(p_partkey AS VARCHAR) || '-junction-2-3' IN (SELECT j FROM x)),
+m AS (SELECT 'x' || CAST(p_partkey + 1 AS VARCHAR) AS ext FROM part WHERE p_partkey % 5 = 0 AND 'x' || CAST(p_partkey AS VARCHAR) IN (SELECT ext FROM e)),
+o AS (SELECT ext FROM e UNION SELECT ext FROM m)
+SELECT 'e' || CAST(p_partkey AS VARCHAR) AS exon_id, 'x' || CAST(p_partkey AS VARCHAR) AS object_id FROM part WHERE 'x' || CAST(p_partkey AS VARCHAR) IN (SELECT ext FROM o) UNION SELECT 'e' || CAST(p_partkey AS VARCHAR), 't' || p_brand FROM part""")
+def filter_junction_map(spark, sf):
+    p, c = adapters.table(spark, sf, "part"), F.col
+    k = c("p_partkey").cast("string")
+    refs = p.select(F.concat(F.lit("g"), k, F.lit("-junction-3-4"), F.when(c("p_size") % 2 == 0, ":2:").otherwise("::")).alias("junction_id"))
+    jmap = p.select(F.concat(F.lit("g"), k, F.lit("-junction-2-3")).alias("junction_id"), F.concat(F.lit("x"), k).alias("external_id"))
+    same = p.where("p_partkey % 5 = 0").select(F.concat(F.lit("x"), k).alias("external_id"), F.concat(F.lit("x"), (c("p_partkey") + 1).cast("string")).alias("other_id"))
+    exon = F.concat(F.lit("e"), k).alias("exon_id")
+    return junctions.filter_junction_map(refs, jmap, same, p.select(exon, F.concat(F.lit("x"), k).alias("object_id")), p.select(exon, F.concat(F.lit("t"), c("p_brand")).alias("object_id")))
+
+
+# --- single functions ---------------------------------------------------------------------------
+
+
+@query("SELECT l_orderkey AS k, CAST(l_linenumber AS BIGINT) AS line, q || 'M' || CAST(g + h AS VARCHAR) || CASE WHEN l_linenumber % 2 = 0 THEN 'N' ELSE 'D' END || '9M' AS joined, '9M' || CAST(h AS VARCHAR) || CASE WHEN l_linenumber % 2 = 0 THEN 'N' ELSE 'D' END AS turned FROM (SELECT *, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS q, 1 + l_suppkey % 9 AS g, 1 + l_partkey % 9 AS h FROM lineitem)")
+def cigar_joined(spark, sf):
+    """Appending merges a deletion into the gap or deletion beside it; turning reverses the operations."""
+    c = F.col
+    text = lambda x: x.cast("string")
+    li = adapters.table(spark, sf, "lineitem")
+    left = cigar.parse(F.concat(text(c("l_quantity").cast("long")), F.lit("M"), text(1 + c("l_suppkey") % 9), F.lit("D")))
+    right = cigar.parse(F.concat(text(1 + c("l_partkey") % 9), F.when(c("l_linenumber") % 2 == 0, "N").otherwise("D"), F.lit("9M")))
+    return li.select(c("l_orderkey").alias("k"), c("l_linenumber").cast("long").alias("line"), cigar.render(cigar.append(left, right)).alias("joined"), cigar.render(cigar.invert(right)).alias("turned"))
+
+
+@query("SELECT o_orderkey AS k, CASE WHEN o_custkey % 2 = 0 THEN (CASE WHEN o_orderkey % 2 = 0 THEN '-' ELSE '+' END) ELSE (CASE WHEN o_orderkey % 2 = 0 THEN '+' ELSE '-' END) END AS forward, CASE WHEN o_custkey % 2 = 1 THEN (CASE WHEN o_orderkey % 2 = 0 THEN '-' ELSE '+' END) ELSE (CASE WHEN o_orderkey % 2 = 0 THEN '+' ELSE '-' END) END AS backward FROM orders")
+def fragment_strands(spark, sf):
+    o, c = adapters.table(spark, sf, "orders"), F.col
+    s, i = F.when(c("o_orderkey") % 2 == 0, "+").otherwise("-"), F.when(c("o_custkey") % 2 == 0, 2).otherwise(1)
+    return o.select(c("o_orderkey").alias("k"), flags.fragment_strand(s, i, "forward").alias("forward"), flags.fragment_strand(s, i, "backward").alias("backward"))
+
+
+@query("SELECT p_partkey AS k, CASE WHEN p_size % 2 = 0 THEN 'g' || CAST(p_size AS VARCHAR) || '-junction-3-4' ELSE 'tx:' || CAST(p_size AS VARCHAR) END AS simple, 'g' || CAST(p_size AS VARCHAR) AS base, CASE WHEN p_size % 3 = 0 THEN 'rest' || CAST(p_partkey AS VARCHAR) ELSE 'whole' END AS fragment FROM part")
+def object_names(spark, sf):
+    p, c = adapters.table(spark, sf, "part"), F.col
+    n = c("p_size").cast("string")
+    name = F.when(c("p_size") % 2 == 0, F.concat(F.lit("g"), n, F.lit("-junction-3-4:1:5"))).otherwise(F.concat(F.lit("tx:"), n))
+    fragment = F.when(c("p_size") % 3 == 0, F.concat(F.lit("ab#Prest"), c("p_partkey").cast("string"))).otherwise("whole")
+    return p.select(c("p_partkey").alias("k"), names.simplify_junction(name).alias("simple"), names.base_object(F.concat(F.lit("g"), n, F.when(c("p_size") % 2 == 0, "-exon7").otherwise("-junction-1-2"))).alias("base"), names.modify_fragment(fragment, cut_off="#", prefix="#P").alias("fragment"))
+
+
+@query("SELECT p_partkey AS k, CASE WHEN p_size % 2 = 0 THEN p_size END AS nm, CAST(p_size % 7 AS BIGINT) AS score, (CASE WHEN p_size % 2 = 0 THEN 'NM:i:' || CAST(p_size AS VARCHAR) || chr(9) ELSE '' END) || 'AS:i:' || CAST(p_size % 7 AS VARCHAR) || chr(9) || 'NH:i:4' AS tags FROM part")
+def sam_tags(spark, sf):
+    p, c = adapters.table(spark, sf, "part"), F.col
+    old = F.concat(F.when(c("p_size") % 2 == 0, F.concat(F.lit("NM:i:"), c("p_size").cast("string"), F.lit("\t"))).otherwise(""), F.lit("AS:i:"), (c("p_size") % 7).cast("string"), F.when(c("p_size") % 3 == 0, "\tNH:i:9").otherwise(""))
+    return p.select(c("p_partkey").alias("k"), names.tag(old, "NM").alias("nm"), names.tag(old, "AS").cast("long").alias("score"), names.set_tag(old, "NH", "i", F.lit(4)).alias("tags"))
+
+
+@query("SELECT a.p_partkey AS k, CAST(CASE WHEN a.p_partkey % 5 = 4 THEN -1 ELSE greatest(abs(a.p_size - b.p_size), abs(a.p_size * 4 - b.p_size * 4)) END AS BIGINT) AS distance, CAST(greatest(0, least(a.p_size + 10, b.p_size + 20) - greatest(a.p_size, b.p_size) + 1) + greatest(0, least(a.p_size + 40, b.p_size + 20) - greatest(a.p_size + 30, b.p_size) + 1) AS BIGINT) AS shared FROM part a JOIN part b ON b.p_partkey = a.p_partkey + 1")
+def distances(spark, sf):
+    """Neighbouring parts as alignments: distance, and bases that a spliced one shares with the next."""
+    p, c = adapters.table(spark, sf, "part"), F.col
+    a, b = p.select(c("p_partkey").alias("k"), c("p_size").cast("long").alias("x")), p.select((c("p_partkey") - 1).alias("k"), c("p_size").cast("long").alias("y"))
+    j = a.join(b, "k")
+    block = lambda s, e: F.struct(s.alias("start"), e.alias("end"))
+    blocks = F.array(block(c("x"), c("x") + 10), block(c("x") + 30, c("x") + 40))
+    other = F.when(c("k") % 5 == 4, "d").otherwise("c")
+    return j.select("k", distance(F.lit("c"), c("x"), c("x") * 4, other, c("y"), c("y") * 4).cast("long").alias("distance"), blocks_overlap(blocks, c("y"), c("y") + 20).alias("shared"))
+
+
+@query("SELECT p_partkey AS k, CAST(p_size AS BIGINT) AS whole, p_retailprice AS number FROM part")
+def parsed_numbers(spark, sf):
+    p, c = adapters.table(spark, sf, "part"), F.col
+    return p.select(c("p_partkey").alias("k"), names.to_int(c("p_size").cast("string")).alias("whole"), names.to_double(c("p_retailprice").cast("string")).alias("number"))
+
+
+# --- text formats: written and read again -------------------------------------------------------
+
+
+def _written(spark: SparkSession, rows: DataFrame, suffix: str = "") -> str:
+    """Lines (``value``) of a frame as text files."""
+    path = adapters.scratch(spark, "text") + suffix
+    rows.select("value").write.text(path)
+    return path
+
+
+def _tabs(*columns) -> F.Column:
+    return F.concat_ws("\t", *[x.cast("string") if not isinstance(x, str) else F.lit(x) for x in columns])
+
+
+_SAM = "SELECT CAST(l_orderkey AS VARCHAR) AS fragment_name, CAST(1 + (l_linenumber - 1) % 2 AS BIGINT) AS read_index, 'chr' || CAST(l_partkey % 5 AS VARCHAR) AS ref, l_partkey * 20 AS pos, CAST(round(l_discount * 100) AS BIGINT) AS nm, CAST(CASE WHEN l_linenumber % 2 = 0 THEN l_suppkey END AS BIGINT) AS hi FROM lineitem WHERE l_returnflag <> 'N'"
+
+
+@query(_SAM)
+def sam_rows(spark, sf):
+    """SAM rows with a header, unmapped ones left out."""
+    li, c = adapters.table(spark, sf, "lineitem"), F.col
+    two, unmapped = c("l_linenumber") % 2 == 0, c("l_returnflag") == "N"
+    flag = F.lit(1) + F.when(two, 128).otherwise(64) + F.when(unmapped, 4).otherwise(0)
+    name = F.concat(c("l_orderkey").cast("string"), F.when(two, "/2").otherwise("/1"))
+    ref = F.concat(F.lit("chr"), (c("l_partkey") % 5).cast("string"))
+    row = _tabs(name, flag, ref, c("l_partkey") * 20, F.lit(20), F.lit("4M"), "=", c("l_partkey") * 20, F.lit(0), "ACGT", "IIII", F.concat(F.lit("NM:i:"), F.round(c("l_discount") * 100).cast("int").cast("string")), F.when(two, F.concat(F.lit("HI:i:"), c("l_suppkey").cast("string"))))
+    lines = li.select(row.alias("value")).unionByName(spark.range(5).select(_tabs("@SQ", F.concat(F.lit("SN:chr"), c("id").cast("string")), F.lit("LN:999")).alias("value")))
+    return readers.sam(spark, _written(spark, lines)).select("fragment_name", c("read_index").cast("long").alias("read_index"), "ref", "pos", c("NM").cast("long").alias("nm"), c("HI").cast("long").alias("hi"))
+
+
+@query("SELECT 't' || CAST(p_partkey AS VARCHAR) AS id, CAST(p_size AS BIGINT) AS length FROM part")
+def reference_lengths(spark, sf):
+    """Lengths from a header for even parts, from a table for odd ones."""
+    p, c = adapters.table(spark, sf, "part"), F.col
+    t, n = F.concat(F.lit("t"), c("p_partkey").cast("string")), c("p_size").cast("string")
+    lines = p.select(F.when(c("p_partkey") % 2 == 0, _tabs("@SQ", F.concat(F.lit("SN:"), t), F.concat(F.lit("LN:"), n))).otherwise(_tabs(t, n)).alias("value"))
+    return readers.lengths(spark, _written(spark, lines))
+
+
+@query(sql("aln0 aln blk", "SELECT fragment_id, CAST(aln_no AS BIGINT) AS aln_no, CAST(block_idx AS BIGINT) AS block_idx, CAST(last_block AS BIGINT) AS last_block, chrom, bs AS block_start, be AS block_end, CAST(al AS BIGINT) AS aligned_len, CAST(read_index AS BIGINT) AS read_index FROM blk"))
+def bed_blocks(spark, sf):
+    """Blocks as BED rows with the block grammar of their names."""
+    b, c = alignments.blocks(adapters.alignments(spark, sf)), F.col
+    name = writers.block_name(c("fragment_id").cast("string"), c("aln_no"), c("aligned_len"), c("ins"), c("del"), c("block_idx"), c("last_block"), c("paired"), c("read_index"))
+    got = readers.bed6(spark, _written(spark, b.select(writers.bed_line(c("chrom"), c("start"), c("end"), name, F.lit(0), c("strand")).alias("value"))))
+    return got.select(c("block.fragment_id").cast("long").alias("fragment_id"), *[c(f"block.{x}").cast("long").alias(x) for x in ("aln_no", "block_idx", "last_block", "aligned_len", "read_index")], "chrom", c("start").alias("block_start"), c("end").alias("block_end"))
+
+
+@query(sql("aln0 aln blk exon hit", "SELECT DISTINCT fragment_id, chrom, bs - 1 AS start0, exon_id, CAST(ov AS BIGINT) AS overlap FROM hit"))
+def intersection_rows(spark, sf):
+    got = readers.intersections(spark, _written(spark, projection.genomic_bed(intervals.interval_join(alignments.blocks(adapters.alignments(spark, sf)), adapters.exons(spark, sf))).withColumnRenamed("line", "value")))
+    return got.select(F.col("name").cast("long").alias("fragment_id"), "chrom", "start0", "exon_id", F.col("overlap").cast("long").alias("overlap")).distinct()
+
+
+@query(sql("aln0 aln", "SELECT CAST(fragment_id AS VARCHAR) || '/1' AS fragment, CAST(count(*) AS BIGINT) AS num_alignments, CAST(CASE WHEN count(*) > 1 THEN 3 ELSE 1 END AS BIGINT) AS multiplicity FROM aln GROUP BY 1"))
+def weight_rows(spark, sf):
+    """Weight rows whose read index is written twice are cleaned."""
+    n, c = adapters.alignments(spark, sf).groupBy("fragment_id").count(), F.col
+    lines = n.select(_tabs(F.concat(c("fragment_id").cast("string"), F.when(c("fragment_id") % 2 == 0, "/1/1").otherwise("/1")), c("count"), F.lit(0), F.when(c("count") > 1, "paired-end").otherwise("single-read")).alias("value"))
+    return _long(readers.weights(spark, _written(spark, lines)).select("fragment", "num_alignments", "multiplicity"), "num_alignments", "multiplicity")
+
+
+@query("SELECT 'e' || CAST(p_partkey AS VARCHAR) AS exon_id, p_brand AS object_id, CASE WHEN p_size % 2 = 0 THEN p_type ELSE p_brand END AS internal_id FROM part")
+def object_map_rows(spark, sf):
+    p, c = adapters.table(spark, sf, "part"), F.col
+    lines = p.select(_tabs(F.concat(F.lit("e"), c("p_partkey").cast("string")), c("p_brand"), F.when(c("p_size") % 2 == 0, c("p_type"))).alias("value")).unionByName(spark.range(1).select(_tabs("Exon Id", "Object").alias("value")))
+    return readers.object_map(spark, _written(spark, lines))
+
+
+@query("SELECT CASE WHEN p_size % 2 = 0 THEN 'g-junction-1-2' ELSE 't' || CAST(p_partkey AS VARCHAR) END AS transcript_id, p_brand AS gene_id, CAST(p_size AS BIGINT) AS position FROM part")
+def transcript_map_rows(spark, sf):
+    p, c = adapters.table(spark, sf, "part"), F.col
+    lines = p.select(_tabs(F.when(c("p_size") % 2 == 0, "g-junction-1-2:5").otherwise(F.concat(F.lit("t"), c("p_partkey").cast("string"))), c("p_brand"), c("p_size")).alias("value"))
+    return readers.transcript_map(spark, _written(spark, lines)).select("transcript_id", "gene_id", "position")
+
+
+@query(sql("exon", "SELECT gene_id, 'T' || name AS transcript_id, CAST(CASE WHEN es % 40 = 1 THEN 3 END AS BIGINT) AS exon_number, CASE WHEN ee % 3 = 0 THEN 'own' || CAST(es AS VARCHAR) ELSE exon_id END AS exon_id FROM exon"))
+def gtf_rows(spark, sf):
+    e, c = adapters.exons(spark, sf), F.col
+    attributes = F.concat(F.lit('gene_id "'), c("gene_id"), F.lit('"; transcript_id "T'), c("name"), F.lit('";'), F.when(c("start") % 40 == 1, ' exon_number "3";').otherwise(""), F.when(c("end") % 3 == 0, F.concat(F.lit(' exon_id "own'), c("start").cast("string"), F.lit('";'))).otherwise(""))
+    lines = e.select(_tabs(c("chrom"), "s", "exon", c("start"), c("end"), ".", c("strand"), ".", attributes).alias("value")).unionByName(spark.range(1).select(F.lit("#!version 1").alias("value")))
+    got = readers.gtf(spark, _written(spark, lines))
+    return _long(got.select("gene_id", "transcript_id", "exon_number", "exon_id"), "exon_number")
+
+
+@query("SELECT CAST(p_partkey AS VARCHAR) AS fragment_id, CAST(1 + p_partkey % 2 AS BIGINT) AS read_index, CAST(CASE WHEN p_size % 3 = 0 THEN p_size ELSE 1 END AS BIGINT) AS multiplicity, upper(repeat('acgt', 1 + p_size % 5)) AS seq, repeat('@', 4 + 4 * (p_size % 5)) AS qual FROM part")
+def fastq_rows(spark, sf):
+    """FASTQ entries, qualities that look like ids among them."""
+    p, c = adapters.table(spark, sf, "part"), F.col
+    n = (1 + c("p_size") % 5).cast("int")
+    head = F.concat(F.lit("@"), c("p_partkey").cast("string"), F.when(c("p_partkey") % 2 == 0, "/1").otherwise("/2"), F.when(c("p_size") % 3 == 0, F.concat(F.lit(" "), c("p_size").cast("string"))).otherwise(""))
+    entry = F.concat_ws("\n", head, F.repeat(F.lit("acgt"), n), F.lit("+"), F.repeat(F.lit("@"), 4 * n))
+    got = readers.fastq(spark, _written(spark, p.select(entry.alias("value"))))
+    return _long(got.select("fragment_id", "read_index", "multiplicity", "seq", "qual"), "read_index", "multiplicity")
+
+
+@query("SELECT CAST(p_partkey AS VARCHAR) AS id, CAST(p_size AS DOUBLE) AS count FROM part WHERE p_size <> 25")
+def count_rows(spark, sf):
+    p, c = adapters.table(spark, sf, "part"), F.col
+    lines = p.select(_tabs(c("p_partkey"), F.when(c("p_size") == 25, 0).otherwise(c("p_size"))).alias("value")).unionByName(spark.range(1).select(_tabs("Id", "s").alias("value")))
+    return readers.counts(spark, _written(spark, lines), nonzero=True).select("id", "count")
+
+
+@query("SELECT o_orderpriority AS sample, CAST(sum(o_custkey) AS BIGINT) AS reads FROM orders GROUP BY 1")
+def read_number_rows(spark, sf):
+    o, c = adapters.table(spark, sf, "orders"), F.col
+    return readers.read_numbers(spark, _written(spark, o.select(_tabs(c("o_orderpriority"), F.concat(F.lit("C"), c("o_orderkey").cast("string")), c("o_custkey")).alias("value"))))
+
+
+@query("SELECT DISTINCT p_brand AS chrom FROM part")
+def chromosome_rows(spark, sf):
+    p, c = adapters.table(spark, sf, "part"), F.col
+    return readers.chromosomes(spark, _written(spark, p.select(_tabs(c("p_brand"), c("p_partkey"), c("p_size")).alias("value"))))
+
+
+@query("WITH r AS (SELECT 'S' || CAST(s_nationkey AS VARCHAR) AS sample, 'f' || lpad(CAST(s_suppkey AS VARCHAR), 6, '0') AS fastq_name FROM supplier) SELECT sample, fastq_name, CASE WHEN count(*) OVER (PARTITION BY sample) > 1 THEN sample || '_' || CAST(row_number() OVER (PARTITION BY sample ORDER BY fastq_name) AS VARCHAR) ELSE sample END AS link FROM r")
+def sample_rows(spark, sf):
+    c = F.col
+    s = adapters.table(spark, sf, "supplier").select(F.concat(F.lit("S"), c("s_nationkey").cast("string")).alias("Sample Name"), F.lit("/d").alias("Fastq path"), F.concat(F.lit("f"), F.lpad(c("s_suppkey").cast("string"), 6, "0")).alias("Fastq name"))
+    path = adapters.scratch(spark, "samples")
+    writers.tsv(s, path, header=True)
+    return readers.samples(spark, path).select("sample", "fastq_name", "link")
