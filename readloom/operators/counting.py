@@ -138,7 +138,7 @@ def with_weights(found: DataFrame, weights: DataFrame | None) -> DataFrame:
     if weights is None:
         return found.withColumn("weight", F.lit(1.0))
     joined = found.join(weights.select("fragment_id", F.col("n").alias("_table")), "fragment_id", "left")
-    missing = F.raise_error(F.concat(F.lit("fragment without weight: "), F.col("fragment_id").cast("string"))).cast("double")
+    missing = F.raise_error(F.concat(F.lit("fragment without weight: "), F.to_json(F.struct("fragment_id")))).cast("double")
     return joined.withColumn("weight", F.when(F.col("_table").isNull(), missing).otherwise(F.least(1.0 / F.col("_table"), 1.0 / F.col("n")))).drop("_table")
 
 
@@ -166,12 +166,15 @@ def quantify(blocks: DataFrame, exons: DataFrame, objects: DataFrame, mode: str
     return quantify_hits(fragment_hits(blocks, exons, objects, stranded), mode, weights, unambiguous, stranded, threshold, use_weights)
 
 
-def quantify_hits(hits: DataFrame, mode: str | Mode = "gene", weights: DataFrame | None = None, unambiguous: bool = False, stranded: bool = False, threshold: float = LEAST_WEIGHT, use_weights: bool = True) -> DataFrame:
-    """(id, count) from hits of distinct alignments that carry the objects of their exons."""
+def quantify_hits(hits: DataFrame, mode: str | Mode = "gene", weights: DataFrame | None = None, unambiguous: bool = False, stranded: bool = False, threshold: float = LEAST_WEIGHT, use_weights: bool = True, by: tuple[str, ...] = ()) -> DataFrame:
+    """(id, count) from hits of distinct alignments that carry the objects of their exons.
+
+    With ``by`` the fragment_id is a struct, and counts are kept apart by these of its fields.
+    """
     mode = MODES[mode] if isinstance(mode, str) else mode
     found = qualified(with_numbers(hits), mode, unambiguous, stranded, carry=("n",))
     per = fragment_counts(with_weights(found, weights), threshold, use_weights)
-    return per.groupBy(F.col("object_id").alias("id")).agg(F.sum("count").alias("count"))
+    return per.groupBy(*[F.col(f"fragment_id.{c}").alias(c) for c in by], F.col("object_id").alias("id")).agg(F.sum("count").alias("count"))
 
 
 def overlap_counts(blocks: DataFrame, exons: DataFrame, objects: DataFrame, least: int = 3, weights: DataFrame | None = None, by_read: bool = False) -> DataFrame:

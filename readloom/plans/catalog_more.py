@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from readloom.functions import cigar, flags, names
 from readloom.functions.intervals import blocks_overlap, distance
 from readloom.operators import alignments, combine, counting, intervals, junctions, projection, sam_counts, tables, weights
-from readloom.plans import adapters, references
+from readloom.plans import adapters, genome_counts, references
 from readloom.plans.adapters import sql
 from readloom.plans.catalog import _SPLICE, _TG, _count_sql, _long, _rounded, _transcripts, query
 from readloom.sources import readers, writers
@@ -425,6 +425,38 @@ def sam_rows(spark, sf):
     return readers.sam(spark, _written(spark, lines)).select("fragment_name", c("read_index").cast("long").alias("read_index"), "ref", "pos", c("NM").cast("long").alias("nm"), c("HI").cast("long").alias("hi"))
 
 
+def _sample_sam(spark, sf) -> DataFrame:
+    """Lines of orders as parsed SAM rows of samples (priorities) and chunks (line status of the customer's key)."""
+    a, o, c = adapters.alignments(spark, sf), adapters.table(spark, sf, "orders"), F.col
+    a = a.join(o.select(c("o_orderkey").alias("fragment_id"), c("o_orderpriority").alias("sample"), (c("o_custkey") % 3).cast("int").alias("chunk")), "fragment_id")
+    flag = F.when(c("strand") == "-", 16).otherwise(0)
+    return a.select("sample", "chunk", c("fragment_id").cast("string").alias("fragment_name"), F.concat(c("fragment_id").cast("string"), F.lit("/"), c("read_index").cast("string")).alias("query_name"), flag.alias("flag"), c("chrom").alias("ref"), "pos", "cigar", F.lit("*").alias("mate_ref"), F.lit(0).cast("long").alias("mate_pos"), "read_index", c("nm").alias("NM"), F.lit(None).cast("int").alias("HI"), F.lit(None).cast("int").alias("AS"), c("aln_no").alias("row_no"))
+
+
+_BY_SAMPLE = _count_sql("gene", tail="SELECT o_orderpriority AS sample, object_id AS id, CAST(sum(c) AS DOUBLE) AS count FROM per JOIN orders ON o_orderkey = per.fragment_id GROUP BY 1, 2").replace("cnt AS (SELECT object_id AS id, CAST(sum(c) AS DOUBLE) AS count FROM per GROUP BY 1)", "cnt AS (SELECT 1)")
+_PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+
+def _sample_tables(spark, sf):
+    e, c = adapters.exons(spark, sf), F.col
+    # The map's exon ids carry the places; strands of both are one, so that ids are told apart by place.
+    objects = e.select("exon_id", c("gene_id").alias("object_id"))
+    lengths = adapters.table(spark, sf, "part").groupBy(c("p_brand").alias("id")).agg(F.sum("p_size").cast("long").alias("length"))
+    return genome_counts.sample_tables(_sample_sam(spark, sf), objects, lengths, _PRIORITIES)
+
+
+@query(f"SELECT id, " + ", ".join(f"round(coalesce(sum(CASE WHEN sample = '{s}' THEN count END), 0.0), 6) AS s{i}" for i, s in enumerate(_PRIORITIES)) + f" FROM ({_BY_SAMPLE}) GROUP BY 1")
+def sample_gene_matrix(spark, sf):
+    """From SAM rows of several samples and chunks to the matrix of their counts."""
+    m, _ = _sample_tables(spark, sf)
+    return _rounded(m.select("id", *[F.col(f"`{s}`").alias(f"s{i}") for i, s in enumerate(_PRIORITIES)]), *[f"s{i}" for i in range(5)])
+
+
+@query(f"WITH c AS ({_BY_SAMPLE}), n AS (SELECT sample, sum(count) AS reads FROM c GROUP BY 1), l AS (SELECT p_brand AS id, sum(p_size) AS length FROM part GROUP BY 1) SELECT c.id, c.sample, round(count / (length / 1000.0) / (reads / 1e6), 6) AS fpkm FROM c JOIN n USING (sample) JOIN l ON l.id = c.id")
+def sample_gene_fpkm(spark, sf):
+    return _rounded(_sample_tables(spark, sf)[1].select("id", "sample", "fpkm"), "fpkm")
+
+
 @query("SELECT 't' || CAST(p_partkey AS VARCHAR) AS id, CAST(p_size AS BIGINT) AS length FROM part")
 def reference_lengths(spark, sf):
     """Lengths from a header for even parts, from a table for odd ones."""

@@ -18,7 +18,7 @@ def lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def parse_sam(rows: DataFrame) -> DataFrame:
-    """SAM rows from ``value`` lines; header and blank lines are skipped.
+    """SAM rows from ``value`` lines; header and blank lines are skipped, other columns come along.
 
     Adds fragment_name, read_index, NM, AS and HI (null where absent), with ``=`` of the mate resolved.
     Raises on too few fields, on sequence and quality of different lengths and on a name whose suffix
@@ -37,13 +37,14 @@ def parse_sam(rows: DataFrame) -> DataFrame:
     tags = F.array_join(F.slice(f, 12, F.greatest(F.size(f) - 11, F.lit(0))), "\t")
     out = body.select(
         name.alias("query_name"), flag.alias("flag"), get(2).alias("ref"), get(3).cast("long").alias("pos"), get(4).cast("int").alias("mapq"), get(5).alias("cigar"),
-        F.when(get(6) == "=", get(2)).otherwise(get(6)).alias("mate_ref"), get(7).cast("long").alias("mate_pos"), get(8).alias("insert_size"), seq.alias("seq"), qual.alias("qual"), tags.alias("tags"),
+        F.when(get(6) == "=", get(2)).otherwise(get(6)).alias("mate_ref"), get(7).cast("long").alias("mate_pos"), get(8).alias("insert_size"), seq.alias("seq"), qual.alias("qual"), tags.alias("tags"), *[c for c in rows.columns if c != "value"],
     )
     return out.select("*", names.fragment_name(F.col("query_name")).alias("fragment_name"), flags.read_index(F.col("flag"), F.col("query_name")).alias("read_index"), *[names.tag(F.col("tags"), t).alias(t) for t in ("NM", "AS", "HI")])
 
 
 def sam(spark: SparkSession, path: str | list[str], mapped_only: bool = True) -> DataFrame:
-    rows = parse_sam(lines(spark, path))
+    """SAM rows with ``row_no``, which ascends in the order of the files' lines."""
+    rows = parse_sam(lines(spark, path).withColumn("row_no", F.monotonically_increasing_id()))
     return rows.where(flags.is_mapped(F.col("flag"), F.col("pos")) & (F.col("ref") != "*")) if mapped_only else rows
 
 
@@ -145,43 +146,32 @@ def gtf(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def fastq(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """FASTQ (four lines) or FASTA (two lines) entries.
+    """FASTQ (four lines) or FASTA (two lines) entries: path, record (from 0), full_id, seq, qual and what the id says.
 
-    Lines of a file are numbered by their place in it, so each file is read by one task; give many files.
+    Files are read in splits of any size. A line's number in its file is its place in its split and the
+    lines of the splits before, which are one small row per split; the lines of an entry meet by it. Raises
+    for entries that are malformed or cut off.
     """
-    import pandas as pd
-
-    kind = "path string, record long, full_id string, seq string, qual string"
-
-    def entries(batches):
-        path, held, count = None, [], 0
-        out: list[tuple] = []
-
-        def take():
-            nonlocal held, count
-            size = 2 if held and held[0].startswith(">") else 4
-            if len(held) == size:
-                ids, seq = held[0], held[1].upper()
-                if ids[:1] not in "@>" or size == 4 and len(held[3]) != len(seq):
-                    raise ValueError(f"{path}: entry {count + 1} is malformed: {ids!r}")
-                out.append((path, count, ids[1:], seq, held[3] if size == 4 else "*"))
-                held, count = [], count + 1
-
-        for pdf in batches:
-            for p, content in zip(pdf["path"], pdf["content"]):
-                path, held, count = p, [], 0
-                for line in content.splitlines():
-                    held.append(line)
-                    take()
-                    if len(out) >= 10_000:
-                        yield pd.DataFrame(out, columns=["path", "record", "full_id", "seq", "qual"])
-                        out.clear()
-                if held:
-                    raise ValueError(f"{path}: last entry is cut off")
-        yield pd.DataFrame(out, columns=["path", "record", "full_id", "seq", "qual"])
-
-    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), F.col("value").alias("content"))
-    return with_fastq_ids(whole.mapInPandas(entries, kind))
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("id"))
+    return with_fastq_ids(fastq_entries(lines))
+
+
+def fastq_entries(lines: DataFrame) -> DataFrame:
+    """Entries of lines (value) in ascending ``id`` without gaps inside each split of a path."""
+    from pyspark.sql import Window
+
+    of = Window.partitionBy("path").orderBy("split")
+    splits = lines.groupBy("path", "split").agg(F.count("*").alias("lines"), F.min("id").alias("first"), F.min_by(F.substring("value", 1, 1), "id").alias("head"))
+    splits = splits.select("path", "split", "first", F.coalesce(F.sum("lines").over(of.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"), F.when(F.first("head").over(of) == ">", 2).otherwise(4).alias("size"))
+    number = F.col("id") - F.col("first") + F.col("before")
+    placed = lines.join(splits, ["path", "split"]).select("path", "size", F.floor(number / F.col("size")).alias("record"), (number % F.col("size")).alias("field"), "value")
+    line = lambda k: F.max(F.when(F.col("field") == k, F.col("value")))
+    entry = placed.groupBy("path", "size", "record").agg(F.count("*").alias("lines"), line(0).alias("head"), F.upper(line(1)).alias("seq"), line(3).alias("last"))
+    bad = lambda why: F.raise_error(F.concat("path", F.lit(": entry "), (F.col("record") + 1).cast("string"), F.lit(why), "head")).cast("string")
+    qual = F.when(F.col("size") == 4, F.col("last")).otherwise("*")
+    wrong = ~F.substring("head", 1, 1).isin("@", ">") | ((F.col("size") == 4) & (F.length("last") != F.length("seq")))
+    full = F.when(F.col("lines") < F.col("size"), bad(" is cut off: ")).when(wrong, bad(" is malformed: ")).otherwise(F.substring("head", 2, 2**31 - 1))
+    return entry.select("path", "record", full.alias("full_id"), "seq", qual.alias("qual"))
 
 
 def with_fastq_ids(rows: DataFrame) -> DataFrame:

@@ -238,3 +238,40 @@ def test_transcript_versions_and_chromosome_check(spark):
     assert rows(alignments.chromosome_check(r, e)) == [("c", True), ("d", False), ("tr-A", False)]
     with pytest.raises(ValueError):
         alignments.chromosome_check(r.where("chrom = 'd'"), e)
+
+
+def test_fastq_in_small_splits(spark, tmp_path):
+    text = "".join(f"@r{i}/{1 + i % 2}\n{'acgtn' * (1 + i % 4)}\n+\n{'@>+II' * (1 + i % 4)}\n" for i in range(300))
+    (tmp_path / "a.fastq").write_text(text)
+    (tmp_path / "b.fa").write_text("".join(f">s{i}\nACGT\n" for i in range(50)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        got = readers.fastq(spark, [str(tmp_path / "a.fastq"), str(tmp_path / "b.fa")])
+        found = {r.full_id: (r.record, r.seq, r.qual) for r in got.collect()}
+        assert len(found) == 350 and found["r299/2"] == (299, "ACGTN" * 4, "@>+II" * 4) and found["s7"] == (7, "ACGT", "*")
+        for name, body, why in (("c", "@a\nACGT\n+\nIII\n", "malformed"), ("d", "@a\nACGT\n+\nIIII\n@b\nA\n", "cut off"), ("e", "a\nACGT\n+\nIIII\n", "malformed")):
+            (tmp_path / f"{name}.fastq").write_text(body)
+            with pytest.raises(Exception, match=why):
+                readers.fastq(spark, str(tmp_path / f"{name}.fastq")).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_identical_rows_stay_apart(spark, tmp_path):
+    row = "q\t0\tc\t105\t20\t50M\t*\t0\t0\t*\t*\tNM:i:0\n"
+    (tmp_path / "x.sam").write_text("@SQ\tSN:c\tLN:999\n" + row * 2)
+    parsed = readers.sam(spark, str(tmp_path / "x.sam"))
+    assert parsed.select("row_no").distinct().count() == 2
+    m = spark.createDataFrame([("c/100/160/+", "G")], "exon_id string, object_id string")
+    for r in (parsed, parsed.drop("row_no")):
+        assert counted(genome_counts.from_sam(r, m)) == {"G": 0.5}
+
+
+def test_count_driver_writes_maps_of_three_columns(spark, tmp_path):
+    (tmp_path / "x.sam").write_text("q\t0\tc\t105\t20\t50M\t*\t0\t0\t*\t*\tNM:i:0\n")
+    (tmp_path / "m.txt").write_text("c/100/160/+\tout1\tin\nc/100/160/+\tout2\tin\nc/900/960/+\tout3\tother\n")
+    (tmp_path / "w.txt").write_text("q\t4\t0\tsingle-read\n")
+    genome_counts.run(spark, str(tmp_path / "x.sam"), str(tmp_path / "m.txt"), str(tmp_path / "o"), weight_file=str(tmp_path / "w.txt"))
+    got = readers.counts(spark, str(tmp_path / "o"))
+    assert rows(got, "id", "count") == [("out1", 0.25), ("out2", 0.25), ("out3", 0.0)]
