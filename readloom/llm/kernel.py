@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from hashlib import blake2b
-from itertools import chain
 
 import numpy as np
 
@@ -53,41 +52,8 @@ def _powers(base: int, n: int) -> np.ndarray:
 A, B = Powers(SEED_A), Powers(SEED_B)
 
 
-class _Numbers(dict):
-    """Numbers of words in the order in which they are met, and their digests."""
-
-    def __init__(self):
-        self.fresh: list[bytes] = []
-        self.lanes = np.empty((1 << 16, 2), "<u8")
-
-    def __missing__(self, word: bytes) -> int:
-        n = self[word] = len(self)
-        self.fresh.append(word)
-        return n
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        """Two halves of the digest of each word."""
-        if len(self) > KNOWN_WORDS:
-            self.clear()
-        which = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        if self.fresh:
-            if len(self) > len(self.lanes):
-                self.lanes = np.concatenate((self.lanes, np.empty((max(len(self), 2 * len(self.lanes)) - len(self.lanes), 2), "<u8")))
-            digests = b"".join([blake2b(w, digest_size=16).digest() for w in self.fresh])
-            self.lanes[len(self) - len(self.fresh) : len(self)] = np.frombuffer(digests, "<u8").reshape(-1, 2)
-            self.fresh = []
-        return np.ascontiguousarray(self.lanes[which].T)
-
-
-#: Words whose digests a worker keeps; beyond, it starts anew.
-KNOWN_WORDS = 250_000
-_numbers = _Numbers()
-
-
 def release() -> None:
-    """Lets the tables of powers and the words' digests go; they grow again on demand."""
-    global _numbers
-    _numbers = _Numbers()
+    """Lets the tables of powers go; they grow again on demand."""
     for family in (A, B):
         family.up = family.down = np.ones(1, np.uint64)
 
@@ -101,20 +67,46 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+#: Bytes of words that are their own hash, and what is left of eight bytes for each length.
+SHORT = 15
+_LEFT = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
 class Words:
-    """Words of a batch: 128 bits of hash each, the document of each, the first word of each document.
+    """Words of a batch: 128 bits of each, the document of each, the first word of each document.
 
-    A word's hash is a cryptographic digest, so that no two words of a corpus have the same one, whatever
-    they were made for. A worker keeps the digests of words that it met before.
+    Of a word of up to 15 bytes the 128 bits are its bytes and its length, of a longer one a cryptographic
+    digest; so no two words of a corpus have the same ones, whatever they were made for.
     """
 
     def __init__(self, texts: list[bytes]):
         self.texts = texts
-        split = [t.split() for t in texts]
-        self.count = np.fromiter(map(len, split), np.int64, len(texts))
-        self.lanes = _numbers.of(list(chain.from_iterable(split)))
-        self.first = np.cumsum(self.count) - self.count
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        raw = b" ".join(texts) + b" " * 17
+        space = SPACE[np.frombuffer(raw, np.uint8)]
+        edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+        if not space[0]:
+            edge = np.concatenate(([0], edge))
+        start, end = edge[0::2], edge[1::2]
+        self.first = np.searchsorted(start, np.cumsum(sizes + 1) - sizes - 1)
+        self.count = np.diff(np.append(self.first, len(start)))
         self.doc = np.repeat(np.arange(len(texts)), self.count)
+        size = end - start
+        eights = np.ndarray((len(raw) - 7,), "<u8", raw, strides=(1,))
+        low = eights[start] & _LEFT[np.minimum(size, 8)]
+        high = eights[start + 8] & _LEFT[np.clip(size - 8, 0, 7)] | np.minimum(size, 255).astype(np.uint64) << np.uint64(56)
+        far = np.flatnonzero(size > SHORT)
+        if len(far):
+            digests: dict[bytes, bytes] = {}
+            long = [raw[a:b] for a, b in zip(start[far].tolist(), end[far].tolist())]
+            for w in long:
+                if w not in digests:
+                    digests[w] = blake2b(w, digest_size=16).digest()
+            halves = np.frombuffer(b"".join(map(digests.__getitem__, long)), "<u8").reshape(-1, 2)
+            low[far], high[far] = halves[:, 0], halves[:, 1] | np.uint64(0xFF << 56)  # no short word has this length
+        high = mix(high)
+        # Both are made anew one to one, so that each half alone spreads over the key space.
+        self.lanes = np.stack((mix(low + high), mix(high ^ MIX_2)))
 
     def hashes(self, lane: int = 0) -> np.ndarray:
         return self.lanes[lane]
