@@ -1,4 +1,5 @@
 import hashlib
+import io
 import re
 import zlib
 
@@ -101,15 +102,28 @@ def test_warc_round_trip(spark, pages, tmp_path):
     assert pairs(warc.read(spark, path), "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to") == sorted(want, key=repr)
     table = spark.read.schema(warc.TABLE_SQL).parquet(path)
     assert table.selectExpr("max(length(data))").first()[0] <= warc.CHUNK
-    n = 0
+    found, ids = [], []
     for a in sorted({r.archive for r in table.select("archive").collect()}):
-        data = b"".join(warc.archive_bytes(spark, path, a))
-        while data:
-            head, _, rest = data.partition(b"\r\n\r\n")
-            size = int(re.search(rb"\r\nContent-Length: (\d+)", head)[1])
-            assert head.startswith(b"WARC/1.1\r\n") and rest[size : size + 4] == b"\r\n\r\n"
-            data, n = rest[size + 4 :], n + 1
-    assert n == len(PAGES)
+        records = list(warc.parse(io.BytesIO(b"".join(warc.archive_bytes(spark, path, a)))))
+        assert records[0][0]["WARC-Type"] == "warcinfo"
+        for head, _, sha in records[1:]:
+            revisit = head["WARC-Type"] == "revisit"
+            assert revisit or sha == head["WARC-Payload-Digest"].removeprefix("sha1:")
+            found.append((int(head["X-Page-Id"]) if "X-Page-Id" in head else None, head["WARC-Payload-Digest"].removeprefix("sha1:"), head["WARC-Type"], int(head["X-Refers-To-Page-Id"]) if revisit else None))
+            ids.append((head["WARC-Record-ID"], head.get("WARC-Refers-To")))
+    assert sorted(found, key=repr) == sorted(((p, d, k, r) for p, _, d, k, r in want), key=repr)
+    assert {r for _, r in ids if r} <= {i for i, _ in ids}
+    for broken, why in ((b"nothing\r\n", "no record"), (b"WARC/1.1\r\nContent-Length: 9\r\n\r\nabc", "cut off")):
+        with pytest.raises(ValueError, match=why):
+            list(warc.parse(io.BytesIO(broken)))
+
+
+def test_many_revisits_are_joined(spark, pages, tmp_path, monkeypatch):
+    columns = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    warc.write(pages, f"file://{tmp_path}/few")
+    monkeypatch.setattr(warc, "SENT_ROWS", 0)
+    warc.write(pages, f"file://{tmp_path}/many")
+    assert pairs(warc.read(spark, f"file://{tmp_path}/many"), *columns) == pairs(warc.read(spark, f"file://{tmp_path}/few"), *columns)
 
 
 def test_a_changed_payload_is_noticed(spark, pages, tmp_path):
