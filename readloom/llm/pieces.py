@@ -3,7 +3,7 @@
 No piece of the vocabulary has a space mark after another character, so a text falls into units
 that are encoded alone. The distinct new units of a batch are concatenated and indexed by a
 suffix array as deep as the longest piece; every piece is binary-searched for its range of
-occurrences; the edges so found are sorted by their end and relaxed from left to right.
+occurrences; the edges so found are sorted by their end and relaxed from left to right. Where no edge crosses a border, the parts on both sides are found each alone.
 
 Merging by rank has one valid segmentation of each prefix: its last piece is the one edge whose
 piece may follow the last piece of the prefix before it. Two pieces may follow each other when no
@@ -164,10 +164,18 @@ class Encoder:
         one[begin[end == begin + 1]] = True
         lone = np.flatnonzero(inside & ~one)  # characters outside the vocabulary, zero among them
         begin, end, piece = np.concatenate((begin, lone)), np.concatenate((end, lone + 1)), np.concatenate((piece, np.full(len(lone), NONE)))
-        place = np.arange(len(codes)) - np.repeat(base, sizes + 1)  # position in the unit
+        # Nothing merges across a border that no piece crosses, so what lies between two such borders is found alone.
+        crossed = np.zeros(len(codes) + 1, np.int64)
+        np.add.at(crossed, begin + 1, 1)
+        np.add.at(crossed, end, -1)
+        start = inside & (np.cumsum(crossed)[:-1] == 0)
+        origin = np.flatnonzero(start)
+        place = np.arange(len(codes)) - origin[np.maximum(np.cumsum(start) - 1, 0)] if len(origin) else np.zeros(len(codes), np.int64)
+        stop = np.append(origin[1:], len(codes))
+        stop = np.minimum(stop, np.repeat(base + sizes, np.bincount(np.searchsorted(base, origin, "right") - 1, minlength=len(units)))) if len(origin) else stop
         order = np.lexsort((begin, end, place[end - 1]))
         begin, end, piece = begin[order], end[order], piece[order]
-        step = np.searchsorted(place[end - 1], np.arange(int(sizes.max(initial=0)) + 1))
+        step = np.searchsorted(place[end - 1], np.arange(int((stop - origin).max(initial=0)) + 1))
         last = np.full(len(codes) + 1, NONE - 1, np.int64)  # last piece of the prefix that ends here
         back = np.zeros(len(codes) + 1, np.int64)
         for x, y in zip(step, step[1:]):
@@ -176,14 +184,14 @@ class Encoder:
             before = np.where(first, NONE, last[b])
             good = first | (p == NONE) | (before == NONE) | self._may_follow(before, p)
             last[e[good]], back[e[good]] = p[good], b[good]
-        at, live, walked = base + sizes, np.arange(len(units)), []
-        while len(live):  # all units at once, from their ends
+        at, live, walked = stop.copy(), np.arange(len(origin)), []
+        while len(live):  # all parts at once, from their ends
             walked.append((live, last[at[live]]))
             at[live] = back[at[live]]
-            live = live[at[live] > base[live]]
-        of, ids = (np.concatenate(c) for c in zip(*walked[::-1]))
+            live = live[at[live] > origin[live]]
+        of, ids = (np.concatenate(c) for c in zip(*walked[::-1])) if walked else (np.empty(0, np.int64), np.empty(0, np.int64))
         order = np.argsort(of, kind="stable")
-        of, ids = of[order], ids[order]
+        of, ids = np.searchsorted(base, origin[of[order]], "right") - 1, ids[order]
         if (ids < NONE).any():
             raise AssertionError("a unit has no segmentation")
         data, ends = ids.astype("<u4").tobytes(), 4 * np.cumsum(np.bincount(of, minlength=len(units)))
@@ -307,7 +315,11 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
-    """Texts of piece ids: doc_id, n_pieces, ids_crc32 (of the ids as 32-bit little-endian integers), text."""
+    """Texts of piece ids: doc_id, n_pieces, ids_crc32 (of the ids as 32-bit little-endian integers), text.
+
+    Null ids, or none, give an empty text; repeated rows give equal rows; null doc_ids are passed on; other
+    columns are ignored; an empty table gives no rows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]):
         decoder = Decoder(model)
@@ -324,7 +336,8 @@ def round_trip(docs: DataFrame, model: str) -> DataFrame:
     """Encode and decode every whole text: doc_id, n_pieces, ids_crc32, n_chars and text_sha256 of what came back, round_trip, ids, text.
 
     ``round_trip`` is whether decoding gives the text again; a null text counts as empty. Texts that hold
-    the space mark itself come back with spaces in its place.
+    the space mark itself come back with spaces in its place. Null ids are passed on; repeated rows give
+    equal rows; an empty table gives no rows.
     """
     schema = "doc_id long, n_pieces long, ids_crc32 long, n_chars long, text_sha256 string, round_trip boolean, ids array<int>, text string"
 

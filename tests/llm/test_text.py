@@ -221,6 +221,24 @@ def test_random_texts_equal_the_library():
     assert [dec.decode(i) for i in ids] == [sp.decode(i.tolist()) for i in ids]
 
 
+def test_texts_without_spaces_are_read_in_time(spark, none):
+    import random
+    import time
+
+    from sentencepiece import SentencePieceProcessor
+
+    path, r = public_tokenizers.path("piece_bpe_32k.model"), random.Random(9)
+    sp, enc = SentencePieceProcessor(model_file=path), pieces.Encoder(path)
+    texts = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz0123456789漢é") for _ in range(60_000)), "漢字" * 20_000, "ab" * 5_000, "x", "\n" * 300]
+    began = time.process_time()
+    ids = enc.encode(texts)
+    assert time.process_time() - began < 8
+    assert [i.tolist() for i in ids] == [sp.encode(t) for t in texts]
+    for f in (pieces.encode, pieces.round_trip):
+        assert f(none, path).count() == 0
+    assert pieces.decode(pieces.encode(none, path), path).count() == 0
+
+
 def test_suffix_array_orders_suffixes():
     codes = np.frombuffer("mississippi$banana$ananas$".encode("utf-32-le"), np.uint32)
     order = pieces.suffix_array(codes, 8).tolist()
