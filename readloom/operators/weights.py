@@ -18,7 +18,7 @@ def summarize(alignments: DataFrame, by_read: bool = False, chroms: DataFrame |
     is pairs plus the larger side. A missing edit distance counts -1. ``by_read`` keys on fragment and read.
     ``chroms`` restricts to listed references. ``extras`` adds spliced alignments and soft-clipped bases.
     """
-    rows = alignments if chroms is None else alignments.join(F.broadcast(chroms.select("chrom").distinct()), "chrom", "left_semi")
+    rows = alignments if chroms is None else alignments.join(chroms.select("chrom").distinct(), "chrom", "left_semi")
     key = ["fragment_id", "read_index"] if by_read else ["fragment_id"]
     nm = F.coalesce(F.col("nm"), F.lit(-1))
     single = lambda k: F.count_distinct(F.when(~F.col("paired") & (F.col("read_index") == k), F.col("aln_no")))

@@ -6,9 +6,6 @@ for exons. All values are integer arithmetic of the tables' columns; ``SQL`` has
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,16 +14,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(spark: SparkSession, label: str) -> str:
-    """A new path in the folder that ``spark.checkpoint.dir`` names; in a temporary one only on a single machine."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = "file://" + tempfile.gettempdir()
-    return f"{base.rstrip('/')}/readloom-{label}-{uuid.uuid4().hex}"
-
-
 def alignments(spark: SparkSession, sf_dir: str, status: str | None = None) -> DataFrame:
     """fragment_id, aln_no, read_index, paired, chrom, pos, cigar, strand, nm, row_no."""
     li = table(spark, sf_dir, "lineitem")

@@ -11,7 +11,7 @@ from readloom.operators import alignments, combine, counting, intervals, junctio
 from readloom.plans import adapters, genome_counts, references
 from readloom.plans.adapters import sql
 from readloom.plans.catalog import _SPLICE, _TG, _count_sql, _long, _rounded, _transcripts, query
-from readloom.sources import readers, writers
+from readloom.sources import readers, settled, writers
 
 # --- mates --------------------------------------------------------------------------------------
 
@@ -400,7 +400,7 @@ def parsed_numbers(spark, sf):
 
 def _written(spark: SparkSession, rows: DataFrame, suffix: str = "") -> str:
     """Lines (``value``) of a frame as text files."""
-    path = adapters.scratch(spark, "text") + suffix
+    path = settled.folder(spark, "text") + suffix
     rows.select("value").write.text(path)
     return path
 
@@ -546,6 +546,6 @@ def chromosome_rows(spark, sf):
 def sample_rows(spark, sf):
     c = F.col
     s = adapters.table(spark, sf, "supplier").select(F.concat(F.lit("S"), c("s_nationkey").cast("string")).alias("Sample Name"), F.lit("/d").alias("Fastq path"), F.concat(F.lit("f"), F.lpad(c("s_suppkey").cast("string"), 6, "0")).alias("Fastq name"))
-    path = adapters.scratch(spark, "samples")
+    path = settled.folder(spark, "samples")
     writers.tsv(s, path, header=True)
     return readers.samples(spark, path).select("sample", "fastq_name", "link")

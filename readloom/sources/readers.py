@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from readloom import schemas
 from readloom.functions import flags, names
+from readloom.sources.settled import settled
 
 
 def tsv(spark: SparkSession, path: str | list[str], schema: str, header: bool = False) -> DataFrame:
@@ -63,15 +64,18 @@ def rename_fragments(rows: DataFrame, order: str = "fragment_name") -> DataFrame
 
 
 def with_number(rows: DataFrame, by: str) -> DataFrame:
-    """Adds ``number`` from 1 in ascending order of a unique column, by range partitions and their offsets."""
+    """Adds ``number`` from 1 in ascending order of a unique column, by range partitions and their offsets.
+
+    The partitions are written once, so that rows are counted and numbered in the same ones.
+    """
     from pyspark.sql import Window
 
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = rows.repartitionByRange(parts, by).withColumn("_part", F.spark_partition_id())
+    placed = settled(rows.repartitionByRange(parts, by).withColumn("_part", F.spark_partition_id()), "numbered")
     placed = placed.withColumn("_row", F.row_number().over(Window.partitionBy("_part").orderBy(by)))
     sizes = placed.groupBy("_part").count()  # a row per partition
     offsets = sizes.withColumn("_before", F.coalesce(F.sum("count").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return placed.join(F.broadcast(offsets.select("_part", "_before")), "_part").withColumn("number", F.col("_row") + F.col("_before")).drop("_part", "_row", "_before")
+    return placed.join(offsets.select("_part", "_before"), "_part").withColumn("number", F.col("_row") + F.col("_before")).drop("_part", "_row", "_before")
 
 
 def bed6(spark: SparkSession, path: str | list[str]) -> DataFrame:
