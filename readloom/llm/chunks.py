@@ -33,7 +33,7 @@ PACKED_ARROW = pa.schema([("tag", pa.int32()), ("chunk", pa.int64()), ("shard",
 def _pack(ids: list, texts: list[bytes]) -> bytes:
     null = np.array([i is None for i in ids], np.uint8)
     head = np.array([len(ids)], "<u4").tobytes() + np.array([i or 0 for i in ids], "<i8").tobytes() + null.tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(head + np.array([len(t) for t in texts], "<u8").tobytes() + b"".join(texts))
+    return zstandard.ZstdCompressor(level=3).compress(head + np.array([len(t) for t in texts], "<u8").tobytes() + b"".join(texts))
 
 
 def _unpack(data: bytes) -> tuple[list, list[bytes]]:
@@ -143,7 +143,7 @@ def parts(keys: np.ndarray, n: int) -> list[tuple[int, int, int]]:
 
 
 def pack_keys(keys: np.ndarray) -> bytes:
-    """Sorted distinct keys as gaps in units of 1, 2 or 4 bytes; a unit of ones alone says that the gap goes on."""
+    """Sorted keys as gaps in units of 1, 2 or 4 bytes; a unit of ones alone says that the gap goes on."""
     gaps = np.diff(keys, prepend=np.uint64(0))
     full = {w: (1 << 8 * w) - 1 for w in (1, 2, 4)}
     wide = min(full, key=lambda w: w * (len(gaps) + int((gaps // np.uint64(full[w])).sum())))

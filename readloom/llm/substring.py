@@ -3,8 +3,8 @@
 Each chunk of documents counts its windows in a sketch: two rows of counters, a window adding to one
 counter of each row, once for each document of the chunk up to two. The sketches of all chunks are added up,
 shard by shard of the counters' range, and the smaller of a window's two counters overestimates in how many
-documents it starts. Windows of which it is one cannot repeat; all others are grouped exactly, by 128 bits
-made of their words' cryptographic hashes, so no repeated window is lost.
+documents it starts. Windows of which it is one cannot repeat; all others are grouped exactly, by 112 bits
+of hash made of 128 bits of each word, so no repeated window is lost.
 """
 
 from __future__ import annotations
@@ -95,10 +95,8 @@ def _add(step: int, n: int):
 
 def _merge_windows(shard: int, got: list[tuple[int, int, bytes]]) -> list[tuple[int, int, bytes]]:
     """Each chunk learns for which of its windows another chunk has a smaller document."""
-    parts = [(int.from_bytes(d[:4], "little"), d[5:], d[4]) for _, _, d in got]
-    a = np.concatenate([np.frombuffer(d, "<u8", n) for n, d, _ in parts])
-    b = np.concatenate([np.frombuffer(d, "<u8", n, 8 * n) for n, d, _ in parts])
-    doc = np.concatenate([np.frombuffer(d, "<i8", n, 16 * n) if wide else np.frombuffer(d, "<u4", n, 16 * n + 8).astype(np.int64) + int.from_bytes(d[16 * n : 16 * n + 8], "little", signed=True) for n, d, wide in parts])
+    parts = [_unpack_windows(d) for _, _, d in got]
+    a, b, doc = (np.concatenate(c) for c in zip(*parts))
     order = np.argsort(a)
     x, y = a[order], b[order]
     if ((x[1:] == x[:-1]) & (y[1:] != y[:-1])).any():
@@ -108,15 +106,25 @@ def _merge_windows(shard: int, got: list[tuple[int, int, bytes]]) -> list[tuple[
     least = np.empty(len(a), np.int64)
     least[order] = np.minimum.reduceat(doc[order], np.flatnonzero(begin))[np.cumsum(begin) - 1]
     smaller = least < doc
-    ends = np.cumsum([n for n, _, _ in parts])
-    return [(t, c, kernel.bits(smaller[e - n : e])) for (t, c, _), (n, _, _), e in zip(got, parts, ends)]
+    ends = np.cumsum([len(d) for _, _, d in parts])
+    return [(t, c, kernel.bits(smaller[e - len(d) : e])) for (t, c, _), (_, _, d), e in zip(got, parts, ends)]
 
 
 def _pack_windows(a: np.ndarray, b: np.ndarray, doc: np.ndarray) -> bytes:
-    base = int(doc.min())
-    wide = int(doc.max()) - base >= 1 << 32
-    head = len(a).to_bytes(4, "little") + bytes([wide]) + a.astype("<u8").tobytes() + b.astype("<u8").tobytes()
-    return head + (doc.astype("<i8").tobytes() if wide else base.to_bytes(8, "little", signed=True) + (doc - base).astype("<u4").tobytes())
+    """Sorted first halves as gaps of their upper 48 bits and the lower 16; the upper 48 bits of the second halves; documents from the smallest on."""
+    base, keys = int(doc.min()), chunks.pack_keys(a >> np.uint64(16))
+    wide = 8 if int(doc.max()) - base >= 1 << 32 else 4
+    head = len(a).to_bytes(4, "little") + len(keys).to_bytes(4, "little") + bytes([wide]) + base.to_bytes(8, "little", signed=True)
+    return head + keys + a.astype("<u2").tobytes() + (b >> np.uint64(32)).astype("<u4").tobytes() + (b >> np.uint64(16)).astype("<u2").tobytes() + (doc - base).view(np.uint64).astype(f"<u{wide}").tobytes()
+
+
+def _unpack_windows(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n, keys, wide, base = int.from_bytes(data[:4], "little"), int.from_bytes(data[4:8], "little"), data[8], int.from_bytes(data[9:17], "little", signed=True)
+    at = 17 + keys
+    a = chunks.unpack_keys(data[17:at]) << np.uint64(16) | np.frombuffer(data, "<u2", n, at)
+    b = np.frombuffer(data, "<u4", n, at + 2 * n).astype(np.uint64) << np.uint64(16) | np.frombuffer(data, "<u2", n, at + 6 * n)
+    doc = np.frombuffer(data, f"<u{wide}", n, at + 8 * n).astype(np.uint64).view(np.int64) + base
+    return a, b, doc
 
 
 def dedup(docs: DataFrame, window: int = WINDOW, chunk_bytes: int = chunks.CHUNK_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:

@@ -72,6 +72,16 @@ def test_keys_come_back_as_they_were_sent():
         assert chunks.unpack_keys(chunks.pack_keys(keys)).tolist() == keys.tolist()
 
 
+def test_windows_come_back_as_they_were_sent():
+    import numpy as np
+
+    r = np.random.default_rng(4)
+    for low, high in ((-5, 90), (0, 2**40), (2**62, substring.LAST), (-(2**62), 2**62)):
+        a, b, doc = np.sort(r.integers(0, 2**64, 500, dtype=np.uint64)), r.integers(0, 2**64, 500, dtype=np.uint64), r.integers(low, high, 500)
+        x, y, z = substring._unpack_windows(substring._pack_windows(a, b, doc))
+        assert x.tolist() == a.tolist() and y.tolist() == (b >> np.uint64(16)).tolist() and z.tolist() == doc.tolist()
+
+
 def test_packs_of_many_sizes_keep_all_rows(spark):
     rows = [(i if i % 7 else None, None if i % 11 == 0 else "x" * (i * 37 % 900), i) for i in range(300)]
     d = spark.createDataFrame(rows, "doc_id long, text string, size int")
