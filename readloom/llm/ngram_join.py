@@ -1,6 +1,6 @@
 """N-gram Jaccard join: prefix-tree join of globally ordered shingle sets.
 
-Shingles are ordered by the estimate of a fixed-size frequency sketch of the whole corpus and
+Shingles are ordered by the estimate of a frequency sketch of the whole corpus, of bounded size, and
 then by hash, so rare ones come first. Two sets that are similar enough share a shingle of
 their prefixes; documents that share one, of comparable size, meet in a block under the
 smallest document of the group. Each block stores its ordered sets in a trie and walks it once
@@ -25,8 +25,8 @@ from . import kernel, resident, shared
 from .components import connected_components, merge_components
 
 SHINGLE, PERCENT = 5, 80
-#: Counters of the frequency sketch (8 MB whatever the input) and rows it is sent in.
-SKETCH_BITS, SLOT_BITS = 21, 15
+#: Counters of the frequency sketch (one for CELL_BYTES of text, 8 to 64 MB) and rows it is sent in.
+SKETCH_BITS, SLOT_BITS, CELL_BYTES = (21, 24), 15, 6 << 10
 #: Documents of a block.
 LIMIT = 256
 #: A shingle is hot when its sketch cell holds this many times the mean, and this many documents at least.
@@ -79,18 +79,23 @@ def _texts(batch: pa.RecordBatch) -> list[bytes]:
     return [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
 
 
-def _measure(size: int):
+def _cells(h: np.ndarray, cells: int) -> np.ndarray:
+    """Cells of a sketch, of which there is a power of two."""
+    return (h >> np.uint64(65 - int(cells).bit_length())).astype(np.int64)
+
+
+def _measure(size: int, bits: int):
     schema = pa.schema([("slot", pa.int32()), ("data", pa.binary()), ("doc_id", pa.int64()), ("node", pa.int64()), ("other", pa.int64()), ("n", pa.int64())])
 
     def run(batches):
         resident.drop()
-        sketch = np.zeros(1 << SKETCH_BITS, np.int64)
+        sketch = np.zeros(1 << bits, np.int64)
         for b in batches:
             texts, n = _texts(b), np.zeros(b.num_rows, np.int64)
             for x, y in _batches([], texts):
                 doc, h = shingle_sets(texts[x:y], size)
                 n[x:y] = np.bincount(doc, minlength=y - x)
-                np.add.at(sketch, (h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
+                np.add.at(sketch, _cells(h, len(sketch)), 1)
             k = b.num_rows
             yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary()), b.column("doc_id"), b.column("node"), b.column("other"), pa.array(n)], schema=schema)
         for s, part in enumerate(sketch.reshape(-1, 1 << SLOT_BITS)):
@@ -125,7 +130,7 @@ def _prefixes(size: int, percent: int, sketch, hot: int, shards: int):
                 doc, h = shingle_sets(texts[x:y], size)
                 if not len(doc):
                     continue
-                often = counts[(h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+                often = counts[_cells(h, len(counts))]
                 order = np.lexsort((h, often, doc))
                 doc, h, often = doc[order], h[order], often[order]
                 n = np.bincount(doc, minlength=y - x)
@@ -311,7 +316,7 @@ def _block(size: int, percent: int, sketch):
         pick = {k: i for i, k in reversed(list(enumerate(nodes)))}
         nodes, comps, texts = list(pick), [comps[i] for i in pick.values()], [texts[i] or b"" for i in pick.values()]
         doc, h, more = shingle_sets(texts, size, 2)
-        often = sketch.value[(h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+        often = sketch.value[_cells(h, len(sketch.value))]
         # Shingles are told apart by 128 bits; ranks are their global order within the block.
         order = np.lexsort((more, h, often))
         new = np.ones(len(h), bool)
@@ -374,12 +379,14 @@ def join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, limit: in
     """
     spark = docs.sparkSession
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).select("doc_id", "text", *[h.alias(c) for h, c in zip(_names(F.col("text")), ("node", "other"))])
-    run, schema = _measure(size)
+    text = int(docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0)
+    bits = min(max(SKETCH_BITS[0], (text // CELL_BYTES).bit_length()), SKETCH_BITS[1])
+    run, schema = _measure(size, bits)
     seen = shared.table(docs.mapInArrow(run, schema), "shingles")
     apart = _apart(seen)
     docs = docs.select("doc_id", "text", apart.alias("node"))
     slots = seen.where("slot is not null").select("slot", "data").groupBy("slot").applyInArrow(_add_slots, "slot int, data binary").collect()
-    counts = np.zeros((1 << (SKETCH_BITS - SLOT_BITS), 1 << SLOT_BITS), np.uint32)
+    counts = np.zeros((1 << (bits - SLOT_BITS), 1 << SLOT_BITS), np.uint32)
     for r in slots:
         counts[r.slot] = np.frombuffer(zlib.decompress(r.data), "<u4")
     hot = max(hot_least, int(HOT_TIMES * counts.mean()))

@@ -104,3 +104,9 @@ def test_texts_that_share_their_first_hash_are_told_apart(docs, monkeypatch):
     kept = sorted((r.doc_id for r in ngram_join.keep_first(docs).collect()), key=repr)
     monkeypatch.undo()
     assert kept == sorted((r.doc_id for r in ngram_join.keep_first(docs).collect()), key=repr)
+
+
+def test_a_larger_sketch_gives_the_same(docs, monkeypatch):
+    monkeypatch.setattr(ngram_join, "CELL_BYTES", 1)
+    monkeypatch.setattr(ngram_join, "SKETCH_BITS", (15, 24))
+    assert pairs(ngram_join.join(docs), "doc_id", "n_shingles", "component_id") == brute_join(DOCS)
