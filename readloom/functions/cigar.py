@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -150,3 +151,14 @@ def sub_interval(cigar: str, pos: int, seq: str, qual: str, left: int, right: in
     if first is None:
         return text, "", ""
     return text, seq[begin:last] if seq != "*" else "*", qual[begin:last] if qual != "*" else "*"
+
+
+def sub_intervals(cigar: Column, pos: Column, seq: Column, qual: Column, left: Column, right: Column, transcript: Column) -> Column:
+    """``sub_interval`` of each row: struct<cigar, seq, qual>; in Arrow batches, for genome alignments only."""
+
+    @F.pandas_udf("cigar string, seq string, qual string")
+    def run(cigar: pd.Series, pos: pd.Series, seq: pd.Series, qual: pd.Series, left: pd.Series, right: pd.Series, transcript: pd.Series) -> pd.DataFrame:
+        found = [sub_interval(*row) for row in zip(cigar, pos, seq, qual, left, right, transcript)]
+        return pd.DataFrame(found, columns=["cigar", "seq", "qual"])
+
+    return run(cigar, pos, seq, qual, left, right, transcript)

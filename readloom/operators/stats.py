@@ -51,3 +51,8 @@ def running_totals(rows: DataFrame) -> DataFrame:
     """One row: rows, mapped rows, fragments and mapped fragments, with percentages."""
     got = rows.agg(F.count("*").alias("reads"), F.sum(F.col("mapped").cast("long")).alias("mapped_reads"), F.count_distinct("fragment_id").alias("fragments"), F.count_distinct(F.when(F.col("mapped"), F.col("fragment_id"))).alias("mapped_fragments"))
     return got.select("*", F.round(100 * F.col("mapped_reads") / F.col("reads"), 2).alias("read_percent"), F.round(100 * F.col("mapped_fragments") / F.col("fragments"), 2).alias("fragment_percent"))
+
+
+def references(rows: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """(keys, references, reads): distinct references that were hit, and distinct reads that hit one."""
+    return rows.groupBy(*(keys or [])).agg(F.count_distinct("chrom").alias("references"), F.count_distinct("fragment_id", "read_index").alias("reads"))

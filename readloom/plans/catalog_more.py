@@ -549,3 +549,46 @@ def sample_rows(spark, sf):
     path = settled.folder(spark, "samples")
     writers.tsv(s, path, header=True)
     return readers.samples(spark, path).select("sample", "fastq_name", "link")
+
+
+@query(sql("aln0", "SELECT CAST(fragment_id AS VARCHAR) AS fragment_name, CAST(read_index AS BIGINT) AS read_index, chrom AS ref, pos, CASE WHEN spliced THEN CAST(len AS VARCHAR) || 'M' || CAST(gap AS VARCHAR) || 'N' || CAST(len2 AS VARCHAR) || 'M' ELSE CAST(len AS VARCHAR) || 'M' END AS cigar, CAST(nm AS BIGINT) AS nm FROM aln0"))
+def sam_file_rows(spark, sf):
+    """A SAM file with header, written by place and read again."""
+    c, a = F.col, adapters.alignments(spark, sf)
+    name = c("fragment_id").cast("string")
+    rows = a.select(F.concat(name, F.lit("/"), c("read_index").cast("string")).alias("query_name"), name.alias("fragment_name"), "read_index", F.when(c("strand") == "-", 16).otherwise(0).alias("flag"), c("chrom").alias("ref"), "pos", F.lit(20).alias("mapq"), "cigar", F.lit("*").alias("mate_ref"), F.lit(0).cast("long").alias("mate_pos"), F.lit("0").alias("insert_size"), F.lit("*").alias("seq"), F.lit("*").alias("qual"), F.concat(F.lit("NM:i:"), c("nm").cast("string")).alias("tags"))
+    path = settled.folder(spark, "sam")
+    writers.sam_file(rows, rows.select(c("ref").alias("id")).distinct().withColumn("length", F.lit(999)), path, by_place=True)
+    return readers.sam(spark, path).select("fragment_name", c("read_index").cast("long").alias("read_index"), "ref", "pos", "cigar", c("NM").cast("long").alias("nm"))
+
+
+@query(sql("aln0 aln", "SELECT strand, count(DISTINCT chrom) AS \"references\", count(DISTINCT fragment_id * 10 + read_index) AS reads FROM aln GROUP BY 1"))
+def hit_references(spark, sf):
+    from readloom.operators import stats
+
+    return stats.references(adapters.alignments(spark, sf), ["strand"])
+
+
+@query("WITH t AS (SELECT count(*) AS n, sum(CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END) AS m, count(DISTINCT l_orderkey) AS f, count(DISTINCT CASE WHEN l_linestatus = 'F' THEN l_orderkey END) AS g FROM lineitem) SELECT round(100.0 * m / n, 2) AS read_percent, round(100.0 * g / f, 2) AS fragment_percent FROM t")
+def running_percentages(spark, sf):
+    from readloom.operators import stats
+
+    li = adapters.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("fragment_id"), (F.col("l_linestatus") == "F").alias("mapped"))
+    return stats.running_totals(li).select("read_percent", "fragment_percent")
+
+
+@query("SELECT p_partkey AS k, CASE WHEN least(p_size + 19, p_size + 4 + p_partkey % 9) >= p_size + 5 THEN CAST(least(p_size + 19, p_size + 4 + p_partkey % 9) - (p_size + 5) + 1 AS VARCHAR) || 'M' ELSE '' END AS part FROM part")
+def cigar_parts(spark, sf):
+    """Operations of an alignment of 20 bases inside an interval that begins at its sixth."""
+    p, c = adapters.table(spark, sf, "part"), F.col
+    pos = c("p_size").cast("long")
+    got = cigar.sub_intervals(F.lit("20M"), pos, F.lit("ACGT" * 5), F.lit("I" * 20), pos + 5, pos + 4 + c("p_partkey") % 9, F.lit(False))
+    return p.select(c("p_partkey").alias("k"), got["cigar"].alias("part"))
+
+
+@query(sql("aln0", f", {_KALN}, {_KINDS} SELECT DISTINCT fragment_id, CAST(read_index AS BIGINT) AS read_index, CAST(1 AS BIGINT) AS \"primary\" FROM (SELECT fragment_id, read_index FROM kproj WHERE kind <> 'genome' UNION SELECT fragment_id, read_index FROM kalns WHERE kind = 'genome') q"))
+def primary_rows(spark, sf):
+    """Of the rows of a read one is primary."""
+    rows = _kinds(spark, sf)
+    got = references.genome_rows(rows, _references(spark, sf), rows.select("fragment_id").distinct().withColumn("reads", F.lit(1))).where("ref <> '*'")
+    return got.groupBy(F.col("fragment_id").cast("long").alias("fragment_id"), F.col("read_index").cast("long").alias("read_index")).agg(F.sum((~flags.has(F.col("flag"), "secondary")).cast("long")).alias("primary"))

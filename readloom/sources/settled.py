@@ -23,3 +23,11 @@ def settled(rows: DataFrame, label: str = "table") -> DataFrame:
     path = folder(rows.sparkSession, label)
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def kept(spark: SparkSession, path: str, make, again: bool = False) -> DataFrame:
+    """The table at ``path``; where it is missing or unfinished, or ``again``, that which ``make`` gives is written there first."""
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if again or not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+        make().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

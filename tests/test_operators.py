@@ -275,3 +275,17 @@ def test_count_driver_writes_maps_of_three_columns(spark, tmp_path):
     genome_counts.run(spark, str(tmp_path / "x.sam"), str(tmp_path / "m.txt"), str(tmp_path / "o"), weight_file=str(tmp_path / "w.txt"))
     got = readers.counts(spark, str(tmp_path / "o"))
     assert rows(got, "id", "count") == [("out1", 0.25), ("out2", 0.25), ("out3", 0.0)]
+
+
+def test_tables_that_exist_are_not_made_again(spark, tmp_path):
+    from readloom.sources import settled
+
+    made = []
+
+    def make():
+        made.append(1)
+        return spark.range(3)
+
+    path = f"file://{tmp_path}/t"
+    assert [settled.kept(spark, path, make).count() for _ in range(2)] == [3, 3] and len(made) == 1
+    assert settled.kept(spark, path, make, again=True).count() == 3 and len(made) == 2
