@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from . import kernel, resident, shared
 
 #: Bytes of text in a chunk, and in one of the packs that it is stored in, which are looked at one at a time.
-CHUNK_BYTES, PACK_BYTES = 16 << 20, 2 << 20
+CHUNK_BYTES, PACK_BYTES = 8 << 20, 2 << 20
 #: Bytes of text for each partition of an exchange, of which a task looks at a chunk or shard at a time.
 TASK_BYTES = 128 << 20
 PACKS = "chunk long, pack int, size long, data binary, rest binary"

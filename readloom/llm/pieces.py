@@ -165,9 +165,8 @@ class Encoder:
         lone = np.flatnonzero(inside & ~one)  # characters outside the vocabulary, zero among them
         begin, end, piece = np.concatenate((begin, lone)), np.concatenate((end, lone + 1)), np.concatenate((piece, np.full(len(lone), NONE)))
         # Nothing merges across a border that no piece crosses, so what lies between two such borders is found alone.
-        crossed = np.zeros(len(codes) + 1, np.int64)
-        np.add.at(crossed, begin + 1, 1)
-        np.add.at(crossed, end, -1)
+        long = end > begin + 1
+        crossed = np.bincount(begin[long] + 1, minlength=len(codes) + 1) - np.bincount(end[long], minlength=len(codes) + 1)
         start = inside & (np.cumsum(crossed)[:-1] == 0)
         origin = np.flatnonzero(start)
         place = np.arange(len(codes)) - origin[np.maximum(np.cumsum(start) - 1, 0)] if len(origin) else np.zeros(len(codes), np.int64)

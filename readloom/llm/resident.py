@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 
+import pyarrow as pa
+
 from . import kernel
 
 _objects: dict = {}
@@ -12,8 +15,9 @@ _objects: dict = {}
 def hold(key, make):
     """The object of a key, made where the worker does not hold it; all others go."""
     if key not in _objects:
-        drop()
+        _objects.clear()
         kernel.release()
+        _give_back()
         _objects[key] = make()
     return _objects[key]
 
@@ -21,4 +25,14 @@ def hold(key, make):
 def drop() -> None:
     if _objects:
         _objects.clear()
-        gc.collect()
+        _give_back()
+
+
+def _give_back() -> None:
+    """What this worker has freed goes back to the machine: Arrow's pool and the C library keep it otherwise."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library than glibc
+        return
