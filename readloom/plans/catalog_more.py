@@ -193,7 +193,7 @@ def snapped_blocks(spark, sf):
 
 
 def _three(spark, sf):
-    rows = _kinds(spark, sf)
+    rows = settled.settled(_kinds(spark, sf), "kinds")
     return [rows.where(F.col("kind") == k).drop("kind", "mapq") for k in ("transcript", "junction", "genome")]
 
 
@@ -225,7 +225,8 @@ first AS (SELECT *, min(aln_no) OVER (PARTITION BY fragment_id, read_index, form
 h2 AS (SELECT h.*, f.first FROM ksnap h JOIN first f USING (fragment_id, aln_no, read_index)),
 num AS (SELECT fragment_id, greatest(count(DISTINCT CASE WHEN read_index = 1 THEN form END), count(DISTINCT CASE WHEN read_index = 2 THEN form END)) AS n FROM form GROUP BY 1),
 ok0 AS (SELECT * FROM h2 WHERE {ok}), ok AS (SELECT * FROM (SELECT *, max(CASE WHEN kind <> 'genome' THEN ov END) OVER (PARTITION BY fragment_id, first, read_index, block_idx) AS most FROM ok0) WHERE kind = 'genome' OR ov = most),
-obj AS (SELECT fragment_id, first, read_index, gene_id AS object_id FROM ok GROUP BY 1, 2, 3, 4 HAVING count(DISTINCT block_idx) >= {need}),
+kmap AS (SELECT DISTINCT exon_id, gene_id AS object_id FROM rex),
+obj AS (SELECT fragment_id, first, read_index, kmap.object_id FROM ok JOIN kmap USING (exon_id) GROUP BY 1, 2, 3, 4 HAVING count(DISTINCT block_idx) >= {need}),
 wgt AS (SELECT n.fragment_id, CAST(least(1.0 / CASE WHEN side = 5 THEN n5 ELSE n6 END, 1.0 / n.n) AS DOUBLE) AS w FROM num n JOIN tab t ON n.fragment_id = t.fragment_id),
 per AS (SELECT o.fragment_id, object_id, least(1.0, greatest(coalesce(sum(CASE WHEN read_index = 1 THEN w END), 0), coalesce(sum(CASE WHEN read_index = 2 THEN w END), 0))) AS c FROM obj o JOIN wgt w ON o.fragment_id = w.fragment_id WHERE w >= 0.01 GROUP BY 1, 2)
 SELECT object_id AS id, round(CAST(sum(c) AS DOUBLE), 6) AS count FROM per GROUP BY 1""")
