@@ -28,8 +28,8 @@ from . import resident
 MARK = "▁"
 #: Units and piece pairs remembered by a task.
 CACHE_UNITS, YOUNG_UNITS, CACHE_PAIRS = 280_000, 120_000, 400_000
-#: Characters of text encoded at once.
-BATCH_CHARS = 4 << 20
+#: Characters of text encoded at once, and new units indexed at once.
+BATCH_CHARS, NEW_UNITS = 4 << 20, 80_000
 #: A character outside the vocabulary; it stands for its bytes and merges with nothing.
 NONE = -1
 
@@ -242,11 +242,11 @@ class Encoder:
         if len(young) > YOUNG_UNITS:
             young.clear()
         new = [u for u in every if u not in kept and u not in young]
-        if new:
-            got = self._segment(new)
+        for x in range(0, len(new), NEW_UNITS):
+            got = self._segment(new[x : x + NEW_UNITS])
             room = max(0, CACHE_UNITS - len(kept))
-            kept.update((u, got[u]) for u in new[:room])
-            young.update((u, got[u]) for u in new[room:])
+            for k, item in enumerate(got.items()):
+                (kept if k < room else young)[item[0]] = item[1]
         return [np.frombuffer(b"".join(map(kept.__getitem__, units)), "<u4") for units in split]
 
 
