@@ -208,9 +208,12 @@ def test_pieces_equal_the_library(spark, docs):
     assert pairs(back, "doc_id", "text") == sorted(((d, t or "") for d, t in DOCS), key=repr)
 
 
-def test_random_texts_equal_the_library():
+@pytest.mark.parametrize("new", [40_000, 7])
+def test_random_texts_equal_the_library(new, monkeypatch):
     import random
 
+    monkeypatch.setattr(pieces, "NEW_UNITS", new)
+
     from sentencepiece import SentencePieceProcessor
 
     path = public_tokenizers.path("piece_bpe_32k.model")
