@@ -27,7 +27,7 @@ from . import resident
 
 MARK = "▁"
 #: Units and piece pairs remembered by a task.
-CACHE_UNITS, YOUNG_UNITS, CACHE_PAIRS = 280_000, 120_000, 400_000
+CACHE_UNITS, YOUNG_UNITS, CACHE_PAIRS = 240_000, 70_000, 400_000
 #: Characters of text encoded at once, and new units indexed at once.
 BATCH_CHARS, NEW_UNITS = 4 << 20, 40_000
 #: A character outside the vocabulary; it stands for its bytes and merges with nothing.
