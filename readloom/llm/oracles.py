@@ -42,4 +42,29 @@ p AS (SELECT doc_id, k, min(i) AS a, max(i) + 200 AS b FROM g GROUP BY 1, 2),
 q AS (SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS z FROM p),
 o AS (SELECT q.doc_id, string_agg(substr(h, 2 * z + 1, 2 * (a - z)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS kept, count(*) AS spans, sum(b - a) AS gone FROM q JOIN t ON q.doc_id = t.doc_id GROUP BY 1)
 SELECT t.doc_id, CAST(t.n AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, CAST(coalesce(spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256 FROM t LEFT JOIN o ON t.doc_id = o.doc_id""",
+    "op11_conversation_repair": r"""WITH RECURSIVE z AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: CAST(ascii(x) AS BIGINT)) AS b FROM conversations),
+d AS (SELECT k.*, xor(list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 20 AS f FROM k, z),
+a AS (SELECT conv_id, turn, CASE f WHEN 4 THEN 'user' ELSE role END AS role, CASE f WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(CASE f WHEN 3 THEN [0, 1] ELSE [0] END) AS again FROM d WHERE f <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, count(*) OVER (PARTITION BY conv_id) AS n FROM a),
+r AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 2 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 3 WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 1 ELSE 0 END AS code, left(role, 1) AS c FROM o),
+e AS (SELECT conv_id, i, code, CASE WHEN code = 1 THEN 3 ELSE 0 END AS x, c, role, text FROM r),
+n AS (SELECT DISTINCT conv_id, n FROM r),
+b AS (SELECT conv_id, n + 1 AS i, [0, 6, 3, 0] AS v FROM n UNION ALL
+ SELECT conv_id, i, [least(w[1], 3 + least(w[3], 3 + w[4])), least(w[2], 3 + least(w[3], 3 + w[4])), least(w[3], 3 + w[4]), least(w[4], 3 + w[3])] FROM (
+  SELECT b.conv_id, e.i, CASE WHEN e.code >= 2 THEN [4 + v[1], 4 + v[2], 4 + v[3], 4 + v[4]] ELSE [
+   least(4 + v[1], 3 + x + v[3], CASE e.c WHEN 's' THEN x + v[2] WHEN 'u' THEN x + v[3] ELSE 1000000 END), least(4 + v[2], 3 + x + v[3], CASE e.c WHEN 'u' THEN x + v[3] ELSE 1000000 END),
+   least(4 + v[3], 3 + x + v[4], CASE e.c WHEN 'a' THEN x + v[4] ELSE 1000000 END), least(4 + v[4], 3 + x + v[3], CASE e.c WHEN 'u' THEN x + v[3] ELSE 1000000 END)] END AS w
+  FROM b JOIN e ON b.conv_id IS NOT DISTINCT FROM e.conv_id AND e.i = b.i - 1)),
+f AS (SELECT conv_id, CAST(1 AS BIGINT) AS i, 1 AS s, '' AS audit, CAST([] AS VARCHAR[]) AS kept FROM n UNION ALL
+ SELECT conv_id, CASE l WHEN 'I' THEN i ELSE i + 1 END, CASE l WHEN 'D' THEN s WHEN 'K' THEN nx ELSE g END, audit || l,
+  CASE l WHEN 'D' THEN kept WHEN 'K' THEN list_append(kept, role || ':' || text) ELSE list_append(kept, CASE g WHEN 3 THEN 'user:' ELSE 'assistant:' END || CASE l WHEN 'R' THEN text ELSE '' END) END FROM (
+  SELECT *, CASE WHEN 4 + y[s] = v[s] THEN 'D' WHEN 3 + v[g] = v[s] THEN 'I' WHEN code < 2 AND x + y[nx] = v[s] THEN 'K' ELSE 'R' END AS l FROM (
+   SELECT f.*, p.v, q.v AS y, e.code, e.x, e.role, e.text, CASE f.s WHEN 3 THEN 4 ELSE 3 END AS g, CASE WHEN f.s = 1 AND e.c = 's' THEN 2 WHEN f.s <> 3 AND e.c = 'u' THEN 3 WHEN f.s = 3 AND e.c = 'a' THEN 4 END AS nx
+   FROM f JOIN b p ON p.conv_id IS NOT DISTINCT FROM f.conv_id AND p.i = f.i LEFT JOIN b q ON q.conv_id IS NOT DISTINCT FROM f.conv_id AND q.i = f.i + 1 LEFT JOIN e ON e.conv_id IS NOT DISTINCT FROM f.conv_id AND e.i = f.i)
+  WHERE y IS NOT NULL OR s IN (2, 3))),
+m AS (SELECT f.conv_id, f.audit, f.kept FROM f JOIN n ON f.conv_id IS NOT DISTINCT FROM n.conv_id AND f.i = n.n + 1 AND f.s IN (1, 4)),
+u AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (code = 2) AS blank, count(*) FILTER (code = 3) AS duplicate, count(*) FILTER (code = 1) AS truncated, count(*) FILTER (p || c NOT IN ('su', 'ua', 'au')) AS illegal FROM (SELECT *, lag(c) OVER (PARTITION BY conv_id ORDER BY i) AS p FROM r) GROUP BY 1)
+SELECT h.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(w.v[1], 0) AS BIGINT) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(kept, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) h LEFT JOIN u ON u.conv_id IS NOT DISTINCT FROM h.conv_id LEFT JOIN m ON m.conv_id IS NOT DISTINCT FROM h.conv_id LEFT JOIN b w ON w.conv_id IS NOT DISTINCT FROM h.conv_id AND w.i = 1""",
 }

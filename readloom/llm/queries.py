@@ -82,6 +82,12 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import turns
+
+    return turns.damaged_and_repaired(_table(spark, sf_dir, "conversations"))
+
+
 def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import secret_scan
 
@@ -89,5 +95,5 @@ def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_jaccard_join, op2_token_store, op3_warc, op4_quality_rules, op5_sentencepiece, op6_substring_dedup, op7_benchmark_decontamination, op8_html_extraction, op9_suffix_array_dedup, op10_license_scan, op13_secret_scan)
+    f.__name__: f for f in (op1_ngram_jaccard_join, op2_token_store, op3_warc, op4_quality_rules, op5_sentencepiece, op6_substring_dedup, op7_benchmark_decontamination, op8_html_extraction, op9_suffix_array_dedup, op10_license_scan, op11_conversation_repair, op13_secret_scan)
 }
