@@ -6,6 +6,23 @@ _FOLD = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 _ALNUM = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+
+
+def _vector_codes() -> str:
+    """Six rounds of assignment and update, written one after another."""
+    nearest = """n{k} AS MATERIALIZED (SELECT rid, part, min(d * 16 + e) AS m FROM (SELECT p.rid, p.part, c.e, list_sum([(p.x[i] - c.y[i]) * (p.x[i] - c.y[i]) for i in range(1, len(p.x) + 1)]) AS d FROM p JOIN c{k} c ON c.part = p.part) GROUP BY 1, 2)"""
+    means = """c{j} AS MATERIALIZED (SELECT c.part, c.e, coalesce(y2, y) AS y FROM c{k} c LEFT JOIN (SELECT part, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS y2 FROM (SELECT part, e, i, sum(x) AS s, count(*) AS n FROM (SELECT p.part, CAST(n.m % 16 AS BIGINT) AS e, unnest(range(1, len(p.x) + 1)) AS i, unnest(p.x) AS x FROM p JOIN n{k} n ON n.rid = p.rid AND n.part = p.part) GROUP BY 1, 2, 3) GROUP BY 1, 2) u ON u.part = c.part AND u.e = c.e)"""
+    rounds = ",\n".join(f"{nearest.format(k=k)},\n{means.format(k=k, j=k + 1)}" for k in range(6))
+    return f"""WITH v AS (SELECT vec_id, label, row_number() OVER (ORDER BY vec_id, embedding) AS rid, [CAST(floor(CAST(x AS DOUBLE) * 4096) AS BIGINT) for x in embedding] AS v FROM embeddings WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+p AS MATERIALIZED (SELECT rid, part, v[part * len(v) // 8 + 1:(part + 1) * len(v) // 8] AS x FROM (SELECT rid, v, unnest(range(8)) AS part FROM v)),
+c0 AS (SELECT part, rid - 1 AS e, x AS y FROM p WHERE rid <= 16),
+{rounds},
+{nearest.format(k=6)},
+r AS (SELECT rid, string_agg(printf('%02x', CAST(m % 16 AS BIGINT)), '' ORDER BY part) AS code, CAST(sum(m // 16) AS BIGINT) AS error FROM n6 GROUP BY 1),
+b AS (SELECT sha256(string_agg(array_to_string(y, ','), ',' ORDER BY part, e)) AS s FROM c6)
+SELECT v.vec_id, r.code, r.error, CAST(sum(r.error) OVER (PARTITION BY v.label) AS BIGINT) AS label_error, b.s AS codebooks_sha256 FROM v JOIN r ON r.rid = v.rid, b"""
+
+
 ORACLE_SQL = {
     "op1_ngram_jaccard_join": f"""WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(_FOLD.format("coalesce(text, '')"))} AS w FROM documents),
 g AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
@@ -67,4 +84,5 @@ m AS (SELECT f.conv_id, f.audit, f.kept FROM f JOIN n ON f.conv_id IS NOT DISTIN
 u AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (code = 2) AS blank, count(*) FILTER (code = 3) AS duplicate, count(*) FILTER (code = 1) AS truncated, count(*) FILTER (p || c NOT IN ('su', 'ua', 'au')) AS illegal FROM (SELECT *, lag(c) OVER (PARTITION BY conv_id ORDER BY i) AS p FROM r) GROUP BY 1)
 SELECT h.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(w.v[1], 0) AS BIGINT) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(kept, chr(10)), '')) AS repaired_sha256
 FROM (SELECT DISTINCT conv_id FROM conversations) h LEFT JOIN u ON u.conv_id IS NOT DISTINCT FROM h.conv_id LEFT JOIN m ON m.conv_id IS NOT DISTINCT FROM h.conv_id LEFT JOIN b w ON w.conv_id IS NOT DISTINCT FROM h.conv_id AND w.i = 1""",
+    "op12_vector_codes": _vector_codes(),
 }

@@ -88,6 +88,12 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.damaged_and_repaired(_table(spark, sf_dir, "conversations"))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import vector_codes
+
+    return vector_codes.with_label_error(*vector_codes.compress(_table(spark, sf_dir, "embeddings")))
+
+
 def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import secret_scan
 
@@ -95,5 +101,5 @@ def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_jaccard_join, op2_token_store, op3_warc, op4_quality_rules, op5_sentencepiece, op6_substring_dedup, op7_benchmark_decontamination, op8_html_extraction, op9_suffix_array_dedup, op10_license_scan, op11_conversation_repair, op13_secret_scan)
+    f.__name__: f for f in (op1_ngram_jaccard_join, op2_token_store, op3_warc, op4_quality_rules, op5_sentencepiece, op6_substring_dedup, op7_benchmark_decontamination, op8_html_extraction, op9_suffix_array_dedup, op10_license_scan, op11_conversation_repair, op12_vector_codes, op13_secret_scan)
 }
