@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 OPS = "MIDNSHPX="
 MATCHING = ("M", "X", "=")
+KIND = "array<struct<len:int,op:string>>"
 
 
 def parse(cigar: Column) -> Column:
@@ -48,7 +48,6 @@ def render(ops: Column) -> Column:
 
 def append(ops: Column, more: Column) -> Column:
     """Concatenation in which equal neighbours are merged, a deletion beside a gap becomes part of it, and lengths of 0 or less are left out."""
-    kind = "array<struct<len:int,op:string>>"
 
     def add(acc: Column, x: Column) -> Column:
         last = F.element_at(acc, -1)
@@ -57,7 +56,7 @@ def append(ops: Column, more: Column) -> Column:
         joined = F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(merged))
         return F.when(x["len"] <= 0, acc).when((F.size(acc) > 0) & ((last["op"] == x["op"]) | gap), joined).otherwise(F.concat(acc, F.array(x)))
 
-    return F.aggregate(F.concat(ops, more), F.expr(f"cast(array() as {kind})"), add)
+    return F.aggregate(F.concat(ops, more), F.expr(f"cast(array() as {KIND})"), add)
 
 
 def invert(ops: Column) -> Column:
@@ -106,59 +105,27 @@ def end_position(pos: Column, ops: Column) -> Column:
     return F.element_at(blocks(pos, ops), -1)["end"]
 
 
-def sub_interval(cigar: str, pos: int, seq: str, qual: str, left: int, right: int, transcript: bool = False) -> tuple[str, str, str]:
-    """Operations, bases and qualities of an alignment inside reference bases [left, right].
+def cut(ops: Column, left: Column, right: Column, placed: Column | bool = True, margin: Column | bool = False) -> Column:
+    """Operations inside bases [left, right] of an alignment's reference: struct<ops, begin, bases>.
 
-    With ``transcript`` the span has no place on the genome: its bases become an insertion, or soft
-    clipping where it touches an end of the read; deletions and gaps stay. Plain Python, for use in
-    grouped functions.
+    Bases are counted from 1 at the alignment's first. What takes no reference (I, S, H, P) belongs to the base before
+    it, so at the left edge it stays out and at the right edge it comes along. ``begin`` and ``bases`` say which bases of
+    the read these are (from 0). Where the interval is not ``placed`` on the genome its bases are an insertion, or at the
+    ``margin`` of the alignment soft clipping; deletions and gaps stay.
     """
-    import re
-
-    ops = [(int(n), o) for n, o in re.findall(r"(\d+)([MIDNSHP=X])", cigar)]
-    ref, read, out, first, last = pos, 0, [], None, 0
-    edge_left = edge_right = False
-    length = sum(n for n, o in ops if o in "MIS=X")
-    for n, o in ops:
-        on_ref, on_read = o in "MDN=X", o in "MIS=X"
-        if on_ref:
-            a, b = max(ref, left), min(ref + n - 1, right)
-            k = max(0, b - a + 1)
-            skip = a - ref
-        else:
-            k, skip = (n, 0) if left <= ref <= right + (o == "I" and ref == right + 1) or (o in "SH" and (not out or ref > right >= ref - 1)) else (0, 0)
-        if k:
-            out.append((k, o))
-            if on_read:
-                x = read + skip
-                first = x if first is None else first
-                last = x + k
-        ref += n if on_ref else 0
-        read += n if on_read else 0
-    begin = first or 0
-    if transcript:
-        edge_left, edge_right = begin == 0, last == length
-        kind = "S" if edge_left or edge_right else "I"
-        bases = last - begin if first is not None else 0
-        out = ([(bases, kind)] if bases else []) + [(n, o) for n, o in out if o in "DN"]
-    merged: list[list] = []
-    for n, o in out:
-        if merged and merged[-1][1] == o:
-            merged[-1][0] += n
-        else:
-            merged.append([n, o])
-    text = "".join(f"{n}{o}" for n, o in merged)
-    if first is None:
-        return text, "", ""
-    return text, seq[begin:last] if seq != "*" else "*", qual[begin:last] if qual != "*" else "*"
-
-
-def sub_intervals(cigar: Column, pos: Column, seq: Column, qual: Column, left: Column, right: Column, transcript: Column) -> Column:
-    """``sub_interval`` of each row: struct<cigar, seq, qual>; in Arrow batches, for genome alignments only."""
-
-    @F.pandas_udf("cigar string, seq string, qual string")
-    def run(cigar: pd.Series, pos: pd.Series, seq: pd.Series, qual: pd.Series, left: pd.Series, right: pd.Series, transcript: pd.Series) -> pd.DataFrame:
-        found = [sub_interval(*row) for row in zip(cigar, pos, seq, qual, left, right, transcript)]
-        return pd.DataFrame(found, columns=["cigar", "seq", "qual"])
-
-    return run(cigar, pos, seq, qual, left, right, transcript)
+    lit = lambda x: F.lit(x) if isinstance(x, bool) else x
+    state = F.struct(F.lit(0).alias("at"), F.lit(0).alias("read"), F.lit(-1).alias("begin"), F.lit(0).alias("bases"), F.expr(f"cast(array() as {KIND})").alias("ops"))
+
+    def step(s: Column, x: Column) -> Column:
+        n, op, at = x["len"], x["op"], s["at"]
+        on_ref, on_read = op.isin(*MATCHING, "D", "N"), op.isin(*MATCHING, "I", "S")
+        inside = F.when(on_ref, F.least(at + n, right) - F.greatest(at + 1, left) + 1).when((left <= at) & (at <= right), n).otherwise(0)
+        k = F.greatest(inside, F.lit(0)).cast("int")
+        skipped = F.when(on_ref & on_read, F.greatest(left - at - 1, F.lit(0))).otherwise(0)
+        name = F.when(lit(placed) | op.isin("D", "N"), op).when(lit(margin), "S").otherwise("I")
+        return F.struct(
+            (at + F.when(on_ref, n).otherwise(0)).alias("at"), (s["read"] + F.when(on_read, n).otherwise(0)).alias("read"), F.when((s["begin"] < 0) & (k > 0), (s["read"] + skipped).cast("int")).otherwise(s["begin"]).alias("begin"),
+            (s["bases"] + F.when(on_read, k).otherwise(0)).alias("bases"), F.when(k > 0, F.concat(s["ops"], F.array(F.struct(k.alias("len"), name.alias("op"))))).otherwise(s["ops"]).alias("ops"),
+        )
+
+    return F.aggregate(ops, state, step, lambda s: F.struct(s["ops"].alias("ops"), F.greatest(s["begin"], F.lit(0)).alias("begin"), s["bases"].alias("bases")))

@@ -265,10 +265,13 @@ def canonical_strings(spark, sf):
 
 @query(sql("aln0", f""", {_KALN}, {_KINDS}, {_SNAP}, place AS (SELECT DISTINCT fragment_id, aln_no, read_index, 'computed' AS source, chrom, st, bs, bend FROM ksnap WHERE kind <> 'genome' UNION SELECT fragment_id, aln_no, read_index, 'direct', chrom, strand, pos, pos + len - 1 FROM kalns WHERE kind = 'genome'),
 gap AS (SELECT *, bs - lag(bend) OVER (PARTITION BY fragment_id, aln_no, read_index, source ORDER BY bs, bend) - 1 AS n FROM place),
-whole AS (SELECT fragment_id, aln_no, read_index, source, min(chrom) AS chrom, min(st) AS st, min(bs) AS pos, string_agg(CASE WHEN n > 0 THEN CAST(n AS VARCHAR) || 'N' ELSE '' END || CAST(bend - bs + 1 AS VARCHAR) || 'M', '' ORDER BY bs, bend) AS cigar FROM gap GROUP BY 1, 2, 3, 4)
-SELECT fragment_id, CAST(read_index AS BIGINT) AS read_index, chrom AS ref, CAST(pos AS BIGINT) AS pos, cigar, st = '-' AS turned, CAST(count(*) OVER (PARTITION BY fragment_id, read_index) AS BIGINT) AS nh FROM (SELECT DISTINCT fragment_id, read_index, chrom, st, pos, cigar FROM whole) d"""))
+whole AS (SELECT fragment_id, aln_no, read_index, source, min(chrom) AS chrom, min(st) AS st, min(bs) AS pos, max(bend) AS e, sum(bend - bs + 1) AS n, string_agg(CASE WHEN n > 0 THEN CAST(n AS VARCHAR) || 'N' ELSE '' END || CAST(bend - bs + 1 AS VARCHAR) || 'M', '' ORDER BY bs, bend) AS cigar FROM gap GROUP BY 1, 2, 3, 4),
+one AS (SELECT *, bool_or(source = 'direct') OVER w AND bool_or(source = 'computed') OVER w AS twin FROM whole WINDOW w AS (PARTITION BY fragment_id, read_index, chrom, pos, cigar) QUALIFY row_number() OVER (PARTITION BY fragment_id, source, read_index, chrom, pos, cigar ORDER BY aln_no) = 1),
+near AS (SELECT d.fragment_id, d.aln_no, d.read_index FROM one d JOIN one c ON d.source = 'direct' AND c.source = 'computed' AND NOT d.twin AND NOT c.twin AND d.fragment_id = c.fragment_id AND d.read_index = c.read_index AND d.chrom = c.chrom JOIN place p ON p.source = 'computed' AND p.fragment_id = c.fragment_id AND p.aln_no = c.aln_no AND p.read_index = c.read_index
+ GROUP BY d.fragment_id, d.aln_no, d.read_index, c.aln_no HAVING sum(greatest(0, least(p.bend, d.e) - greatest(p.bs, d.pos) + 1)) >= 0.93 * any_value(c.n) OR (sum(greatest(0, least(p.bend, d.e) - greatest(p.bs, d.pos) + 1)) >= 0.3 * any_value(c.n) AND any_value(greatest(abs(d.pos - c.pos), abs(d.e - c.e))) <= 0.3 * any_value(c.n)))
+SELECT fragment_id, CAST(read_index AS BIGINT) AS read_index, chrom AS ref, CAST(pos AS BIGINT) AS pos, cigar, st = '-' AS turned, CAST(count(*) OVER (PARTITION BY fragment_id) AS BIGINT) AS nh FROM one o WHERE NOT (source = 'computed' AND twin) AND NOT (source = 'direct' AND EXISTS (SELECT 1 FROM near n WHERE n.fragment_id = o.fragment_id AND n.aln_no = o.aln_no AND n.read_index = o.read_index))"""))
 def genome_alignments(spark, sf):
-    """Rows on the genome put together from transcripts and junctions, and direct hits that do not repeat them."""
+    """Rows on the genome put together from transcripts and junctions, and direct hits that these do not nearly cover."""
     rows = _kinds(spark, sf)
     reads = rows.select("fragment_id").distinct().withColumn("reads", F.lit(1))
     got = references.genome_rows(rows, _references(spark, sf), reads).where("ref <> '*'")
@@ -578,13 +581,19 @@ def running_percentages(spark, sf):
     return stats.running_totals(li).select("read_percent", "fragment_percent")
 
 
-@query("SELECT p_partkey AS k, CASE WHEN least(p_size + 19, p_size + 4 + p_partkey % 9) >= p_size + 5 THEN CAST(least(p_size + 19, p_size + 4 + p_partkey % 9) - (p_size + 5) + 1 AS VARCHAR) || 'M' ELSE '' END AS part FROM part")
+@query("""WITH a AS (SELECT p_partkey AS k, 1 + p_size % 30 AS l, 1 + p_size % 30 + p_partkey % 25 AS r, [{'n': 4, 'o': 'S'}, {'n': 5 + p_partkey % 9, 'o': 'M'}, {'n': 1 + p_partkey % 3, 'o': 'I'}, {'n': 6, 'o': 'M'}, {'n': 1 + p_size % 4, 'o': 'D'}, {'n': 20, 'o': 'M'}, {'n': 7, 'o': 'N'}, {'n': 9, 'o': 'M'}, {'n': 3, 'o': 'S'}] AS ops FROM part),
+o AS (SELECT k, l, r, i, x.n AS n, x.o AS o, coalesce(sum(CASE WHEN x.o IN ('M', 'D', 'N') THEN x.n END) OVER (PARTITION BY k ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS z, coalesce(sum(CASE WHEN x.o IN ('M', 'I', 'S') THEN x.n END) OVER (PARTITION BY k ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS y FROM (SELECT k, l, r, unnest(range(1, 10)) AS i, unnest(ops) AS x FROM a)),
+b AS (SELECT k, i, o, y, m FROM (SELECT *, unnest(range(1, n + 1)) AS m FROM o) WHERE CASE WHEN o IN ('M', 'D', 'N') THEN z + m ELSE z END BETWEEN l AND r),
+g AS (SELECT k, i, o, count(*) AS n, min(CASE WHEN o IN ('M', 'I', 'S') THEN y + m END) AS f FROM b GROUP BY 1, 2, 3)
+SELECT a.k, coalesce(string_agg(CAST(n AS VARCHAR) || o, '' ORDER BY i), '') AS part, CAST(coalesce(sum(CASE WHEN o IN ('M', 'I', 'S') THEN n END), 0) AS BIGINT) AS bases, CAST(CASE WHEN sum(CASE WHEN o IN ('M', 'I', 'S') THEN n END) > 0 THEN min(f) ELSE 0 END AS BIGINT) AS first FROM a LEFT JOIN g ON g.k = a.k GROUP BY a.k""")
 def cigar_parts(spark, sf):
-    """Operations of an alignment of 20 bases inside an interval that begins at its sixth."""
+    """Operations of clipped, gapped alignments inside an interval of their reference, and the bases of the read that they take."""
     p, c = adapters.table(spark, sf, "part"), F.col
-    pos = c("p_size").cast("long")
-    got = cigar.sub_intervals(F.lit("20M"), pos, F.lit("ACGT" * 5), F.lit("I" * 20), pos + 5, pos + 4 + c("p_partkey") % 9, F.lit(False))
-    return p.select(c("p_partkey").alias("k"), got["cigar"].alias("part"))
+    own = {"m": 5 + c("p_partkey") % 9, "i": 1 + c("p_partkey") % 3, "d": 1 + c("p_size") % 4}
+    text = F.concat(F.lit("4S"), own["m"].cast("string"), F.lit("M"), own["i"].cast("string"), F.lit("I6M"), own["d"].cast("string"), F.lit("D20M7N9M3S"))
+    left = (1 + c("p_size") % 30).cast("int")
+    got = p.select(c("p_partkey").alias("k"), cigar.cut(cigar.parse(text), left, (left + c("p_partkey") % 25).cast("int")).alias("x"))
+    return got.select("k", cigar.render(c("x.ops")).alias("part"), c("x.bases").cast("long").alias("bases"), F.when(c("x.bases") > 0, c("x.begin") + 1).otherwise(0).cast("long").alias("first"))
 
 
 @query(sql("aln0", f", {_KALN}, {_KINDS} SELECT DISTINCT fragment_id, CAST(read_index AS BIGINT) AS read_index, CAST(1 AS BIGINT) AS \"primary\" FROM (SELECT fragment_id, read_index FROM kproj WHERE kind <> 'genome' UNION SELECT fragment_id, read_index FROM kalns WHERE kind = 'genome') q"))

@@ -32,9 +32,35 @@ def test_cigar_append_merges(spark):
     assert (r.same, r.gap, r.back, r.none, r.invert) == ("15M", "10M7N3M", "10M7N3M", "14M", "5M3S")
 
 
-def test_cigar_sub_interval():
-    assert cigar.sub_interval("10M5N10M", 101, "A" * 10 + "C" * 10, "I" * 20, 106, 120) == ("5M5N5M", "AAAAACCCCC", "I" * 10)
-    assert cigar.sub_interval("10M", 101, "ACGTACGTAC", "*", 101, 104, transcript=True)[0] == "4S"
+def test_cigar_cut(spark):
+    seq = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    cases = [("10M5N10M", 6, 20, True, False, "5M5N5M", "FGHIJKLMNO"), ("3S10M4D10M2S", 1, 10, True, False, "10M", "DEFGHIJKLM"), ("3S10M4D10M2S", 1, 24, True, False, "10M4D10M2S", seq[3:25]), ("10M2I10M", 1, 10, True, False, "10M2I", seq[:12]), ("10M2I10M", 11, 20, True, False, "10M", seq[12:22]), ("10M2I10M", 5, 12, False, False, "6I2I2I", seq[4:14]), ("10M2D10M", 9, 14, False, True, "2S2D2S", seq[8:12]), ("10M", 11, 12, True, False, "", ""), ("5M3D5M", 6, 8, True, False, "3D", "")]
+    df = spark.createDataFrame(cases, "c string, l int, r int, placed boolean, margin boolean, want string, bases string")
+    x = df.select("want", "bases", cigar.cut(cigar.parse(F.col("c")), F.col("l"), F.col("r"), F.col("placed"), F.col("margin")).alias("x")).select("want", "bases", cigar.render(F.col("x.ops")).alias("got"), F.col("x.begin").alias("begin"), F.col("x.bases").alias("n"))
+    for r in x.collect():
+        assert (r.got, seq[r.begin : r.begin + r.n]) == (r.want, r.bases)
+
+
+def test_spans_are_cleaned_and_stitched(spark):
+    """Exons that share bases of the reference, one that its neighbour covers, one without a place on the genome."""
+    from readloom.functions import spans
+
+    s = lambda a, b, c, x, y, o: {"ref_start": a, "ref_end": b, "chrom": c, "start": x, "end": y, "overlap": o}
+    seq = "ACGTACGTAC" * 3
+    cases = [
+        ("shared", [s(1, 16, "c", 101, 116, 16), s(11, 40, "c", 201, 220, 20)], "30M"),
+        ("covered", [s(1, 20, "c", 101, 120, 20), s(17, 20, "c", 151, 154, 4), s(21, 30, "c", 201, 207, 7)], "20M2I7M1S"),
+        ("covers", [s(1, 4, "c", 101, 104, 4), s(1, 20, "c", 201, 220, 20)], "20M"),
+        ("elsewhere", [s(1, 5, "tr-x", 1, 5, 5), s(6, 20, "c", 11, 25, 15)], "5M3D17M"),
+    ]
+    df = spark.createDataFrame(cases, f"name string, v array<{spans.SPAN}>, c string")
+    kept = spans.cleaned(F.col("v"))
+    got = {r.name: r for r in df.select("name", spans.total_shared(F.col("v")).alias("shared"), F.size(kept).alias("n"), spans.stitched(kept, cigar.parse(F.col("c")), F.lit(seq), F.lit("*")).alias("x")).collect()}
+    assert {k: r.n for k, r in got.items()} == {"shared": 2, "covered": 2, "covers": 1, "elsewhere": 2}
+    assert got["shared"].x.cigar == "16M84N20M" and got["shared"].shared == 6 and got["shared"].x.seq == seq[:16] + seq[10:30]
+    assert got["covered"].x.cigar == "20M2I80N7M1S" and got["covered"].x.seq == seq[:30] and got["covered"].x.qual == "*"
+    assert got["covers"].x.cigar == "20M"
+    assert got["elsewhere"].x.cigar == "5S3D12M" and got["elsewhere"].x.seq == seq[:17]
 
 
 def test_reverse_complement_and_homopolymer(spark):

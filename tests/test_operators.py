@@ -161,15 +161,56 @@ def test_snapping_moves_to_the_smaller_difference(spark):
     assert rows(projection.snap(b), "fragment_id", "ref", "start") == [("f", "t1", 102), ("f", "t2", 102), ("g", "t1", 100), ("g", "t2", 105)]
 
 
-def test_genome_alignments(spark):
-    kind = "fragment_id string, reads int, read_index int, hit int, paired boolean, source string, chrom string, strand string, mapq int, blocks array<struct<start:long,end:long,cigar:string>>"
-    part = lambda s, e, c: (s, e, c)
-    r = spark.createDataFrame(
-        [("f", 2, 1, 1, True, "computed", "c", "+", 3, [part(1, 10, "10M"), part(21, 30, "10M")]), ("f", 2, 2, 1, True, "computed", "c", "-", 30, [part(50, 59, "10M")]), ("f", 2, 1, 1, False, "direct", "c", "+", 9, [part(70, 79, "10M")]), ("g", 2, 1, 1, False, "direct", "c", "+", 9, [part(7, 9, "3M")])],
-        kind,
-    )
-    got = rows(genome_alignments.reconstruct(r), "fragment_id", "read_index", "flag", "pos", "mapq", "cigar", "nh")
-    assert got == [("f", 1, 1 + 2 + 32 + 64, 1, 10, "10M10N10M", 1), ("f", 2, 1 + 2 + 16 + 128, 50, 30, "10M", 1), ("g", 1, 1 + 8 + 64, 7, 10, "3M", 1), ("g", 2, 4 + 1 + 128, 0, 0, "*", 0)]
+HITS = "fragment_id string, source string, hit long, read_index int, paired boolean, chrom string, strand string, mapq int, pos long, end long, cigar string, seq string, qual string"
+
+
+def hit(fragment, source, number, read, pos, text, strand="+", paired=False, mapq=20, chrom="c"):
+    import re
+
+    end = pos - 1 + sum(int(n) for n, o in re.findall(r"(\d+)([MDN])", text))
+    return (fragment, source, number, read, paired, chrom, strand, mapq, pos, end, text, "*", "*")
+
+
+def given(spark, hits, reads):
+    df = spark.createDataFrame(hits, HITS)
+    return rows(genome_alignments.reconstruct(df, spark.createDataFrame(reads, "fragment_id string, reads int")), "fragment_id", "read_index", "flag", "pos", "mapq", "cigar", "nh", "hit", "source", "mate_pos")
+
+
+def test_genome_alignments_pairs_come_first(spark):
+    hits = [hit("f", "computed", 1, 1, 1, "10M10N10M", mapq=3, paired=True), hit("f", "computed", 1, 2, 50, "10M", "-", True), hit("f", "direct", 1, 1, 900, "10M"), hit("g", "direct", 1, 1, 7, "3M", mapq=9)]
+    assert given(spark, hits, [("f", 2), ("g", 2), ("h", 1)]) == [
+        ("f", 1, 1 + 2 + 32 + 64, 1, 10, "10M10N10M", 1, 1, "computed", 50), ("f", 2, 1 + 2 + 16 + 128, 50, 20, "10M", 1, 1, "computed", 1),
+        ("g", 1, 1 + 8 + 64, 7, 10, "3M", 1, 1, "direct", 0), ("g", 2, 4 + 1 + 128, 0, 0, "*", 0, 0, "none", 0), ("h", 1, 4, 0, 0, "*", 0, 0, "none", 0),
+    ]
+
+
+def test_genome_alignments_near_duplicates(spark):
+    """A direct hit one base beside a computed one goes; equal ones leave the direct one; of pairs both reads must be near."""
+    hits = [
+        hit("near", "computed", 1, 1, 100, "50M"), hit("near", "direct", 1, 1, 101, "50M"), hit("near", "direct", 2, 1, 400, "50M"), hit("near", "direct", 3, 1, 100, "50M", chrom="d"),
+        hit("same", "computed", 1, 1, 100, "50M"), hit("same", "direct", 4, 1, 100, "50M"), hit("same", "direct", 5, 1, 101, "50M"),
+        hit("pair", "computed", 1, 1, 100, "20M60N30M", paired=True), hit("pair", "computed", 1, 2, 300, "50M", "-", True), hit("pair", "direct", 1, 1, 100, "22M60N28M", paired=True), hit("pair", "direct", 1, 2, 301, "50M", "-", True),
+        hit("pair", "direct", 2, 1, 100, "50M", paired=True), hit("pair", "direct", 2, 2, 900, "50M", "-", True), hit("pair", "direct", 3, 1, 5000, "50M"),
+        hit("third", "computed", 1, 1, 100, "50M"), hit("third", "direct", 1, 1, 115, "50M"), hit("third", "direct", 2, 1, 116, "50M"),
+    ]
+    got = [(r[0], r[1], r[3], r[5], r[6], r[8], r[2] >= 256) for r in given(spark, hits, [("near", 1), ("same", 1), ("pair", 2), ("third", 1)])]
+    assert sorted(got) == sorted([
+        ("near", 1, 100, "50M", 3, "computed", False), ("near", 1, 400, "50M", 3, "direct", True), ("near", 1, 100, "50M", 3, "direct", True), ("same", 1, 100, "50M", 2, "direct", False), ("same", 1, 101, "50M", 2, "direct", True),
+        ("pair", 1, 100, "20M60N30M", 2, "computed", False), ("pair", 2, 300, "50M", 2, "computed", False), ("pair", 1, 100, "50M", 2, "direct", True), ("pair", 2, 900, "50M", 2, "direct", True), ("third", 1, 100, "50M", 2, "computed", False), ("third", 1, 116, "50M", 2, "direct", True),
+    ])
+
+
+def test_genome_alignments_keep_operations_bases_and_qualities(spark):
+    """A direct hit stays as it is; a read on a transcript of the reverse strand is turned and cut at its exons."""
+    from readloom.plans import references
+
+    seq, qual = "AACCGGTTACGTAC", "ABCDEFGHIJKLMN"
+    exons = spark.createDataFrame([("e1", "t1", 1, 10, "-", "c", 201, 210), ("e2", "t1", 11, 30, "-", "c", 101, 120)], "exon_id string, chrom string, start long, end long, strand string, g_chrom string, g_start long, g_end long")
+    reads_ = [("f", 1, 1, False, "transcript", "t1", 6, "2S3M1I3M2D5M", "+", 0, 20, seq, qual), ("g", 1, 1, False, "genome", "c", 500, "3S10M4D1M", "-", 0, 20, seq, qual)]
+    df = spark.createDataFrame(reads_, "fragment_id string, aln_no int, read_index int, paired boolean, kind string, chrom string, pos long, cigar string, strand string, nm int, mapq int, seq string, qual string")
+    got = rows(references.genome_rows(df, exons, spark.createDataFrame([("f", 1), ("g", 1)], "fragment_id string, reads int")), "fragment_id", "flag", "pos", "cigar", "seq", "qual")
+    # Bases 6 to 10 of the transcript lie at 205 down to 201, 11 to 18 at 120 down to 113; the leading clip belongs to no base.
+    assert got == [("f", 16, 113, "5M2D1M80N2M1I3M2S", "GTACGTAACCGGTT", qual[::-1]), ("g", 16, 500, "3S10M4D1M", seq, qual)]
 
 
 SAM = ["@SQ\tSN:c\tLN:1000", "r1\t0\tc\t105\t60\t50M\t*\t0\t0\t" + "A" * 50 + "\t" + "I" * 50 + "\tNM:i:1", "r2\t0\tc\t105\t60\t50M\t*\t0\t0\t" + "A" * 50 + "\t*\tNM:i:9", "r3\t4\t*\t0\t0\t*\t*\t0\t0\tAC\tII"]
