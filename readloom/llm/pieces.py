@@ -29,7 +29,7 @@ MARK = "▁"
 #: Units and piece pairs remembered by a task.
 CACHE_UNITS, YOUNG_UNITS, CACHE_PAIRS = 240_000, 70_000, 400_000
 #: Characters of text encoded at once, and new units indexed at once.
-BATCH_CHARS, NEW_UNITS = 4 << 20, 40_000
+BATCH_CHARS, NEW_UNITS = 2 << 20, 20_000
 #: A character outside the vocabulary; it stands for its bytes and merges with nothing.
 NONE = -1
 
@@ -247,6 +247,7 @@ class Encoder:
             room = max(0, CACHE_UNITS - len(kept))
             for k, item in enumerate(got.items()):
                 (kept if k < room else young)[item[0]] = item[1]
+            resident.trim()
         return [np.frombuffer(b"".join(map(kept.__getitem__, units)), "<u4") for units in split]
 
 
@@ -331,14 +332,14 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, n_pieces long, ids_crc32 long, text string")
 
 
-def round_trip(docs: DataFrame, model: str) -> DataFrame:
+def round_trip(docs: DataFrame, model: str, with_text: bool = True) -> DataFrame:
     """Encode and decode every whole text: doc_id, n_pieces, ids_crc32, n_chars and text_sha256 of what came back, round_trip, ids, text.
 
-    ``round_trip`` is whether decoding gives the text again; a null text counts as empty. Texts that hold
+    The text itself is left out where it is not wanted, so that it is not sent back from the workers.     ``round_trip`` is whether decoding gives the text again; a null text counts as empty. Texts that hold
     the space mark itself come back with spaces in its place. Null ids are passed on; repeated rows give
     equal rows; an empty table gives no rows.
     """
-    schema = "doc_id long, n_pieces long, ids_crc32 long, n_chars long, text_sha256 string, round_trip boolean, ids array<int>, text string"
+    schema = "doc_id long, n_pieces long, ids_crc32 long, n_chars long, text_sha256 string, round_trip boolean, ids array<int>" + ", text string" * with_text
 
     def run(batches: Iterator[pa.RecordBatch]):
         learnt, decoder = encoder(model), Decoder(model)
@@ -350,7 +351,10 @@ def round_trip(docs: DataFrame, model: str) -> DataFrame:
                 ends = np.concatenate(([0], np.cumsum([len(i) for i in ids])))
                 flat = pa.array(np.concatenate(ids).astype(np.int32))
                 columns = [b.column("doc_id")[x:y], pa.array([len(i) for i in ids], pa.int64()), pa.array([zlib.crc32(i.tobytes()) for i in ids], pa.int64()), pa.array([len(t) for t in back], pa.int64())]
-                columns += [pa.array([hashlib.sha256(t.encode()).hexdigest() for t in back]), pa.array([t == o for t, o in zip(back, texts[x:y])]), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat), pa.array(back, pa.string())]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_pieces", "ids_crc32", "n_chars", "text_sha256", "round_trip", "ids", "text"])
+                columns += [pa.array([hashlib.sha256(t.encode()).hexdigest() for t in back]), pa.array([t == o for t, o in zip(back, texts[x:y])]), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat), *([pa.array(back, pa.string())] if with_text else [])]
+                del back, ids, flat
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_pieces", "ids_crc32", "n_chars", "text_sha256", "round_trip", "ids", *(["text"] if with_text else [])])
+                del columns
+                resident.trim()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)

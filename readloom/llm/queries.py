@@ -49,7 +49,7 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from . import pieces
 
-    return pieces.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")).drop("ids", "text")
+    return pieces.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), with_text=False).drop("ids")
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,8 +29,12 @@ def drop() -> None:
 
 
 def _give_back() -> None:
-    """What this worker has freed goes back to the machine: Arrow's pool and the C library keep it otherwise."""
     gc.collect()
+    trim()
+
+
+def trim() -> None:
+    """What this worker has freed goes back to the machine: Arrow's pool and the C library keep it otherwise."""
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
