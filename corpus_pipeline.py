@@ -50,7 +50,7 @@ def token_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Piece ids of what is left, and whether they decode to the text: a row per document, none of an empty text's ids."""
     import public_tokenizers
 
-    return pieces.round_trip(docs, public_tokenizers.path("piece_bpe_32k.model")).select("doc_id", "n_pieces", "ids_crc32", "n_chars", "text_sha256", "round_trip", "ids")
+    return pieces.round_trip(docs, public_tokenizers.path("piece_bpe_32k.model"), with_text=False).select("doc_id", "n_pieces", "ids_crc32", "n_chars", "text_sha256", "round_trip", "ids")
 
 
 STAGES = [
