@@ -23,9 +23,11 @@ def hold(key, make):
 
 
 def drop() -> None:
+    """No object stays, and what was freed since the last task goes back."""
     if _objects:
         _objects.clear()
-        _give_back()
+        gc.collect()
+    trim()
 
 
 def _give_back() -> None:

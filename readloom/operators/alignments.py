@@ -14,8 +14,8 @@ def mate_pairs(rows: DataFrame, key: str = "fragment_id", order: str = "row_no")
     """(key, first, second): row numbers of mates inside a fragment, one to one.
 
     Mates have equal HI tags, else opposite read indices, equal names and each other's positions. Rows
-    pair greedily in order. Pairs are first sought by a join; fragments in which a row has more than one
-    candidate are settled row by row.
+    pair greedily in order. Pairs are first sought by a join; in fragments in which a row has more than one
+    candidate they are taken by a fold over the sorted candidates.
     """
     a = rows.select(key, F.col(order).alias("first"), *[F.col(c).alias(f"a_{c}") for c in PAIR_COLUMNS])
     b = rows.select(key, F.col(order).alias("second"), *[F.col(c).alias(f"b_{c}") for c in PAIR_COLUMNS])
@@ -31,16 +31,17 @@ def mate_pairs(rows: DataFrame, key: str = "fragment_id", order: str = "row_no")
     mixed = ends.where("count > 1").select(key).distinct()
     plain = pairs.join(mixed, key, "left_anti")
 
-    def greedy(pdf):
-        used, keep = set(), []
-        for x, y in zip(pdf["first"], pdf["second"]):
-            ok = x not in used and y not in used
-            keep.append(ok)
-            if ok:
-                used.update((x, y))
-        return pdf[keep]
+    # In order, a pair is taken where neither row has been.
+    state = F.struct(F.expr("cast(array() as array<bigint>)").alias("used"), F.expr("cast(array() as array<struct<first:bigint,second:bigint>>)").alias("taken"))
 
-    settled = pairs.join(mixed, key, "left_semi").groupBy(key).applyInPandas(lambda pdf: greedy(pdf.sort_values(["first", "second"])), pairs.schema)
+    def step(s, x):
+        free = ~(F.array_contains(s["used"], x["first"]) | F.array_contains(s["used"], x["second"]))
+        return F.when(free, F.struct(F.concat(s["used"], F.array(x["first"], x["second"])).alias("used"), F.concat(s["taken"], F.array(x)).alias("taken"))).otherwise(s)
+
+    sought = F.struct(F.col("first").cast("long").alias("first"), F.col("second").cast("long").alias("second"))
+    several = pairs.join(mixed, key, "left_semi").groupBy(key).agg(F.array_sort(F.collect_list(sought)).alias("_c"))
+    taken = several.select(key, F.explode(F.aggregate("_c", state, step, lambda s: s["taken"])).alias("_p"))
+    settled = taken.select(key, *[F.col(f"_p.{c}").cast(pairs.schema[c].dataType).alias(c) for c in ("first", "second")])
     return plain.unionByName(settled)
 
 

@@ -7,32 +7,66 @@ from pyspark.sql import functions as F
 
 from readloom.functions.intervals import overlap
 
-#: Width of a bin: over the usual block, under the largest exon.
-BIN = 1024
+#: Widths of bins, as powers of two, finest first: an interval's own level is the first that is no narrower than it, so it
+#: touches two bins there at most.
+LEVELS = (10, 13, 16, 19, 22, 25, 28, 31)
+#: How two intervals meet: both at their own level, or one at its own and the other, finer one, at that level.
+BOTH, LEFT_UP, RIGHT_UP = 0, 1, 2
 
 
-def binned(rows: DataFrame, start: str = "start", end: str = "end", width: int = BIN) -> DataFrame:
-    """A row for each bin that an interval touches."""
-    first, last = F.floor(F.col(start) / width), F.floor(F.col(end) / width)
-    return rows.withColumn("_bin", F.explode(F.sequence(first, last)))
+def level(start: Column, end: Column) -> Column:
+    """Index of the own level of an interval."""
+    found = F.lit(len(LEVELS) - 1)
+    for i in reversed(range(len(LEVELS) - 1)):
+        found = F.when(end - start < 1 << LEVELS[i], i).otherwise(found)
+    return found
 
 
-def interval_join(blocks: DataFrame, exons: DataFrame, least: int = 1, stranded: bool = False, width: int = BIN, carry: tuple[str, ...] = ()) -> DataFrame:
+def binned(rows: DataFrame, start: str, end: str, meets: dict[int, tuple[list[int], list[int]]], first: str) -> DataFrame:
+    """A row for each bin in which an interval may meet others: ``_bin``, and ``first``, the first of them of that kind.
+
+    ``meets`` says for each level of bins which kinds of rows an interval has there if the level is its own, and if it is
+    coarser. Level and kind are part of the bin's number.
+    """
+    own = level(F.col(start), F.col(end))
+
+    def bins(i: int, kind: int) -> Column:
+        """The bins of a level, for one kind of row, where the interval has such rows there."""
+        here, above = meets[i]
+        fits = F.lit(False)
+        if kind in here:
+            fits = fits | (own == i)
+        if kind in above:
+            fits = fits | (own < i)
+        number = lambda b: (b * len(LEVELS) + i) * 3 + kind
+        low, high = (F.shiftright(F.col(c), LEVELS[i]) for c in (start, end))
+        return F.when(fits, F.transform(F.sequence(low, high), lambda b: F.struct(number(b).alias("bin"), number(low).alias("first"))))
+
+    at = F.array_compact(F.array(*[bins(i, kind) for i, (here, above) in meets.items() for kind in sorted({*here, *above})]))
+    return rows.withColumn("_at", F.explode(F.flatten(at))).select(*rows.columns, F.col("_at.bin").alias("_bin"), F.col("_at.first").alias(first))
+
+
+def interval_join(blocks: DataFrame, exons: DataFrame, least: int = 1, stranded: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
     """Pairs of blocks and exons of one chromosome that share ``least`` bases or more, with ``overlap``.
 
-    ``exons`` has exon_id, chrom, start, end, strand, which become exon_id, exon_start, exon_end and
-    exon_strand, and the columns to ``carry``. An equi-join on (chrom, bin): a pair is kept in the later of the two first bins only,
-    so nothing is deduplicated. AQE splits bins that many blocks share.
+    ``exons`` has exon_id, chrom, start, end, strand, which become exon_id, exon_start, exon_end and exon_strand, and the
+    columns to ``carry``. An equi-join on (chrom, bin) over bins of several widths: two intervals meet at the level of the
+    longer one only, and are kept in the later of their first bins, so nothing is deduplicated, and an interval of any size
+    has a few rows per level. Which levels exons have is asked first; blocks have rows at these only. AQE splits bins that
+    many blocks share.
     """
-    e = binned(exons.select("exon_id", "chrom", F.col("start").alias("exon_start"), F.col("end").alias("exon_end"), F.col("strand").alias("exon_strand"), *carry), "exon_start", "exon_end", width)
+    start, end = F.col("start").cast("long"), F.col("end").cast("long")
+    have = sorted(r[0] for r in exons.select(level(start, end).alias("level")).distinct().collect())  # as many as there are levels at most
+    e = exons.select("exon_id", "chrom", start.alias("exon_start"), end.alias("exon_end"), F.col("strand").alias("exon_strand"), *carry)
+    e = binned(e, "exon_start", "exon_end", {i: ([BOTH, LEFT_UP] if i in have else [], [RIGHT_UP] if have and have[0] < i else []) for i in range(len(LEVELS))}, "_exon_first")
+    b = blocks.withColumns({"_start": start, "_end": end})
+    b = binned(b, "_start", "_end", {i: ([BOTH] * (i in have) + [RIGHT_UP] * bool(have and have[0] < i), [LEFT_UP] * (i in have)) for i in range(len(LEVELS))}, "_first").drop("_start", "_end")
     keys = ["chrom", "_bin"]
-    b = binned(blocks, width=width)
     if stranded:
-        e, keys = e.withColumn("_strand", F.col("exon_strand")), [*keys, "_strand"]
-        b = b.withColumn("_strand", F.col("strand"))
+        e, b, keys = e.withColumn("_strand", F.col("exon_strand")), b.withColumn("_strand", F.col("strand")), [*keys, "_strand"]
     shared = overlap(F.col("start"), F.col("end"), F.col("exon_start"), F.col("exon_end"))
-    first = F.greatest(F.floor(F.col("start") / width), F.floor(F.col("exon_start") / width))
-    return b.join(e, keys).where((F.col("_bin") == first) & (shared >= least)).withColumn("overlap", shared).drop("_bin", "_strand")
+    joined = b.join(e, keys).where((F.col("_bin") == F.greatest("_first", "_exon_first")) & (shared >= least))
+    return joined.withColumn("overlap", shared).drop("_bin", "_strand", "_first", "_exon_first")
 
 
 def plain_interval_join(blocks: DataFrame, exons: DataFrame, least: int = 1) -> DataFrame:
