@@ -100,9 +100,15 @@ def with_objects(exons: DataFrame, objects: DataFrame) -> DataFrame:
 
 
 def with_numbers(hits: DataFrame) -> DataFrame:
-    """Adds ``n``, what ``alignment_numbers`` gives for the row's fragment."""
-    forms = lambda second: F.size(F.collect_set(F.when((F.col("side") == "r2") == F.lit(second), F.col("canonical"))).over(Window.partitionBy("fragment_id")))
-    return hits.withColumn("n", F.greatest(forms(False), forms(True)))
+    """Adds ``n``, what ``alignment_numbers`` gives for the row's fragment: the highest rank of a form on its side."""
+    rank = F.dense_rank().over(Window.partitionBy("fragment_id", F.col("side") == "r2").orderBy("canonical"))
+    return hits.withColumn("_rank", rank).withColumn("n", F.max("_rank").over(Window.partitionBy("fragment_id"))).drop("_rank")
+
+
+def _alone(rows: DataFrame, column: str, keys: list[str]) -> DataFrame:
+    """Rows of the keys that have one value of a column only."""
+    of = Window.partitionBy(*keys)
+    return rows.withColumns({"_least": F.min(column).over(of), "_most": F.max(column).over(of)}).where("_least = _most").drop("_least", "_most")
 
 
 def qualified(hits: DataFrame, mode: Mode, unambiguous: bool = False, stranded: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -117,7 +123,7 @@ def qualified(hits: DataFrame, mode: Mode, unambiguous: bool = False, stranded:
         most = F.max(F.when(F.col("kind") != "genome", F.col("overlap"))).over(Window.partitionBy(*block))
         ok = ok.withColumn("_most", most).where((F.col("kind") == "genome") | (F.col("overlap") == F.col("_most"))).drop("_most")
     if unambiguous and mode.ambiguity == "block":
-        ok = ok.withColumn("_n", F.size(F.collect_set("exon_id").over(Window.partitionBy(*block)))).where("_n = 1").drop("_n")
+        ok = _alone(ok, "exon_id", block)
     named = ok.withColumn("object_id", F.explode("objects"))
     read = ["fragment_id", "aln_no", "side", "read_index", "object_id", *carry]
     per = named.groupBy(*read).agg(F.collect_set(F.when(F.col("block_idx") >= 0, F.col("block_idx"))).alias("_blocks"), F.max("last_block").alias("_last"))
@@ -129,7 +135,7 @@ def qualified(hits: DataFrame, mode: Mode, unambiguous: bool = False, stranded:
         per_alignment = per_alignment.where("side <> 'p' or _reads = 2")
     out = per_alignment.drop("_reads")
     if unambiguous and mode.ambiguity == "fragment":
-        out = out.withColumn("_n", F.size(F.collect_set("object_id").over(Window.partitionBy("fragment_id")))).where("_n = 1").drop("_n")
+        out = _alone(out, "object_id", ["fragment_id"])
     return out
 
 

@@ -56,11 +56,11 @@ def interval_join(blocks: DataFrame, exons: DataFrame, least: int = 1, stranded:
     many blocks share.
     """
     start, end = F.col("start").cast("long"), F.col("end").cast("long")
-    have = sorted(r[0] for r in exons.select(level(start, end).alias("level")).distinct().collect())  # as many as there are levels at most
+    have = sorted(r[0] for r in exons.select(level(start, end).alias("level")).distinct().collect()) or [0]  # as many as there are levels at most
     e = exons.select("exon_id", "chrom", start.alias("exon_start"), end.alias("exon_end"), F.col("strand").alias("exon_strand"), *carry)
-    e = binned(e, "exon_start", "exon_end", {i: ([BOTH, LEFT_UP] if i in have else [], [RIGHT_UP] if have and have[0] < i else []) for i in range(len(LEVELS))}, "_exon_first")
+    e = binned(e, "exon_start", "exon_end", {i: ([BOTH, LEFT_UP] if i in have else [], [RIGHT_UP] if have[0] < i else []) for i in range(len(LEVELS))}, "_exon_first")
     b = blocks.withColumns({"_start": start, "_end": end})
-    b = binned(b, "_start", "_end", {i: ([BOTH] * (i in have) + [RIGHT_UP] * bool(have and have[0] < i), [LEFT_UP] * (i in have)) for i in range(len(LEVELS))}, "_first").drop("_start", "_end")
+    b = binned(b, "_start", "_end", {i: ([BOTH] * (i in have) + [RIGHT_UP] * (have[0] < i), [LEFT_UP] * (i in have)) for i in range(len(LEVELS))}, "_first").drop("_start", "_end")
     keys = ["chrom", "_bin"]
     if stranded:
         e, b, keys = e.withColumn("_strand", F.col("exon_strand")), b.withColumn("_strand", F.col("strand")), [*keys, "_strand"]

@@ -240,6 +240,23 @@ def _sets_count(mode: str):
     return run
 
 
+_PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+_SETS_BY_SAMPLE = _sets_sql("gene").replace("SELECT object_id AS id, round(CAST(sum(c) AS DOUBLE), 6) AS count FROM per GROUP BY 1", """, c AS (SELECT object_id AS id, o_orderpriority AS sample, sum(c) AS count FROM per JOIN orders ON o_orderkey = fragment_id GROUP BY 1, 2), reads AS (SELECT sample, sum(count) AS reads FROM c GROUP BY 1), size AS (SELECT p_brand AS id, sum(p_size) AS length FROM part GROUP BY 1)
+SELECT c.id, c.sample, round(CAST(count / (length / 1000.0) / (reads / 1e6) AS DOUBLE), 4) AS fpkm FROM c JOIN reads USING (sample) JOIN size ON size.id = c.id""")
+
+
+@query(_SETS_BY_SAMPLE)
+def three_set_sample_fpkm(spark, sf):
+    """Three alignment sets of several samples and chunks to FPKM; a second call over the same folder makes nothing anew."""
+    c = F.col
+    of = adapters.table(spark, sf, "orders").select(c("o_orderkey").alias("fragment_id"), c("o_orderpriority").alias("sample"), (c("o_orderkey") % 3).cast("int").alias("chunk"))
+    sets = [t.join(of, "fragment_id") for t in _three(spark, sf)]
+    e, path = _references(spark, sf), settled.folder(spark, "counts")
+    lengths = adapters.table(spark, sf, "part").groupBy(c("p_brand").alias("id")).agg(F.sum("p_size").cast("long").alias("length"))
+    objects = e.select("exon_id", c("gene_id").alias("object_id"))
+    return references.sample_tables(*sets, e, objects, lengths, _PRIORITIES, path)[1].withColumn("fpkm", F.round("fpkm", 4))
+
+
 query(_sets_sql("gene"), "three_set_gene_counts")(_sets_count("gene"))
 query(_sets_sql("junction"), "three_set_junction_counts")(_sets_count("junction"))
 
@@ -438,9 +455,6 @@ def _sample_sam(spark, sf) -> DataFrame:
 
 
 _BY_SAMPLE = _count_sql("gene", tail="SELECT o_orderpriority AS sample, object_id AS id, CAST(sum(c) AS DOUBLE) AS count FROM per JOIN orders ON o_orderkey = per.fragment_id GROUP BY 1, 2").replace("cnt AS (SELECT object_id AS id, CAST(sum(c) AS DOUBLE) AS count FROM per GROUP BY 1)", "cnt AS (SELECT 1)")
-_PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
-
-
 def _sample_tables(spark, sf):
     e, c = adapters.exons(spark, sf), F.col
     # The map's exon ids carry the places; strands of both are one, so that ids are told apart by place.

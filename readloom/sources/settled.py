@@ -27,7 +27,34 @@ def settled(rows: DataFrame, label: str = "table") -> DataFrame:
 
 def kept(spark: SparkSession, path: str, make, again: bool = False) -> DataFrame:
     """The table at ``path``; where it is missing or unfinished, or ``again``, that which ``make`` gives is written there first."""
-    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    if again or not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+    if again or not _exists(spark, f"{path}/_SUCCESS"):
         make().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def by_parts(spark: SparkSession, path: str, parts: DataFrame, make, columns: str) -> DataFrame:
+    """The table at ``path``, of which each part (equal values of the columns of ``parts``) is made once.
+
+    Finished parts stand in a manifest beside the table. ``make`` gets the parts that are missing and gives their rows,
+    the ``columns`` and those of the part; these take the place of what a broken run left of the same parts, and then the parts enter the manifest. So a run that
+    ends early costs the parts that it had not finished, and a later one with more parts makes only these. A part without
+    rows counts as finished.
+    """
+    keys, rows, manifest = list(parts.columns), f"{path}/rows", f"{path}/finished"
+    missing = parts.distinct()
+    schema = missing.schema
+    whole = ", ".join([columns, *(f"{f.name} {f.dataType.simpleString()}" for f in schema)])
+    if _exists(spark, manifest):
+        missing = missing.join(spark.read.schema(schema).parquet(manifest), keys, "left_anti")
+    missing = settled(missing, "missing")
+    if not missing.isEmpty():
+        make(missing).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(rows)
+        missing.coalesce(1).write.mode("append").parquet(manifest)
+    if not _exists(spark, rows):
+        return spark.createDataFrame([], whole)
+    return spark.read.schema(whole).parquet(rows)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
