@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from readloom.functions.intervals import overlap
 
 #: Widths of bins, as powers of two, finest first: an interval's own level is the first that is no narrower than it, so it
-#: touches two bins there at most.
-LEVELS = (10, 13, 16, 19, 22, 25, 28, 31)
+#: touches two bins there at most. The last is wider than any interval.
+LEVELS = (10, 13, 16, 19, 22, 25, 28, 62)
 #: How two intervals meet: both at their own level, or one at its own and the other, finer one, at that level.
 BOTH, LEFT_UP, RIGHT_UP = 0, 1, 2
 
@@ -22,28 +22,22 @@ def level(start: Column, end: Column) -> Column:
     return found
 
 
-def binned(rows: DataFrame, start: str, end: str, meets: dict[int, tuple[list[int], list[int]]], first: str) -> DataFrame:
+def binned(rows: DataFrame, start: str, end: str, own: dict[int, list[int]], above: tuple[int, list[int]], first: str) -> DataFrame:
     """A row for each bin in which an interval may meet others: ``_bin``, and ``first``, the first of them of that kind.
 
-    ``meets`` says for each level of bins which kinds of rows an interval has there if the level is its own, and if it is
-    coarser. Level and kind are part of the bin's number.
+    ``own`` says at which levels an interval whose own level this is has rows of a kind, ``above`` the kind of the rows
+    that it has at coarser levels, and at which. Level and kind are part of the bin's number.
     """
-    own = level(F.col(start), F.col(end))
-
-    def bins(i: int, kind: int) -> Column:
-        """The bins of a level, for one kind of row, where the interval has such rows there."""
-        here, above = meets[i]
-        fits = F.lit(False)
-        if kind in here:
-            fits = fits | (own == i)
-        if kind in above:
-            fits = fits | (own < i)
-        number = lambda b: (b * len(LEVELS) + i) * 3 + kind
-        low, high = (F.shiftright(F.col(c), LEVELS[i]) for c in (start, end))
-        return F.when(fits, F.transform(F.sequence(low, high), lambda b: F.struct(number(b).alias("bin"), number(low).alias("first"))))
-
-    at = F.array_compact(F.array(*[bins(i, kind) for i, (here, above) in meets.items() for kind in sorted({*here, *above})]))
-    return rows.withColumn("_at", F.explode(F.flatten(at))).select(*rows.columns, F.col("_at.bin").alias("_bin"), F.col("_at.first").alias(first))
+    rows_ = rows.withColumn("_level", level(F.col(start), F.col(end)))
+    width = F.element_at(F.array(*map(F.lit, LEVELS)), F.col("_level") + 1)
+    places = [(kind, F.col("_level").isin(levels), F.col("_level"), width) for kind, levels in own.items() if levels]
+    places += [(above[0], F.col("_level") < i, F.lit(i), F.lit(LEVELS[i])) for i in above[1]]
+    at = []
+    for kind, fits, i, bits in places:
+        number = lambda c, kind=kind, i=i, bits=bits: (F.call_function("shiftright", F.col(c), bits) * len(LEVELS) + i) * 3 + kind
+        low, high = number(start), number(end)
+        at += [F.when(fits, F.struct(low.alias("bin"), low.alias("first"))), F.when(fits & (high > low), F.struct(high.alias("bin"), low.alias("first")))]
+    return rows_.withColumn("_at", F.explode(F.array(*at))).where("_at is not null").select(*rows.columns, F.col("_at.bin").alias("_bin"), F.col("_at.first").alias(first))
 
 
 def interval_join(blocks: DataFrame, exons: DataFrame, least: int = 1, stranded: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -57,10 +51,12 @@ def interval_join(blocks: DataFrame, exons: DataFrame, least: int = 1, stranded:
     """
     start, end = F.col("start").cast("long"), F.col("end").cast("long")
     have = sorted(r[0] for r in exons.select(level(start, end).alias("level")).distinct().collect()) or [0]  # as many as there are levels at most
+    every = list(range(len(LEVELS)))
+    coarser = every[have[0] + 1 :]
     e = exons.select("exon_id", "chrom", start.alias("exon_start"), end.alias("exon_end"), F.col("strand").alias("exon_strand"), *carry)
-    e = binned(e, "exon_start", "exon_end", {i: ([BOTH, LEFT_UP] if i in have else [], [RIGHT_UP] if have[0] < i else []) for i in range(len(LEVELS))}, "_exon_first")
+    e = binned(e, "exon_start", "exon_end", {BOTH: have, LEFT_UP: have}, (RIGHT_UP, coarser), "_exon_first")
     b = blocks.withColumns({"_start": start, "_end": end})
-    b = binned(b, "_start", "_end", {i: ([BOTH] * (i in have) + [RIGHT_UP] * (have[0] < i), [LEFT_UP] * (i in have)) for i in range(len(LEVELS))}, "_first").drop("_start", "_end")
+    b = binned(b, "_start", "_end", {BOTH: have, RIGHT_UP: coarser}, (LEFT_UP, have), "_first").drop("_start", "_end")
     keys = ["chrom", "_bin"]
     if stranded:
         e, b, keys = e.withColumn("_strand", F.col("exon_strand")), b.withColumn("_strand", F.col("strand")), [*keys, "_strand"]
