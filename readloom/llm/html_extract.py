@@ -2,14 +2,13 @@
 
 A page is cut into text blocks, each on the tag path from the root to its innermost block element. Text
 length and punctuation are summed per path and divided by the path's blocks; both ratios are smoothed
-over the order of the paths and fused; the share of a path's text in links lowers the fused ratio. What is
-in elements whose names say advert, notice and the like counts as paths of its own, with a part of their
-ratio. Paths above a threshold select the content nodes, of which those without such names say where the
-article is.
+over the order of the paths and fused; the share of a path's text in links lowers the fused ratio. Paths
+above a threshold select the content nodes. What is in elements whose names say advert, notice and the like
+takes part only where a page has nothing else; what readers wrote never does.
 
 The article is the innermost article or main element with more than half of the content nodes' text;
-without such an element, the smallest element around all content nodes. Its other blocks, headings and
-short lines, are kept as well, but for named ones whose path was not selected and for reader comments.
+without such an element, the smallest element around all content nodes. Of its other blocks, headings and
+short lines are kept as well, and those go whose path holds mostly links.
 
 A page is read once from left to right; elements are numbers with their parents' numbers, and paths are
 numbers too, so that time and memory grow with the length of the page and not with its depth.
@@ -19,7 +18,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,13 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 OPEN = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
-#: Attributes up to the end of a tag; quotes hide angle brackets.
-REST = re.compile(r"""(?>[^'">]+|"[^"]*"|'[^']*')*+>""")
-#: Characters in which the end of a tag is looked for with regard to quotes; beyond, the next ``>`` ends it.
-TAG_CHARS = 1 << 14
+#: What ends a tag, and what hides that.
+MARK = re.compile(r"[>\"']")
 ATTR = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 #: Elements whose content is no text of the page.
-RAW = frozenset("script style noscript template textarea title iframe svg math canvas object".split())
+RAW = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I | re.A) for tag in "script style noscript template textarea title iframe svg math canvas object".split()}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section select summary table tbody td tfoot th thead tr ul".split())
 #: Elements that a start tag closes, if they are open inside the nearest element given.
@@ -45,22 +42,28 @@ CLOSES = {
 #: Menus, footers, sidebars and forms by their element.
 SKIP = frozenset("nav footer aside form button select menu dialog label input fieldset head".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar toolbar".split())
-#: Whole class names and ids that lower a path's ratio; those of headers count outside articles only.
+#: Whole class names and ids of what is no article; those of headers count outside articles only.
 NAMED = re.compile(
-    r"ads?|advert[^\W_]*|adsense|banner|sponsor[^\W_]*|promo[^\W_]*|nav[^\W_]*|menu[^\W_]*|breadcrumbs?|sidebar[^\W_]*|side|aside|foot(?:er)?|copyright|cookies?[^\W_]*|consent|gdpr|notice[^\W_]*|alert|popup|modal|overlay|newsletter|subscri[^\W_]*|share|sharing|social[^\W_]*|related|recommend[^\W_]*|widget[^\W_]*|login|signup|search[^\W_]*|pagination|pager|skip[^\W_]*|toolbar"
-    r"|(?:ads?|breadcrumbs?|cookies?|newsletter|related|share|sharing|social)-(?:area|banner|bar|box|buttons?|form|icons?|links?|list|nav|posts?|slot|unit)|(?:site|main|top|bottom|global|primary|secondary)-(?:foot(?:er)?|nav[^\W_]*|menu)",
+    r"(?:ads?|adsense|banner|nav[^\W_]*|menu[^\W_]*|sidebar[^\W_]*|side|aside|foot(?:er)?|copyright|notice[^\W_]*|alert|overlay|widget[^\W_]*|search[^\W_]*|pagination|pager|skip[^\W_]*|toolbar"
+    r"|(?:site|main|top|bottom|global|primary|secondary)-(?:foot(?:er)?|nav[^\W_]*|menu)"
+    r"|(?:ads?|advert[^\W_]*|breadcrumbs?|consent|cookies?[^\W_]*|gdpr|login|modal|newsletters?|popup|promo[^\W_]*|recommend[^\W_]*|related|shar(?:e|ing)|signup|social[^\W_]*|sponsor[^\W_]*|subscri[^\W_]*)"
+    r"(?:[-_]+(?:area|articles?|banner|bar|block|body|box|buttons?|container|content|form|icons?|inner|items?|links?|list|media|message|nav|notice|panel|popup|posts?|section|signup|slot|space|stories|story|text|tools?|unit|widget|wrap(?:per)?|\d+))*)",
     re.I,
 )
 HEADER = re.compile(r"head(?:er)?|masthead|(?:site|main|top|global)-head(?:er)?", re.I)
-#: Whole class names and ids of what readers wrote.
-READERS = re.compile(r"comments?(?:-?(?:area|body|content|form|list|section|text|thread|wrapper|\d+))?|commentlist|disqus(?:_thread)?|repl(?:y|ies)|respond", re.I)
+#: Whole class names and ids of what readers wrote; names that say whether comments are open are none.
+READERS = re.compile(
+    r"(?:(?:blog|guest|post|reader|user|visitor)s?[-_]+)?(?:comments?|discussions?|repl(?:y|ies)|reviews)(?:[-_]*(?!(?:open|closed|on|off|enabled|disabled|allowed)$)[^\W_]+)*"
+    r"|(?:guest|reader|user|visitor)s?[-_]+review|commentlist|disqus(?:_thread)?|respond",
+    re.I,
+)
 PUNCTUATION = re.compile(r"[,.;:!?،。，、；：！？]")
 SPACE = re.compile(r"\s+")
 KERNEL = np.array([1, 2, 1]) / 4
-#: Share of the fused ratios' standard deviation from which a path is content, and what a name leaves of a ratio.
-LAMBDA, NAME_LEAVES = 0.6, 0.25
-#: Inline elements that an end tag looks through for its start.
-REACH = 64
+#: Share of the fused ratios' standard deviation from which a path is content.
+LAMBDA = 0.6
+#: Share of links in a path's text from which its blocks go, where the path is not content.
+LINKS = 0.5
 
 
 class Page:
@@ -76,7 +79,9 @@ class Page:
         self.blocks: list[tuple[int, int, str, int]] = []
         self.paths: dict[tuple[int, str], int] = {}
         self.path = [0]
-        self._stack, self._open = [0], Counter()
+        # Open elements, and their places in the stack: of all block elements, and of each tag.
+        self._stack, self._blocks, self._at = [0], [0], defaultdict(list)
+        self._astray: set[int] = set()
         self._held: list[str] = []
         self._linked, self._in_link, self._articles, self._mute = 0, False, 0, 0
         self._read(page)
@@ -84,7 +89,6 @@ class Page:
 
     def _read(self, page: str) -> None:
         at, last = 0, page.rfind(">")
-        lower = None
         while (lt := page.find("<", at)) >= 0 and lt < last:
             self._text(page[at:lt])
             if page.startswith("<!--", lt):
@@ -99,21 +103,37 @@ class Page:
                     self._text("<")
                     at = lt + 1
                 continue
-            rest = REST.match(page, m.end(), m.end() + TAG_CHARS)
-            at = rest.end() if rest else page.find(">", m.end()) + 1
+            at = m.end() + 1 if page[m.end()] == ">" else self._tag_end(page, m.end())
             tag, attrs = m[2].lower(), page[m.end() : at - 1]
             if m[1]:
                 self._end(tag)
             elif tag in RAW:
                 if not attrs.endswith("/"):
-                    lower = page.lower() if lower is None else lower
-                    close = lower.find(f"</{tag}", at)
-                    at = len(page) if close < 0 else (page.find(">", close) + 1 or len(page))
+                    close = RAW[tag].search(page, at)
+                    at = (page.find(">", close.end()) + 1 or len(page)) if close else len(page)
             else:
                 self._start(tag, attrs)
         self._text(page[at:])
         self._flush()
 
+    def _tag_end(self, page: str, at: int) -> int:
+        """Behind the bracket that ends a tag. Quotes hide brackets, unless the tag would then never end.
+
+        Places from which no end was found are remembered, so that no stretch of a page is searched again and again.
+        """
+        passed, i = [], at
+        while i not in self._astray:
+            m = MARK.search(page, i)
+            if m and m[0] == ">":
+                return m.end()
+            close = page.find(m[0], m.end()) if m else -1
+            if close < 0:
+                break
+            i = close + 1
+            passed.append(i)
+        self._astray.update(passed)
+        return page.find(">", at) + 1
+
     def _text(self, text: str) -> None:
         if text and not self._mute:
             self._held.append(text)
@@ -132,32 +152,28 @@ class Page:
         """Closes all elements from a place of the stack on."""
         for n in reversed(self._stack[at:]):
             tag = self.tag[n]
-            self._open[tag] -= 1
+            self._at[tag].pop()
+            if tag in BLOCK:
+                self._blocks.pop()
             self._articles -= tag in ("article", "main")
             self._mute -= tag not in BLOCK
         del self._stack[at:]
 
     def _end(self, tag: str) -> None:
-        stack = self._stack
         if tag == "a":
             self._in_link = False
         if tag in BLOCK:
-            if self._open[tag]:
+            if self._at[tag]:
                 self._flush()
-                at = len(stack) - 1
-                while self.tag[stack[at]] != tag:
-                    at -= 1
-                self._pop(at)
-            return
-        for at in range(len(stack) - 1, max(0, len(stack) - 1 - REACH), -1):
-            if self.tag[stack[at]] in BLOCK:
-                return
-            if self.tag[stack[at]] == tag:
-                self._pop(at)
-                return
+                self._pop(self._at[tag][-1])
+        elif self._last(tag) > self._blocks[-1]:
+            self._pop(self._at[tag][-1])
+
+    def _last(self, *tags: str) -> int:
+        """Place in the stack of the innermost open element of some tags, or -1."""
+        return max(self._at[t][-1] if self._at[t] else -1 for t in tags)
 
     def _start(self, tag: str, attrs: str) -> None:
-        stack = self._stack
         if tag not in BLOCK:
             if tag == "br":
                 self._held.append(" ")
@@ -170,27 +186,22 @@ class Page:
                 self._push(tag, True, False, False)
             return
         self._flush()
-        at = len(stack) - 1
-        while at > 0 and self.tag[stack[at]] not in BLOCK:
-            at -= 1
-        if self.tag[stack[at]] == "p":  # a block ends an open paragraph
-            self._pop(at)
+        if self.tag[self._stack[self._blocks[-1]]] == "p":  # a block ends an open paragraph
+            self._pop(self._blocks[-1])
         if tag in CLOSES:
             own, within = CLOSES[tag]
-            if any(self._open[t] for t in own):
-                for at in range(len(stack) - 1, 0, -1):
-                    if self.tag[stack[at]] in own:
-                        self._pop(at)
-                        break
-                    if self.tag[stack[at]] in within:
-                        break
+            at = self._last(*own)
+            if at > self._last(*within):
+                self._pop(at)
         if tag not in VOID:
-            self._push(tag, *self._kind(tag, attrs))
+            self._push(tag, *(self._kind(tag, attrs) if attrs else (tag in SKIP or tag == "header" and not self._articles, False, False)))
 
     def _push(self, tag: str, out: bool, named: bool, readers: bool) -> None:
         above = self._stack[-1]
+        self._at[tag].append(len(self._stack))
+        if tag in BLOCK:
+            self._blocks.append(len(self._stack))
         self._stack.append(len(self.parent))
-        self._open[tag] += 1
         self._articles += tag in ("article", "main")
         self._mute += tag not in BLOCK
         self.parent.append(above)
@@ -227,9 +238,9 @@ class Page:
             self.readers[n] = self.readers[up] or self.readers[n] and not around[n]
 
 
-def content_paths(blocks: list[tuple[tuple[int, bool], str, int]]) -> set[tuple[int, bool]]:
-    """Paths, named ones apart, whose fused ratio of text and punctuation stands out; of blocks (path, text, characters in links)."""
-    facts: dict[tuple[int, bool], list[int]] = {}
+def content_paths(blocks: list[tuple[int, str, int]]) -> tuple[set[int], set[int]]:
+    """Paths whose fused ratio of text and punctuation stands out, and of the others those of links; of blocks (path, text, characters in links)."""
+    facts: dict[int, list[int]] = {}
     for path, text, linked in blocks:
         f = facts.setdefault(path, [0, 0, 0, 0])
         f[0] += len(text)
@@ -238,10 +249,9 @@ def content_paths(blocks: list[tuple[tuple[int, bool], str, int]]) -> set[tuple[
         f[3] += linked
     length, marks, nodes, linked = (np.array(c, float) for c in zip(*facts.values()))
     smooth = [np.convolve(np.pad(r, 1, "edge"), KERNEL, "valid") for r in (length / nodes, marks / nodes)]
-    fused = smooth[0] * (1 + smooth[1]) * (1 - linked / length) * np.where([named for _, named in facts], NAME_LEAVES, 1)
-    plain = [f for (_, named), f in zip(facts, fused) if not named] or list(fused)
-    least = min(LAMBDA * fused.std(), max(plain))
-    return {p for p, f in zip(facts, fused) if f >= least}
+    fused = smooth[0] * (1 + smooth[1]) * (1 - linked / length)
+    content = fused >= min(LAMBDA * fused.std(), fused.max())
+    return {p for p, c in zip(facts, content) if c}, {p for p, c, l in zip(facts, content, linked / length) if not c and l >= LINKS}
 
 
 def _around(page: Page, nodes: list[int]) -> int:
@@ -281,12 +291,13 @@ def extract(page: str | None) -> str:
     if not page:
         return ""
     p = Page(page)
-    kept = [(n, (path, p.named[n]), text, linked) for n, path, text, linked in p.blocks if not p.out[n] and not p.readers[n]]
+    kept = [b for b in p.blocks if not p.out[b[0]] and not p.readers[b[0]]]
+    kept = [b for b in kept if not p.named[b[0]]] or kept
     if not kept:
         return ""
-    paths = content_paths([b[1:] for b in kept])
-    chosen = [b for b in kept if b[1] in paths and not p.named[b[0]]] or [b for b in kept if b[1] in paths]
-    stay = [b for b in kept if b[1] in paths or not p.named[b[0]]]
+    paths, links = content_paths([b[1:] for b in kept])
+    chosen = [b for b in kept if b[1] in paths]
+    stay = [b for b in kept if b[1] not in links]
     root = _article(p, [(b[0], len(b[2])) for b in chosen])
     if root is None:
         root = _around(p, [b[0] for b in chosen])

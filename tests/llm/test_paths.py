@@ -104,13 +104,16 @@ def test_paths_equal_their_plain_form():
         page = f"<html><body>{some(0)}</body></html>"
         found, own = Plain(page).found, html_extract.Page(page)
         assert [(t, n) for _, _, t, n in own.blocks] == [(t, n) for _, t, n in found]
-        paths = html_extract.content_paths([((p, False), t, n) for _, p, t, n in own.blocks])
-        assert [(p, False) in paths for _, p, _, _ in own.blocks] == [p in plain_ratios(found) for p, _, _ in found]
+        paths, links = html_extract.content_paths([b[1:] for b in own.blocks])
+        assert [p in paths for _, p, _, _ in own.blocks] == [p in plain_ratios(found) for p, _, _ in found]
+        heavy = {p for p in {p for p, _, _ in found} if 2 * sum(n for q, _, n in found if q == p) >= sum(len(t) for q, t, _ in found if q == p)}
+        assert [p in links for _, p, _, _ in own.blocks] == [p in heavy - plain_ratios(found) for p, _, _ in found]
 
 
 HOSTILE = {
     "quotes": "<a href=\"" * 115_000, "single quotes and an end": "<b title='" * 100_000 + ">", "open tags": '<div a="b" ' * 95_000, "nesting": "<div>x" * 170_000, "paragraphs": "<p>x" * 250_000, "comments": "<!--" * 250_000, "scripts": "<script>" * 125_000,
-    "ends": "<i>" * 100_000 + "</b>" * 170_000, "hidden": "<span hidden>" * 40_000 + "</b></i>" * 60_000, "angles": "<" * 1_000_000, "items": "<ul><li>" + "<div>" * 90_000 + "<li>x" * 90_000, "ampersands": "&" * 1_000_000, "classes": f"<div class='{'ad ' * 300_000}'>x</div>",
+    "ends": "<i>" * 100_000 + "</b>" * 170_000, "hidden": "<span hidden>" * 40_000 + "</b></i>" * 60_000, "angles": "<" * 1_000_000, "items": "<ul><li>" + "<div>" * 90_000 + "<li>x" * 90_000, "ampersands": "&" * 1_000_000, "blocks in hidden inline": "<span hidden>" + "<b>" * 100_000 + "<div></div>" * 60_000, "items in a deep list": "<li><ul>" + "<div>" * 80_000 + "<li></li>" * 60_000,
+    "quotes that never close": "<b a=\"'>" * 60_000 + "<b a=\"'\"'>" * 40_000, "tags in quotes": "<b '>" * 100_001 + '"' + "<i '\">" * 60_001, "classes": f"<div class='{'ad ' * 300_000}'>x</div>",
 }
 
 
@@ -119,3 +122,39 @@ def test_a_megabyte_of_anything_is_read_in_time(name):
     began = time.process_time()
     html_extract.extract(HOSTILE[name] + "<p>end")
     assert time.process_time() - began < 4
+
+
+NOT_THE_ARTICLE = "advertisement ad-slot promo sponsored-content cookie-notice newsletter-signup related-articles share-tools social".split()
+READERS = "user-comment comment-item comment__body reply-list discussion reviews comments-section user-review".split()
+
+
+@pytest.mark.parametrize("name", NOT_THE_ARTICLE + READERS)
+def test_long_blocks_with_a_name_go(name):
+    for page in (f"<article>{ART}<div class='{name}'><p>{THREE * 5}</p></div><p>End.</p></article>", f"<div>{ART}<p class='x {name}'>{THREE * 5}</p><p>End.</p></div>"):
+        assert html_extract.extract(page).split("\n") == [*WANT, "End."]
+
+
+def test_a_page_of_named_blocks_alone_is_not_empty():
+    assert html_extract.extract(f"<div class='promo'>{ART}</div>").split("\n") == WANT
+
+
+def test_articles_open_to_comments_stay():
+    assert html_extract.extract(f"<article class='post comments-open review'>{ART}</article>").split("\n") == WANT
+
+
+def test_letters_that_grow_in_lower_case_shift_nothing():
+    for tag in ("script", "STYLE"):
+        page = f"<p>{'İstanbul ' * 40}</p><{tag}>var x = '<p>no</p>';</{tag.swapcase()} ><p>{ONE}</p><p>{TWO}</p>"
+        assert html_extract.extract(page).split("\n") == [("İstanbul " * 40).strip(), ONE, TWO]
+
+
+def test_quotes_hide_brackets_at_any_length():
+    for n in (10, 100_000):
+        assert html_extract.extract(f"<div>{ART}<p title='{'x' * n} > no'>{THREE}</p></div>").split("\n") == [*WANT, THREE]
+
+
+def test_paths_of_links_go():
+    menu = "<a href='/1'>Link one</a> <a href='/2'>Link two</a>"
+    assert html_extract.extract(f"<html><body>{menu}<p>{ONE}</p><p>{TWO}</p></body></html>").split("\n") == [ONE, TWO]
+    assert html_extract.extract(f"<article>{ART}<ul><li><a href='/1'>One</a></li><li><a href='/2'>Two</a></li></ul></article>").split("\n") == WANT
+    assert html_extract.extract(f"<article>{ART}<p><a href='/1'>A linked line.</a></p></article>").split("\n") == [*WANT, "A linked line."]
