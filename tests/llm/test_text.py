@@ -336,8 +336,9 @@ def test_base_places_equal_brute_force(docs):
 def brute_labels(t, k=5, near=8):
     """Labels and best share by comparing all pairs of positions, as the operator's text states the rule."""
     w, spans = words(t), []
-    for label, template in licenses.TEMPLATES.items():
+    for label, template, needs in licenses.TEMPLATES:
         m = words(template)
+        need = [{j for j in range(len(m) - k + 1) if f" {' '.join(words(p))} " in f" {' '.join(m[j : j + k])} "} for p in needs]
         by = {}
         for i in range(len(w) - k + 1):
             for j in range(len(m) - k + 1):
@@ -353,7 +354,7 @@ def brute_labels(t, k=5, near=8):
         for run in runs:
             a, b = min(i for i, _ in run), max(i for i, _ in run) + k - 1
             n = len({j + x for _, j in run for x in range(k)})
-            if 2 * n >= len(m) and 2 * n >= b - a + 1:
+            if 2 * n >= len(m) and 2 * n >= b - a + 1 and all(g & {j for _, j in run} for g in need):
                 spans.append((len(m) - n + (b - a + 1 - n) - n, label, a, b, n / len(m)))
     kept = []
     for s in sorted(spans):
@@ -362,13 +363,23 @@ def brute_labels(t, k=5, near=8):
     return {s[1] for s in kept}, max((s[4] for s in kept), default=0.0)
 
 
-MIT, NOTICE = licenses.TEMPLATES["mit"], "This work is licensed under the Creative Commons {} 4.0 International License. To view a copy of this license, visit http://creativecommons.org/licenses/{}/4.0/"
+OF = {t.label: t.text for t in licenses.TEMPLATES[::-1]}
+MIT, NOTICE = OF["mit"], "This work is licensed under the Creative Commons {} 4.0 International License. To view a copy of this license, visit http://creativecommons.org/licenses/{}/4.0/"
+GNU = "This {0} is free software; you can redistribute it and/or modify it under the terms of the GNU {1} License as published by the Free Software Foundation{2}. This {0} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {1} License for more details."
+BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
 #: Texts and the labels that a reader would give them.
 NAMED = [
-    (MIT, "mit"), ("x y z " + MIT.upper() + " tail", "mit"), (" ".join(MIT.split()[:40] + ["new", "words"] + MIT.split()[40:]), "mit"), (" ".join(MIT.split()[:20]), ""), (prose(80, 3), ""), (licenses.TEMPLATES["gpl"], "gpl"), (licenses.TEMPLATES["bsd"], "bsd"), (licenses.TEMPLATES["apache-2"], "apache-2"),
+    (MIT, "mit"), ("x y z " + MIT.upper() + " tail", "mit"), (" ".join(MIT.split()[:40] + ["new", "words"] + MIT.split()[40:]), "mit"), (" ".join(MIT.split()[:20]), ""), (prose(80, 3), ""), (OF["gpl"], "gpl"), (OF["bsd-2"], "bsd-2"), (OF["apache-2"], "apache-2"),
     (NOTICE.format("Attribution", "by"), "cc-by"), (NOTICE.format("Attribution-NonCommercial", "by-nc"), "cc-by-nc"), (NOTICE.format("Attribution-ShareAlike", "by-sa"), "cc-by-sa"), (NOTICE.format("Attribution-NoDerivatives", "by-nd"), "cc-by-nd"), (NOTICE.format("Attribution-NonCommercial-ShareAlike", "by-nc-sa"), "cc-by-nc-sa"),
     (NOTICE.format("Attribution-NonCommercial-NoDerivatives", "by-nc-nd"), "cc-by-nc-nd"), (f"{prose(30, 4)} {NOTICE.format('Attribution', 'by')} {prose(90, 5)} {NOTICE.format('Attribution-NonCommercial', 'by-nc')}", "cc-by,cc-by-nc"), (f"{NOTICE.format('Attribution', 'by')} {MIT}", "cc-by,mit"), ("Under the MIT license. " + NOTICE.format("Attribution-ShareAlike", "by-sa"), "cc-by-sa,mit"),
-    ("licensed under the creative commons attribution", ""), (None, ""), ("", ""),
+    (GNU.format("program", "General Public", "; either version 2 of the License, or (at your option) any later version"), "gpl-2"), (GNU.format("program", "General Public", ", either version 3 of the License, or (at your option) any later version"), "gpl-3"),
+    (GNU.format("program", "Affero General Public", ", either version 3 of the License, or (at your option) any later version"), "agpl-3"), (GNU.format("library", "Lesser General Public", "; either version 2.1 of the License, or (at your option) any later version"), "lgpl-2.1"),
+    (GNU.format("library", "Lesser General Public", "; either version 3 of the License, or (at your option) any later version"), "lgpl-3"), (GNU.format("program", "General Public", ""), "gpl"), (GNU.format("program", "Affero General Public", ""), ""), (GNU.format("program", "Frobnicated General Public", ", either version 3 of the License, or (at your option) any later version"), ""),
+    (BSD, "bsd-2"), (BSD + " Neither the name of the University nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.", "bsd-3"),
+    ("Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. The software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness.", "isc"),
+    ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. The software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness.", ""),
+    ("To the extent possible under law, Jane Doe has waived all copyright and related or neighboring rights to this work.", "cc0"), ("This text is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.", "cc-by-nc-nd"),
+    ("Licensed under a Creative Commons Attribution 3.0 Unported License", "cc-by"), ("licensed under a Creative Commons Attribution-Frob 4.0 International License", ""), ("licensed under the creative commons attribution", ""), (None, ""), ("", ""),
 ]
 
 
@@ -389,7 +400,7 @@ def test_rivals_equal_brute_force(spark):
     r = random.Random(8)
     texts = []
     for _ in range(40):
-        w = [x for _ in range(r.randint(1, 3)) for x in licenses.TEMPLATES[r.choice(list(licenses.TEMPLATES))].split() + prose(r.randint(0, 30), r.randint(0, 99)).split()]
+        w = [x for _ in range(r.randint(1, 3)) for x in r.choice(licenses.TEMPLATES).text.split() + prose(r.randint(0, 30), r.randint(0, 99)).split()]
         texts.append(" ".join(x for x in w for x in ([x] if r.random() < 0.97 else r.choice([[], [x, "new"], ["other"]]))))
     got = {x.doc_id: x for x in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
     for i, t in enumerate(texts):
