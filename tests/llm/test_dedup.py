@@ -2,6 +2,8 @@ import hashlib
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from llm_helpers import DOCS, pairs
 
@@ -151,3 +153,46 @@ def test_blind_trie_sorts():
 def test_empty_tables_give_no_rows(none):
     for got in (ngram_join.join(none), substring.dedup(none), suffix_dedup.dedup(none), ngram_join.keep_first(none), suffix_dedup.cut_repeats(none)):
         assert got.count() == 0
+
+
+@pytest.mark.parametrize("unit", ["a", "ab", "abcdefg ", " " * 50 + "-" * 13])
+def test_long_periodic_texts_are_one_segment_each(unit):
+    import tracemalloc
+
+    n = 400_000
+    runs = suffix_dedup._Runs([1], [(unit * n)[:n].encode()], 200, 50)
+    tracemalloc.start()
+    found = runs.segments(np.arange(len(runs.key)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len({s for (_, s), _ in found}) == len(found) <= 3 * len(unit)
+    assert sorted(np.concatenate([at for _, at in found]).tolist()) == sorted(runs.lo.tolist())
+    assert peak < 120 * n
+
+
+def test_a_key_is_hot_by_segments_that_differ(monkeypatch):
+    # 3,000 texts of 200 bytes share 170 of them, with which most keys go, and differ in the bytes around.
+    shared = bytes(np.random.default_rng(3).integers(97, 123, 170, np.uint8)).decode()
+    texts = [f"{i:015d}{shared}{i:015d}".encode() for i in range(3000)]
+
+    def chunk(given):
+        monkeypatch.setattr(suffix_dedup.chunks, "slices", lambda _: [(list(range(len(given))), given)])
+        return suffix_dedup._Chunk(pa.table({"chunk": [0]}), 200, 50)
+
+    assert chunk(texts).count.sum() == 3000 and chunk(texts).count.max() > 255
+    assert chunk(texts[:1] * 3000).count.tolist() == [2] and chunk(texts[:1]).count.tolist() == [1]
+    assert chunk([b"a" * 100_000]).count.max() == 2
+
+
+@pytest.mark.parametrize("hot_runs", [0, 1, 5, 100_000])
+def test_periodic_and_hot_texts_equal_brute_force(spark, hot_runs):
+    shared = "".join(chr(97 + i * i % 26) for i in range(170))
+    texts = ["a" * 3000, "ab" * 900, "ab" * 120, *[f"{i % 7:015d}{shared}{i % 5:015d}" for i in range(40)], "xyz" * 66 + "xy", None, ""]
+    rows = list(enumerate(texts))
+    got = suffix_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string"), hot_runs=hot_runs, chunk_bytes=2000)
+    windows = Counter((t or "").encode()[i : i + 200] for t in texts for i in range(len((t or "").encode()) - 199))
+    for r in got.collect():
+        raw = (texts[r.doc_id] or "").encode()
+        dead = {j for i in range(len(raw) - 199) if windows[raw[i : i + 200]] > 1 for j in range(i, i + 200)}
+        assert (r.n_bytes, r.n_removed) == (len(raw), len(dead))
+        assert r.kept_sha256 == hashlib.sha256(bytes(b for j, b in enumerate(raw) if j not in dead)).hexdigest()
