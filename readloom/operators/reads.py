@@ -47,3 +47,27 @@ def unaligned(reads: DataFrame, weights: DataFrame) -> DataFrame:
 def duplicates(reads: DataFrame, least: int = 2) -> DataFrame:
     """(seq, multiplicity) of sequences that occur ``least`` times or more."""
     return reads.groupBy("seq").agg(F.count("*").alias("multiplicity")).where(F.col("multiplicity") >= least)
+
+
+def with_multiplicity(reads: DataFrame) -> DataFrame:
+    """Adds how many fragments have the same sequences (``multiplicity``) and whether a fragment is the first of these (``first``).
+
+    Reads 1 are compared with reads 1 and reads 2 with reads 2; a null sequence is an empty one. What is shuffled by content are
+    SHA-256 digests, and a class of any size is one row of an aggregate that is joined back.
+    """
+    own = F.array_sort(F.collect_list(F.struct("read_index", F.coalesce("seq", F.lit("")).alias("seq"))))
+    text = F.array_join(F.transform(own, lambda r: F.concat(r["read_index"].cast("string"), F.lit(":"), r["seq"])), "/")
+    fragments = reads.groupBy("fragment_id").agg(F.unhex(F.sha2(text, 256)).alias("digest"))
+    classes = fragments.groupBy("digest").agg(F.count("*").alias("multiplicity"), F.min("fragment_id").alias("least"))
+    of = fragments.join(classes, "digest").select("fragment_id", "multiplicity", (F.col("fragment_id") == F.col("least")).alias("first"))
+    return reads.join(of, "fragment_id")
+
+
+def repeated(reads: DataFrame, least: int = 2) -> DataFrame:
+    """All reads of fragments whose sequences occur ``least`` times or more."""
+    return with_multiplicity(reads).where(F.col("multiplicity") >= least).select(*reads.columns)
+
+
+def without_duplicates(reads: DataFrame) -> DataFrame:
+    """All reads of the first fragment of each class of equal ones."""
+    return with_multiplicity(reads).where("first").select(*reads.columns)

@@ -489,6 +489,11 @@ def duplicate_reads(spark, sf):
     return reads.duplicates(adapters.reads(spark, sf))
 
 
+@query(sql("reads", ", f AS (SELECT fragment_id, string_agg(CAST(read_index AS VARCHAR) || ':' || seq, '/' ORDER BY read_index) AS own FROM reads GROUP BY 1), t AS (SELECT own, count(*) AS multiplicity, min(fragment_id) AS least FROM f GROUP BY 1) SELECT reads.fragment_id, CAST(read_index AS BIGINT) AS read_index, multiplicity, reads.fragment_id = least AS first FROM reads JOIN f ON f.fragment_id = reads.fragment_id JOIN t ON t.own = f.own"))
+def read_multiplicity(spark, sf):
+    return _long(reads.with_multiplicity(adapters.reads(spark, sf)).select("fragment_id", "read_index", "multiplicity", "first"), "read_index")
+
+
 @query(sql("reads", "SELECT fragment_id, CAST(read_index AS BIGINT) AS read_index, reverse(translate(seq, 'ACGT', 'TGCA')) AS rc FROM reads"))
 def reverse_complement(spark, sf):
     return _long(adapters.reads(spark, sf).select("fragment_id", "read_index", sequence.reverse_complement(F.col("seq")).alias("rc")), "read_index")
