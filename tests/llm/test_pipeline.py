@@ -24,7 +24,7 @@ def test_stages_keep_columns_and_clean_documents(spark):
 
 
 def test_names():
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
 
 
