@@ -76,6 +76,28 @@ def distinct_alignments(hits: DataFrame) -> DataFrame:
     return form.withColumn("aln_no", F.min("aln_no").over(Window.partitionBy("fragment_id", "canonical")))
 
 
+def checked(hits: DataFrame) -> DataFrame:
+    """The hits as they are; raises where those of one read's alignment contradict each other.
+
+    They have one strand, one reference and one number of a last block that no block passes; each block has one interval,
+    one length and one number of insertions and deletions. A read on a transcript or junction (``kind``) has one interval
+    and meets an exon once.
+    """
+    read = ["fragment_id", "aln_no", "read_index", "kind"]
+
+    def one(column, *keys):
+        of = Window.partitionBy(*read, *keys)
+        return F.min(column).over(of) == F.max(column).over(of)
+
+    far = F.col("kind") != "genome"
+    block = F.struct("start", "end", "aligned_len", "ins", "del")
+    marks = {"_block": one(block, "block_idx"), "_read": one(F.struct("chrom", "strand", "last_block"))}
+    marks["_far"] = ~far | (one(block) & (F.count(F.lit(1)).over(Window.partitionBy(*read, "exon_id", "exon_start")) == 1))
+    good = F.col("_block") & F.col("_read") & F.col("_far") & (F.col("block_idx") <= F.col("last_block"))
+    what = F.raise_error(F.concat(F.lit("blocks contradict each other: "), F.to_json(F.struct(*read)))).cast("boolean")
+    return hits.withColumns(marks).where(F.when(good, True).otherwise(what)).drop(*marks)
+
+
 def alignment_numbers(hits: DataFrame) -> DataFrame:
     """(fragment_id, n): distinct alignments of each fragment, the larger of both sides; pairs count on the first side."""
     sides = hits.select("fragment_id", "canonical", F.when(F.col("side") == "r2", 2).otherwise(1).alias("s")).distinct()

@@ -102,6 +102,11 @@ def intersections(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return rows.withColumn("chrom", same)
 
 
+def block_intersections(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Rows of read block by exon with ``block``, the parts of the block's name; null where a name has none."""
+    return intersections(spark, path).withColumn("block", parse_block_name(F.col("name")))
+
+
 def weights(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Weight rows; ``/1/1`` and ``/2/2`` are written once, ``/1/2`` raises."""
     rows = tsv(spark, path, schemas.WEIGHTS)

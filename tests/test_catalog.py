@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from readloom.plans import catalog, catalog_genome, catalog_more  # noqa: F401
+from readloom.plans import catalog, catalog_files, catalog_genome, catalog_more  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 
