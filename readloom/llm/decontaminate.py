@@ -180,6 +180,7 @@ def _result(ids: pa.Array, rows: list[tuple[bytes, int, list[tuple[int, int]], l
     return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "items", "spans"])
 
 
+@shared.any_names
 def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_states: int = BLOCK_STATES) -> DataFrame:
     """The rows of ``docs`` without a benchmark window, with all of their columns.
 

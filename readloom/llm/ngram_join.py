@@ -447,6 +447,7 @@ def join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, limit: in
     return joined.select("doc_id", F.col("n").alias("n_shingles"), F.when(none, F.col("doc_id")).otherwise(F.col("least.doc_id")).alias("component_id"), "hash", "other", (none | (F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("node") == F.col("least.node")))).alias("first"))
 
 
+@shared.any_names
 def keep_first(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row of ``docs`` of each component, with all of its columns, and the rows without words.
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import kernel, resident
+from . import kernel, resident, shared
 from .ngram_join import _batches
 
 #: Hashed features: one half for words and word pairs, one for character 2- and 3-grams.
@@ -243,6 +243,7 @@ def rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, mode
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, OUT)
 
 
+@shared.any_names
 def keep(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, model: Model | None = None) -> DataFrame:
     """The rows of ``docs`` that pass, with all of their columns.
 

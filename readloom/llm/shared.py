@@ -1,7 +1,8 @@
-"""Tables in the folder that driver and executors share."""
+"""Tables in the folder that driver and executors share, and columns of any name."""
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -27,3 +28,14 @@ def table(df: DataFrame, label: str) -> DataFrame:
     path = folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def any_names(f):
+    """For functions of rows of documents that give all their columns in order: these, but for doc_id and text, may have any name."""
+
+    @functools.wraps(f)
+    def named(docs: DataFrame, *args, **options) -> DataFrame:
+        plain = [c if c in ("doc_id", "text") else f"_{i}" for i, c in enumerate(docs.columns)]
+        return f(docs.toDF(*plain), *args, **options).toDF(*docs.columns)
+
+    return named
