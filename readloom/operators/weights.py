@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from readloom.sources.readers import multiplicity
@@ -21,14 +21,19 @@ def summarize(alignments: DataFrame, by_read: bool = False, chroms: DataFrame |
     rows = alignments if chroms is None else alignments.join(chroms.select("chrom").distinct(), "chrom", "left_semi")
     key = ["fragment_id", "read_index"] if by_read else ["fragment_id"]
     nm = F.coalesce(F.col("nm"), F.lit(-1))
-    single = lambda k: F.count_distinct(F.when(~F.col("paired") & (F.col("read_index") == k), F.col("aln_no")))
     more = []
     if extras:
         from readloom.functions import cigar
 
         ops = cigar.parse(F.col("cigar"))
         more = [F.sum(cigar.is_spliced(F.col("cigar")).cast("int")).alias("spliced"), F.sum(cigar.total(ops, ("S",))).alias("soft_clipped")]
-    got = rows.groupBy(*key).agg(F.count_distinct(F.when(F.col("paired"), F.col("aln_no"))).alias("_p"), single(1).alias("_1"), single(2).alias("_2"), F.sum(nm).alias("sum_edit_distance"), *more)
+    # Hits are ranked by kind and number in one sort by fragment, so that those of a kind have ranks without gaps; distinct
+    # counts would repeat the rows and hold them all in tables.
+    mark = F.when(F.col("aln_no").isNull(), None).when(F.col("paired"), 0).when(~F.col("paired"), F.col("read_index"))
+    ranked = rows.withColumn("_mark", mark).withColumn("_rank", F.dense_rank().over(Window.partitionBy(*key).orderBy("_mark", "aln_no")).cast("long"))
+    of = lambda k: F.when(F.col("_mark") == k, F.col("_rank"))
+    most = lambda k: F.coalesce(F.max(of(k)) - F.min(of(k)) + 1, F.lit(0).cast("long"))
+    got = ranked.groupBy(*key).agg(most(0).alias("_p"), most(1).alias("_1"), most(2).alias("_2"), F.sum(nm).alias("sum_edit_distance"), *more)
     kind = F.when(F.col("_p") > 0, "paired-end").when((F.col("_1") > 0) & (F.col("_2") > 0), "single-read (both)").otherwise("single-read")
     return got.select(*key, (F.col("_p") + F.greatest("_1", "_2")).alias("num_alignments"), "sum_edit_distance", kind.alias("kind"), *(["spliced", "soft_clipped"] if extras else []))
 

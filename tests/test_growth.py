@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from readloom.functions import names
-from readloom.operators import counting, intervals, projection
+from readloom.operators import counting, intervals, projection, weights
 from readloom.sources import readers
 
 
@@ -73,3 +73,12 @@ def test_exon_ids_are_cut_once_a_row(spark):
     assert {r.exon_id: tuple(r[1:]) for r in got.collect() if r.exon_id} == {"g/c1/0/9/-": ("g", "c1", 1, 9, "-", False), "c1/5/9": (None, "c1", 5, 9, "+", False), "c1/5/9/+.inv-strand": (None, "c1", 5, 9, "-", False), "tr-x.2/5/9/*": (None, "tr-x", 5, 9, "*", True)}
     one = spark.range(1).select(names.parse_exon(F.col("id").cast("string")).alias("e"))._jdf.queryExecution().analyzed().toString()
     assert one.count("split(") == 1
+
+
+def test_hits_are_numbered_in_one_sort(spark):
+    rows = [("f", 1, 1, True, 2), ("f", 1, 2, True, 1), ("f", 2, 1, False, None), ("f", 2, 1, False, 0), ("f", 3, 1, False, 0), ("f", 3, 2, False, 4), ("g", 7, 2, False, 3), ("g", 9, 1, False, 1), ("h", None, 1, False, 1), ("h", 4, 1, None, 1)]
+    a = spark.createDataFrame(rows, "fragment_id string, aln_no int, read_index int, paired boolean, nm int")
+    got = weights.summarize(a)
+    assert {r.fragment_id: tuple(r[1:]) for r in got.collect()} == {"f": (3, 6, "paired-end"), "g": (1, 4, "single-read (both)"), "h": (0, 2, "single-read")}
+    plan = _plan(weights.summarize(a))
+    assert "Expand" not in plan and plan.count("Exchange") == 1
