@@ -31,13 +31,14 @@ def alignments(spark: SparkSession, sf_dir: str, status: str | None = None) -> D
 
 def paired_alignments(spark: SparkSession, sf_dir: str, status: str | None = None) -> DataFrame:
     """As ``alignments``, neighbouring lines of an order being the mates of one alignment; a last odd line is a single read."""
-    a = alignments(spark, sf_dir, status)
-    unit = F.floor((F.row_number().over(Window.partitionBy("fragment_id").orderBy("aln_no")) - 1) / 2).cast("int") + 1
-    a = a.withColumn("row_no", F.col("aln_no")).withColumn("aln_no", unit)
-    of = Window.partitionBy("fragment_id", "aln_no")
-    paired = F.count("*").over(of) == 2
-    index = F.when(paired, F.row_number().over(of.orderBy("row_no"))).otherwise(1 + F.col("row_no") % 2).cast("int")
-    return a.withColumns({"paired": paired, "read_index": index})
+    a, of = alignments(spark, sf_dir, status).withColumnRenamed("aln_no", "row_no"), Window.partitionBy("fragment_id")
+    # Without a status the lines of an order are numbered as they are; units follow from places and sizes, so nothing is sorted again.
+    a = a.withColumns({"_at": F.row_number().over(of.orderBy("row_no")) if status else F.col("row_no"), "_n": F.count("*").over(of)})
+    unit = F.floor((F.col("_at") - 1) / 2).cast("int") + 1
+    paired = 2 * unit <= F.col("_n")
+    index = F.when(paired, 1 + (F.col("_at") - 1) % 2).otherwise(1 + F.col("row_no") % 2).cast("int")
+    a = a.withColumns({"aln_no": unit, "paired": paired, "read_index": index})
+    return a.select("fragment_id", "aln_no", *[c for c in a.columns if c not in ("fragment_id", "aln_no", "_at", "_n", "row_no")], "row_no")
 
 
 def exons(spark: SparkSession, sf_dir: str) -> DataFrame:
