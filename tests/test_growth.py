@@ -4,8 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from readloom.functions import names
-from readloom.operators import counting, intervals, projection, weights
-from readloom.sources import readers
+from readloom.operators import alignments, counting, intervals, projection, weights
+from readloom.sources import readers, writers
 
 
 def _plan(df) -> str:
@@ -82,3 +82,31 @@ def test_hits_are_numbered_in_one_sort(spark):
     assert {r.fragment_id: tuple(r[1:]) for r in got.collect()} == {"f": (3, 6, "paired-end"), "g": (1, 4, "single-read (both)"), "h": (0, 2, "single-read")}
     plan = _plan(weights.summarize(a))
     assert "Expand" not in plan and plan.count("Exchange") == 1
+
+
+def test_cigars_are_cut_once_a_row(spark):
+    a = spark.createDataFrame([("f", 1, 1, "c", 5, "4M", "+"), ("f", 2, 1, "c", 9, "3M10N2M", "-"), ("g", 1, 1, "c", 7, "*", "-")], "fragment_id string, aln_no int, read_index int, chrom string, pos long, cigar string, strand string")
+    got = alignments.blocks(a)
+    assert sorted((r.fragment_id, r.aln_no, r.start, r.end, r.block_idx, r.last_block, r.aligned_len) for r in got.collect()) == [("f", 1, 5, 8, 0, 0, 4), ("f", 2, 9, 11, 0, 1, 3), ("f", 2, 22, 23, 1, 1, 2)]
+    assert _plan(alignments.blocks(a)).count("RLIKE") == 1
+
+
+def test_names_of_objects_are_not_broadcast(spark):
+    objects = spark.range(30).select(F.concat(F.lit("o"), F.col("id").cast("string")).alias("object_id"))
+    counts = spark.createDataFrame([("o3", 2.0), ("o4", 0.0)], "id string, count double")
+    got = writers.count_table(counts, objects, nonzero=True)
+    assert "Broadcast" not in _plan(got)
+    assert [tuple(r) for r in got.collect()] == [("o3", 2.0)] and writers.count_table(counts, objects).count() == 30
+
+
+def test_counting_moves_what_it_needs(spark):
+    at = [("f", 1, 1, 11, 20, 0, 10), ("f", 2, 1, 11, 20, 0, 10), ("f", 3, 2, 31, 40, 0, 10), ("f", 4, 1, 15, 24, 0, 10)]
+    cols = [F.lit("c").alias("chrom"), F.lit("+").alias("strand"), F.lit(False).alias("paired"), F.lit(0).alias("last_block"), F.lit(0).alias("ins"), F.lit(0).alias("del")]
+    blocks = spark.createDataFrame(at, "fragment_id string, aln_no int, read_index int, start long, end long, block_idx int, aligned_len int").select("*", *cols)
+    exons = spark.createDataFrame([("E1", "c", 1, 20, "+"), ("E2", "c", 31, 50, "-")], "exon_id string, chrom string, start long, end long, strand string")
+    objects = spark.createDataFrame([("E1", "G"), ("E2", "H")], "exon_id string, object_id string")
+    got = counting.quantify(blocks, exons, objects, "gene")
+    assert {r.id: r["count"] for r in got.collect()} == {"G": 1.0, "H": 1.0}
+    dealt = [x for x in got._jdf.queryExecution().optimizedPlan().toString().split("\n") if "RepartitionByExpression" in x]
+    below = got._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")[1].split("\n")[1]
+    assert len(dealt) == 1 and "conform" in below and not any(x in below.split("[")[1].split(" AS ")[0] for x in ("aligned_len", "exon_end", "overlap"))
