@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,8 +29,8 @@ from . import resident
 MARK = "▁"
 #: Units and piece pairs remembered by a task.
 CACHE_UNITS, YOUNG_UNITS, CACHE_PAIRS = 240_000, 70_000, 400_000
-#: Characters of text encoded at once, and new units indexed at once.
-BATCH_CHARS, NEW_UNITS = 2 << 20, 20_000
+#: Bytes of text encoded at once, and new units indexed at once.
+BATCH_BYTES, NEW_UNITS = 1 << 19, 20_000
 #: A character outside the vocabulary; it stands for its bytes and merges with nothing.
 NONE = -1
 
@@ -272,8 +273,8 @@ def _narrow(column: np.ndarray, low: np.ndarray, high: np.ndarray, code: np.ndar
 class Decoder:
     """Texts of ids."""
 
-    def __init__(self, path: str):
-        v = Vocabulary(path)
+    def __init__(self, model: str | Vocabulary):
+        v = model if isinstance(model, Vocabulary) else Vocabulary(model)
         self.raw = [b"" if i in v.silent else bytes([v.of_byte[i]]) if i in v.of_byte else t.replace(MARK, " ").encode() for i, t in enumerate(v.text)]
 
     def decode(self, ids: np.ndarray) -> str:
@@ -282,15 +283,17 @@ class Decoder:
         return (data[1:] if data[:1] == b" " else data).decode("utf-8", "replace")
 
 
-def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
+def _slices(b: pa.RecordBatch) -> Iterator[tuple[pa.Array, list[str]]]:
+    """Ids and texts of a batch, so many rows at a time that they hold few characters; only these texts are Python's."""
+    column = b.column("text")
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
     at = size = 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > BATCH_CHARS:
-            yield at, i
+    for i, n in enumerate([*sizes.tolist(), None]):
+        if n is None or size and size + n > BATCH_BYTES:
+            if at < i:
+                yield b.column("doc_id")[at:i], [t or "" for t in column[at:i].to_pylist()]
             at, size = i, 0
-        size += len(t)
-    if at < len(texts):
-        yield at, len(texts)
+        size += n or 0
 
 
 def encode(docs: DataFrame, model: str) -> DataFrame:
@@ -304,12 +307,11 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]):
         learnt = encoder(model)
         for b in batches:
-            texts = [t or "" for t in b.column("text").to_pylist()]
-            for x, y in _slices(texts):
-                ids = learnt.encode(texts[x:y])
+            for keys, texts in _slices(b):
+                ids = learnt.encode(texts)
                 ends = np.concatenate(([0], np.cumsum([len(i) for i in ids])))
                 flat = pa.array(np.concatenate(ids).astype(np.int32) if ids else np.empty(0, np.int32))
-                yield pa.RecordBatch.from_arrays([b.column("doc_id")[x:y], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)], names=["doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays([keys, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)], names=["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -342,17 +344,17 @@ def round_trip(docs: DataFrame, model: str, with_text: bool = True) -> DataFrame
     schema = "doc_id long, n_pieces long, ids_crc32 long, n_chars long, text_sha256 string, round_trip boolean, ids array<int>" + ", text string" * with_text
 
     def run(batches: Iterator[pa.RecordBatch]):
-        learnt, decoder = encoder(model), Decoder(model)
+        learnt = encoder(model)
+        decoder = Decoder(learnt.vocabulary)
         for b in batches:
-            texts = [t or "" for t in b.column("text").to_pylist()]
-            for x, y in _slices(texts):
-                ids = learnt.encode(texts[x:y])
+            for keys, texts in _slices(b):
+                ids = learnt.encode(texts)
                 back = [decoder.decode(i) for i in ids]
                 ends = np.concatenate(([0], np.cumsum([len(i) for i in ids])))
                 flat = pa.array(np.concatenate(ids).astype(np.int32))
-                columns = [b.column("doc_id")[x:y], pa.array([len(i) for i in ids], pa.int64()), pa.array([zlib.crc32(i.tobytes()) for i in ids], pa.int64()), pa.array([len(t) for t in back], pa.int64())]
-                columns += [pa.array([hashlib.sha256(t.encode()).hexdigest() for t in back]), pa.array([t == o for t, o in zip(back, texts[x:y])]), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat), *([pa.array(back, pa.string())] if with_text else [])]
-                del back, ids, flat
+                columns = [keys, pa.array([len(i) for i in ids], pa.int64()), pa.array([zlib.crc32(i.tobytes()) for i in ids], pa.int64()), pa.array([len(t) for t in back], pa.int64())]
+                columns += [pa.array([hashlib.sha256(t.encode()).hexdigest() for t in back]), pa.array([t == o for t, o in zip(back, texts)]), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat), *([pa.array(back, pa.string())] if with_text else [])]
+                del back, ids, flat, texts
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_pieces", "ids_crc32", "n_chars", "text_sha256", "round_trip", "ids", *(["text"] if with_text else [])])
                 del columns
                 resident.trim()

@@ -242,6 +242,38 @@ def test_texts_without_spaces_are_read_in_time(spark, none):
     assert pieces.decode(pieces.encode(none, path), path).count() == 0
 
 
+@pytest.mark.parametrize("f", [pieces.encode, pieces.round_trip])
+def test_a_batch_is_not_held_as_texts_at_once(spark, f):
+    import tracemalloc
+
+    import pyarrow as pa
+    from sentencepiece import SentencePieceProcessor
+
+    class Docs:
+        select = lambda self, *_: self
+        mapInArrow = lambda self, run, _: run
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    text = "of the same few words, и слова " * 500
+    texts = [None, "", *[f"{i} {text}" for i in range(1000)], "漢" * 1000, None]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())})
+    want, size = SentencePieceProcessor(model_file=path).encode(texts[500]), batch.nbytes
+    few = [t or "" for t in (*texts[:3], *texts[-2:])]
+    del texts
+    run = f(Docs(), path)
+    pieces.encoder(path)
+    tracemalloc.start()
+    try:
+        got = [(o.column("doc_id").to_pylist(), o.column("ids")) for o in run(iter([batch]))]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert [k for keys, _ in got for k in keys] == list(range(1004))
+    ids = [i for _, part in got for i in part]
+    assert ids[500].as_py() == want and [pieces.Decoder(path).decode(np.array(ids[k].as_py(), int)) for k in (0, 1, 2, -2, -1)] == few
+    assert size > 15_000_000 and peak < 2 * size, (size, peak)  # all texts at once are 31 MB, with their words 79
+
+
 def test_suffix_array_orders_suffixes():
     codes = np.frombuffer("mississippi$banana$ananas$".encode("utf-32-le"), np.uint32)
     order = pieces.suffix_array(codes, 8).tolist()
