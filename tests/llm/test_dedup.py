@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from llm_helpers import DOCS, pairs
 
-from readloom.llm import components, ngram_join, substring, suffix_dedup, suffix_sort
+from readloom.llm import components, kernel, ngram_join, substring, suffix_dedup, suffix_sort
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 FOLD = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -196,3 +196,28 @@ def test_periodic_and_hot_texts_equal_brute_force(spark, hot_runs):
         dead = {j for i in range(len(raw) - 199) if windows[raw[i : i + 200]] > 1 for j in range(i, i + 200)}
         assert (r.n_bytes, r.n_removed) == (len(raw), len(dead))
         assert r.kept_sha256 == hashlib.sha256(bytes(b for j, b in enumerate(raw) if j not in dead)).hexdigest()
+
+
+def test_windows_of_a_pack_are_hashed_a_part_at_a_time(monkeypatch):
+    import tracemalloc
+
+    r = np.random.default_rng(4)
+    texts = [bytes(r.integers(97, 101, n, dtype=np.uint8)) for n in (0, 5, 199, 200, 201, *[3000] * 600, 700_000, 1)]
+    texts += texts[300:320]
+
+    def runs():
+        kernel.release()
+        tracemalloc.start()
+        try:
+            got = suffix_dedup._Runs(list(range(len(texts))), texts, 200, 50)
+            return got, tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+            kernel.release()
+
+    got, peak = runs()
+    monkeypatch.setattr(suffix_dedup, "HASH_BYTES", 1 << 30)
+    whole, most = runs()
+    for name in ("begin", "end", "lo", "hi", "key", "hash"):
+        assert np.array_equal(getattr(got, name), getattr(whole, name))
+    assert len(got.lo) and peak < most / 2 and peak < 60_000_000, (peak, most)
