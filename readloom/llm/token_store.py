@@ -20,6 +20,7 @@ import re
 import struct
 import zlib
 from array import array
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ NO_ID = 1
 SEGMENT_BYTES = 4 << 20
 #: Documents from which the dictionary is trained (smallest hashes of doc_id and text), ids taken of each, dictionary bytes.
 SAMPLE_DOCS, SAMPLE_IDS, DICT_BYTES = 1000, 4096, 64 << 10
-CACHE_ENTRIES, YOUNG_ENTRIES = 300_000, 80_000
+CACHE_ENTRIES, YOUNG_ENTRIES = 500_000, 80_000
 #: Letters and numbers among the characters of PLAIN.
 LETTERS, NUMBERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
 #: Pre-tokenisation of byte-level BPE for such texts: a fixed pattern of the public vocabulary, classes written out.
@@ -46,13 +47,24 @@ PLAIN = re.compile(r"[^\t\n\r\x20-\x7e\xa1-ɏ]")
 
 
 class _Kept(dict):
-    """Pieces seen first, which are mostly the frequent ones, are kept; later ones pass through ``young``."""
+    """Pieces seen first, which are mostly the frequent ones, are kept; later ones pass through ``young``. A piece in neither is made."""
 
-    def __init__(self):
+    def __init__(self, make: Callable[[str], bytes]):
         self.young: dict[str, bytes] = {}
+        self.make = make
 
     def __missing__(self, piece: str) -> bytes:
-        return self.young[piece]
+        young = self.young
+        found = young.get(piece)
+        if found is None:
+            found = self.make(piece)
+            if len(self) < CACHE_ENTRIES:
+                self[piece] = found
+            else:
+                if len(young) >= YOUNG_ENTRIES:
+                    young.clear()
+                young[piece] = found
+        return found
 
 
 def byte_letters() -> dict[int, str]:
@@ -80,38 +92,26 @@ class Encoder:
         self.model, self.letters = self.tokenizer.model, byte_letters()
         with open(path, encoding="utf-8") as f:
             self.plain = _is_plain(json.load(f))
-        self.kept = _Kept()
+        self.kept = _Kept(self._piece)
 
     def _direct(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _piece(self, piece: str) -> bytes:
+        """Ids of a piece by the library's model alone."""
+        return array("I", [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))]).tobytes()
+
     def _pieces(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces, none with a zero byte in it, by the library's model alone."""
-        model, written = self.model.tokenize, "\0".join(pieces).encode().decode("latin-1").translate(self.letters)
-        return [array("I", [t.id for t in model(p)]).tobytes() for p in written.split(self.letters[0])]
+        return [self._piece(p) for p in pieces]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        kept, young, out = self.kept, self.kept.young, [b""] * len(texts)
-        split: dict[int, list[str]] = {}
-        for i, t in enumerate(texts):
-            if not t:
-                continue
-            if not self.plain or PLAIN.search(t) or self.special and self.special(t):
-                out[i] = self._direct([t])[0]
-                continue
-            split[i] = self.split(t)
-        every = set().union(*split.values())
-        if len(young) > YOUNG_ENTRIES:
-            young.clear()
-        words = [p for p in every if p not in kept and p not in young]
-        if words:
-            room = max(0, CACHE_ENTRIES - len(kept))
-            ids = self._pieces(words)
-            kept.update(zip(words[:room], ids))
-            young.update(zip(words[room:], ids[room:]))
-        for i, pieces in split.items():
-            out[i] = b"".join(map(kept.__getitem__, pieces))
+        kept, out = self.kept.__getitem__, []
+        for t in texts:
+            if t and (not self.plain or PLAIN.search(t) or self.special and self.special(t)):
+                out.append(self._direct([t])[0])
+            else:
+                out.append(b"".join(map(kept, self.split(t))))
         return out
 
 

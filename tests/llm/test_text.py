@@ -71,6 +71,18 @@ def test_pieces_by_the_model_equal_the_library():
     assert not other.plain and [list(np.frombuffer(i, "<u4")) for i in other.encode(["One Two"])] == [Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")).encode("One Two", add_special_tokens=False).ids]
 
 
+def test_one_text_of_new_pieces_does_not_outgrow_the_cache(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(token_store, "CACHE_ENTRIES", 10)
+    monkeypatch.setattr(token_store, "YOUNG_ENTRIES", 5)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tok, enc = Tokenizer.from_file(path), token_store.Encoder(path)
+    texts = [" ".join(f"w{i}x" for i in range(k, 100 + k)) for k in (0, 3)] + ["", "w7x w1x"]
+    assert [list(np.frombuffer(i, "<u4")) for i in enc.encode(texts)] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(enc.kept) == 10 and 0 < len(enc.kept.young) <= 5
+
+
 def test_rows_without_id_are_stored_last(spark, tmp_path):
     rows = [(None, prose(20, i)) for i in range(30)] + [(7, "seven"), (7, "seven")]
     path = public_tokenizers.path("byte_bpe_50k.json")
