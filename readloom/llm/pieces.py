@@ -14,6 +14,7 @@ that test; pairs are remembered.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 import zlib
 from collections.abc import Iterator
@@ -24,13 +25,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import resident
+from . import kernel, resident
 
 MARK = "▁"
-#: Units and piece pairs remembered by a task.
-CACHE_UNITS, YOUNG_UNITS, CACHE_PAIRS = 240_000, 70_000, 400_000
+#: Units and piece pairs remembered by a task; places, as a power of two, of the pairs that are looked up all at once.
+CACHE_UNITS, YOUNG_UNITS, CACHE_PAIRS, RECENT_PAIRS = 480_000, 70_000, 400_000, 19
 #: Bytes of text encoded at once, and new units indexed at once.
-BATCH_BYTES, NEW_UNITS = 1 << 19, 20_000
+BATCH_BYTES, NEW_UNITS = 1 << 20, 20_000
 #: A character outside the vocabulary; it stands for its bytes and merges with nothing.
 NONE = -1
 
@@ -82,7 +83,7 @@ class Vocabulary:
 
 
 def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
-    """Order of the suffixes of an array by their first ``depth`` entries, by doubling."""
+    """Order of the suffixes of an array by their first ``depth`` entries, by doubling; suffixes that share these have any order."""
     n = len(codes)
     letter = np.unique(codes, return_inverse=True)[1].astype(np.uint64) + np.uint64(1)
     if n and int(letter.max()) < 1 << 16:  # four characters fit one key
@@ -92,14 +93,14 @@ def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
         key = key[:n]
     else:
         key, done = letter, 1
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     k = key[order]
     rank = np.empty(n, np.int64)
     rank[order] = np.cumsum(np.concatenate(([1], (k[1:] != k[:-1]).astype(np.int64)))[:n])
     while done < depth:
         key = rank * (n + 1)
         key[:-done or None] += rank[done:] if done < n else 0
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         k = key[order]
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(np.concatenate(([1], (k[1:] != k[:-1]).astype(np.int64))))
@@ -133,6 +134,8 @@ class Encoder:
         stop = "" if any("\n" in t for t in v.id) else "\n"
         self.cut = re.compile(f"{MARK}+[^{MARK}{stop}]*|[^{MARK}{stop}]+" + (f"|{stop}" if stop else "")).findall
         self.pairs: dict[int, bool] = {}
+        #: Pairs, each at the place of its hash, with the answer in the lowest bit; what is pushed out is still in ``pairs``.
+        self.recent = np.full(1 << RECENT_PAIRS, -1, np.int64)
 
     def edges(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(begin, end, piece) of every occurrence of every piece; code 0 separates units."""
@@ -173,7 +176,10 @@ class Encoder:
         place = np.arange(len(codes)) - origin[np.maximum(np.cumsum(start) - 1, 0)] if len(origin) else np.zeros(len(codes), np.int64)
         stop = np.append(origin[1:], len(codes))
         stop = np.minimum(stop, np.repeat(base + sizes, np.bincount(np.searchsorted(base, origin, "right") - 1, minlength=len(units)))) if len(origin) else stop
-        order = np.lexsort((begin, end, place[end - 1]))
+        # By the place of their end; of edges with one end the longest comes first. Small keys are sorted digit by digit.
+        most = int((end - begin).max(initial=0))
+        key = place[end - 1] * (most + 1) + most - (end - begin)
+        order = np.argsort(key.astype(np.uint16) if int(key.max(initial=0)) < 1 << 16 else key, kind="stable")
         begin, end, piece = begin[order], end[order], piece[order]
         step = np.searchsorted(place[end - 1], np.arange(int((stop - origin).max(initial=0)) + 1))
         last = np.full(len(codes) + 1, NONE - 1, np.int64)  # last piece of the prefix that ends here
@@ -214,18 +220,29 @@ class Encoder:
         return np.array(out, "<u4").tobytes()
 
     def _may_follow(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        key = (a << 32) | b
-        unique, inverse = np.unique(key, return_inverse=True)
-        known = self.pairs
-        if len(known) > CACHE_PAIRS:
-            known.clear()
-        out = np.zeros(len(unique), bool)
-        for i, k in enumerate(unique.tolist()):
-            got = known.get(k)
-            if got is None:
-                got = known[k] = k >= 0 and self.vocabulary.follows(k >> 32, k & 0xFFFFFFFF)
-            out[i] = got
-        return out[inverse]
+        """Whether pieces may follow others; what is no piece follows none and is followed by none."""
+        out = np.zeros(len(a), bool)
+        real = np.flatnonzero((a >= 0) & (b >= 0))
+        key = (a[real] << 32) | b[real]
+        place = (key.view(np.uint64) * kernel.MIX_1 >> np.uint64(64 - RECENT_PAIRS)).view(np.int64)
+        held = self.recent[place]
+        answer = (held & 1).astype(bool)
+        other = np.flatnonzero(held >> 1 != key)
+        if len(other):
+            unique, first, inverse = np.unique(key[other], return_index=True, return_inverse=True)
+            known = self.pairs
+            if len(known) > CACHE_PAIRS:
+                known.clear()
+            found = np.zeros(len(unique), bool)
+            for i, k in enumerate(unique.tolist()):
+                got = known.get(k)
+                if got is None:
+                    got = known[k] = self.vocabulary.follows(k >> 32, k & 0xFFFFFFFF)
+                found[i] = got
+            answer[other] = found[inverse]
+            self.recent[place[other[first]]] = unique << 1 | found
+        out[real] = answer
+        return out
 
     def _units(self, text: str) -> list[str]:
         """Units of a text: a word stands for itself with one space mark before it, other units follow a zero."""
@@ -246,8 +263,9 @@ class Encoder:
         for x in range(0, len(new), NEW_UNITS):
             got = self._segment(new[x : x + NEW_UNITS])
             room = max(0, CACHE_UNITS - len(kept))
-            for k, item in enumerate(got.items()):
-                (kept if k < room else young)[item[0]] = item[1]
+            some = iter(got.items())
+            kept.update(itertools.islice(some, room))
+            young.update(some)
             resident.trim()
         return [np.frombuffer(b"".join(map(kept.__getitem__, units)), "<u4") for units in split]
 

@@ -286,6 +286,22 @@ def test_a_batch_is_not_held_as_texts_at_once(spark, f):
     assert size > 15_000_000 and peak < 2 * size, (size, peak)  # all texts at once are 31 MB, with their words 79
 
 
+def test_pairs_met_again_are_answered_at_once(monkeypatch):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    enc, r = pieces.Encoder(path), np.random.default_rng(4)
+    a, b = (r.choice(enc.pieces[enc.lengths < 5], 500) for _ in range(2))
+    a[:3], b[2:5] = (-1, -2, -1), -1
+    want = [x >= 0 and y >= 0 and enc.vocabulary.follows(x, y) for x, y in zip(a.tolist(), b.tolist())]
+    assert enc._may_follow(a, b).tolist() == want and 0 < sum(want) < 495
+    monkeypatch.setattr(pieces, "RECENT_PAIRS", 4)  # pairs push each other out
+    assert pieces.Encoder(path)._may_follow(a, b).tolist() == want
+    monkeypatch.undo()
+    enc.pairs.clear()
+    again = []
+    monkeypatch.setattr(enc.vocabulary, "follows", lambda x, y: again.append((x, y)) or (x, y) in {(i, j) for i, j, w in zip(a.tolist(), b.tolist(), want) if w})
+    assert enc._may_follow(a, b).tolist() == want and len(again) < 10
+
+
 def test_suffix_array_orders_suffixes():
     codes = np.frombuffer("mississippi$banana$ananas$".encode("utf-32-le"), np.uint32)
     order = pieces.suffix_array(codes, 8).tolist()
