@@ -110,3 +110,22 @@ def test_counting_moves_what_it_needs(spark):
     dealt = [x for x in got._jdf.queryExecution().optimizedPlan().toString().split("\n") if "RepartitionByExpression" in x]
     below = got._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")[1].split("\n")[1]
     assert len(dealt) == 1 and "conform" in below and not any(x in below.split("[")[1].split(" AS ")[0] for x in ("aligned_len", "exon_end", "overlap"))
+
+
+def test_rows_of_a_sam_file_are_placed_without_moving_them(spark, tmp_path):
+    path = str(tmp_path / "sam")
+    rows = [f"r{i:04d}\t0\tc\t{9 + i}\t20\t4M\t*\t0\t0\tACGT\tIIII" for i in range(700)]
+    for part, few in enumerate((["@HD\tVN:1.6", *rows[:300], ""], [], rows[300:301], rows[301:])):
+        (tmp_path / "sam").mkdir(exist_ok=True)
+        (tmp_path / "sam" / f"part-0000{part}.txt").write_text("".join(r + "\n" for r in few))
+    size, cost = (spark.conf.get(f"spark.sql.files.{k}") for k in ("maxPartitionBytes", "openCostInBytes"))
+    for most, open_ in ((size, cost), ("3000", "10"), ("100000", "1")):  # files together, in splits, and both
+        spark.conf.set("spark.sql.files.maxPartitionBytes", most)
+        spark.conf.set("spark.sql.files.openCostInBytes", open_)
+        try:
+            got = readers.sam_places(spark, path)
+            assert {r.place: r.fragment_name for r in got.collect()} == {i + 1: f"r{i:04d}" for i in range(700)}
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", cost)
+    assert not any(x in _plan(got) for x in ("rangepartitioning", "hashpartitioning(value", "SortMergeJoin"))
