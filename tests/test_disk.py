@@ -5,7 +5,7 @@ import time
 from pyspark.sql import functions as F
 from test_operators import HITS, hit
 
-from readloom.operators import genome_alignments, intervals, projection
+from readloom.operators import alignments, genome_alignments, intervals, projection
 from readloom.plans import references
 from readloom.sources.settled import settled
 
@@ -59,3 +59,17 @@ def test_bins_of_levels_that_no_block_has_are_left_out(spark):
         assert rows(intervals.interval_join(exons.drop("exon_id").withColumn("fragment_id", F.col("start")), e, block_levels=intervals.levels(exons))) == rows(intervals.plain_interval_join(exons.drop("exon_id").withColumn("fragment_id", F.col("start")), e))
     plan = lambda **o: intervals.interval_join(b, e, **o)._jdf.queryExecution().optimizedPlan().toJSON().count("ShiftRight")
     assert plan(block_levels=[0]) < plan()
+
+
+SAM = "fragment_id string, row_no int, query_name string, ref string, pos long, mate_ref string, mate_pos long, read_index int, HI int, flag int"
+
+
+def test_mates_are_found_where_their_fragment_is_dealt(spark):
+    given = [("f", 1, "q", "c", 10, "c", 50, 1, None, 67), ("f", 2, "q", "c", 50, "c", 10, 2, None, 131), ("g", 1, "q", "c", 10, "*", 0, 1, None, 0), ("g", 2, "q", "c", 10, "*", 0, 1, None, 0), (None, 1, "q", "c", 10, "c", 50, 1, None, 67), (None, 2, "q", "c", 50, "c", 10, 2, None, 131)]
+    r = spark.createDataFrame(given, SAM)
+    pairs = alignments.mate_pairs(r)
+    assert exchanges(pairs) == 1 and [tuple(x) for x in pairs.collect()] == [("f", 1, 2)]
+    got = alignments.read_filter(r, pairs)
+    assert exchanges(got) == 2
+    key = lambda x: (x[0] or "", *x[1:])
+    assert sorted((key((x.fragment_id, x.row_no, x.aln_no, x.paired)) for x in got.collect())) == [("", 1, 1, False), ("", 2, 2, False), ("f", 1, 1, True), ("f", 2, 1, True), ("g", 1, 1, False), ("g", 2, 2, False)]
