@@ -221,3 +221,24 @@ def test_windows_of_a_pack_are_hashed_a_part_at_a_time(monkeypatch):
     for name in ("begin", "end", "lo", "hi", "key", "hash"):
         assert np.array_equal(getattr(got, name), getattr(whole, name))
     assert len(got.lo) and peak < most / 2 and peak < 60_000_000, (peak, most)
+
+
+def test_windows_of_a_key_are_ordered_some_at_a_time(monkeypatch):
+    """However many segments share a key, what is ordered at once stays bounded, and the answers are those of all at once."""
+    rng = np.random.default_rng(3)
+    letters = lambda n: bytes(rng.integers(97, 123, n, dtype=np.uint8))
+    middle, parts = letters(60), []
+    for i in range(300):
+        parts.append(letters(20) + middle + letters(20) if i % 4 else b"x" * 100 if i == 100 else (parts[-1] if parts else letters(100))[:80] + letters(20))
+    seen, held = [1 + (i % 50 == 0) for i in range(300)], []
+    order = suffix_dedup.equal_suffixes
+    monkeypatch.setattr(suffix_dedup, "equal_suffixes", lambda data, starts, *a: (held.append(len(starts)), order(data, starts, *a))[1])
+    got = suffix_dedup._repeated(parts, seen, 80, most=500)
+    windows = [[p[i : i + 80] for i in range(len(p) - 79)] for p in parts]
+    times = {}
+    for p in windows:
+        for w in p:
+            times[w] = times.get(w, 0) + 1
+    assert [g.tolist() for g in got] == [[s > 1 or times[w] > 1 for w in p] for p, s in zip(windows, seen)]
+    assert len(held) > 10 and sum(held) == sum(map(len, windows)) and max(held) < 1000
+    assert [g.tolist() for g in suffix_dedup._repeated(parts, seen, 80)] == [g.tolist() for g in got]
